@@ -93,4 +93,5 @@ def bucket_equal_width(c, lo: float, hi: float, n: int) -> Column:
     if hi == lo:
         return F.when(c.isNotNull(), F.lit(1))
     raw = F.floor((c - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(n))) + 1
-    return F.least(F.greatest(raw, F.lit(1)), F.lit(n)).cast("int")
+    # greatest/least skip nulls, so guard explicitly
+    return F.when(c.isNotNull(), F.least(F.greatest(raw, F.lit(1)), F.lit(n)).cast("int"))

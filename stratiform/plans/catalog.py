@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import queries_prep
+from . import queries_prep, queries_stats
 
-MODULES = [queries_prep]
+MODULES = [queries_prep, queries_stats]
 
 
 def catalog() -> dict:
