@@ -53,7 +53,11 @@ def hash_rank(df: DataFrame, partition_cols: list[str], hash_col: str, tie_col:
         *partition_cols, "__bucket",
         F.coalesce(F.sum("__n").over(w_before), F.lit(0)).alias("__offset"),
         F.sum("__n").over(w_all).alias("__total"))
-    joined = keyed.join(sized_broadcast(offsets), partition_cols + ["__bucket"])
+    off = sized_broadcast(offsets.select(*[F.col(c).alias(f"__k_{c}") for c in partition_cols],
+                                         "__bucket", "__offset", "__total"))
+    cond = [keyed[c].eqNullSafe(off[f"__k_{c}"]) for c in partition_cols]
+    joined = keyed.join(off, cond + [keyed["__bucket"] == off["__bucket"]]) \
+        .drop(off["__bucket"]).drop(*[f"__k_{c}" for c in partition_cols])
     w_in = Window.partitionBy(*part, F.col("__bucket")).orderBy(hash_col, tie_col)
     out = joined.withColumn(rank_col, F.col("__offset") + F.row_number().over(w_in))
     if total_col:
