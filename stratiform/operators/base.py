@@ -124,7 +124,8 @@ class Recipe(Step):
         cur = df.persist() if self.persist_input else df
         for step in self.steps:
             f = step.fit(cur)
-            cur = f.transform(cur)
+            out_df = getattr(f, "training_output", None)
+            cur = out_df if out_df is not None else f.transform(cur)
             fitted.append(f)
             flags.append(bool(getattr(step, "train_only", False)))
         out = FittedRecipe(fitted, flags)
@@ -134,4 +135,5 @@ class Recipe(Step):
 
 def fit_transform(step: Step, df: DataFrame) -> DataFrame:
     fitted = step.fit(df)
-    return getattr(fitted, "training_output", None) or fitted.transform(df)
+    out = getattr(fitted, "training_output", None)
+    return out if out is not None else fitted.transform(df)

@@ -67,3 +67,57 @@ def column_modes(df: DataFrame, cols: list[str]) -> dict:
     top = counts.withColumn("r", F.row_number().over(w)).where("r = 1").collect()
     found = {r["variable"]: r["level"] for r in top}
     return {c: found.get(c) for c in cols}
+
+
+@register
+class FittedKNNImputer(Fitted):
+    """Replays KNN imputation with the stored donor table (design D1).
+
+    Complete rows pass through untouched; only incomplete rows are searched,
+    and the results are unioned back (no join of the full table)."""
+
+    def transform(self, df):
+        from .knn import exact_knn
+        cols, key, k = self.params["cols"], self.params["key"], self.params["k"]
+        means = self.params["means"]
+        donors = self.tables["donors"]
+        any_null = None
+        for c in cols:
+            cond = F.col(c).isNull()
+            any_null = cond if any_null is None else any_null | cond
+        complete = df.where(~any_null)
+        incomplete = df.where(any_null)
+        limit = self.params.get("row_max_missing")
+        if limit is not None:
+            share = sum(F.col(c).isNull().cast("int") for c in cols) / float(len(cols))
+            too_sparse = incomplete.where(share > limit)
+            incomplete = incomplete.where(share <= limit)
+            complete = complete.unionByName(FittedFill({"fills": means}).transform(too_sparse))
+        near = exact_knn(incomplete, donors, cols, k, key, key, targets=cols)
+        filled = near.groupBy("qid", "target").agg(F.avg("value").alias("v"))
+        wide = filled.groupBy("qid").agg(*[
+            F.max(F.when(F.col("target") == c, F.col("v"))).alias(f"__imp_{c}") for c in cols])
+        joined = incomplete.join(wide, incomplete[key] == wide["qid"], "left").drop("qid")
+        out = joined.withColumns({
+            c: F.coalesce(F.col(c), F.col(f"__imp_{c}"), F.lit(means.get(c)).cast("double"))
+            for c in cols}).drop(*[f"__imp_{c}" for c in cols])
+        return complete.unionByName(out.select(*df.columns))
+
+
+class KNNImputer(Step):
+    """Each missing value is the mean of that column over the k nearest
+    training rows that have it (nan-Euclidean distance); no neighbour gives
+    the training mean. ``row_max_missing`` (I2) sends rows with a larger share
+    of missing values straight to the column means."""
+
+    def __init__(self, cols: list[str], k: int = 10, key: str = "row_id",
+                 row_max_missing: float | None = None):
+        self.cols, self.k, self.key, self.row_max_missing = cols, k, key, row_max_missing
+
+    def fit(self, df):
+        donors = df.select(self.key, *self.cols)
+        row = df.agg(*[F.avg(c).alias(c) for c in self.cols]).first()
+        return FittedKNNImputer({"cols": self.cols, "key": self.key, "k": self.k,
+                                 "means": {c: row[c] for c in self.cols},
+                                 "row_max_missing": self.row_max_missing},
+                                {"donors": donors})
