@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import queries_eval, queries_neighbours, queries_prep, queries_stats
+from . import queries_eval, queries_models, queries_neighbours, queries_prep, queries_stats
 
-MODULES = [queries_prep, queries_stats, queries_eval, queries_neighbours]
+MODULES = [queries_prep, queries_stats, queries_eval, queries_neighbours, queries_models]
 
 
 def catalog() -> dict:

@@ -17,7 +17,7 @@ _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 def build_session(master: str | None = None, app: str = "stratiform",
                   shuffle_partitions: int | None = None,
-                  extra: dict | None = None) -> SparkSession:
+                  extra: dict | None = None, driver_memory: str | None = "8g") -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -32,6 +32,8 @@ def build_session(master: str | None = None, app: str = "stratiform",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if driver_memory and master and master.startswith("local"):
+        conf["spark.driver.memory"] = driver_memory
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
