@@ -152,3 +152,53 @@ def distinct_rows(df: DataFrame, key: str = "row_id") -> DataFrame:
     if key not in df.columns:
         return df.dropDuplicates()
     return df.groupBy(*others).agg(F.min(key).alias(key)).select(*df.columns)
+
+
+@register
+class FittedOutcomeCodes(Fitted):
+    def transform(self, df):
+        col = self.params["col"]
+        if col not in df.columns:
+            return df
+        return move_last(encode_outcome(df, col), col)
+
+
+class OutcomeCodes(Step):
+    """P7 + P8 as a recipe step: outcome -> code, moved to the last column."""
+
+    def __init__(self, col: str = "outcome"):
+        self.col = col
+
+    def fit(self, df):
+        return FittedOutcomeCodes({"col": self.col})
+
+
+@register
+class FittedLesionFeatures(Fitted):
+    def transform(self, df):
+        from ..functions import lesion as L
+        cols = [c for c in self.params["cols"] if c in df.columns]
+        if not cols:
+            return df
+        decoded = L.lesion_first(cols[0]) if self.params["policy"] == "first" \
+            else L.lesion_max_site(cols)
+        out = df.withColumn("num_lesions", L.lesion_count(cols)).withColumn("__lesion", decoded)
+        out = out.withColumns({n: F.col("__lesion").getField(f).cast("string") for n, f in
+                               zip(L.DECODED, ["site", "type", "subtype", "code"])})
+        if self.params["labels"]:
+            lab = L.lesion_labels(F.col("__lesion"))
+            out = out.withColumns({n: lab.getField(f) for n, f in
+                                   zip(L.DECODED, ["site", "type", "subtype", "code"])})
+        return out.drop("__lesion", *cols)
+
+
+class LesionFeatures(Step):
+    """L1-L4 as a recipe step: lesion count plus the four decoded parts as
+    categorical columns; the raw code columns are dropped."""
+
+    def __init__(self, cols=("lesion_1", "lesion_2", "lesion_3"), policy: str = "max_site",
+                 labels: bool = True):
+        self.cols, self.policy, self.labels = list(cols), policy, labels
+
+    def fit(self, df):
+        return FittedLesionFeatures({"cols": self.cols, "policy": self.policy, "labels": self.labels})

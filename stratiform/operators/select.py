@@ -36,11 +36,27 @@ class DropConstant(Step):
         return FittedDropColumns({"drop": drop})
 
 
+WIDE = 24
+
+
 def correlation_matrix(df: DataFrame, cols: list[str]) -> dict:
-    """Pairwise-complete Pearson correlations, one aggregate pass."""
+    """Pearson correlations in one aggregate pass.
+
+    Up to ``WIDE`` columns: one ``corr`` aggregate per pair, pairwise-complete
+    over nulls. Wider: the Gram matrix of the assembled vector in one tree
+    aggregate (``Correlation.corr``) over complete rows; only p x p numbers
+    reach the driver."""
     pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
     if not pairs:
         return {}
+    if len(cols) > WIDE:
+        from pyspark.ml.feature import VectorAssembler
+        from pyspark.ml.stat import Correlation
+        vec = VectorAssembler(inputCols=cols, outputCol="__v", handleInvalid="skip") \
+            .transform(df.select(*[F.col(c).cast("double") for c in cols]))
+        m = Correlation.corr(vec, "__v", "pearson").first()[0].toArray()
+        return {(cols[i], cols[j]): (None if m[i, j] != m[i, j] else float(m[i, j]))
+                for i, j in pairs}
     row = df.agg(*[F.corr(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in pairs]).first()
     return {(cols[i], cols[j]): row[f"c{i}_{j}"] for i, j in pairs}
 
