@@ -55,6 +55,7 @@ class NearMiss(Step):
     """B1 as a train-only recipe step: applied while fitting, skipped on new data."""
 
     train_only = True
+    cut_lineage = True
 
     def __init__(self, features: list[str], label: str = "label", key: str = "row_id", k: int = 3):
         self.features, self.label, self.key, self.k = features, label, key, k

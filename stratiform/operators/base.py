@@ -55,9 +55,14 @@ class Fitted:
 
 
 class Step:
-    """An estimator: ``fit(df) -> Fitted``."""
+    """An estimator: ``fit(df) -> Fitted``.
+
+    ``cut_lineage`` marks steps whose output plan is large (joins, shuffles);
+    a recipe checkpoints their training output to the shared checkpoint
+    folder so later steps plan and run against a short lineage."""
 
     train_only = False
+    cut_lineage = False
 
     def fit(self, df: DataFrame) -> Fitted:  # pragma: no cover - abstract
         raise NotImplementedError
@@ -126,6 +131,8 @@ class Recipe(Step):
             f = step.fit(cur)
             out_df = getattr(f, "training_output", None)
             cur = out_df if out_df is not None else f.transform(cur)
+            if getattr(step, "cut_lineage", False):
+                cur = cur.checkpoint(eager=True)
             fitted.append(f)
             flags.append(bool(getattr(step, "train_only", False)))
         out = FittedRecipe(fitted, flags)

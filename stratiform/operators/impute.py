@@ -110,6 +110,8 @@ class KNNImputer(Step):
     the training mean. ``row_max_missing`` (I2) sends rows with a larger share
     of missing values straight to the column means."""
 
+    cut_lineage = True
+
     def __init__(self, cols: list[str], k: int = 10, key: str = "row_id",
                  row_max_missing: float | None = None):
         self.cols, self.k, self.key, self.row_max_missing = cols, k, key, row_max_missing

@@ -131,6 +131,7 @@ class DropDuplicates(Step):
     """U2 as a train-only recipe step (distinct rows ignoring the key)."""
 
     train_only = True
+    cut_lineage = True
 
     def __init__(self, key: str = "row_id"):
         self.key = key

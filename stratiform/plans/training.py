@@ -5,6 +5,11 @@ imputation of numeric columns -> distinct rows (train only) -> mode
 imputation of categorical columns -> distinct rows (train only) -> one-hot ->
 drop constant -> drop correlated -> log1p on skewed columns -> z-score ->
 outcome codes last. Every step is fitted on the training rows only.
+
+Scale choice (design D6): one-hot keeps the ``max_levels`` most frequent
+levels per column (default 64); rarer levels encode as all zeros. An
+identifier-like column such as ``hospital_number`` would otherwise add one
+column per distinct value, and every later statistic grows with p^2.
 """
 
 from __future__ import annotations
@@ -61,7 +66,7 @@ class _Later:
 
 def clinical_recipe(num_cols: list[str], cat_cols: list[str], label: str = "outcome",
                     key: str = "row_id", k: int = 10, corr_threshold: float = 0.75,
-                    max_levels: int = 1000) -> Recipe:
+                    max_levels: int = 64) -> Recipe:
     lesion_cols = [c for c in ("lesion_1", "lesion_2", "lesion_3") if c in num_cols + cat_cols]
     num = [c for c in num_cols if c not in lesion_cols] + (["num_lesions"] if lesion_cols else [])
     cats = [c for c in cat_cols if c not in lesion_cols] + \
