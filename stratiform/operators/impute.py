@@ -93,7 +93,8 @@ class FittedKNNImputer(Fitted):
             too_sparse = incomplete.where(share > limit)
             incomplete = incomplete.where(share <= limit)
             complete = complete.unionByName(FittedFill({"fills": means}).transform(too_sparse))
-        near = exact_knn(incomplete, donors, cols, k, key, key, targets=cols)
+        near = exact_knn(incomplete, donors, cols, k, key, key, targets=cols,
+                         rows_per_bucket=self.params.get("rows_per_bucket", 256))
         filled = near.groupBy("qid", "target").agg(F.avg("value").alias("v"))
         wide = filled.groupBy("qid").agg(*[
             F.max(F.when(F.col("target") == c, F.col("v"))).alias(f"__imp_{c}") for c in cols])
@@ -113,13 +114,15 @@ class KNNImputer(Step):
     cut_lineage = True
 
     def __init__(self, cols: list[str], k: int = 10, key: str = "row_id",
-                 row_max_missing: float | None = None):
+                 row_max_missing: float | None = None, rows_per_bucket: int = 256):
         self.cols, self.k, self.key, self.row_max_missing = cols, k, key, row_max_missing
+        self.rows_per_bucket = rows_per_bucket
 
     def fit(self, df):
         donors = df.select(self.key, *self.cols)
         row = df.agg(*[F.avg(c).alias(c) for c in self.cols]).first()
         return FittedKNNImputer({"cols": self.cols, "key": self.key, "k": self.k,
                                  "means": {c: row[c] for c in self.cols},
-                                 "row_max_missing": self.row_max_missing},
+                                 "row_max_missing": self.row_max_missing,
+                                 "rows_per_bucket": self.rows_per_bucket},
                                 {"donors": donors})

@@ -77,19 +77,24 @@ def exact_knn(queries: DataFrame, refs: DataFrame, features: list[str], k: int,
 
     present = r.agg(*[F.count(f"r_{f}").alias(f) for f in features]).first()
     order = [f for f in sorted(features, key=lambda f: -present[f]) if present[f] > 0]
-    # a later prune coordinate is only needed while some query and some
-    # reference both lack every earlier one (one aggregate per side)
-    def lacking(df, prefix):
-        return [F.sum(F.lit(1) - F.greatest(*[F.col(f"{prefix}_{g}").isNotNull().cast("int")
-                                               for g in order[:m + 1]], F.lit(0)))
-                .alias(f"m{m}") for m in range(len(order))]
-    if order:
-        lq = q.agg(*lacking(q, "q")).first()
-        lr = r.agg(*lacking(r, "r")).first()
-        used = 1
-        while used < len(order) and (lq[f"m{used - 1}"] or 0) > 0 and (lr[f"m{used - 1}"] or 0) > 0:
-            used += 1
-        order = order[:used]
+    # a later prune coordinate is only needed while some (query, reference)
+    # pair shares a coordinate but none of the earlier ones: decided from the
+    # distinct presence patterns of each side (one small aggregate per side)
+    if order and len(order) < 63:
+        def patterns(df, prefix):
+            bits = sum(F.when(F.col(f"{prefix}_{g}").isNotNull(), F.lit(1 << i)).otherwise(F.lit(0))
+                       for i, g in enumerate(order))
+            rows = df.select(bits.cast("long").alias("m")).distinct().limit(4097).collect()
+            return [row["m"] for row in rows]
+        pq, pr = patterns(q, "q"), patterns(r, "r")
+        if len(pq) <= 4096 and len(pr) <= 4096:
+            used = 1
+            while used < len(order):
+                prefix = (1 << used) - 1
+                if all((a & b) == 0 or (a & b & prefix) != 0 for a in pq for b in pr):
+                    break
+                used += 1
+            order = order[:used]
     if not order:
         return spark.createDataFrame([], "qid long, target string, rid long, dist double, value double")
 
