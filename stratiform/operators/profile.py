@@ -14,13 +14,18 @@ from ..functions.columns import bucket_equal_width
 from .ranks import exact_quantiles
 
 
-def class_balance(df: DataFrame, col: str = "outcome") -> DataFrame:
-    """A2: n and share per class (null labels excluded). The total is one
-    scalar aggregate; no cross join and no global window."""
-    base = df.where(F.col(col).isNotNull())
-    total = base.count()
-    return (base.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-            .withColumn("share", F.round(F.col("n") / F.lit(float(max(total, 1))), 6)))
+def class_balance(df: DataFrame, col: str = "outcome", extra_keys: list[str] | None = None,
+                  extra_aggs: list | None = None) -> DataFrame:
+    """A2: n and share per class (null labels excluded), plus optional extra
+    per-class aggregates in the same pass. The class table is persisted, and
+    the total is summed from it (one row per class), so the input is read once;
+    no cross join and no global window."""
+    keys = [col] + list(extra_keys or [])
+    per_class = (df.where(F.col(col).isNotNull()).groupBy(*keys)
+                 .agg(F.count(F.lit(1)).alias("n"), *(extra_aggs or [])).persist())
+    total = per_class.agg(F.sum("n")).first()[0] or 0
+    out = per_class.withColumn("share", F.round(F.col("n") / F.lit(float(max(total, 1))), 6))
+    return out.select(*keys, "n", "share", *[c for c in per_class.columns if c not in keys + ["n"]])
 
 
 def numeric_summary(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -104,6 +104,13 @@ def prefix_sums(table: DataFrame, partition_cols: list[str], order_col: str,
     cuts = value_cut_points(keyed, "__ord", buckets)
     keyed = bucketize(keyed, "__ord", cuts, "__bucket")
     part = [F.col(c) for c in partition_cols]
+    if not cuts:
+        # one bucket (at most rows_per_bucket rows per partition): no offsets
+        w_one = Window.partitionBy(*part).orderBy("__ord") \
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        out = keyed.withColumns({f"{c}_upto": F.sum(c).over(w_one) for c in count_cols})
+        out = out.withColumns({f"{c}_before": F.col(f"{c}_upto") - F.col(c) for c in count_cols})
+        return out.drop("__ord", "__bucket")
     totals = keyed.groupBy(*partition_cols, "__bucket").agg(
         *[F.sum(c).alias(f"__t_{c}") for c in count_cols])
     w_before = Window.partitionBy(*part).orderBy("__bucket") \
@@ -144,6 +151,9 @@ def row_numbers(df: DataFrame, order_col: str, out: str = "row_number",
     n = df.count()
     buckets = _bucket_count(n, rows_per_bucket)
     cuts = value_cut_points(df, order_col, buckets)
+    if not cuts:
+        # a single bucket holds at most rows_per_bucket rows
+        return df.withColumn(out, F.row_number().over(Window.orderBy(order_col)))
     keyed = bucketize(df, order_col, cuts, "__bucket")
     totals = keyed.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__n"))
     w_before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)

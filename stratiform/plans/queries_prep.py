@@ -59,10 +59,8 @@ def q_class_balance_flagship(spark, sf):
     fallback = R.UnseenFallback("hospital_number").fit(_train_rows(h))
     j = fallback.transform(h)
     coded = R.encode_outcome(j, "outcome", "outcome_code")
-    bal = class_balance(coded, "outcome")
-    hosp = coded.groupBy("outcome", "outcome_code").agg(
-        F.count_distinct("hospital_number").alias("n_hospitals"))
-    return bal.join(hosp, "outcome").select("outcome", "outcome_code", "n", "share", "n_hospitals")
+    return class_balance(coded, "outcome", extra_keys=["outcome_code"],
+                         extra_aggs=[F.count_distinct("hospital_number").alias("n_hospitals")])
 
 
 FALLBACK_SQL = (
