@@ -2,34 +2,38 @@
 
 Distance is the nan-Euclidean distance: over the coordinates C present in
 both rows, d = sqrt(p / |C| * sum_{j in C} (x_j - y_j)^2); rows with no common
-coordinate are not neighbours. Because p / |C| >= 1, d >= |x_g - y_g| for any
-common coordinate g, which gives an exact band filter:
-
-* prune coordinates are ordered by how often they are present; a pair belongs
-  to the first coordinate both rows have (so every pair with a defined
-  distance belongs to exactly one band);
-* reference rows are cut into equal-count buckets on each prune coordinate;
-* pass 1 joins every query to the few buckets around its own value that hold
+coordinate are not neighbours. Because p / |C| >= 1, d >= |x_a - y_a| for every
+common coordinate a, which gives an exact band filter:
+
+* a *band* is one or two coordinates (axes). The first band pairs the most
+  present coordinate with the one of largest spread left after removing its
+  correlation with the first; then every coordinate follows as a one-axis
+  band. A pair of rows belongs to the first band whose axes both rows have,
+  so every pair with a defined distance belongs to exactly one band;
+* reference rows are cut into equal-count cells on the band's axes;
+* pass 1 joins every query to the few cells around its own value that hold
   at least k eligible references and takes the k-th smallest distance as a
   radius r (an upper bound of the true k-th distance);
-* pass 2 joins every query to the buckets covering [x_g - r, x_g + r] on each
-  prune coordinate and keeps the k nearest by (distance, reference id).
+* pass 2 joins every query to the cells covering x +- r on every axis of
+  each band and keeps the k nearest by (distance, reference id).
 
-Both joins are equi-joins on a bucket number; a query only meets the
-references within its radius, and one with fewer than k eligible references
-anywhere falls back to all of them (the only exact answer).
+All joins are equi-joins on cell numbers; a query only meets the references
+inside its radius box. A query with fewer than k eligible references anywhere
+falls back to all of them (the only exact answer).
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .ranks import bucketize, value_cut_points
+from .ranks import bucketize
 
 ANY_TARGET = "*"
+MAX_PATTERNS = 4096
 
 
 def _distance(features: list[str]):
@@ -46,14 +50,115 @@ def _distance(features: list[str]):
     return F.when(cnt > 0, F.sqrt(F.lit(p) / cnt * sq))
 
 
-def _eligible(target_col="target"):
-    """A reference can serve a target when it has that column (or any target)."""
-    return F.col(target_col)
+def _all_present(prefix: str, axes) -> F.Column:
+    cond = None
+    for a in axes:
+        c = F.col(f"{prefix}_{a}").isNotNull()
+        cond = c if cond is None else cond & c
+    return cond
+
+
+def _both_have(axes) -> F.Column:
+    return _all_present("q", axes) & _all_present("r", axes)
+
+
+def _cut_points(df: DataFrame, axes, per_axis: int) -> dict:
+    if per_axis <= 1:
+        return {a: [] for a in axes}
+    probs = [i / per_axis for i in range(1, per_axis)]
+    row = df.agg(*[F.percentile_approx(F.col(f"r_{a}"), probs, 10_000).alias(a)
+                   for a in axes]).first()
+    return {a: sorted(set(v for v in (row[a] or []) if v is not None)) for a in axes}
+
+
+def _choose_bands(r: DataFrame, features: list[str], two_axes: bool):
+    stats = r.agg(*[F.count(f"r_{f}").alias(f"n_{f}") for f in features],
+                  *[F.stddev_pop(f"r_{f}").alias(f"s_{f}") for f in features]).first()
+    present = {f: stats[f"n_{f}"] for f in features}
+    spread = {f: stats[f"s_{f}"] or 0.0 for f in features}
+    order = sorted([f for f in features if present[f] > 0],
+                   key=lambda f: (-present[f], -spread[f]))
+    bands = [(g,) for g in order]
+    if two_axes and len(order) > 1 and spread[order[0]] > 0:
+        g = order[0]
+        others = [h for h in order[1:] if spread[h] > 0 and present[h] >= 0.5 * present[g]]
+        if others:
+            corr = r.agg(*[F.corr(f"r_{g}", f"r_{h}").alias(h) for h in others]).first()
+            resid = {h: spread[h] * math.sqrt(max(0.0, 1.0 - (corr[h] or 0.0) ** 2))
+                     for h in others}
+            h = max(others, key=lambda x: resid[x])
+            if resid[h] > 0:
+                bands = [(g, h)] + bands
+    return order, present, bands
+
+
+def _owning_bands(bands, order, q, r):
+    """Keep only bands that own at least one (query pattern, reference
+    pattern) pair; patterns are presence bitmasks counted in one aggregate."""
+    if len(order) >= 63:
+        return bands, None
+    bit = {a: 1 << i for i, a in enumerate(order)}
+
+    def patterns(df, prefix):
+        m = sum(F.when(F.col(f"{prefix}_{a}").isNotNull(), F.lit(bit[a])).otherwise(F.lit(0))
+                for a in order)
+        rows = df.groupBy(m.cast("long").alias("m")).agg(F.count(F.lit(1)).alias("n")) \
+            .limit(MAX_PATTERNS + 1).collect()
+        return {row["m"]: row["n"] for row in rows}
+
+    pq, pr = patterns(q, "q"), patterns(r, "r")
+    if len(pq) > MAX_PATTERNS or len(pr) > MAX_PATTERNS:
+        return bands, pr
+    masks = [sum(bit[a] for a in band) for band in bands]
+    owns = [False] * len(bands)
+    for a, b in itertools.product(pq, pr):
+        common = a & b
+        for i, m in enumerate(masks):
+            if common & m == m:
+                owns[i] = True
+                break
+    return [b for b, o in zip(bands, owns) if o], pr
+
+
+def _expansions(per: dict, shape: tuple, k: int, nt: int) -> list[tuple]:
+    """For every cell the smallest symmetric window of cells (same width on
+    every axis) holding at least k eligible references for every target; the
+    whole grid when no window does."""
+    import numpy as np
+    dims = len(shape)
+    grid = np.zeros(shape + (nt,), dtype=np.int64)
+    for cell, v in per.items():
+        grid[cell] = v
+    # summed-area table: window totals in O(1) per window
+    sat = grid
+    for d in range(dims):
+        sat = np.cumsum(sat, axis=d)
+    sat = np.pad(sat, [(1, 0)] * dims + [(0, 0)])
+
+    def window_total(lo, hi):
+        if dims == 1:
+            return sat[hi[0] + 1] - sat[lo[0]]
+        return (sat[hi[0] + 1, hi[1] + 1] - sat[lo[0], hi[1] + 1]
+                - sat[hi[0] + 1, lo[1]] + sat[lo[0], lo[1]])
+
+    out = []
+    for cell in itertools.product(*[range(s) for s in shape]):
+        w = 0
+        while True:
+            lo = [max(0, cell[d] - w) for d in range(dims)]
+            hi = [min(shape[d] - 1, cell[d] + w) for d in range(dims)]
+            full = all(lo[d] == 0 and hi[d] == shape[d] - 1 for d in range(dims))
+            if (window_total(lo, hi) >= k).all() or full:
+                out.append((*cell, *lo, *hi))
+                break
+            w = w + 1 if w < 4 else w * 2
+    return out
 
 
 def exact_knn(queries: DataFrame, refs: DataFrame, features: list[str], k: int,
               qid: str, rid: str, targets: list[str] | None = None,
-              rows_per_bucket: int = 256, max_buckets: int = 100_000) -> DataFrame:
+              rows_per_bucket: int = 256, max_cells: int = 40_000,
+              two_axes: bool = True) -> DataFrame:
     """k nearest references per query (per (query, target) when ``targets``
     is given: only queries missing the target and references having it).
 
@@ -74,98 +179,108 @@ def exact_knn(queries: DataFrame, refs: DataFrame, features: list[str], k: int,
     q = q.where(F.size("__targets") > 0).persist()
     r = r.persist()
     tlist = targets or [ANY_TARGET]
+    empty = "qid long, target string, rid long, dist double, value double"
 
-    present = r.agg(*[F.count(f"r_{f}").alias(f) for f in features]).first()
-    order = [f for f in sorted(features, key=lambda f: -present[f]) if present[f] > 0]
-    # a later prune coordinate is only needed while some (query, reference)
-    # pair shares a coordinate but none of the earlier ones: decided from the
-    # distinct presence patterns of each side (one small aggregate per side)
-    if order and len(order) < 63:
-        def patterns(df, prefix):
-            bits = sum(F.when(F.col(f"{prefix}_{g}").isNotNull(), F.lit(1 << i)).otherwise(F.lit(0))
-                       for i, g in enumerate(order))
-            rows = df.select(bits.cast("long").alias("m")).distinct().limit(4097).collect()
-            return [row["m"] for row in rows]
-        pq, pr = patterns(q, "q"), patterns(r, "r")
-        if len(pq) <= 4096 and len(pr) <= 4096:
-            used = 1
-            while used < len(order):
-                prefix = (1 << used) - 1
-                if all((a & b) == 0 or (a & b & prefix) != 0 for a in pq for b in pr):
-                    break
-                used += 1
-            order = order[:used]
+    order, present, bands = _choose_bands(r, features, two_axes)
     if not order:
-        return spark.createDataFrame([], "qid long, target string, rid long, dist double, value double")
+        return spark.createDataFrame([], empty)
+    bands, ref_patterns = _owning_bands(bands, order, q, r)
+    bit = {a: 1 << i for i, a in enumerate(order)}
+    if not bands:
+        return spark.createDataFrame([], empty)
 
     def has_target(t):
         return F.lit(True) if t == ANY_TARGET else F.col(f"r_{t}").isNotNull()
 
-    # per prune coordinate: bucketed references and per-bucket eligible counts
-    meta = {}
-    for g in order:
-        rg = r.where(F.col(f"r_{g}").isNotNull())
-        n_g = present[g]
-        buckets = min(max_buckets, max(1, int(math.ceil(n_g / float(rows_per_bucket)))))
-        cuts = value_cut_points(rg, f"r_{g}", buckets)
-        rb = bucketize(rg, f"r_{g}", cuts, "__b").persist()
-        counts = rb.groupBy("__b").agg(*[F.sum(has_target(t).cast("long")).alias(f"c{i}")
-                                        for i, t in enumerate(tlist)]).collect()  # <= buckets rows
-        nb = len(cuts) + 1
-        per = [[0] * len(tlist) for _ in range(nb)]
-        for row in counts:
-            for i in range(len(tlist)):
-                per[row["__b"]][i] = row[f"c{i}"] or 0
-        meta[g] = (cuts, rb, nb, _expansions(per, k))
-
-    def pairs_for(qsub, g, lo_col, hi_col, band=None):
-        cuts, rb, nb, _ = meta[g]
-        qq = qsub.withColumn("__b", F.explode(F.sequence(F.col(lo_col), F.col(hi_col))))
-        joined = qq.join(rb, "__b").drop("__b")
-        if band is not None:
-            joined = joined.where(band)
+    # ---- per band: reference cells and per-cell eligible counts
+    meta = []
+    for bi, band in enumerate(bands):
+        rb = r.where(_all_present("r", band))
+        if ref_patterns is not None:
+            mask = sum(bit[a] for a in band)
+            n_b = sum(n for m, n in ref_patterns.items() if m & mask == mask)
+        else:
+            n_b = rb.count()
+        if len(band) == 1:
+            per_axis = min(max_cells, max(1, int(math.ceil(n_b / float(rows_per_bucket)))))
+        else:
+            per_axis = min(int(math.sqrt(max_cells)),
+                           max(1, int(math.ceil(math.sqrt(n_b / float(rows_per_bucket))))))
+        cuts = _cut_points(rb, band, per_axis)
+        cells = [f"__c{d}" for d in range(len(band))]
+        for d, a in enumerate(band):
+            rb = bucketize(rb, f"r_{a}", cuts[a], cells[d])
+        rb = rb.persist()
+        counts = rb.groupBy(*cells).agg(*[F.sum(has_target(t).cast("long")).alias(f"t{i}")
+                                         for i, t in enumerate(tlist)]).collect()  # <= cells
+        shape = tuple(len(cuts[a]) + 1 for a in band)
+        per = {tuple(row[c] for c in cells): [row[f"t{i}"] or 0 for i in range(len(tlist))]
+               for row in counts}
+        meta.append((band, cuts, cells, rb, _expansions(per, shape, k, len(tlist))))
+
+    def join_cells(qsub, band_meta, band_filter=None):
+        band, cuts, cells, rb, _ = band_meta
+        qq = qsub
+        for d in range(len(band)):
+            qq = qq.withColumn(cells[d], F.explode(F.sequence(F.col(f"__lo{d}"), F.col(f"__hi{d}"))))
+        joined = qq.join(rb, cells).drop(*cells)
+        if band_filter is not None:
+            joined = joined.where(band_filter)
         return joined.withColumn("dist", _distance(features)).where(F.col("dist").isNotNull())
 
-    # ---- pass 1: radius from the buckets around each query's first prune coordinate
+    lohi = [f"__lo{d}" for d in range(2)] + [f"__hi{d}" for d in range(2)]
+
+    # ---- pass 1: a radius from the cells around each query, using the first
+    # band whose axes the query has
     first = None
-    for g in reversed(order):
-        first = F.when(F.col(f"q_{g}").isNotNull(), F.lit(g)) if first is None else \
-            F.when(F.col(f"q_{g}").isNotNull(), F.lit(g)).otherwise(first)
-    qf = q.withColumn("__first", first)
+    for bi in reversed(range(len(bands))):
+        cond = _all_present("q", bands[bi])
+        first = F.when(cond, F.lit(bi)) if first is None else F.when(cond, F.lit(bi)).otherwise(first)
+    qf = q.withColumn("__band", first)
     parts = []
-    for g in order:
-        cuts, rb, nb, exp = meta[g]
-        exp_df = spark.createDataFrame(exp, "__qb int, __lo int, __hi int")  # one row per bucket
-        qg = bucketize(qf.where(F.col("__first") == g), f"q_{g}", cuts, "__qb")
-        qg = qg.join(F.broadcast(exp_df), "__qb").drop("__qb")
-        parts.append(pairs_for(qg, g, "__lo", "__hi").drop("__lo", "__hi"))
-    p1 = _union(parts)
-    p1t = _per_target(p1, tlist, features)
+    for bi, bm in enumerate(meta):
+        band, cuts, cells, rb, exp = bm
+        nd = len(band)
+        schema = ", ".join([f"__q{d} int" for d in range(nd)] + [f"__lo{d} int" for d in range(nd)]
+                           + [f"__hi{d} int" for d in range(nd)])
+        exp_df = spark.createDataFrame(exp, schema)  # one row per cell (<= max_cells)
+        qb = qf.where(F.col("__band") == bi)
+        for d, a in enumerate(band):
+            qb = bucketize(qb, f"q_{a}", cuts[a], f"__q{d}")
+        qb = qb.join(F.broadcast(exp_df), [f"__q{d}" for d in range(nd)]) \
+            .drop(*[f"__q{d}" for d in range(nd)])
+        parts.append(join_cells(qb, bm).drop(*[c for c in lohi if c in qb.columns]))
+    p1 = _per_target(_union(parts), tlist)
     w = Window.partitionBy("__qid", "target").orderBy(F.round("dist", 9), "__rid")
-    kth = (p1t.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= k)
+    kth = (p1.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= k)
            .groupBy("__qid", "target").agg(F.count(F.lit(1)).alias("__c"), F.max("dist").alias("__d")))
     radius = (kth.groupBy("__qid").agg(
         F.max(F.when(F.col("__c") >= k, F.col("__d")).otherwise(F.lit(float("inf")))).alias("__r"),
         F.count(F.lit(1)).alias("__nt")))
     q2 = q.join(radius, "__qid", "left")
-    # targets without any pass-1 candidate need the full search
+    # a target without any pass-1 candidate needs the full search
     q2 = q2.withColumn("__r", F.when(F.col("__nt") == F.size("__targets"), F.col("__r"))
                        .otherwise(F.lit(float("inf")))).drop("__nt")
     q2 = q2.withColumn("__r", F.col("__r") + F.lit(1e-6)).persist()
 
-    # ---- pass 2: every pair within the radius, each pair in exactly one band
+    # ---- pass 2: every pair inside the radius box, each pair in one band
     parts = []
-    for idx, g in enumerate(order):
-        cuts, rb, nb, _ = meta[g]
-        qg = q2.where(F.col(f"q_{g}").isNotNull()) \
-            .withColumn("__lo_v", F.col(f"q_{g}") - F.col("__r")) \
-            .withColumn("__hi_v", F.col(f"q_{g}") + F.col("__r"))
-        qg = bucketize(bucketize(qg, "__lo_v", cuts, "__lo"), "__hi_v", cuts, "__hi")
-        band = F.abs(F.col(f"q_{g}") - F.col(f"r_{g}")) <= F.col("__r")
-        for h in order[:idx]:  # earlier shared coordinates own the pair
-            band = band & ~(F.col(f"q_{h}").isNotNull() & F.col(f"r_{h}").isNotNull())
-        parts.append(pairs_for(qg, g, "__lo", "__hi", band))
-    p2 = _per_target(_union(parts), tlist, features)
+    for bi, bm in enumerate(meta):
+        band, cuts, cells, rb, _ = bm
+        qb = q2.where(_all_present("q", band))
+        for d, a in enumerate(band):
+            qb = qb.withColumn("__v", F.col(f"q_{a}") - F.col("__r"))
+            qb = bucketize(qb, "__v", cuts[a], f"__lo{d}")
+            qb = qb.withColumn("__v", F.col(f"q_{a}") + F.col("__r"))
+            qb = bucketize(qb, "__v", cuts[a], f"__hi{d}").drop("__v")
+        cond = None
+        for a in band:
+            c = F.abs(F.col(f"q_{a}") - F.col(f"r_{a}")) <= F.col("__r")
+            cond = c if cond is None else cond & c
+        for earlier in bands[:bi]:  # an earlier band both rows have owns the pair
+            cond = cond & ~_both_have(earlier)
+        parts.append(join_cells(qb, bm, cond).drop(*[c for c in lohi if c in qb.columns]))
+    p2 = _per_target(_union(parts), tlist)
     top = p2.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= k)
     return top.select(F.col("__qid").alias("qid"), "target", F.col("__rid").alias("rid"),
                       "dist", "value")
@@ -178,7 +293,7 @@ def _union(parts):
     return out
 
 
-def _per_target(pairs: DataFrame, tlist: list[str], features: list[str]) -> DataFrame:
+def _per_target(pairs: DataFrame, tlist: list[str]) -> DataFrame:
     """One row per (pair, target the query needs and the reference has)."""
     t = pairs.withColumn("target", F.explode("__targets"))
     if tlist == [ANY_TARGET]:
@@ -188,25 +303,3 @@ def _per_target(pairs: DataFrame, tlist: list[str], features: list[str]) -> Data
         value = F.when(F.col("target") == c, F.col(f"r_{c}")) if value is None else \
             value.when(F.col("target") == c, F.col(f"r_{c}"))
     return t.withColumn("value", value).where(F.col("value").isNotNull())
-
-
-def _expansions(per: list[list[int]], k: int) -> list[tuple[int, int, int]]:
-    """For each bucket the smallest symmetric window of buckets holding at
-    least k eligible references for every target (all buckets if none does)."""
-    nb = len(per)
-    nt = len(per[0]) if per else 0
-    prefix = [[0] * (nb + 1) for _ in range(nt)]
-    for t in range(nt):
-        for b in range(nb):
-            prefix[t][b + 1] = prefix[t][b] + per[b][t]
-    out = []
-    for b in range(nb):
-        w = 0
-        while True:
-            lo, hi = max(0, b - w), min(nb - 1, b + w)
-            ok = all(prefix[t][hi + 1] - prefix[t][lo] >= k for t in range(nt))
-            if ok or (lo == 0 and hi == nb - 1):
-                out.append((b, lo, hi))
-                break
-            w = w + 1 if w < 4 else w * 2
-    return out
