@@ -17,13 +17,24 @@ def q_impute_knn(spark, sf):
     return out.select("row_id", *rounded(*IMPUTED))
 
 
-def _knn_sql():
+def q_impute_knn_sparse_rows(spark, sf):
+    """Rows with more than 30 % of the columns missing take the column
+    means; the others are imputed from their nearest neighbours."""
+    o = obs(spark, sf).select("row_id", *KNN_COLS)
+    out = KNNImputer(KNN_COLS, k=10, key="row_id", row_max_missing=0.3).fit(o).transform(o)
+    return out.select("row_id", *rounded(*IMPUTED))
+
+
+def _knn_sql(max_missing=None):
     p = len(KNN_COLS)
     present = [f"(q.{c} IS NOT NULL AND d.{c} IS NOT NULL)" for c in KNN_COLS]
     cnt = " + ".join(f"{x}::INT" for x in present)
     sq = " + ".join(f"CASE WHEN {x} THEN (q.{c} - d.{c}) * (q.{c} - d.{c}) ELSE 0 END"
                     for x, c in zip(present, KNN_COLS))
     any_null = " OR ".join(f"{c} IS NULL" for c in IMPUTED)
+    share = "(" + " + ".join(f"({c} IS NULL)::INT" for c in KNN_COLS) + f") / {float(p)}"
+    if max_missing is not None:
+        any_null = f"({any_null}) AND {share} <= {max_missing}"
     targets = " UNION ALL ".join(
         f"SELECT qid, '{c}' AS target, rid, dist, d_{c} AS v FROM pairs "
         f"WHERE q_{c} IS NULL AND d_{c} IS NOT NULL" for c in IMPUTED)
@@ -38,6 +49,11 @@ def _knn_sql():
     sel = ", ".join(
         f"round(coalesce(obs.{c}, (SELECT v FROM imp WHERE imp.qid = obs.row_id AND target = '{c}'), "
         f"(SELECT avg({c}) FROM obs)), 6) AS {c}" for c in IMPUTED)
+    if max_missing is not None:
+        sel = ", ".join(
+            f"round(coalesce(obs.{c}, CASE WHEN {share} <= {max_missing} THEN "
+            f"(SELECT v FROM imp WHERE imp.qid = obs.row_id AND target = '{c}') END, "
+            f"(SELECT avg({c}) FROM obs)), 6) AS {c}" for c in IMPUTED)
     return oracle(f"SELECT obs.row_id, {sel} FROM obs", ctes)
 
 
@@ -65,5 +81,6 @@ def _nearmiss_sql():
 
 QUERIES = {
     "impute_knn": (q_impute_knn, _knn_sql()),
+    "impute_knn_sparse_rows": (q_impute_knn_sparse_rows, _knn_sql(0.3)),
     "nearmiss": (q_nearmiss, _nearmiss_sql()),
 }

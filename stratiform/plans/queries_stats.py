@@ -150,6 +150,21 @@ SQL_IMPUTE_MEDIAN = oracle("SELECT row_id, " + ", ".join(
     for c in NUM4 + ["pain_code", "capillary_refill_time_code"]) + " FROM hc", _CODES_CTE)
 
 
+def q_impute_mean_codes(spark, sf):
+    """Mean imputation of category codes (fractional codes result)."""
+    h = R.encode_levels(R.harmonise(obs(spark, sf)),
+                        {c: vocab.LEVEL_CODES[c] for c in ["pain", "capillary_refill_time"]},
+                        suffix="_code")
+    cols = ["pain_code", "capillary_refill_time_code"]
+    h = h.withColumns({c: F.col(c).cast("double") for c in cols})
+    return MeanImputer(cols).fit(h).transform(h).select("row_id", *rounded(*cols))
+
+
+SQL_IMPUTE_MEAN_CODES = oracle("SELECT row_id, " + ", ".join(
+    f"round(coalesce({c}, (SELECT avg({c}) FROM hc)), 6) AS {c}"
+    for c in ["pain_code", "capillary_refill_time_code"]) + " FROM hc", _CODES_CTE)
+
+
 def q_impute_mode(spark, sf):
     h = R.harmonise(obs(spark, sf))
     out = ModeImputer(CATS).fit(h).transform(h)
@@ -284,6 +299,7 @@ QUERIES = {
     "impute_mean": (q_impute_mean, SQL_IMPUTE_MEAN),
     "impute_median": (q_impute_median, SQL_IMPUTE_MEDIAN),
     "impute_mode": (q_impute_mode, SQL_IMPUTE_MODE),
+    "impute_mean_codes": (q_impute_mean_codes, SQL_IMPUTE_MEAN_CODES),
     "one_hot": (q_one_hot, _indicator_sql(False)),
     "dummy": (q_dummy, _indicator_sql(True)),
     "drop_constant": (q_drop_constant, SQL_DROP_CONST),
