@@ -23,7 +23,9 @@ def nearmiss(df: DataFrame, features: list[str], label: str, key: str, k: int =
     refs = df.where(F.col(label) == minority)
     near = exact_knn(larger, refs, features, k, key, key)
     score = near.groupBy(F.col("qid").alias(key)).agg(F.round(F.avg("dist"), 9).alias("__m"))
-    scored = larger.join(score, key)
+    # the scores feed both the cut search and the final filter: checkpoint
+    # once (shared folder) instead of running the neighbour search twice
+    scored = larger.join(score, key).checkpoint(eager=True)
     # the cut per class: the n_min-th smallest mean distance, from bucketed
     # prefix counts over distinct scores (no window over a whole class)
     vc = scored.groupBy(label, "__m").agg(F.count(F.lit(1)).alias("n"))

@@ -71,9 +71,38 @@ def _cut_points(df: DataFrame, axes, per_axis: int) -> dict:
     return {a: sorted(set(v for v in (row[a] or []) if v is not None)) for a in axes}
 
 
+ALL_PAIRS_CORR = 12
+
+
+def _band_cut_points(r: DataFrame, bands, sizes) -> list[dict]:
+    """Equal-count cut points of every band axis, over the references that
+    have all of the band's axes, in one aggregate job."""
+    aggs = []
+    for bi, (band, per_axis) in enumerate(zip(bands, sizes)):
+        if per_axis <= 1:
+            continue
+        probs = [i / per_axis for i in range(1, per_axis)]
+        have = _all_present("r", band)
+        for a in band:
+            aggs.append(F.percentile_approx(F.when(have, F.col(f"r_{a}")), probs, 10_000)
+                        .alias(f"b{bi}_{a}"))
+    row = r.agg(*aggs).first().asDict() if aggs else {}
+    out = []
+    for bi, band in enumerate(bands):
+        out.append({a: sorted(set(v for v in (row.get(f"b{bi}_{a}") or []) if v is not None))
+                    for a in band})
+    return out
+
+
 def _choose_bands(r: DataFrame, features: list[str], two_axes: bool):
+    # presence, spread and (for a few columns) all correlations in one pass
+    pairs = [(a, b) for i, a in enumerate(features) for b in features[i + 1:]] \
+        if two_axes and len(features) <= ALL_PAIRS_CORR else []
+    from .select import pair_correlation_aggs, pair_correlation_value
     stats = r.agg(*[F.count(f"r_{f}").alias(f"n_{f}") for f in features],
-                  *[F.stddev_pop(f"r_{f}").alias(f"s_{f}") for f in features]).first()
+                  *[F.stddev_pop(f"r_{f}").alias(f"s_{f}") for f in features],
+                  *pair_correlation_aggs([(f"r_{a}", f"r_{b}") for a, b in pairs], "pc_")).first()
+    pair_index = {pair: n for n, pair in enumerate(pairs)}
     present = {f: stats[f"n_{f}"] for f in features}
     spread = {f: stats[f"s_{f}"] or 0.0 for f in features}
     order = sorted([f for f in features if present[f] > 0],
@@ -83,7 +112,13 @@ def _choose_bands(r: DataFrame, features: list[str], two_axes: bool):
         g = order[0]
         others = [h for h in order[1:] if spread[h] > 0 and present[h] >= 0.5 * present[g]]
         if others:
-            corr = r.agg(*[F.corr(f"r_{g}", f"r_{h}").alias(h) for h in others]).first()
+            if pairs:
+                corr = {h: pair_correlation_value(
+                    stats, pair_index[(g, h)] if (g, h) in pair_index else pair_index[(h, g)], "pc_")
+                    for h in others}
+            else:
+                row = r.agg(*pair_correlation_aggs([(f"r_{g}", f"r_{h}") for h in others])).first()
+                corr = {h: pair_correlation_value(row, n) for n, h in enumerate(others)}
             resid = {h: spread[h] * math.sqrt(max(0.0, 1.0 - (corr[h] or 0.0) ** 2))
                      for h in others}
             h = max(others, key=lambda x: resid[x])
@@ -99,14 +134,17 @@ def _owning_bands(bands, order, q, r):
         return bands, None
     bit = {a: 1 << i for i, a in enumerate(order)}
 
-    def patterns(df, prefix):
+    def masks_of(df, prefix, side):
         m = sum(F.when(F.col(f"{prefix}_{a}").isNotNull(), F.lit(bit[a])).otherwise(F.lit(0))
                 for a in order)
-        rows = df.groupBy(m.cast("long").alias("m")).agg(F.count(F.lit(1)).alias("n")) \
-            .limit(MAX_PATTERNS + 1).collect()
-        return {row["m"]: row["n"] for row in rows}
-
-    pq, pr = patterns(q, "q"), patterns(r, "r")
+        return df.select(F.lit(side).alias("side"), m.cast("long").alias("m"))
+
+    # both sides' patterns in one aggregate job
+    rows = masks_of(q, "q", 0).unionByName(masks_of(r, "r", 1)) \
+        .groupBy("side", "m").agg(F.count(F.lit(1)).alias("n")) \
+        .limit(2 * MAX_PATTERNS + 2).collect()
+    pq = {row["m"]: row["n"] for row in rows if row["side"] == 0}
+    pr = {row["m"]: row["n"] for row in rows if row["side"] == 1}
     if len(pq) > MAX_PATTERNS or len(pr) > MAX_PATTERNS:
         return bands, pr
     masks = [sum(bit[a] for a in band) for band in bands]
@@ -193,20 +231,24 @@ def exact_knn(queries: DataFrame, refs: DataFrame, features: list[str], k: int,
         return F.lit(True) if t == ANY_TARGET else F.col(f"r_{t}").isNotNull()
 
     # ---- per band: reference cells and per-cell eligible counts
-    meta = []
-    for bi, band in enumerate(bands):
-        rb = r.where(_all_present("r", band))
+    sizes = []
+    for band in bands:
         if ref_patterns is not None:
             mask = sum(bit[a] for a in band)
             n_b = sum(n for m, n in ref_patterns.items() if m & mask == mask)
         else:
-            n_b = rb.count()
+            n_b = r.where(_all_present("r", band)).count()
         if len(band) == 1:
             per_axis = min(max_cells, max(1, int(math.ceil(n_b / float(rows_per_bucket)))))
         else:
             per_axis = min(int(math.sqrt(max_cells)),
                            max(1, int(math.ceil(math.sqrt(n_b / float(rows_per_bucket))))))
-        cuts = _cut_points(rb, band, per_axis)
+        sizes.append(per_axis)
+    all_cuts = _band_cut_points(r, bands, sizes)
+    meta = []
+    for bi, band in enumerate(bands):
+        rb = r.where(_all_present("r", band))
+        cuts = all_cuts[bi]
         cells = [f"__c{d}" for d in range(len(band))]
         for d, a in enumerate(band):
             rb = bucketize(rb, f"r_{a}", cuts[a], cells[d])

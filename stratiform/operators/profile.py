@@ -104,16 +104,17 @@ def correlation_long(df: DataFrame, cols: list[str], complete_rows: bool = True)
     melted to (var1, var2, r, abs_r, upper) with upper = strict upper triangle."""
     spark = SparkSession.getActiveSession()
     base = df.dropna(subset=cols) if complete_rows else df
+    from .select import pair_correlation_aggs, pair_correlation_value
     pairs = [(i, j) for i in range(len(cols)) for j in range(len(cols)) if i < j]
-    row = base.agg(*[F.corr(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in pairs]).first()
+    row = base.agg(*pair_correlation_aggs([(cols[i], cols[j]) for i, j in pairs])).first()
+    index = {pair: n for n, pair in enumerate(pairs)}
     out = []
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):
             if i == j:
                 r = 1.0
             else:
-                key = f"c{min(i, j)}_{max(i, j)}"
-                r = row[key]
+                r = pair_correlation_value(row, index[(min(i, j), max(i, j))])
             out.append((a, b, None if r is None else round(float(r), 6),
                         None if r is None else round(abs(float(r)), 6), i < j))
     return spark.createDataFrame(out, "var1 string, var2 string, r double, abs_r double, "

@@ -39,6 +39,27 @@ class DropConstant(Step):
 WIDE = 24
 
 
+def pair_correlation_aggs(pairs, prefix: str = "") -> list:
+    """Aggregates for pairwise-complete Pearson correlations that never
+    divide: covariance and both deviations over the rows where both values
+    are present. ``pair_correlation_value`` turns them into r (None when a
+    deviation is zero; ANSI ``corr`` would raise there)."""
+    aggs = []
+    for i, (a, b) in enumerate(pairs):
+        both = F.col(a).isNotNull() & F.col(b).isNotNull()
+        aggs += [F.covar_pop(a, b).alias(f"{prefix}cv{i}"),
+                 F.stddev_pop(F.when(both, F.col(a))).alias(f"{prefix}sa{i}"),
+                 F.stddev_pop(F.when(both, F.col(b))).alias(f"{prefix}sb{i}")]
+    return aggs
+
+
+def pair_correlation_value(row, i: int, prefix: str = ""):
+    cv, sa, sb = row[f"{prefix}cv{i}"], row[f"{prefix}sa{i}"], row[f"{prefix}sb{i}"]
+    if cv is None or not sa or not sb:
+        return None
+    return max(-1.0, min(1.0, cv / (sa * sb)))
+
+
 def correlation_matrix(df: DataFrame, cols: list[str]) -> dict:
     """Pearson correlations in one aggregate pass.
 
@@ -57,8 +78,9 @@ def correlation_matrix(df: DataFrame, cols: list[str]) -> dict:
         m = Correlation.corr(vec, "__v", "pearson").first()[0].toArray()
         return {(cols[i], cols[j]): (None if m[i, j] != m[i, j] else float(m[i, j]))
                 for i, j in pairs}
-    row = df.agg(*[F.corr(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in pairs]).first()
-    return {(cols[i], cols[j]): row[f"c{i}_{j}"] for i, j in pairs}
+    named = [(cols[i], cols[j]) for i, j in pairs]
+    row = df.agg(*pair_correlation_aggs(named)).first()
+    return {named[n]: pair_correlation_value(row, n) for n in range(len(named))}
 
 
 def correlated_to_drop(cols: list[str], corr: dict, threshold: float = 0.75,
