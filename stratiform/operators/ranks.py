@@ -34,14 +34,23 @@ def _bucket_count(n_rows: int, rows_per_bucket: int) -> int:
     return max(1, int(math.ceil(n_rows / float(rows_per_bucket))))
 
 
+HASH_ROWS_PER_BUCKET = 1_000_000
+
+
 def hash_rank(df: DataFrame, partition_cols: list[str], hash_col: str, tie_col: str,
               rank_col: str = "rank", total_col: str | None = "stratum_n",
-              buckets: int = 64) -> DataFrame:
+              buckets: int | None = None) -> DataFrame:
     """1-based row number within ``partition_cols`` ordered by (hash, tie).
 
     ``hash_col`` is uniform on [0, 2^32), so bucket bounds are arithmetic and
-    every stratum is split evenly, however large it is.
+    every stratum is split evenly, however large it is. By default the bucket
+    count follows the largest stratum (one small count per stratum), so no
+    window partition holds more than about ``HASH_ROWS_PER_BUCKET`` rows.
     """
+    if buckets is None:
+        largest = df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("n")) \
+            .agg(F.max("n")).first()[0] or 0
+        buckets = max(1, _bucket_count(largest, HASH_ROWS_PER_BUCKET))
     b = F.floor(F.col(hash_col) * F.lit(buckets) / F.lit(HASH_RANGE)).cast("int")
     keyed = df.withColumn("__bucket", b)
     part = [F.col(c) for c in partition_cols]

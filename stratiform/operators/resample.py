@@ -22,7 +22,7 @@ def _ranked(df, key, strata, seed, buckets):
 
 
 def stratified_split(df: DataFrame, key: str, strata: str, train_fraction: float = 0.8,
-                     seed: int = 9208, out: str = "is_train", buckets: int = 64) -> DataFrame:
+                     seed: int = 9208, out: str = "is_train", buckets: int | None = None) -> DataFrame:
     """Within each class the first floor(p * n_class) rows by hash are training."""
     r = _ranked(df, key, strata, seed, buckets)
     return r.withColumn(out, F.col("__rank") <= F.floor(F.lit(train_fraction) * F.col("__n"))) \
@@ -37,7 +37,7 @@ def random_split(df: DataFrame, key: str, train_fraction: float = 0.8, seed: int
 
 
 def stratified_folds(df: DataFrame, key: str, strata: str, k: int = 4, seed: int = 4000,
-                     out: str = "fold", buckets: int = 64) -> DataFrame:
+                     out: str = "fold", buckets: int | None = None) -> DataFrame:
     """fold = (rank in class - 1) mod k, so class shares per fold differ
     by at most one row."""
     r = _ranked(df, key, strata, seed, buckets)
@@ -46,7 +46,7 @@ def stratified_folds(df: DataFrame, key: str, strata: str, k: int = 4, seed: int
 
 
 def repeated_folds(df: DataFrame, key: str, strata: str, k: int = 10, repeats: int = 4,
-                   seed: int = 9208, buckets: int = 64) -> DataFrame:
+                   seed: int = 9208, buckets: int | None = None) -> DataFrame:
     """R3 repeated with seed + repeat; one row per (row, repeat)."""
     rep = df.withColumn("repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
     txt = F.concat(F.lit(f"{seed}+"), F.col("repeat").cast("string"), F.lit(":"),
@@ -64,7 +64,7 @@ def random_folds(df: DataFrame, key: str, k: int = 4, seed: int = 42,
 
 
 def random_undersample(df: DataFrame, key: str, label: str, seed: int = 42,
-                       buckets: int = 64) -> DataFrame:
+                       buckets: int | None = None) -> DataFrame:
     """B2: keep, in every class, the first n_min rows by hash (n_min = size of
     the smallest class); classes of size n_min are kept whole."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()  # one row per class
