@@ -38,6 +38,20 @@ def _argmax(scores: list) -> F.Column:
     return out
 
 
+def _scored(df, scores: list, classes: list):
+    """Prediction and class probabilities from per-class scores. The scores
+    are materialised as columns first, so argmax and softmax refer to them
+    instead of repeating each score expression."""
+    names = [f"__s{i}" for i in range(len(scores))]
+    out = df.withColumns(dict(zip(names, scores)))
+    cols = [F.col(n) for n in names]
+    idx = _argmax(cols)
+    pred = F.element_at(F.array(*[F.lit(c) for c in classes]), idx + 1)
+    probs = _softmax(cols)
+    return out.withColumns({"prediction": pred.cast("double"),
+                            **{f"prob_{i}": p for i, p in enumerate(probs)}}).drop(*names)
+
+
 def _softmax(scores: list) -> list:
     m = F.greatest(*scores) if len(scores) > 1 else scores[0]
     ex = [F.exp(s - m) for s in scores]
@@ -64,13 +78,7 @@ class FittedGaussianNB(Fitted):
         return out
 
     def transform(self, df):
-        sc = self.scores()
-        classes = self.params["classes"]
-        idx = _argmax(sc)
-        pred = F.element_at(F.array(*[F.lit(c) for c in classes]), idx + 1)
-        probs = _softmax(sc)
-        return df.withColumns({"prediction": pred.cast("double"),
-                               **{f"prob_{i}": p for i, p in enumerate(probs)}})
+        return _scored(df, self.scores(), self.params["classes"])
 
 
 class GaussianNB(Step):
@@ -117,11 +125,7 @@ class FittedDiscriminant(Fitted):
                         if coef:
                             s = s + F.lit(coef) * F.col(a) * F.col(b)
             scores.append(s)
-        idx = _argmax(scores)
-        pred = F.element_at(F.array(*[F.lit(c) for c in p["classes"]]), idx + 1)
-        probs = _softmax(scores)
-        return df.withColumns({"prediction": pred.cast("double"),
-                               **{f"prob_{i}": pr for i, pr in enumerate(probs)}})
+        return _scored(df, scores, p["classes"])
 
 
 class Discriminant(Step):
@@ -286,16 +290,15 @@ class FittedClassifier(Fitted):
         staged = assembler(feats).transform(staged)
         out = self.model.transform(staged)
         k = p["n_classes"]
+        from pyspark.ml.functions import vector_to_array
         if "probability" in out.columns:
-            from pyspark.ml.functions import vector_to_array
-            arr = vector_to_array("probability")
-            out = out.withColumns({f"prob_{i}": arr[i] for i in range(k)})
+            out = out.withColumn("__p", vector_to_array("probability"))  # converted once
+            out = out.withColumns({f"prob_{i}": F.col("__p")[i] for i in range(k)}).drop("__p")
         elif "rawPrediction" in out.columns:
             # one-vs-rest scores -> softmax (a relative score, not calibrated)
-            from pyspark.ml.functions import vector_to_array
-            arr = vector_to_array("rawPrediction")
-            probs = _softmax([arr[i] for i in range(k)])
-            out = out.withColumns({f"prob_{i}": probs[i] for i in range(k)})
+            out = out.withColumn("__p", vector_to_array("rawPrediction"))
+            probs = _softmax([F.col("__p")[i] for i in range(k)])
+            out = out.withColumns({f"prob_{i}": probs[i] for i in range(k)}).drop("__p")
         drop = [c for c in ("features", "poly", "rawPrediction", "probability") if c in out.columns]
         drop += [c for c in out.columns if c.startswith("rff_")]
         return out.drop(*drop)
