@@ -73,8 +73,12 @@ class ZScore(Step):
         self.cols, self.ddof = cols, ddof
 
     def fit(self, df):
-        sd = F.stddev_pop if self.ddof == 0 else F.stddev_samp
+        from .select import WIDE_STATS, wide_stats
         cols = [c for c in self.cols if c in df.columns]
+        if self.ddof == 0 and len(cols) > WIDE_STATS:
+            st = wide_stats(df, cols)
+            return FittedZScore({"stats": {c: (st[c]["mean"], st[c]["std"]) for c in cols}})
+        sd = F.stddev_pop if self.ddof == 0 else F.stddev_samp
         row = df.agg(*[F.avg(c).alias(f"{c}__m") for c in cols],
                      *[sd(c).alias(f"{c}__s") for c in cols]).first()
         return FittedZScore({"stats": {c: (row[f"{c}__m"], row[f"{c}__s"]) for c in cols}})

@@ -12,8 +12,56 @@ from pyspark.sql import functions as F
 from .base import Fitted, Step, register
 
 
+WIDE_STATS = 24
+_NUMERIC = ("double", "float", "int", "bigint", "smallint", "tinyint")
+
+
+def wide_stats(df: DataFrame, cols: list[str]) -> dict:
+    """count, mean, population deviation, min and max of numeric columns.
+
+    Many columns are summarised as one assembled vector (``Summarizer``, one
+    vectorised aggregate); a column with nulls comes back as NaN there and is
+    recomputed with plain aggregates over its non-null values, so results are
+    the same either way."""
+    import math
+
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Summarizer
+
+    out, redo = {}, list(cols)
+    if len(cols) > WIDE_STATS:
+        vec = VectorAssembler(inputCols=cols, outputCol="__v", handleInvalid="keep") \
+            .transform(df.select(*[F.col(c).cast("double") for c in cols]))
+        s = vec.select(Summarizer.metrics("count", "mean", "variance", "min", "max")
+                       .summary(F.col("__v")).alias("s")).first()["s"]
+        n = s["count"]
+        redo = []
+        for i, c in enumerate(cols):
+            mean = s["mean"][i] if n else None
+            if mean is not None and math.isnan(mean):
+                redo.append(c)
+                continue
+            var = s["variance"][i] * (n - 1) / n if n else None
+            out[c] = {"n": n, "mean": mean, "std": None if var is None else math.sqrt(max(var, 0.0)),
+                      "min": s["min"][i] if n else None, "max": s["max"][i] if n else None}
+    if redo:
+        row = df.agg(*[F.count(c).alias(f"{c}__n") for c in redo],
+                     *[F.avg(c).alias(f"{c}__m") for c in redo],
+                     *[F.stddev_pop(c).alias(f"{c}__s") for c in redo],
+                     *[F.min(c).alias(f"{c}__lo") for c in redo],
+                     *[F.max(c).alias(f"{c}__hi") for c in redo]).first()
+        for c in redo:
+            out[c] = {"n": row[f"{c}__n"], "mean": row[f"{c}__m"], "std": row[f"{c}__s"],
+                      "min": row[f"{c}__lo"], "max": row[f"{c}__hi"]}
+    return out
+
+
 def constant_columns(df: DataFrame, cols: list[str]) -> list[tuple[str, bool]]:
     """A column is constant when all its non-null values are equal (min = max)."""
+    types = dict((f.name, f.dataType.simpleString()) for f in df.schema.fields)
+    if len(cols) > WIDE_STATS and all(types.get(c) in _NUMERIC for c in cols):
+        st = wide_stats(df, cols)
+        return [(c, st[c]["min"] is None or st[c]["min"] == st[c]["max"]) for c in cols]
     row = df.agg(*[F.min(c).alias(f"{c}__lo") for c in cols],
                  *[F.max(c).alias(f"{c}__hi") for c in cols]).first()
     return [(c, row[f"{c}__lo"] is None or row[f"{c}__lo"] == row[f"{c}__hi"]) for c in cols]

@@ -44,3 +44,19 @@ def test_distinct_rows_keeps_smallest_key_and_nulls_equal(spark):
                                "row_id int, a double, b string")
     got = sorted(tuple(r) for r in R.distinct_rows(df).collect())
     assert got == [(1, None, "x"), (2, 1.0, "x")]
+
+
+def test_wide_stats_match_column_aggregates(spark):
+    import math
+
+    from pyspark.sql import functions as F
+
+    from stratiform.operators.select import wide_stats
+    df = spark.range(500).select(*[(F.rand(i) * (i + 1)).alias(f"c{i}") for i in range(30)])
+    df = df.withColumn("c3", F.when(F.col("c3") > 2, F.col("c3")))  # a column with nulls
+    st = wide_stats(df, df.columns)
+    row = df.agg(*[F.avg(c).alias(f"m{c}") for c in df.columns],
+                 *[F.stddev_pop(c).alias(f"s{c}") for c in df.columns]).first()
+    for c in df.columns:
+        assert math.isclose(st[c]["mean"], row[f"m{c}"], rel_tol=1e-9)
+        assert math.isclose(st[c]["std"], row[f"s{c}"], rel_tol=1e-9)
