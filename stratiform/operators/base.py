@@ -144,3 +144,18 @@ def fit_transform(step: Step, df: DataFrame) -> DataFrame:
     fitted = step.fit(df)
     out = getattr(fitted, "training_output", None)
     return out if out is not None else fitted.transform(df)
+
+
+ROWS_PER_PARTITION = 500_000
+
+
+def right_size(df: DataFrame, rows: int | None = None,
+               rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
+    """Narrow ``coalesce`` to about one partition per ``rows_per_partition``
+    rows, never more partitions than now. Iterative trainers run one job per
+    iteration, so tiny partitions cost scheduling time on every pass; at
+    large sizes this leaves the partitioning unchanged."""
+    n = df.count() if rows is None else rows
+    want = max(1, -(-n // rows_per_partition))
+    have = df.rdd.getNumPartitions()
+    return df.coalesce(want) if want < have else df

@@ -19,7 +19,7 @@ from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import Fitted, Step, register
+from .base import Fitted, Step, register, right_size
 
 FEATURES = "features"
 
@@ -348,5 +348,6 @@ class Classifier(Step):
             feats = rff.columns()
         staged = assembler(feats).transform(staged).select(FEATURES, F.col(self.label).cast("double")
                                                            .alias(self.label))
+        staged = right_size(staged)  # iterative trainers pass over it once per iteration
         model = Pipeline(stages=spark_estimator(self.kind, self.params, self.label, self.seed)).fit(staged)
         return FittedClassifier(meta, model=model, inner=inner)

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import metrics as M
+from .base import right_size
 from .models import Classifier
 
 # Parameter ranges per model kind (ours; bounded so every point is valid).
@@ -109,7 +110,8 @@ def cross_validate(df: DataFrame, fold_col: str, features: list[str], label: str
             valid = fitted.transform(valid)
         # checkpoint to the shared folder: cuts the lineage once for all
         # configurations and survives the loss of executors
-        prepared[f] = (train.checkpoint(eager=True), valid.checkpoint(eager=True))
+        prepared[f] = (right_size(train.checkpoint(eager=True)),
+                       right_size(valid.checkpoint(eager=True)))
 
     configs = {}
     for name, kind, params in candidates:
