@@ -19,7 +19,7 @@ def clinical_frame(spark, sf):
 
 def q_scrub_fit(spark, sf):
     df = clinical_frame(spark, sf).where(F.col("outcome").isNotNull())
-    split = stratified_split(df, "row_id", "outcome", 0.8, seed=9208)
+    split = stratified_split(df, "row_id", "outcome", 0.8, seed=9208).persist()  # read by both parts
     train = split.where("is_train").drop("is_train")
     test = split.where("NOT is_train").drop("is_train")
     num, cat = roles(train)
