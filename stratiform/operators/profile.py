@@ -38,8 +38,11 @@ def numeric_summary(df: DataFrame, cols: list[str]) -> DataFrame:
                  F.sum(F.col(c).isNull().cast("long")).alias(f"{c}__nulls")]
     stats = df.agg(*aggs).first()
     qs = exact_quantiles(df, cols, [0.25, 0.5, 0.75])
-    rows = [(c, stats[f"{c}__min"], qs[c][0.25], qs[c][0.5], stats[f"{c}__mean"],
-             qs[c][0.75], stats[f"{c}__max"], int(stats[f"{c}__nulls"] or 0)) for c in cols]
+    def num(v):
+        return None if v is None else float(v)
+
+    rows = [(c, num(stats[f"{c}__min"]), num(qs[c][0.25]), num(qs[c][0.5]), num(stats[f"{c}__mean"]),
+             num(qs[c][0.75]), num(stats[f"{c}__max"]), int(stats[f"{c}__nulls"] or 0)) for c in cols]
     return spark.createDataFrame(
         rows, "column string, min double, q1 double, median double, mean double, "
               "q3 double, max double, nulls long")

@@ -92,17 +92,17 @@ def bound_by_features(params: dict, n_features: int) -> dict:
     return out
 
 
-def cross_validate(df: DataFrame, fold_col: str, features: list[str], label: str,
+def cross_validate(df: DataFrame, fold_col: str, features: list[str] | None, label: str,
                    candidates: list[tuple[str, str, dict]], recipe_factory=None,
                    parallelism: int = 4, key: str = "row_id") -> tuple[DataFrame, list[dict]]:
     """H4/H5: evaluate (model name, model kind, params) candidates on every
     fold. Returns the long metric table (model, config, fold, metric, value)
     and the per-fit durations (H8)."""
     folds = sorted(r[0] for r in df.select(fold_col).distinct().collect())  # k values
-    prepared = {}
+    prepared, fold_features = {}, {}
     for f in folds:
-        train = df.where(F.col(fold_col) != f)
-        valid = df.where(F.col(fold_col) == f)
+        train = df.where(F.col(fold_col) != f).drop(fold_col)
+        valid = df.where(F.col(fold_col) == f).drop(fold_col)
         if recipe_factory is not None:
             fitted = recipe_factory().fit(train)
             out = getattr(fitted, "training_output", None)
@@ -112,6 +112,8 @@ def cross_validate(df: DataFrame, fold_col: str, features: list[str], label: str
         # configurations and survives the loss of executors
         prepared[f] = (right_size(train.checkpoint(eager=True)),
                        right_size(valid.checkpoint(eager=True)))
+        # without an explicit list, features are what this fold's recipe produced
+        fold_features[f] = features or [c for c in prepared[f][0].columns if c not in (key, label)]
 
     configs = {}
     for name, kind, params in candidates:
@@ -126,7 +128,8 @@ def cross_validate(df: DataFrame, fold_col: str, features: list[str], label: str
         name, ci, kind, params, f = task
         train, valid = prepared[f]
         t0 = time.time()
-        model = Classifier(kind, features, label, bound_by_features(params, len(features))).fit(train)
+        feats = fold_features[f]
+        model = Classifier(kind, feats, label, bound_by_features(params, len(feats))).fit(train)
         durations.append({"model": name, "config": ci, "fold": f, "duration_s": time.time() - t0})
         pred = model.transform(valid).select(
             F.lit(name).alias("model"), F.lit(ci).alias("config"), F.lit(f).cast("int").alias("fold"),
@@ -150,8 +153,8 @@ def summarise(long: DataFrame) -> DataFrame:
         (F.stddev_samp("value") / F.sqrt(F.count(F.lit(1)))).alias("std_err"))
 
 
-def finalize(train: DataFrame, test: DataFrame, features: list[str], label: str, kind: str,
-             params: dict, recipe_factory=None):
+def finalize(train: DataFrame, test: DataFrame, features: list[str] | None, label: str, kind: str,
+             params: dict, recipe_factory=None, key: str = "row_id"):
     """H7: refit the chosen configuration on all training rows and evaluate
     once on the held-out rows. Returns (fitted recipe or None, model, metrics dict)."""
     fitted = None
@@ -160,6 +163,7 @@ def finalize(train: DataFrame, test: DataFrame, features: list[str], label: str,
         out = getattr(fitted, "training_output", None)
         train = out if out is not None else fitted.transform(train)
         test = fitted.transform(test)
+    features = features or [c for c in train.columns if c not in (key, label)]
     model = Classifier(kind, features, label, bound_by_features(params, len(features))).fit(train)
     scored = model.transform(test)
     rows = [(r["label"], r["prediction"], r["n"]) for r in

@@ -116,3 +116,23 @@ def test_imputers_are_idempotent(spark, clinical):
     assert a == b
     mode = ModeImputer(["pain"]).fit(df)
     assert mode.transform(df).where(F.col("pain").isNull()).count() == 0
+
+
+def test_entry_points_train_classify_explore(spark, clinical):
+    from stratiform.plans.entrypoints import classify_csv, explore, train_and_save
+    train = clinical.where(F.col("id") < 300)
+    new = clinical.where(F.col("id") >= 300).drop("outcome")
+    model_dir = scratch_path(spark, "ep-model")
+    res = train_and_save(train, model_dir, key="id", folds=2,
+                         candidates=[("logistic", "logistic", {"regParam": 0.05}),
+                                     ("naive_bayes", "naive_bayes", {})], parallelism=2)
+    assert res["best"][0] in ("logistic", "naive_bayes")
+    assert 0.0 <= res["held_out"]["f1"] <= 1.0
+    src = scratch_path(spark, "ep-new")
+    write_csv(new, src)
+    schema = StructType([f for f in SCHEMA.fields if f.name != "outcome"])
+    out = classify_csv(spark, model_dir, src, schema, scratch_path(spark, "ep-out"), key="id")
+    assert out.count() == 100
+    prof = explore(clinical, key="id")
+    assert prof["numeric_summary"].count() == len(NUMERIC) + 3  # + the three lesion code columns
+    assert prof["correlations"].where("var1 = var2").count() == len(NUMERIC) + 4
