@@ -238,6 +238,28 @@ def _drop_corr_sql():
     return oracle(" UNION ALL ".join(parts))
 
 
+def q_drop_correlated_greedy(spark, sf):
+    """X2, greedy keep-first rule: each column not yet dropped drops every
+    later column correlated with it above the threshold."""
+    from ..operators.select import correlated_to_drop, correlation_matrix
+    o = obs(spark, sf)
+    dropped = correlated_to_drop(NUM4, correlation_matrix(o, NUM4), 0.8, rule="greedy")
+    return spark.createDataFrame([(c, c not in dropped) for c in NUM4], "column string, keep boolean")
+
+
+def _greedy_sql(threshold=0.8):
+    a, b, c, d = NUM4
+
+    def hi(x, y):
+        return f"(abs(corr({x}, {y})) > {threshold})"
+    keep_b = f"NOT {hi(a, b)}"
+    keep_c = f"NOT ({hi(a, c)} OR (({keep_b}) AND {hi(b, c)}))"
+    keep_d = (f"NOT ({hi(a, d)} OR (({keep_b}) AND {hi(b, d)}) OR "
+              f"(({keep_c}) AND {hi(c, d)}))")
+    return oracle(f"SELECT '{a}' AS \"column\", true AS keep UNION ALL " + " UNION ALL ".join(
+        f"SELECT '{col}', {cond} FROM obs" for col, cond in [(b, keep_b), (c, keep_c), (d, keep_d)]))
+
+
 # ---- N1, N2, N4, N3
 def q_log_shift(spark, sf):
     o = obs(spark, sf)
@@ -304,6 +326,7 @@ QUERIES = {
     "dummy": (q_dummy, _indicator_sql(True)),
     "drop_constant": (q_drop_constant, SQL_DROP_CONST),
     "drop_correlated": (q_drop_correlated, _drop_corr_sql()),
+    "drop_correlated_greedy": (q_drop_correlated_greedy, _greedy_sql()),
     "log_shift": (q_log_shift, SQL_LOG_SHIFT),
     "log1p": (q_log1p, SQL_LOG1P),
     "zscore": (q_zscore, SQL_ZSCORE),
