@@ -391,7 +391,30 @@ SQL_TOP = oracle(
     "WHERE rank <= 3", HARMONISED_OBS)
 
 
+def q_partitioned_rows(spark, sf):
+    """Explicit hash partitioning by key before a per-key aggregate
+    (the aggregate then reuses the partitioning: no second exchange)."""
+    o = files.set_partitions(obs(spark, sf), 16, "hospital_number")
+    return o.groupBy("hospital_number").agg(F.count(F.lit(1)).alias("n"),
+                                            F.round(F.avg("total_protein"), 6).alias("mean_protein"))
+
+
+SQL_PARTITIONED = oracle("SELECT hospital_number, count(*) AS n, round(avg(total_protein), 6) "
+                         "AS mean_protein FROM obs GROUP BY hospital_number")
+
+
+def q_preview_rows(spark, sf):
+    """O1-O3: the first rows by key (a top-k report; planned as a
+    per-partition top-k, not a global sort)."""
+    return obs(spark, sf).orderBy("row_id").limit(10)
+
+
+SQL_PREVIEW = oracle("SELECT * FROM obs ORDER BY row_id LIMIT 10")
+
+
 QUERIES = {
+    "partitioned_rows": (q_partitioned_rows, SQL_PARTITIONED),
+    "preview_rows": (q_preview_rows, SQL_PREVIEW),
     "class_balance_flagship": (q_class_balance_flagship, SQL_FLAGSHIP),
     "harmonise_levels": (q_harmonise_levels, SQL_HARMONISE),
     "encode_levels": (q_encode_levels, SQL_ENCODE),
