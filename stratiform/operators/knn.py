@@ -83,8 +83,10 @@ def _band_cut_points(r: DataFrame, bands, sizes) -> list[dict]:
             continue
         probs = [i / per_axis for i in range(1, per_axis)]
         have = _all_present("r", band)
+        # enough sketch resolution for distinct cuts (cells only affect speed)
+        accuracy = int(min(1_000_000, max(10_000, 10 * per_axis)))
         for a in band:
-            aggs.append(F.percentile_approx(F.when(have, F.col(f"r_{a}")), probs, 10_000)
+            aggs.append(F.percentile_approx(F.when(have, F.col(f"r_{a}")), probs, accuracy)
                         .alias(f"b{bi}_{a}"))
     row = r.agg(*aggs).first().asDict() if aggs else {}
     out = []
@@ -161,41 +163,54 @@ def _owning_bands(bands, order, q, r):
 def _expansions(per: dict, shape: tuple, k: int, nt: int) -> list[tuple]:
     """For every cell the smallest symmetric window of cells (same width on
     every axis) holding at least k eligible references for every target; the
-    whole grid when no window does."""
+    whole grid when no window does. Vectorised over all cells with a
+    summed-area table; window widths 0, 1, 2, 3, 4, 8, 16, ..."""
     import numpy as np
     dims = len(shape)
     grid = np.zeros(shape + (nt,), dtype=np.int64)
     for cell, v in per.items():
         grid[cell] = v
-    # summed-area table: window totals in O(1) per window
     sat = grid
     for d in range(dims):
         sat = np.cumsum(sat, axis=d)
     sat = np.pad(sat, [(1, 0)] * dims + [(0, 0)])
-
-    def window_total(lo, hi):
+    idx = np.indices(shape).reshape(dims, -1)          # every cell, one column each
+    ncell = idx.shape[1]
+    width = np.full(ncell, -1, dtype=np.int64)
+    widths, w = [], 0
+    while True:
+        widths.append(w)
+        if all(w >= s_ for s_ in shape):
+            break
+        w = w + 1 if w < 4 else w * 2
+    for w in widths:
+        lo = [np.maximum(idx[d] - w, 0) for d in range(dims)]
+        hi = [np.minimum(idx[d] + w, shape[d] - 1) for d in range(dims)]
         if dims == 1:
-            return sat[hi[0] + 1] - sat[lo[0]]
-        return (sat[hi[0] + 1, hi[1] + 1] - sat[lo[0], hi[1] + 1]
-                - sat[hi[0] + 1, lo[1]] + sat[lo[0], lo[1]])
-
+            tot = sat[hi[0] + 1] - sat[lo[0]]
+        else:
+            tot = (sat[hi[0] + 1, hi[1] + 1] - sat[lo[0], hi[1] + 1]
+                   - sat[hi[0] + 1, lo[1]] + sat[lo[0], lo[1]])
+        full = np.ones(ncell, dtype=bool)
+        for d in range(dims):
+            full &= (lo[d] == 0) & (hi[d] == shape[d] - 1)
+        ok = (tot >= k).all(axis=1) | full
+        width = np.where((width < 0) & ok, w, width)
+        if (width >= 0).all():
+            break
     out = []
-    for cell in itertools.product(*[range(s) for s in shape]):
-        w = 0
-        while True:
-            lo = [max(0, cell[d] - w) for d in range(dims)]
-            hi = [min(shape[d] - 1, cell[d] + w) for d in range(dims)]
-            full = all(lo[d] == 0 and hi[d] == shape[d] - 1 for d in range(dims))
-            if (window_total(lo, hi) >= k).all() or full:
-                out.append((*cell, *lo, *hi))
-                break
-            w = w + 1 if w < 4 else w * 2
+    for c in range(ncell):
+        w = int(width[c])
+        cell = [int(idx[d, c]) for d in range(dims)]
+        lo = [max(0, cell[d] - w) for d in range(dims)]
+        hi = [min(shape[d] - 1, cell[d] + w) for d in range(dims)]
+        out.append((*cell, *lo, *hi))
     return out
 
 
 def exact_knn(queries: DataFrame, refs: DataFrame, features: list[str], k: int,
               qid: str, rid: str, targets: list[str] | None = None,
-              rows_per_bucket: int = 256, max_cells: int = 40_000,
+              rows_per_bucket: int = 256, max_cells: int = 1_000_000,
               two_axes: bool = True) -> DataFrame:
     """k nearest references per query (per (query, target) when ``targets``
     is given: only queries missing the target and references having it).
