@@ -260,19 +260,28 @@ def exact_knn(queries: DataFrame, refs: DataFrame, features: list[str], k: int,
                            max(1, int(math.ceil(math.sqrt(n_b / float(rows_per_bucket))))))
         sizes.append(per_axis)
     all_cuts = _band_cut_points(r, bands, sizes)
-    meta = []
+    banded = []
     for bi, band in enumerate(bands):
         rb = r.where(_all_present("r", band))
         cuts = all_cuts[bi]
         cells = [f"__c{d}" for d in range(len(band))]
         for d, a in enumerate(band):
             rb = bucketize(rb, f"r_{a}", cuts[a], cells[d])
-        rb = rb.persist()
-        counts = rb.groupBy(*cells).agg(*[F.sum(has_target(t).cast("long")).alias(f"t{i}")
-                                         for i, t in enumerate(tlist)]).collect()  # <= cells
+        banded.append((band, cuts, cells, rb.persist()))
+    # eligible references per (band, cell) for all bands in one aggregate
+    tagged = None
+    for bi, (band, cuts, cells, rb) in enumerate(banded):
+        part = rb.select(F.lit(bi).alias("__band"), F.col("__c0"),
+                         (F.col("__c1") if len(cells) > 1 else F.lit(0)).alias("__c1"),
+                         *[has_target(t).cast("long").alias(f"t{i}") for i, t in enumerate(tlist)])
+        tagged = part if tagged is None else tagged.unionByName(part)
+    counts = tagged.groupBy("__band", "__c0", "__c1").agg(
+        *[F.sum(f"t{i}").alias(f"t{i}") for i in range(len(tlist))]).collect()  # <= cells
+    meta = []
+    for bi, (band, cuts, cells, rb) in enumerate(banded):
         shape = tuple(len(cuts[a]) + 1 for a in band)
-        per = {tuple(row[c] for c in cells): [row[f"t{i}"] or 0 for i in range(len(tlist))]
-               for row in counts}
+        per = {(row["__c0"], row["__c1"])[:len(band)]: [row[f"t{i}"] or 0 for i in range(len(tlist))]
+               for row in counts if row["__band"] == bi}
         meta.append((band, cuts, cells, rb, _expansions(per, shape, k, len(tlist))))
 
     def join_cells(qsub, band_meta, band_filter=None):
