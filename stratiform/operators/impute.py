@@ -93,8 +93,12 @@ class FittedKNNImputer(Fitted):
             too_sparse = incomplete.where(share > limit)
             incomplete = incomplete.where(share <= limit)
             complete = complete.unionByName(FittedFill({"fills": means}).transform(too_sparse))
+        index = None
+        if self.params.get("index") is not None:
+            n_windows = len(self.params["index"]["bands"])
+            index = (self.params["index"], [self.tables[f"window_{i}"] for i in range(n_windows)])
         near = exact_knn(incomplete, donors, cols, k, key, key, targets=cols,
-                         rows_per_bucket=self.params.get("rows_per_bucket", 256))
+                         rows_per_bucket=self.params.get("rows_per_bucket", 256), index=index)
         filled = near.groupBy("qid", "target").agg(F.avg("value").alias("v"))
         wide = filled.groupBy("qid").agg(*[
             F.max(F.when(F.col("target") == c, F.col("v"))).alias(f"__imp_{c}") for c in cols])
@@ -119,10 +123,16 @@ class KNNImputer(Step):
         self.rows_per_bucket = rows_per_bucket
 
     def fit(self, df):
+        from .knn import knn_index
         donors = df.select(self.key, *self.cols)
         row = df.agg(*[F.avg(c).alias(c) for c in self.cols]).first()
+        # the donor-side search index is part of the fitted state: built once,
+        # reused by every transform (and every micro-batch of a stream)
+        meta, windows = knn_index(donors, self.cols, self.k, self.key, targets=self.cols,
+                                  rows_per_bucket=self.rows_per_bucket)
+        tables = {"donors": donors, **{f"window_{i}": w for i, w in enumerate(windows)}}
         return FittedKNNImputer({"cols": self.cols, "key": self.key, "k": self.k,
                                  "means": {c: row[c] for c in self.cols},
                                  "row_max_missing": self.row_max_missing,
-                                 "rows_per_bucket": self.rows_per_bucket},
-                                {"donors": donors})
+                                 "rows_per_bucket": self.rows_per_bucket, "index": meta},
+                                tables)

@@ -129,26 +129,26 @@ def _choose_bands(r: DataFrame, features: list[str], two_axes: bool):
     return order, present, bands
 
 
-def _owning_bands(bands, order, q, r):
-    """Keep only bands that own at least one (query pattern, reference
-    pattern) pair; patterns are presence bitmasks counted in one aggregate."""
+def _patterns(df: DataFrame, prefix: str, order: list[str]):
+    """Counts of presence bitmasks over the prune coordinates (one small
+    aggregate); None when there are too many distinct patterns."""
     if len(order) >= 63:
-        return bands, None
+        return None
+    m = sum(F.when(F.col(f"{prefix}_{a}").isNotNull(), F.lit(1 << i)).otherwise(F.lit(0))
+            for i, a in enumerate(order))
+    rows = df.groupBy(m.cast("long").alias("m")).agg(F.count(F.lit(1)).alias("n")) \
+        .limit(MAX_PATTERNS + 1).collect()
+    if len(rows) > MAX_PATTERNS:
+        return None
+    return {row["m"]: row["n"] for row in rows}
+
+
+def _owned(bands, order, pq, pr) -> list[int]:
+    """Indices of bands that own at least one (query pattern, reference
+    pattern) pair: the first band whose axes both rows have owns the pair."""
+    if pq is None or pr is None:
+        return list(range(len(bands)))
     bit = {a: 1 << i for i, a in enumerate(order)}
-
-    def masks_of(df, prefix, side):
-        m = sum(F.when(F.col(f"{prefix}_{a}").isNotNull(), F.lit(bit[a])).otherwise(F.lit(0))
-                for a in order)
-        return df.select(F.lit(side).alias("side"), m.cast("long").alias("m"))
-
-    # both sides' patterns in one aggregate job
-    rows = masks_of(q, "q", 0).unionByName(masks_of(r, "r", 1)) \
-        .groupBy("side", "m").agg(F.count(F.lit(1)).alias("n")) \
-        .limit(2 * MAX_PATTERNS + 2).collect()
-    pq = {row["m"]: row["n"] for row in rows if row["side"] == 0}
-    pr = {row["m"]: row["n"] for row in rows if row["side"] == 1}
-    if len(pq) > MAX_PATTERNS or len(pr) > MAX_PATTERNS:
-        return bands, pr
     masks = [sum(bit[a] for a in band) for band in bands]
     owns = [False] * len(bands)
     for a, b in itertools.product(pq, pr):
@@ -157,7 +157,7 @@ def _owning_bands(bands, order, q, r):
             if common & m == m:
                 owns[i] = True
                 break
-    return [b for b, o in zip(bands, owns) if o], pr
+    return [i for i, o in enumerate(owns) if o]
 
 
 def _expansions(per: dict, shape: tuple, k: int, nt: int) -> list[tuple]:
@@ -208,49 +208,43 @@ def _expansions(per: dict, shape: tuple, k: int, nt: int) -> list[tuple]:
     return out
 
 
-def exact_knn(queries: DataFrame, refs: DataFrame, features: list[str], k: int,
-              qid: str, rid: str, targets: list[str] | None = None,
-              rows_per_bucket: int = 256, max_cells: int = 1_000_000,
-              two_axes: bool = True) -> DataFrame:
-    """k nearest references per query (per (query, target) when ``targets``
-    is given: only queries missing the target and references having it).
+def _refs(refs: DataFrame, features: list[str], rid: str) -> DataFrame:
+    return refs.select(F.col(rid).alias("__rid"),
+                       *[F.col(f).cast("double").alias(f"r_{f}") for f in features])
 
-    Returns (qid, target, rid, dist, value) where ``value`` is the reference's
-    target value (null for the any-target case), at most k rows per
-    (qid, target), ordered by (round(dist, 9), rid).
-    """
+
+def _has_target(t):
+    return F.lit(True) if t == ANY_TARGET else F.col(f"r_{t}").isNotNull()
+
+
+def _banded_refs(r: DataFrame, band, cuts) -> DataFrame:
+    rb = r.where(_all_present("r", band))
+    for d, a in enumerate(band):
+        rb = bucketize(rb, f"r_{a}", cuts[a], f"__c{d}")
+    return rb
+
+
+def knn_index(refs: DataFrame, features: list[str], k: int, rid: str,
+              targets: list[str] | None = None, rows_per_bucket: int = 256,
+              max_cells: int = 1_000_000, two_axes: bool = True) -> tuple[dict, list]:
+    """The reference side of ``exact_knn``, computed once: bands, presence
+    patterns, cell bounds and, per band, a table of pass-1 windows (one row
+    per cell). Returns (JSON-able metadata, list of window tables)."""
     spark = SparkSession.getActiveSession()
-    q = queries.select(F.col(qid).alias("__qid"),
-                       *[F.col(f).cast("double").alias(f"q_{f}") for f in features])
-    r = refs.select(F.col(rid).alias("__rid"),
-                    *[F.col(f).cast("double").alias(f"r_{f}") for f in features])
-    if targets:
-        q = q.withColumn("__targets", F.filter(F.array(*[
-            F.when(F.col(f"q_{t}").isNull(), F.lit(t)) for t in targets]), lambda x: x.isNotNull()))
-    else:
-        q = q.withColumn("__targets", F.array(F.lit(ANY_TARGET)))
-    q = q.where(F.size("__targets") > 0).persist()
-    r = r.persist()
+    r = _refs(refs, features, rid).persist()
     tlist = targets or [ANY_TARGET]
-    empty = "qid long, target string, rid long, dist double, value double"
-
     order, present, bands = _choose_bands(r, features, two_axes)
+    meta = {"features": features, "k": k, "targets": tlist, "order": order,
+            "bands": [list(b) for b in bands], "ref_patterns": None, "cuts": []}
     if not order:
-        return spark.createDataFrame([], empty)
-    bands, ref_patterns = _owning_bands(bands, order, q, r)
+        return meta, []
+    pr = _patterns(r, "r", order)
     bit = {a: 1 << i for i, a in enumerate(order)}
-    if not bands:
-        return spark.createDataFrame([], empty)
-
-    def has_target(t):
-        return F.lit(True) if t == ANY_TARGET else F.col(f"r_{t}").isNotNull()
-
-    # ---- per band: reference cells and per-cell eligible counts
     sizes = []
     for band in bands:
-        if ref_patterns is not None:
+        if pr is not None:
             mask = sum(bit[a] for a in band)
-            n_b = sum(n for m, n in ref_patterns.items() if m & mask == mask)
+            n_b = sum(n for m, n in pr.items() if m & mask == mask)
         else:
             n_b = r.where(_all_present("r", band)).count()
         if len(band) == 1:
@@ -260,29 +254,75 @@ def exact_knn(queries: DataFrame, refs: DataFrame, features: list[str], k: int,
                            max(1, int(math.ceil(math.sqrt(n_b / float(rows_per_bucket))))))
         sizes.append(per_axis)
     all_cuts = _band_cut_points(r, bands, sizes)
-    banded = []
-    for bi, band in enumerate(bands):
-        rb = r.where(_all_present("r", band))
-        cuts = all_cuts[bi]
-        cells = [f"__c{d}" for d in range(len(band))]
-        for d, a in enumerate(band):
-            rb = bucketize(rb, f"r_{a}", cuts[a], cells[d])
-        banded.append((band, cuts, cells, rb.persist()))
     # eligible references per (band, cell) for all bands in one aggregate
     tagged = None
-    for bi, (band, cuts, cells, rb) in enumerate(banded):
+    for bi, band in enumerate(bands):
+        rb = _banded_refs(r, band, all_cuts[bi])
         part = rb.select(F.lit(bi).alias("__band"), F.col("__c0"),
-                         (F.col("__c1") if len(cells) > 1 else F.lit(0)).alias("__c1"),
-                         *[has_target(t).cast("long").alias(f"t{i}") for i, t in enumerate(tlist)])
+                         (F.col("__c1") if len(band) > 1 else F.lit(0)).alias("__c1"),
+                         *[_has_target(t).cast("long").alias(f"t{i}") for i, t in enumerate(tlist)])
         tagged = part if tagged is None else tagged.unionByName(part)
     counts = tagged.groupBy("__band", "__c0", "__c1").agg(
         *[F.sum(f"t{i}").alias(f"t{i}") for i in range(len(tlist))]).collect()  # <= cells
-    meta = []
-    for bi, (band, cuts, cells, rb) in enumerate(banded):
+    windows = []
+    for bi, band in enumerate(bands):
+        cuts = all_cuts[bi]
         shape = tuple(len(cuts[a]) + 1 for a in band)
         per = {(row["__c0"], row["__c1"])[:len(band)]: [row[f"t{i}"] or 0 for i in range(len(tlist))]
                for row in counts if row["__band"] == bi}
-        meta.append((band, cuts, cells, rb, _expansions(per, shape, k, len(tlist))))
+        nd = len(band)
+        schema = ", ".join([f"__q{d} int" for d in range(nd)] + [f"__lo{d} int" for d in range(nd)]
+                           + [f"__hi{d} int" for d in range(nd)])
+        windows.append(spark.createDataFrame(_expansions(per, shape, k, len(tlist)), schema))
+    meta["ref_patterns"] = None if pr is None else [[m, n] for m, n in pr.items()]
+    meta["cuts"] = [{a: c for a, c in cuts.items()} for cuts in all_cuts]
+    return meta, windows
+
+
+def exact_knn(queries: DataFrame, refs: DataFrame, features: list[str], k: int,
+              qid: str, rid: str, targets: list[str] | None = None,
+              rows_per_bucket: int = 256, max_cells: int = 1_000_000,
+              two_axes: bool = True, index: tuple | None = None) -> DataFrame:
+    """k nearest references per query (per (query, target) when ``targets``
+    is given: only queries missing the target and references having it).
+
+    ``index`` is a prebuilt ``knn_index`` of the same references (fitted
+    state); without it the index is built here.
+
+    Returns (qid, target, rid, dist, value) where ``value`` is the reference's
+    target value (null for the any-target case), at most k rows per
+    (qid, target), ordered by (round(dist, 9), rid).
+    """
+    spark = SparkSession.getActiveSession()
+    if index is None:
+        index = knn_index(refs, features, k, rid, targets, rows_per_bucket, max_cells, two_axes)
+    meta, windows = index
+    empty = "qid long, target string, rid long, dist double, value double"
+    order, tlist = meta["order"], meta["targets"]
+    if not order:
+        return spark.createDataFrame([], empty)
+    q = queries.select(F.col(qid).alias("__qid"),
+                       *[F.col(f).cast("double").alias(f"q_{f}") for f in features])
+    if targets:
+        q = q.withColumn("__targets", F.filter(F.array(*[
+            F.when(F.col(f"q_{t}").isNull(), F.lit(t)) for t in targets]), lambda x: x.isNotNull()))
+    else:
+        q = q.withColumn("__targets", F.array(F.lit(ANY_TARGET)))
+    q = q.where(F.size("__targets") > 0).persist()
+    r = _refs(refs, features, rid).persist()
+    all_bands = [tuple(b) for b in meta["bands"]]
+    pr = None if meta["ref_patterns"] is None else {m: n for m, n in meta["ref_patterns"]}
+    active = _owned(all_bands, order, _patterns(q, "q", order), pr)
+    if not active:
+        return spark.createDataFrame([], empty)
+    bands = [all_bands[i] for i in active]
+    meta_rows = []
+    for i in active:
+        band = all_bands[i]
+        cuts = meta["cuts"][i]
+        cells = [f"__c{d}" for d in range(len(band))]
+        meta_rows.append((band, cuts, cells, _banded_refs(r, band, cuts).persist(), windows[i]))
+    meta = meta_rows
 
     def join_cells(qsub, band_meta, band_filter=None):
         band, cuts, cells, rb, _ = band_meta
@@ -305,11 +345,8 @@ def exact_knn(queries: DataFrame, refs: DataFrame, features: list[str], k: int,
     qf = q.withColumn("__band", first)
     parts = []
     for bi, bm in enumerate(meta):
-        band, cuts, cells, rb, exp = bm
+        band, cuts, cells, rb, exp_df = bm   # exp_df: one row per cell (<= max_cells)
         nd = len(band)
-        schema = ", ".join([f"__q{d} int" for d in range(nd)] + [f"__lo{d} int" for d in range(nd)]
-                           + [f"__hi{d} int" for d in range(nd)])
-        exp_df = spark.createDataFrame(exp, schema)  # one row per cell (<= max_cells)
         qb = qf.where(F.col("__band") == bi)
         for d, a in enumerate(band):
             qb = bucketize(qb, f"q_{a}", cuts[a], f"__q{d}")
