@@ -95,10 +95,13 @@ class FittedKNNImputer(Fitted):
             complete = complete.unionByName(FittedFill({"fills": means}).transform(too_sparse))
         index = None
         if self.params.get("index") is not None:
-            n_windows = len(self.params["index"]["bands"])
-            index = (self.params["index"], [self.tables[f"window_{i}"] for i in range(n_windows)])
+            windows = {int(n.split("_")[1]): t for n, t in self.tables.items()
+                       if n.startswith("window_")}
+            index = (self.params["index"], windows)
         near = exact_knn(incomplete, donors, cols, k, key, key, targets=cols,
                          rows_per_bucket=self.params.get("rows_per_bucket", 256), index=index)
+        if index is not None:  # bands built on first use stay in the fitted state
+            self.tables.update({f"window_{i}": t for i, t in index[1].items()})
         filled = near.groupBy("qid", "target").agg(F.avg("value").alias("v"))
         wide = filled.groupBy("qid").agg(*[
             F.max(F.when(F.col("target") == c, F.col("v"))).alias(f"__imp_{c}") for c in cols])
@@ -130,7 +133,7 @@ class KNNImputer(Step):
         # reused by every transform (and every micro-batch of a stream)
         meta, windows = knn_index(donors, self.cols, self.k, self.key, targets=self.cols,
                                   rows_per_bucket=self.rows_per_bucket)
-        tables = {"donors": donors, **{f"window_{i}": w for i, w in enumerate(windows)}}
+        tables = {"donors": donors, **{f"window_{i}": w for i, w in windows.items()}}
         return FittedKNNImputer({"cols": self.cols, "key": self.key, "k": self.k,
                                  "means": {c: row[c] for c in self.cols},
                                  "row_max_missing": self.row_max_missing,

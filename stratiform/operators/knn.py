@@ -226,21 +226,21 @@ def _banded_refs(r: DataFrame, band, cuts) -> DataFrame:
 
 def knn_index(refs: DataFrame, features: list[str], k: int, rid: str,
               targets: list[str] | None = None, rows_per_bucket: int = 256,
-              max_cells: int = 1_000_000, two_axes: bool = True) -> tuple[dict, list]:
-    """The reference side of ``exact_knn``, computed once: bands, presence
-    patterns, cell bounds and, per band, a table of pass-1 windows (one row
-    per cell). Returns (JSON-able metadata, list of window tables)."""
-    spark = SparkSession.getActiveSession()
+              max_cells: int = 1_000_000, two_axes: bool = True) -> tuple[dict, dict]:
+    """The reference side of ``exact_knn``: bands, presence patterns and cell
+    counts per band. Per-band cell bounds and pass-1 window tables are built
+    on first use by ``_ensure_bands`` (only for bands some query needs) and
+    kept in the index. Returns (JSON-able metadata, {band index: window table})."""
     r = _refs(refs, features, rid).persist()
     tlist = targets or [ANY_TARGET]
     order, present, bands = _choose_bands(r, features, two_axes)
     meta = {"features": features, "k": k, "targets": tlist, "order": order,
-            "bands": [list(b) for b in bands], "ref_patterns": None, "cuts": []}
+            "bands": [list(b) for b in bands], "ref_patterns": None, "sizes": [],
+            "cuts": [None] * len(bands), "rid": rid}
     if not order:
-        return meta, []
+        return meta, {}
     pr = _patterns(r, "r", order)
     bit = {a: 1 << i for i, a in enumerate(order)}
-    sizes = []
     for band in bands:
         if pr is not None:
             mask = sum(bit[a] for a in band)
@@ -252,31 +252,39 @@ def knn_index(refs: DataFrame, features: list[str], k: int, rid: str,
         else:
             per_axis = min(int(math.sqrt(max_cells)),
                            max(1, int(math.ceil(math.sqrt(n_b / float(rows_per_bucket))))))
-        sizes.append(per_axis)
-    all_cuts = _band_cut_points(r, bands, sizes)
-    # eligible references per (band, cell) for all bands in one aggregate
+        meta["sizes"].append(per_axis)
+    meta["ref_patterns"] = None if pr is None else [[m, n] for m, n in pr.items()]
+    return meta, {}
+
+
+def _ensure_bands(meta: dict, windows: dict, r: DataFrame, wanted: list[int]) -> None:
+    """Build cell bounds and pass-1 windows for the wanted bands that do not
+    have them yet: one cut-point aggregate and one cell-count aggregate."""
+    spark = SparkSession.getActiveSession()
+    missing = [i for i in wanted if meta["cuts"][i] is None or i not in windows]
+    if not missing:
+        return
+    bands = [tuple(meta["bands"][i]) for i in missing]
+    tlist, k = meta["targets"], meta["k"]
+    cuts = _band_cut_points(r, bands, [meta["sizes"][i] for i in missing])
     tagged = None
-    for bi, band in enumerate(bands):
-        rb = _banded_refs(r, band, all_cuts[bi])
-        part = rb.select(F.lit(bi).alias("__band"), F.col("__c0"),
+    for j, band in enumerate(bands):
+        rb = _banded_refs(r, band, cuts[j])
+        part = rb.select(F.lit(j).alias("__band"), F.col("__c0"),
                          (F.col("__c1") if len(band) > 1 else F.lit(0)).alias("__c1"),
                          *[_has_target(t).cast("long").alias(f"t{i}") for i, t in enumerate(tlist)])
         tagged = part if tagged is None else tagged.unionByName(part)
     counts = tagged.groupBy("__band", "__c0", "__c1").agg(
         *[F.sum(f"t{i}").alias(f"t{i}") for i in range(len(tlist))]).collect()  # <= cells
-    windows = []
-    for bi, band in enumerate(bands):
-        cuts = all_cuts[bi]
-        shape = tuple(len(cuts[a]) + 1 for a in band)
-        per = {(row["__c0"], row["__c1"])[:len(band)]: [row[f"t{i}"] or 0 for i in range(len(tlist))]
-               for row in counts if row["__band"] == bi}
+    for j, (i, band) in enumerate(zip(missing, bands)):
+        shape = tuple(len(cuts[j][a]) + 1 for a in band)
+        per = {(row["__c0"], row["__c1"])[:len(band)]: [row[f"t{t}"] or 0 for t in range(len(tlist))]
+               for row in counts if row["__band"] == j}
         nd = len(band)
         schema = ", ".join([f"__q{d} int" for d in range(nd)] + [f"__lo{d} int" for d in range(nd)]
                            + [f"__hi{d} int" for d in range(nd)])
-        windows.append(spark.createDataFrame(_expansions(per, shape, k, len(tlist)), schema))
-    meta["ref_patterns"] = None if pr is None else [[m, n] for m, n in pr.items()]
-    meta["cuts"] = [{a: c for a, c in cuts.items()} for cuts in all_cuts]
-    return meta, windows
+        windows[i] = spark.createDataFrame(_expansions(per, shape, k, len(tlist)), schema)
+        meta["cuts"][i] = {a: c for a, c in cuts[j].items()}
 
 
 def exact_knn(queries: DataFrame, refs: DataFrame, features: list[str], k: int,
@@ -316,6 +324,7 @@ def exact_knn(queries: DataFrame, refs: DataFrame, features: list[str], k: int,
     if not active:
         return spark.createDataFrame([], empty)
     bands = [all_bands[i] for i in active]
+    _ensure_bands(meta, windows, r, active)
     meta_rows = []
     for i in active:
         band = all_bands[i]
