@@ -12,6 +12,7 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from ..session import active_session
 
 _REGISTRY: dict[str, type] = {}
 
@@ -32,7 +33,7 @@ class Fitted:
         raise NotImplementedError
 
     def save(self, path: str) -> None:
-        spark = SparkSession.getActiveSession()
+        spark = active_session()
         record = json.dumps({"kind": type(self).__name__, "params": self.params,
                              "tables": sorted(self.tables)})
         (spark.createDataFrame([(record,)], "record string")
@@ -101,7 +102,7 @@ class FittedRecipe(Fitted):
         return df
 
     def save(self, path):
-        spark = SparkSession.getActiveSession()
+        spark = active_session()
         record = json.dumps({"kind": "FittedRecipe", "params": self.params, "tables": []})
         (spark.createDataFrame([(record,)], "record string")
          .coalesce(1).write.mode("overwrite").parquet(f"{path}/_params"))

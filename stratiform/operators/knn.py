@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .ranks import bucketize
+from ..session import active_session
 
 ANY_TARGET = "*"
 MAX_PATTERNS = 4096
@@ -260,7 +261,7 @@ def knn_index(refs: DataFrame, features: list[str], k: int, rid: str,
 def _ensure_bands(meta: dict, windows: dict, r: DataFrame, wanted: list[int]) -> None:
     """Build cell bounds and pass-1 windows for the wanted bands that do not
     have them yet: one cut-point aggregate and one cell-count aggregate."""
-    spark = SparkSession.getActiveSession()
+    spark = active_session()
     missing = [i for i in wanted if meta["cuts"][i] is None or i not in windows]
     if not missing:
         return
@@ -301,7 +302,7 @@ def exact_knn(queries: DataFrame, refs: DataFrame, features: list[str], k: int,
     target value (null for the any-target case), at most k rows per
     (qid, target), ordered by (round(dist, 9), rid).
     """
-    spark = SparkSession.getActiveSession()
+    spark = active_session()
     if index is None:
         index = knn_index(refs, features, k, rid, targets, rows_per_bucket, max_cells, two_axes)
     meta, windows = index

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .ranks import prefix_sums
+from ..session import active_session
 
 MAX_CLASSES = 10_000
 
@@ -20,7 +21,7 @@ MAX_CLASSES = 10_000
 def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """A10: (label, prediction, n) over the full class grid, zeros included.
     Classes are the union of true and predicted classes."""
-    spark = SparkSession.getActiveSession()
+    spark = active_session()
     counts = df.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")) \
         .agg(F.count(F.lit(1)).alias("n")).persist()
     cells = counts.collect()  # at most K x K rows
@@ -99,7 +100,7 @@ METRIC_NAMES = ["accuracy", "sensitivity", "specificity", "precision", "f1",
 
 
 def macro_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    spark = SparkSession.getActiveSession()
+    spark = active_session()
     rows = [(r["label"], r["prediction"], r["n"]) for r in confusion(df, label, prediction).collect()]
     m = metrics_from_confusion(rows)
     return spark.createDataFrame([tuple(round(m[k], 6) for k in METRIC_NAMES)],

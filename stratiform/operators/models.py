@@ -323,12 +323,14 @@ class Classifier(Step):
     """Any model of the zoo behind one fit/transform interface."""
 
     def __init__(self, kind: str, features: list[str], label: str = "label",
-                 params: dict | None = None, seed: int = 11):
+                 params: dict | None = None, seed: int = 11, n_classes: int | None = None,
+                 rows: int | None = None):
         self.kind, self.features, self.label = kind, features, label
         self.params, self.seed = dict(params or {}), seed
+        self.n_classes, self.rows = n_classes, rows  # known by callers: saves two jobs per fit
 
     def fit(self, df: DataFrame):
-        n_classes = df.agg(F.max(self.label)).first()[0] + 1
+        n_classes = self.n_classes or df.agg(F.max(self.label)).first()[0] + 1
         meta = {"kind": self.kind, "features": self.features, "label": self.label,
                 "n_classes": int(n_classes), "params": self.params}
         if self.kind == "naive_bayes":
@@ -348,6 +350,6 @@ class Classifier(Step):
             feats = rff.columns()
         staged = assembler(feats).transform(staged).select(FEATURES, F.col(self.label).cast("double")
                                                            .alias(self.label))
-        staged = right_size(staged)  # iterative trainers pass over it once per iteration
+        staged = right_size(staged, self.rows)  # iterative trainers pass over it once per iteration
         model = Pipeline(stages=spark_estimator(self.kind, self.params, self.label, self.seed)).fit(staged)
         return FittedClassifier(meta, model=model, inner=inner)

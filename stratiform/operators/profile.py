@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import bucket_equal_width
 from .ranks import exact_quantiles
+from ..session import active_session
 
 
 def class_balance(df: DataFrame, col: str = "outcome", extra_keys: list[str] | None = None,
@@ -30,7 +31,7 @@ def class_balance(df: DataFrame, col: str = "outcome", extra_keys: list[str] | N
 
 def numeric_summary(df: DataFrame, cols: list[str]) -> DataFrame:
     """A3 (numeric): min, quartiles (exact, type 7), mean, max and null count."""
-    spark = SparkSession.getActiveSession()
+    spark = active_session()
     aggs = []
     for c in cols:
         aggs += [F.min(c).alias(f"{c}__min"), F.max(c).alias(f"{c}__max"),
@@ -105,7 +106,7 @@ def histogram(df: DataFrame, cols: list[str], bins: int = 30) -> DataFrame:
 def correlation_long(df: DataFrame, cols: list[str], complete_rows: bool = True) -> DataFrame:
     """Pearson correlations of all column pairs in one aggregate pass,
     melted to (var1, var2, r, abs_r, upper) with upper = strict upper triangle."""
-    spark = SparkSession.getActiveSession()
+    spark = active_session()
     base = df.dropna(subset=cols) if complete_rows else df
     from .select import pair_correlation_aggs, pair_correlation_value
     pairs = [(i, j) for i in range(len(cols)) for j in range(len(cols)) if i < j]

@@ -99,8 +99,9 @@ def cross_validate(df: DataFrame, fold_col: str, features: list[str] | None, lab
     fold. Returns the long metric table (model, config, fold, metric, value)
     and the per-fit durations (H8)."""
     folds = sorted(r[0] for r in df.select(fold_col).distinct().collect())  # k values
-    prepared, fold_features = {}, {}
-    for f in folds:
+    prepared, fold_features, fold_rows, fold_top = {}, {}, {}, {}
+
+    def prepare(f):
         train = df.where(F.col(fold_col) != f).drop(fold_col)
         valid = df.where(F.col(fold_col) == f).drop(fold_col)
         if recipe_factory is not None:
@@ -110,10 +111,17 @@ def cross_validate(df: DataFrame, fold_col: str, features: list[str] | None, lab
             valid = fitted.transform(valid)
         # checkpoint to the shared folder: cuts the lineage once for all
         # configurations and survives the loss of executors
-        prepared[f] = (right_size(train.checkpoint(eager=True)),
-                       right_size(valid.checkpoint(eager=True)))
+        train, valid = train.checkpoint(eager=True), valid.checkpoint(eager=True)
+        # rows and largest class code of the prepared (coded) data in one job
+        row = train.agg(F.count(F.lit(1)).alias("n"), F.max(label).alias("m")).first()
+        prepared[f] = (right_size(train, row["n"]), right_size(valid))
+        fold_rows[f], fold_top[f] = row["n"], row["m"]
         # without an explicit list, features are what this fold's recipe produced
-        fold_features[f] = features or [c for c in prepared[f][0].columns if c not in (key, label)]
+        fold_features[f] = features or [c for c in train.columns if c not in (key, label)]
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(folds)))) as pool:
+        list(pool.map(prepare, folds))  # folds are prepared concurrently
+    n_classes = int(max(v for v in fold_top.values() if v is not None)) + 1
 
     configs = {}
     for name, kind, params in candidates:
@@ -129,7 +137,8 @@ def cross_validate(df: DataFrame, fold_col: str, features: list[str] | None, lab
         train, valid = prepared[f]
         t0 = time.time()
         feats = fold_features[f]
-        model = Classifier(kind, feats, label, bound_by_features(params, len(feats))).fit(train)
+        model = Classifier(kind, feats, label, bound_by_features(params, len(feats)),
+                           n_classes=n_classes, rows=fold_rows[f]).fit(train)
         durations.append({"model": name, "config": ci, "fold": f, "duration_s": time.time() - t0})
         pred = model.transform(valid).select(
             F.lit(name).alias("model"), F.lit(ci).alias("config"), F.lit(f).cast("int").alias("fold"),

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .base import Fitted, Step, register
+from ..session import active_session
 
 
 WIDE_STATS = 24
@@ -167,7 +168,7 @@ class DropCorrelated(Step):
 
 def correlation_decisions(df: DataFrame, cols: list[str], threshold: float = 0.75) -> DataFrame:
     """Decision table of X2's upper rule: (column, max_abs_r_earlier, keep)."""
-    spark = SparkSession.getActiveSession()
+    spark = active_session()
     corr = correlation_matrix(df, cols)
     rows = []
     for j, c in enumerate(cols):

@@ -43,6 +43,13 @@ def build_session(master: str | None = None, app: str = "stratiform",
     return spark
 
 
+def active_session() -> SparkSession:
+    """The session of this thread, or the process-wide one: PySpark's active
+    session is thread-local, and work submitted from driver threads (fold
+    preparation, parallel fits) must still find it."""
+    return SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
