@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, sharding, url_filter
+from . import decontaminate, packing, sharding, url_filter
 from .common import table
 
 
+def op1_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in windows of the corpus's own mixture."""
+    return packing.piece_digest(table(spark, sf_dir, "documents"))
+
+
 def op3_url_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of every page's URL by longest match in the rule trie."""
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
@@ -24,6 +29,7 @@ def op9_sampled_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 CATALOG = {
+    "op1_mixture_packing": (op1_mixture_packing, None),
     "op3_url_trie": (op3_url_trie, url_filter.ORACLE),
     "op7_decontaminate": (op7_decontaminate, None),
     "op9_sampled_shards": (op9_sampled_shards, None),

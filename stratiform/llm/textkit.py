@@ -129,7 +129,32 @@ class Words:
         return len(self.start)
 
     def hashes(self) -> np.ndarray:
-        return span_hashes(self.data, self.start, self.stop)
+        return byte_hashes(self.data, self.start, self.stop)
+
+
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
+_ROUNDS = 32
+
+
+def byte_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Hash of the bytes of each span: eight at a time, over all spans at once."""
+    size = stop - start
+    out = mix(size.astype(np.uint64))
+    if not len(start):
+        return out
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    eight = np.ndarray(len(data) + 1, dtype="<u8", buffer=padded, strides=(1,))
+    todo, at, left = np.arange(len(start)), start, size
+    for _ in range(_ROUNDS):
+        out[todo] = mix(out[todo] * _BASE ^ (eight[at] & _MASKS[np.minimum(left, 8)]))
+        more = left > 8
+        if not more.any():
+            return out
+        todo, at, left = todo[more], at[more] + 8, left[more] - 8
+    # Spans of more than 256 bytes: the rest by the polynomial.
+    rest = span_hashes(data[at[0]:], at - at[0], at + left - at[0])
+    out[todo] = mix(out[todo] * _BASE ^ rest)
+    return out
 
 
 def prefix_hash(values: np.ndarray) -> np.ndarray:
