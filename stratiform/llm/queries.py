@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, packing, sharding, url_filter
+from . import decontaminate, packing, quality_rules, quality_trees, sharding, url_filter
 from .common import table
 
 
@@ -13,6 +13,12 @@ def op1_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digest(table(spark, sf_dir, "documents"))
 
 
+def op2_ngram_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and the n-gram model's verdict on every document."""
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules.judge(docs, quality_rules.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op3_url_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of every page's URL by longest match in the rule trie."""
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
@@ -23,6 +29,11 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality_trees.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_sampled_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 40 shards of near equal bytes."""
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
@@ -30,7 +41,9 @@ def op9_sampled_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 CATALOG = {
     "op1_mixture_packing": (op1_mixture_packing, None),
+    "op2_ngram_rules": (op2_ngram_rules, None),
     "op3_url_trie": (op3_url_trie, url_filter.ORACLE),
     "op7_decontaminate": (op7_decontaminate, None),
+    "op8_quality_trees": (op8_quality_trees, None),
     "op9_sampled_shards": (op9_sampled_shards, None),
 }
