@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, packing, quality_rules, quality_trees, sharding, url_filter
+from . import decontaminate, jaccard_join, packing, quality_rules, quality_trees, sharding, url_filter
 from .common import table
 
 
@@ -24,6 +24,11 @@ def op3_url_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near copies of every document."""
+    return jaccard_join.link_components(table(spark, sf_dir, "documents"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark words found in every document."""
     return decontaminate.contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -43,6 +48,7 @@ CATALOG = {
     "op1_mixture_packing": (op1_mixture_packing, None),
     "op2_ngram_rules": (op2_ngram_rules, None),
     "op3_url_trie": (op3_url_trie, url_filter.ORACLE),
+    "op5_jaccard_join": (op5_jaccard_join, None),
     "op7_decontaminate": (op7_decontaminate, None),
     "op8_quality_trees": (op8_quality_trees, None),
     "op9_sampled_shards": (op9_sampled_shards, None),
