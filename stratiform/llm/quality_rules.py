@@ -121,8 +121,7 @@ def _learner(shared, seed: int):
     """One part's round: from the shared weights over the part's rows."""
     def learn(table):
         table = table.sort_by([("doc_id", "ascending"), ("label", "ascending")])
-        rows = [(y, np.frombuffer(i, "<i4"), np.frombuffer(v, "<f4")) for y, i, v in
-                zip(*(table[c].to_pylist() for c in ("label", "i", "v")))]
+        rows = [(y, *x) for y, x in zip(table["label"].to_pylist(), _rows_of(table["text"]))]
         w, b = _descend(*shared.value, rows, seed)
         return pa.table({"w": pa.array([w.astype("<f4").tobytes()], pa.binary()), "b": [b], "n": [len(rows)]})
     return learn
@@ -152,15 +151,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     spark = docs.sparkSession
     rows = labelled_sample(docs, labels, max_rows)
     rows = rows.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(PARTS * 5)).cast("int"))
-
-    def extract(batch: pa.RecordBatch) -> pa.RecordBatch:
-        got = list(_rows_of(batch.column("text")))
-        return pa.record_batch(
-            [batch.column("doc_id"), batch.column("label"), batch.column("part"),
-             pa.array([i.tobytes() for i, _ in got], pa.binary()), pa.array([v.tobytes() for _, v in got], pa.binary())],
-            names=["doc_id", "label", "part", "i", "v"])
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    data = stored(arrow_map(rows, extract, f"doc_id {kind}, label int, part int, i binary, v binary"), "quality-rules")
+    # Only the sample's texts are stored and dealt out; n-grams are made where they are used.
+    data = stored(rows, "quality-rules")
     # One part in five calibrates, the others train.
     fold = F.col("part") % 5 == 0
     flat, bias = np.zeros(len(FAMILIES) * BUCKETS), 0.0
@@ -175,17 +167,16 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
         share = np.array([g["n"] for g in got]) / sum(g["n"] for g in got)
         flat = sum(s * np.frombuffer(g["w"], "<f4").astype(np.float64) for s, g in zip(share, got))
         bias = float(sum(s * g["b"] for s, g in zip(share, got)))
-    shared = spark.sparkContext.broadcast((flat, bias))
+    model = Model(flat.reshape(len(FAMILIES), BUCKETS).astype(np.float32), bias)
+    shared = spark.sparkContext.broadcast(model)
 
     def logit(batch: pa.RecordBatch) -> pa.RecordBatch:
-        w, b = shared.value
-        z = [b + float(w[np.frombuffer(i, "<i4")] @ np.frombuffer(v, "<f4")) for i, v in
-             zip(batch.column("i").to_pylist(), batch.column("v").to_pylist())]
+        z = np.concatenate([shared.value.logits(c, Stats(c)) for c in chunks(batch.column("text"))])
         return pa.record_batch([pa.array(z), batch.column("label")], names=["z", "label"])
     held = arrow_map(data.where(fold), logit, "z double, label int").toArrow()
-    slope, shift = platt(held["z"].to_numpy(), held["label"].to_numpy().astype(np.float64))
+    model.slope, model.shift = platt(held["z"].to_numpy(), held["label"].to_numpy().astype(np.float64))
     drop_stored(data)
-    return Model(flat.reshape(len(FAMILIES), BUCKETS).astype(np.float32), bias, slope, shift)
+    return model
 
 
 COLUMNS = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, " \
