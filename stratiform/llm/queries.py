@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard_join, packing, quality_rules, quality_trees, sharding, url_filter
+from . import (
+    chat_repair,
+    decontaminate,
+    html_text,
+    jaccard_join,
+    license_scan,
+    packing,
+    quality_rules,
+    quality_trees,
+    sharding,
+    url_filter,
+)
 from .common import table
 
 
@@ -24,6 +35,16 @@ def op3_url_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op4_patience_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices of every document by patience alignment with the templates."""
+    return license_scan.license_digest(table(spark, sf_dir, "documents"))
+
+
+def op6_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repaired and rendered turns of every conversation."""
+    return chat_repair.repair(table(spark, sf_dir, "conversations"))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of near copies of every document."""
     return jaccard_join.link_components(table(spark, sf_dir, "documents"))
@@ -44,12 +65,20 @@ def op9_sampled_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op10_host_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.page_digest(table(spark, sf_dir, "pages"))
+
+
 CATALOG = {
     "op1_mixture_packing": (op1_mixture_packing, None),
     "op2_ngram_rules": (op2_ngram_rules, None),
     "op3_url_trie": (op3_url_trie, url_filter.ORACLE),
+    "op4_patience_licenses": (op4_patience_licenses, None),
+    "op6_chat_repair": (op6_chat_repair, None),
     "op5_jaccard_join": (op5_jaccard_join, None),
     "op7_decontaminate": (op7_decontaminate, None),
     "op8_quality_trees": (op8_quality_trees, None),
     "op9_sampled_shards": (op9_sampled_shards, None),
+    "op10_host_suffixes": (op10_host_suffixes, None),
 }
