@@ -99,13 +99,14 @@ def _blocks(benchmark: DataFrame, key: str, text: str, block_bytes: int):
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_key: str = "item_id",
-              item_text: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``docs`` with a struct column ``_hits``: ``n_words``, ``spans`` (byte
+              item_text: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
+              into: str = "_hits") -> DataFrame:
+    """``docs`` with a struct column ``into``: ``n_words``, ``spans`` (byte
     ranges [from, to) of hit word runs in the text's UTF-8, merged) with the
     words each holds, and ``items``. A column of that name is replaced."""
-    docs = docs.drop("_hits")
+    docs = docs.drop(into)
     spark, kind = docs.sparkSession, "n_words:bigint,spans:array<struct<a:int,b:int,first:int,words:int>>,items:array<string>"
-    out, first = docs.withColumn("_hits", F.lit(None).cast(f"struct<{kind}>")), True
+    out, first = docs.withColumn(into, F.lit(None).cast(f"struct<{kind}>")), True
     for items in _blocks(benchmark, item_key, item_text, block_bytes):
         if not first:
             out = stored(out, "decontaminate")
@@ -115,7 +116,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_ke
         def scan(column: pa.Array, before: pa.Array) -> pa.Array:
             return _scan(found.value, column, before)
 
-        out, first = out.withColumn("_hits", scan(F.col(f"`{text}`"), F.col("_hits"))), False
+        out, first = out.withColumn(into, scan(F.col(f"`{text}`"), F.col(into))), False
     return out
 
 
@@ -167,18 +168,28 @@ def is_contaminated(hits="_hits", share: int = 20):
     return (n > 0) & (n * share >= F.col(f"{hits}.n_words"))
 
 
+def _free_name(docs: DataFrame) -> str:
+    """A column name that ``docs`` does not have."""
+    name = "_hits"
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return name
+
+
 def remove_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", **how) -> DataFrame:
     """``docs`` without the contaminated ones; the same columns."""
-    found = find_hits(docs, benchmark, text, **how)
-    return found.where(~is_contaminated()).select(*[f"`{c}`" for c in docs.columns])
+    name = _free_name(docs)
+    found = find_hits(docs, benchmark, text, into=name, **how)
+    return found.where(~is_contaminated(name)).select(*[f"`{c}`" for c in docs.columns])
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", **how) -> DataFrame:
     """``docs`` with every hit run of words cut out of the text."""
-    found = find_hits(docs, benchmark, text, **how)
+    name = _free_name(docs)
+    found = find_hits(docs, benchmark, text, into=name, **how)
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
-        column, hits = batch.column(text).to_pylist(), batch.column("_hits").to_pylist()
+        column, hits = batch.column(text).to_pylist(), batch.column(name).to_pylist()
         for i, h in enumerate(hits):
             if h["spans"]:
                 raw, at, kept = column[i].encode(), 0, []
@@ -188,7 +199,7 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", **ho
                 column[i] = b"".join([*kept, raw[at:]]).decode()
         where = batch.schema.get_field_index(text)
         return batch.set_column(where, batch.schema.field(where), pa.array(column, batch.schema.field(where).type)) \
-            .drop_columns(["_hits"])
+            .drop_columns([name])
     return arrow_map(found, cut, docs.schema)
 
 

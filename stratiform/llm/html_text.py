@@ -47,7 +47,8 @@ JUNK, LOOSE, MAIN, ARTICLE = 0, 1, 2, 3
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = set("script style title textarea iframe noscript noembed noframes xmp template svg math".split())
 _INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small "
-              "span strike strong sub sup time tt u var img wbr br ruby rt rp".split())
+              "span strike strong sub sup time tt u var img wbr br ruby rt rp input button select option object audio "
+              "video canvas picture source".split()) | _RAW - {"title"}
 _JUNK_TAGS = set("nav footer aside form menu dialog head button select option datalist object audio video canvas".split())
 _JUNK_ROLES = set("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 _JUNK_WORDS = set("ad ads advert adverts advertisement advertising adsense adslot sponsor sponsored promo promotion promoted "
