@@ -12,8 +12,8 @@ overlap.
 On a cluster:
 
 1. Texts with one shingle set are one class (64-bit key of the set); all
-   later steps work on classes. Shingles that are frequent inside a batch are
-   summed over all batches; the ``HOT`` most frequent come last in the order
+   later steps work on classes. Shingles that repeat inside a slice of a batch
+   are summed over all slices; the ``HOT`` most frequent come last in the order
    and have no merged lists (their number bounds what is broadcast).
 2. Short lists are dealt by shingle over enough tasks that one holds
    ``POSTINGS`` entries on average, merged there, and the tasks' counts of a
@@ -43,20 +43,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_map, stored
+from .common import stored
 from .components import components
 from .textkit import LOWER, NON_SPACE, Words, chunks, window_hashes
 
 WIDTH = 5
 #: Similarity as a fraction: 100 * overlap >= 75 * union.
 NUM, DEN = 75, 100
-#: Hot shingles: at least HOT_IN_BATCH classes of a batch, the HOT most frequent of all.
-HOT_IN_BATCH, HOT = 4, 1 << 20
+#: Hot shingles: counted in slices where they repeat, HOT_TIMES times in all, at most the HOT most
+#: frequent. One that d classes in b slices share repeats in some d * d / 2 b of them, so lists that
+#: are not hot have pairs in proportion to the slices.
+HOT_TIMES, HOT = 8, 1 << 20
 #: Entries of short lists a task merges, and pairs it holds before it counts them.
 POSTINGS, PAIRS = 1_500_000, 2_000_000
+#: Text whose shingles a worker holds at a time.
+SLICE_BYTES = 6 << 20
 STARS = 4
 
 
@@ -69,8 +74,20 @@ def need_sql(a: str, b: str):
     return F.expr(f"({NUM} * ({a} + {b}) + {NUM + DEN - 1}) div {NUM + DEN}")
 
 
+def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``limit`` bytes of text, at least a row each."""
+    lo, held = 0, 0
+    for i, n in enumerate(pc.binary_length(batch.column("text")).fill_null(0).to_pylist()):
+        if held and held + n > limit:
+            yield batch.slice(lo, i - lo)
+            lo, held = i, 0
+        held += n
+    if batch.num_rows > lo:
+        yield batch.slice(lo)
+
+
 class Sets:
-    """Shingle sets of the texts of one batch: sorted hashes, flat, with bounds."""
+    """Shingle sets of the texts of one slice: sorted hashes, flat, with bounds."""
 
     def __init__(self, column: pa.Array):
         parts, size = [], []
@@ -97,21 +114,29 @@ class Sets:
         self.first &= self.size > 0
 
 
+def _by_slice(docs: DataFrame, fn, schema: str) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                yield fn(part)
+    return docs.mapInArrow(run, schema)
+
+
 def scan_classes(docs: DataFrame) -> DataFrame:
-    """Stored ``doc_id, cid, n`` of every row, and each batch's frequent shingles."""
+    """Stored ``doc_id, cid, n`` of every row, and the shingles that repeat in each batch."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def scan(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = Sets(batch.column("text"))
         token, count = np.unique(sets.flat[sets.first[sets.doc]], return_counts=True)
-        often = count >= HOT_IN_BATCH
+        often = count > 1
         rows = batch.num_rows
         lists = [[token[often].view(np.int64)] + [None] * (rows - 1), [count[often]] + [None] * (rows - 1)]
         return pa.record_batch(
             [batch.column("doc_id"), pa.array(sets.key, mask=sets.size == 0), pa.array(sets.size),
              pa.array(lists[0], pa.list_(pa.int64())), pa.array(lists[1], pa.list_(pa.int64()))],
             names=["doc_id", "cid", "n", "token", "times"])
-    return stored(arrow_map(docs.select("doc_id", "text"), run,
+    return stored(_by_slice(docs.select("doc_id", "text"), scan,
                             f"doc_id {kind}, cid bigint, n bigint, token array<bigint>, times array<bigint>"), "join-classes")
 
 
@@ -119,7 +144,7 @@ def hot_shingles(scanned: DataFrame) -> np.ndarray:
     """Sorted hashes of the most frequent shingles, at most ``HOT``."""
     got = (scanned.where("size(token) > 0").select(F.explode(F.arrays_zip("token", "times")).alias("x"))
            .groupBy("x.token").agg(F.sum("x.times").alias("times"))
-           .orderBy(F.desc("times"), "token").limit(HOT).select("token").toArrow())
+           .where(F.col("times") >= HOT_TIMES).orderBy(F.desc("times"), "token").limit(HOT).select("token").toArrow())
     return np.sort(got["token"].to_numpy().view(np.uint64))
 
 
@@ -137,37 +162,36 @@ def _prefixes(sets: Sets, hot: np.ndarray):
 
 
 def short_lists(docs: DataFrame, hot: np.ndarray, parts: int) -> DataFrame:
-    """Stored rows of two kinds. ``p`` >= 0: the (shingle, class) entries of a batch
-    that fall to part p, packed. ``p`` null: a class with hot shingles, its sizes,
+    """Stored rows of two kinds. ``p`` >= 0: the (shingle, class, size) entries of a
+    slice that fall to part p, packed. ``p`` null: a class with hot shingles, its sizes,
     and the hot shingles of its prefix."""
     shared = docs.sparkSession.sparkContext.broadcast(hot)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = Sets(batch.column("text"))
-            is_hot, n_hot, place, prefix = _prefixes(sets, shared.value)
-            used = sets.first[sets.doc] & (place < prefix[sets.doc])
-            at = np.flatnonzero(used & ~is_hot)
-            token, cid = sets.flat[at], sets.key[sets.doc[at]]
-            part = ((token >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            token, cid, part = token[order], cid[order], part[order]
-            ids, first = np.unique(part, return_index=True)
-            bound = np.append(first, len(part))
-            packed = [(token[a:b].tobytes(), cid[a:b].tobytes()) for a, b in zip(bound, bound[1:])]
-            # Classes that could reach T by hot shingles alone.
-            rich = np.flatnonzero(sets.first & (DEN * n_hot >= NUM * sets.size))
-            tail = [sets.flat[a:b][used[a:b] & is_hot[a:b]].view(np.int64) for a, b in zip(sets.begin[rich], sets.end[rich])]
-            k, m = len(ids), len(rich)
-            none = [None] * m
-            yield pa.record_batch([
-                pa.array([*ids.tolist(), *none], pa.int32()),
-                pa.array([x for x, _ in packed] + none, pa.binary()), pa.array([x for _, x in packed] + none, pa.binary()),
-                pa.array([None] * k + sets.key[rich].tolist(), pa.int64()), pa.array([None] * k + sets.size[rich].tolist(), pa.int64()),
-                pa.array([None] * k + n_hot[rich].tolist(), pa.int64()), pa.array([None] * k + tail, pa.list_(pa.int64()))],
-                names=["p", "tokens", "cids", "cid", "n", "h", "hot"])
-    return stored(docs.select("text").mapInArrow(
-        run, "p int, tokens binary, cids binary, cid bigint, n bigint, h bigint, hot array<bigint>"), "join-lists")
+    def pack(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = Sets(batch.column("text"))
+        is_hot, n_hot, place, prefix = _prefixes(sets, shared.value)
+        used = sets.first[sets.doc] & (place < prefix[sets.doc])
+        at = np.flatnonzero(used & ~is_hot)
+        token, cid, size = sets.flat[at], sets.key[sets.doc[at]], sets.size[sets.doc[at]].astype(np.uint32)
+        part = ((token >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        token, cid, size, part = token[order], cid[order], size[order], part[order]
+        ids, first = np.unique(part, return_index=True)
+        bound = np.append(first, len(part))
+        packed = [[x[a:b].tobytes() for a, b in zip(bound, bound[1:])] for x in (token, cid, size)]
+        # Classes that could reach T by hot shingles alone.
+        rich = np.flatnonzero(sets.first & (DEN * n_hot >= NUM * sets.size))
+        tail = [sets.flat[a:b][used[a:b] & is_hot[a:b]].view(np.int64) for a, b in zip(sets.begin[rich], sets.end[rich])]
+        k, m = len(ids), len(rich)
+        none = [None] * m
+        return pa.record_batch([
+            pa.array([*ids.tolist(), *none], pa.int32()),
+            *[pa.array(x + none, pa.binary()) for x in packed],
+            pa.array([None] * k + sets.key[rich].tolist(), pa.int64()), pa.array([None] * k + sets.size[rich].tolist(), pa.int64()),
+            pa.array([None] * k + n_hot[rich].tolist(), pa.int64()), pa.array([None] * k + tail, pa.list_(pa.int64()))],
+            names=["p", "tokens", "cids", "sizes", "cid", "n", "h", "hot"])
+    return stored(_by_slice(
+        docs.select("text"), pack, "p int, tokens binary, cids binary, sizes binary, cid bigint, n bigint, h bigint, hot array<bigint>"), "join-lists")
 
 
 def _counted(r: list, s: list, c: list):
@@ -180,19 +204,21 @@ def _counted(r: list, s: list, c: list):
 
 
 def merge_lists(rows: pa.Table) -> pa.Table:
-    """Merge one part's inverted lists: how often each pair of classes meets."""
+    """Merge one part's inverted lists: how often each pair of classes meets whose
+    sizes allow the similarity."""
     token = np.concatenate([np.frombuffer(x, np.uint64) for x in rows["tokens"].to_pylist()])
     cid = np.concatenate([np.frombuffer(x, np.int64) for x in rows["cids"].to_pylist()])
+    size = np.concatenate([np.frombuffer(x, np.uint32) for x in rows["sizes"].to_pylist()]).astype(np.int64)
     order = np.lexsort((cid, token))
-    token, cid = token[order], cid[order]
+    token, cid, size = token[order], cid[order], size[order]
     if len(token):
         fresh = np.concatenate(([True], (token[1:] != token[:-1]) | (cid[1:] != cid[:-1])))
-        token, cid = token[fresh], cid[fresh]
+        token, cid, size = token[fresh], cid[fresh], size[fresh]
     same = token[1:] == token[:-1] if len(token) else np.zeros(0, bool)
     listed = np.zeros(len(token), bool)
     listed[1:] |= same
     listed[:-1] |= same
-    token, cid = token[listed], cid[listed]
+    token, cid, size = token[listed], cid[listed], size[listed]
     r, s, c, held = [], [], [], 0
     left, step = np.arange(len(token)), 1
     while True:                                    # entry i against entry i + step of the same list
@@ -200,10 +226,12 @@ def merge_lists(rows: pa.Table) -> pa.Table:
         left = left[token[left] == token[left + step]]
         if not len(left):
             break
-        r.append(cid[left])
-        s.append(cid[left + step])
-        c.append(np.ones(len(left), np.int64))
-        held, step = held + len(left), step + 1
+        a, b = size[left], size[left + step]
+        near = left[DEN * np.minimum(a, b) >= NUM * np.maximum(a, b)]
+        r.append(cid[near])
+        s.append(cid[near + step])
+        c.append(np.ones(len(near), np.int64))
+        held, step = held + len(near), step + 1
         if held > PAIRS:
             counted = _counted(r, s, c)
             r, s, c = ([x] for x in counted)
@@ -245,7 +273,7 @@ def _sets_of(docs: DataFrame, cids: DataFrame) -> DataFrame:
         hit = np.flatnonzero(sets.first & (wanted.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool))
         return pa.record_batch([pa.array(key[hit]), pa.array([sets.flat[sets.begin[i]:sets.end[i]].tobytes() for i in hit], pa.binary())],
                                names=["cid", "shingles"])
-    sets = arrow_map(docs.select("text"), run, "cid bigint, shingles binary")
+    sets = _by_slice(docs.select("text"), run, "cid bigint, shingles binary")
     return sets.join(cids, "cid", "left_semi").dropDuplicates(["cid"])
 
 
@@ -269,12 +297,16 @@ def probe(docs: DataFrame, pairs: DataFrame) -> DataFrame:
             overlap = int((y[at] == x).sum())
             keep.append(DEN * overlap >= NUM * (len(x) + len(y) - overlap))
         return batch.select(["r", "s"]).filter(pa.array(keep, pa.bool_()))
-    return stored(arrow_map(both, run, "r bigint, s bigint"), "join-links")
+    def probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 500):
+                yield run(batch.slice(lo, 500))
+    return stored(both.mapInArrow(probed, "r bigint, s bigint"), "join-links")
 
 
 def _short_candidates(lists: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs whose merged short lists meet often enough."""
-    counts = (lists.where("p is not null").select("p", "tokens", "cids").groupBy("p")
+    counts = (lists.where("p is not null").select("p", "tokens", "cids", "sizes").groupBy("p")
               .applyInArrow(merge_lists, "r bigint, s bigint, c bigint")
               .groupBy("r", "s").agg(F.sum("c").alias("c")))
     side = lambda x: classes.select(F.col("cid").alias(x), F.col("n").alias(f"n_{x}"), F.col("hp").alias(f"hp_{x}"))
@@ -302,13 +334,16 @@ def _hot_candidates(rich: DataFrame, linked: DataFrame) -> DataFrame:
     lists = (rich.join(labels, "cid", "left").withColumn("comp", F.coalesce("up", "cid")).drop("up")
              # With h hot shingles T is in reach for partners of at most this size.
              .withColumn("cap", F.expr(f"{NUM + DEN} * h div {NUM} - n"))
-             .withColumn("token", F.explode("hot")).drop("hot"))
+             .select("cid", "n", "h", "comp", "cap", F.posexplode("hot").alias("at", "token")))
     lists = stored(lists, "join-hot")
     per = lists.groupBy("token", "comp").agg(F.count("*").alias("m"), F.min("n").alias("low"), F.max("cap").alias("high"))
     per = per.groupBy("token").agg(F.max_by("comp", F.struct("m", "comp")).alias("largest"), F.count("*").alias("comps"),
                                    F.min("low").alias("low"), F.max("high").alias("high"))
     per = per.where("comps > 1")
-    open_ = lists.join(per, "token").where("cap >= low and n <= high")
+    # A pair meets in the first h - T + 1 hot shingles of both, and T is at least that
+    # for the list's smallest set.
+    open_ = lists.join(per, "token").where("cap >= low and n <= high").where(
+        F.col("at") <= F.col("h") - need_sql("n", f"greatest(low, ({NUM} * n + {DEN - 1}) div {DEN})"))
     outside = open_.where("comp <> largest").selectExpr(
         "token", "cid as r", "n as n_r", "cap as cap_r", "comp as comp_r")
     inside = open_.selectExpr("token", "cid as s", "n as n_s", "cap as cap_s", "comp as comp_s")
