@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .base import Fitted, Step, register
@@ -13,7 +13,9 @@ from .ranks import prefix_sums
 def nearmiss(df: DataFrame, features: list[str], label: str, key: str, k: int = 3) -> DataFrame:
     """Keep the minority class whole and, in every larger class, the n_min
     rows whose mean distance to their k nearest minority rows is smallest
-    (ties: smaller key). Classes of size n_min are kept whole."""
+    (ties: smaller key). Rows without any neighbour (no coordinate in common)
+    come last, so every larger class keeps n_min rows. Classes of size n_min
+    are kept whole."""
     counts = {r[label]: r["n"] for r in
               df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per class
     n_min = min(counts.values())
@@ -25,7 +27,8 @@ def nearmiss(df: DataFrame, features: list[str], label: str, key: str, k: int =
     score = near.groupBy(F.col("qid").alias(key)).agg(F.round(F.avg("dist"), 9).alias("__m"))
     # the scores feed both the cut search and the final filter: checkpoint
     # once (shared folder) instead of running the neighbour search twice
-    scored = larger.join(score, key).checkpoint(eager=True)
+    scored = larger.join(score, key, "left") \
+        .withColumn("__m", F.coalesce("__m", F.lit(float("inf")))).checkpoint(eager=True)
     # the cut per class: the n_min-th smallest mean distance, from bucketed
     # prefix counts over distinct scores (no window over a whole class)
     vc = scored.groupBy(label, "__m").agg(F.count(F.lit(1)).alias("n"))
@@ -36,10 +39,10 @@ def nearmiss(df: DataFrame, features: list[str], label: str, key: str, k: int =
     for c, (m, before) in cuts.items():
         cls = scored.where(F.col(label) == c)
         below = cls.where(F.col("__m") < m)
-        # rows tied at the cut: only they are ordered by key
-        ties = cls.where(F.col("__m") == m).withColumn(
-            "__r", F.row_number().over(Window.partitionBy(label).orderBy(key))) \
-            .where(F.col("__r") <= n_min - before).drop("__r")
+        # rows tied at the cut: only they are ordered by key, in buckets
+        tied = cls.where(F.col("__m") == m).withColumn("__one", F.lit(1))
+        ties = prefix_sums(tied, [label], key, ["__one"]).where(F.col("__one_upto") <= n_min - before) \
+            .select(*cls.columns)
         part = below.unionByName(ties)
         kept = part if kept is None else kept.unionByName(part)
     whole = df.where(F.col(label).isin(keep_whole))

@@ -35,20 +35,19 @@ from ..session import active_session
 
 ANY_TARGET = "*"
 MAX_PATTERNS = 4096
+MASK_BITS = 62
 
 
 def _distance(features: list[str]):
+    """nan-Euclidean distance, over arrays so that the expression does not grow
+    with the number of features."""
     p = float(len(features))
-    sq = None
-    cnt = None
-    for f in features:
-        a, b = F.col(f"q_{f}"), F.col(f"r_{f}")
-        present = a.isNotNull() & b.isNotNull()
-        term = F.when(present, (a - b) * (a - b)).otherwise(F.lit(0.0))
-        one = present.cast("int")
-        sq = term if sq is None else sq + term
-        cnt = one if cnt is None else cnt + one
-    return F.when(cnt > 0, F.sqrt(F.lit(p) / cnt * sq))
+    q, r = (F.array(*[F.col(f"{side}_{f}") for f in features]) for side in "qr")
+    both = F.filter(F.zip_with(q, r, lambda a, b: (a - b) * (a - b)), lambda x: x.isNotNull())
+    total = F.aggregate(both, F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("n")),
+                        lambda acc, x: F.struct((acc["s"] + x).alias("s"), (acc["n"] + 1).alias("n")),
+                        lambda acc: F.when(acc["n"] > 0, F.sqrt(F.lit(p) / acc["n"] * acc["s"])))
+    return total
 
 
 def _all_present(prefix: str, axes) -> F.Column:
@@ -131,12 +130,11 @@ def _choose_bands(r: DataFrame, features: list[str], two_axes: bool):
 
 
 def _patterns(df: DataFrame, prefix: str, order: list[str]):
-    """Counts of presence bitmasks over the prune coordinates (one small
-    aggregate); None when there are too many distinct patterns."""
-    if len(order) >= 63:
-        return None
+    """Counts of presence bitmasks over the prune coordinates, the first
+    ``MASK_BITS`` of them (one small aggregate); None when there are too many
+    distinct patterns."""
     m = sum(F.when(F.col(f"{prefix}_{a}").isNotNull(), F.lit(1 << i)).otherwise(F.lit(0))
-            for i, a in enumerate(order))
+            for i, a in enumerate(order[:MASK_BITS]))
     rows = df.groupBy(m.cast("long").alias("m")).agg(F.count(F.lit(1)).alias("n")) \
         .limit(MAX_PATTERNS + 1).collect()
     if len(rows) > MAX_PATTERNS:
@@ -149,15 +147,17 @@ def _owned(bands, order, pq, pr) -> list[int]:
     pattern) pair: the first band whose axes both rows have owns the pair."""
     if pq is None or pr is None:
         return list(range(len(bands)))
-    bit = {a: 1 << i for i, a in enumerate(order)}
-    masks = [sum(bit[a] for a in band) for band in bands]
+    bit = {a: 1 << i for i, a in enumerate(order[:MASK_BITS])}
+    # A band on a coordinate beyond the mask is kept for every pair that no earlier band owns.
+    masks = [sum(bit[a] for a in band) if all(a in bit for a in band) else 0 for band in bands]
     owns = [False] * len(bands)
     for a, b in itertools.product(pq, pr):
         common = a & b
         for i, m in enumerate(masks):
             if common & m == m:
                 owns[i] = True
-                break
+                if m:
+                    break
     return [i for i, o in enumerate(owns) if o]
 
 
@@ -241,9 +241,9 @@ def knn_index(refs: DataFrame, features: list[str], k: int, rid: str,
     if not order:
         return meta, {}
     pr = _patterns(r, "r", order)
-    bit = {a: 1 << i for i, a in enumerate(order)}
+    bit = {a: 1 << i for i, a in enumerate(order[:MASK_BITS])}
     for band in bands:
-        if pr is not None:
+        if pr is not None and all(a in bit for a in band):
             mask = sum(bit[a] for a in band)
             n_b = sum(n for m, n in pr.items() if m & mask == mask)
         else:

@@ -15,20 +15,24 @@ from pyspark.sql import functions as F
 from .ranks import prefix_sums
 from ..session import active_session
 
-MAX_CLASSES = 10_000
+#: Classes of a confusion table, whose cells (the square) are built on the driver.
+MAX_CLASSES = 1_000
 
 
 def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """A10: (label, prediction, n) over the full class grid, zeros included.
-    Classes are the union of true and predicted classes."""
+    Classes are the union of true and predicted classes; rows with a null label
+    or prediction are in no cell. The number of classes is checked before any
+    cell is read."""
     spark = active_session()
+    k = df.select(F.explode(F.array(F.col(label), F.col(prediction))).alias("c")).distinct().count()
+    if k > MAX_CLASSES + 1:
+        raise ValueError(f"{k} classes exceed the confusion-table bound")
     counts = df.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")) \
         .agg(F.count(F.lit(1)).alias("n")).persist()
     cells = counts.collect()  # at most K x K rows
     classes = sorted({r["label"] for r in cells} | {r["prediction"] for r in cells}
                      - {None})
-    if len(classes) > MAX_CLASSES:
-        raise ValueError(f"{len(classes)} classes exceed the confusion-table bound")
     seen = {(r["label"], r["prediction"]): r["n"] for r in cells}
     dtype = df.schema[label].dataType.simpleString()
     rows = [(a, b, int(seen.get((a, b), 0))) for a in classes for b in classes]
@@ -108,25 +112,43 @@ def macro_metrics(df: DataFrame, label: str = "label", prediction: str = "predic
 
 
 def grouped_metrics(df: DataFrame, group_cols: list[str], label: str = "label",
-                    prediction: str = "prediction") -> DataFrame:
+                    prediction: str = "prediction", empty: float | None = 0.0) -> DataFrame:
     """Metrics per group (e.g. model, config, fold) in long form
-    (group..., metric, value): one aggregate of (group, label, prediction)
-    counts; the per-group K x K tables are evaluated by a grouped pandas
-    function, one small table per group."""
-    import pandas as pd
-
-    counts = df.groupBy(*group_cols, F.col(label).alias("__l"), F.col(prediction).alias("__p")) \
-        .agg(F.count(F.lit(1)).alias("__n"))
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    schema = ", ".join(f"{g} {types[g]}" for g in group_cols) + ", metric string, value double"
-
-    def per_group(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = list(zip(pdf["__l"], pdf["__p"], pdf["__n"]))
-        m = metrics_from_confusion(rows)
-        key = {g: pdf[g].iloc[0] for g in group_cols}
-        return pd.DataFrame([{**key, "metric": k, "value": float(m[k])} for k in METRIC_NAMES])
-
-    return counts.groupBy(*group_cols).applyInPandas(per_group, schema)
+    (group..., metric, value), by aggregates of (group, label, prediction) counts.
+
+    Rows with a null label or prediction count nowhere. ``empty`` is the rate of
+    a class with an empty denominator: 0, or None to leave it out of the mean."""
+    return metrics_of_counts(
+        df.groupBy(*group_cols, F.col(label).alias("label"), F.col(prediction).alias("prediction"))
+        .agg(F.count(F.lit(1)).alias("n")), group_cols, empty)
+
+
+def metrics_of_counts(counts: DataFrame, group_cols: list[str], empty: float | None = 0.0) -> DataFrame:
+    """``grouped_metrics`` from (group..., label, prediction, n) counts."""
+    known = counts.where(F.col("label").isNotNull() & F.col("prediction").isNotNull())
+    zero = F.lit(0).cast("long")
+    side = lambda k, t, p, tp: F.struct(k.alias("k"), t.alias("t"), p.alias("p"), tp.alias("tp"))
+    n = F.col("n").cast("long")
+    per = (known.select(*group_cols, F.explode(F.array(
+        side(F.col("label"), n, zero, F.when(F.col("label") == F.col("prediction"), n).otherwise(zero)),
+        side(F.col("prediction"), zero, n, zero))).alias("x"))
+        .groupBy(*group_cols, "x.k").agg(*[F.sum(f"x.{c}").cast("double").alias(c) for c in ("t", "p", "tp")]))
+    per = per.withColumn("s", F.sum("t").over(Window.partitionBy(*group_cols)))      # one row a class
+    rate = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(empty).cast("double"))
+    tp, t, p, s_ = (F.col(c) for c in ("tp", "t", "p", "s"))
+    per = per.withColumns({"sens": rate(tp, t), "prec": rate(tp, p), "spec": rate(s_ - t - p + tp, s_ - t)})
+    per = per.withColumns({"f1": rate(2 * F.col("prec") * F.col("sens"), F.col("prec") + F.col("sens")),
+                           "bal": (F.col("sens") + F.col("spec")) / 2})
+    wide = per.groupBy(*group_cols).agg(
+        F.coalesce(F.try_divide(F.sum("tp"), F.max("s")), F.lit(0.0)).alias("accuracy"), F.avg("sens").alias("sensitivity"),
+        F.avg("spec").alias("specificity"), F.avg("prec").alias("precision"), F.avg("f1").alias("f1"),
+        F.avg("bal").alias("bal_accuracy"), F.avg("sens").alias("bal_accuracy_recall"),
+        F.coalesce(F.try_divide(
+            F.sum("tp") * F.max("s") - F.sum(p * t),
+            F.sqrt((F.max("s") * F.max("s") - F.sum(p * p)) * (F.max("s") * F.max("s") - F.sum(t * t)))), F.lit(0.0)).alias("mcc"))
+    return wide.select(*group_cols, F.explode(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in METRIC_NAMES])).alias("m")) \
+        .select(*group_cols, "m.metric", "m.value")
 
 
 def hand_till_auc(df: DataFrame, prob_cols: list[str], label: str = "label") -> float:

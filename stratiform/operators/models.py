@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
                                        LogisticRegression, OneVsRest, RandomForestClassifier)
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from .base import Fitted, Step, register, right_size
 
 FEATURES = "features"
+VALIDATION = "is_validation"
 
 
 def assembler(cols: list[str], out: str = FEATURES) -> VectorAssembler:
@@ -91,10 +93,16 @@ class GaussianNB(Step):
     def fit(self, df):
         stats = df.groupBy(self.label).agg(
             F.count(F.lit(1)).alias("__n"),
+            *[F.count(f).alias(f"n_{f}") for f in self.features],
             *[F.avg(f).alias(f"m_{f}") for f in self.features],
             *[F.var_pop(f).alias(f"v_{f}") for f in self.features]).orderBy(self.label).collect()
-        overall = df.agg(*[F.var_pop(f).alias(f) for f in self.features]).first()
-        eps = self.var_smoothing * max(overall[f] or 0.0 for f in self.features)
+
+        def overall(f):       # the variance of all rows from the classes' own
+            parts = [(r[f"n_{f}"], r[f"m_{f}"], r[f"v_{f}"]) for r in stats if r[f"n_{f}"]]
+            total = sum(k for k, _, _ in parts)
+            mean = sum(k * m for k, m, _ in parts) / total if total else 0.0
+            return sum(k * (v + (m - mean) ** 2) for k, m, v in parts) / total if total else 0.0
+        eps = self.var_smoothing * max(overall(f) for f in self.features)
         n = float(sum(r["__n"] for r in stats))
         return FittedGaussianNB({
             "features": self.features,
@@ -109,23 +117,18 @@ class GaussianNB(Step):
 class FittedDiscriminant(Fitted):
     def transform(self, df):
         p = self.params
-        feats = p["features"]
-        scores = []
-        for c in range(len(p["classes"])):
-            s = F.lit(p["const"][c])
-            for j, f in enumerate(feats):
-                s = s + F.lit(p["linear"][c][j]) * F.col(f)
-            quad = p["quad"][c]
+        const, linear = np.array(p["const"]), np.array(p["linear"])
+        quad = None if p["quad"][0] is None else np.array(p["quad"])
+
+        @F.arrow_udf("array<double>")
+        def discriminant(x: pa.Array) -> pa.Array:
+            values = np.asarray(x.flatten().to_numpy(zero_copy_only=False)).reshape(len(x), -1)
+            s = const + values @ linear.T
             if quad is not None:
-                for i, a in enumerate(feats):
-                    for j, b in enumerate(feats):
-                        if j < i:
-                            continue
-                        coef = quad[i][j] * (1.0 if i == j else 2.0)
-                        if coef:
-                            s = s + F.lit(coef) * F.col(a) * F.col(b)
-            scores.append(s)
-        return _scored(df, scores, p["classes"])
+                s += np.stack([((values @ q) * values).sum(axis=1) for q in quad], axis=1)
+            return pa.array(list(s), pa.list_(pa.float64()))
+        out = df.withColumn("__d", discriminant(F.array(*[F.col(f).cast("double") for f in p["features"]])))
+        return _scored(out, [F.col("__d")[i] for i in range(len(const))], p["classes"]).drop("__d")
 
 
 class Discriminant(Step):
@@ -133,40 +136,35 @@ class Discriminant(Step):
     class covariances shrunk by ``reg`` toward the pooled one, then by
     ``gamma`` toward a scaled identity) discriminant analysis.
 
-    Fitted from per-class n, sum x and sum x x^T (one aggregate, p(p+1)/2
-    product sums per class); the p x p algebra runs on the driver."""
+    Class covariances are Gram sums around the class means, so large means
+    cancel nothing; the p x p algebra runs on the driver. A singular matrix is
+    inverted, and its log-determinant taken, over its non-zero eigenvalues."""
 
     def __init__(self, features: list[str], label: str = "label", kind: str = "lda",
                  reg: float = 0.0, gamma: float = 0.0):
         self.features, self.label, self.kind, self.reg, self.gamma = features, label, kind, reg, gamma
 
     def fit(self, df):
+        from .select import gram_sums
         fs = self.features
         p = len(fs)
-        prods = [(i, j) for i in range(p) for j in range(i, p)]
-        rows = df.groupBy(self.label).agg(
-            F.count(F.lit(1)).alias("__n"), *[F.sum(f).alias(f"s{i}") for i, f in enumerate(fs)],
-            *[F.sum(F.col(fs[i]) * F.col(fs[j])).alias(f"x{i}_{j}") for i, j in prods]) \
+        rows = df.groupBy(self.label).agg(F.count(F.lit(1)).alias("__n"), *[F.avg(f).alias(f"m{i}") for i, f in enumerate(fs)]) \
             .orderBy(self.label).collect()
         classes, ns, means, covs = [], [], [], []
-        for r in rows:
-            n = float(r["__n"])
-            mu = np.array([r[f"s{i}"] for i in range(p)]) / n
-            xx = np.zeros((p, p))
-            for i, j in prods:
-                xx[i, j] = xx[j, i] = r[f"x{i}_{j}"]
-            cov = xx / n - np.outer(mu, mu)
+        for r in rows:      # one pass a class
+            n, mu = float(r["__n"]), np.array([r[f"m{i}"] for i in range(p)])
+            xx = gram_sums(df.where(F.col(self.label) == r[self.label]), fs, mu.tolist())[3]
             classes.append(r[self.label])
             ns.append(n)
             means.append(mu)
-            covs.append(cov * n / max(n - 1.0, 1.0))
+            covs.append(xx / max(n - 1.0, 1.0))
         total = sum(ns)
         pooled = sum((n - 1.0) * c for n, c in zip(ns, covs)) / max(total - len(ns), 1.0)
         const, linear, quad = [], [], []
         for n, mu, cov in zip(ns, means, covs):
             prior = math.log(n / total)
             if self.kind == "lda":
-                inv = np.linalg.pinv(pooled)
+                inv, _ = _inverse(pooled)
                 linear.append((inv @ mu).tolist())
                 const.append(float(-0.5 * mu @ inv @ mu + prior))
                 quad.append(None)
@@ -174,9 +172,7 @@ class Discriminant(Step):
             sig = cov if self.kind == "qda" else (1 - self.reg) * cov + self.reg * pooled
             if self.gamma:
                 sig = (1 - self.gamma) * sig + self.gamma * np.trace(sig) / p * np.eye(p)
-            inv = np.linalg.pinv(sig)
-            sign, logdet = np.linalg.slogdet(sig)
-            logdet = logdet if sign > 0 else 0.0
+            inv, logdet = _inverse(sig)
             quad.append((-0.5 * inv).tolist())
             linear.append((inv @ mu).tolist())
             const.append(float(-0.5 * mu @ inv @ mu - 0.5 * logdet + prior))
@@ -184,6 +180,13 @@ class Discriminant(Step):
                                    "linear": linear, "quad": quad})
 
 
+def _inverse(m: np.ndarray) -> tuple[np.ndarray, float]:
+    """Pseudo-inverse and log-determinant over the non-zero eigenvalues."""
+    w, v = np.linalg.eigh(m)
+    keep = w > max(w.max(), 0.0) * len(w) * 1e-12
+    return (v[:, keep] / w[keep]) @ v[:, keep].T, float(np.log(w[keep]).sum())
+
+
 # ---------------------------------------------------------------- M4 features
 @register
 class FittedFourier(Fitted):
@@ -260,6 +263,9 @@ def spark_estimator(kind: str, params: dict, label: str = "label", seed: int = 1
                             subsamplingRate=params.get("subsamplingRate", 1.0),
                             featureSubsetStrategy=str(params.get("featureSubsetStrategy", "all")),
                             seed=seed)
+        if params.get("validation"):                        # rounds end when the marked rows gain less
+            gbt = gbt.setValidationIndicatorCol(VALIDATION)
+            gbt = gbt._set(validationTol=params.get("validationTol", 0.01))
         return [OneVsRest(classifier=gbt, labelCol=label,
                           parallelism=int(params.get("parallelism", 4)))]
     raise ValueError(f"unknown model kind {kind}")
@@ -330,6 +336,9 @@ class Classifier(Step):
         self.n_classes, self.rows = n_classes, rows  # known by callers: saves two jobs per fit
 
     def fit(self, df: DataFrame):
+        if self.kind in CUSTOM_KINDS or self.kind == "svm_rff":
+            # These read single columns; sparse vectors of identifier levels are for the others.
+            self.features = [f for f in self.features if df.schema[f].dataType.typeName() != "vectorudt"]
         n_classes = self.n_classes or df.agg(F.max(self.label)).first()[0] + 1
         meta = {"kind": self.kind, "features": self.features, "label": self.label,
                 "n_classes": int(n_classes), "params": self.params}
@@ -348,8 +357,14 @@ class Classifier(Step):
             inner = rff.fit(df)
             staged = inner.transform(df)
             feats = rff.columns()
-        staged = assembler(feats).transform(staged).select(FEATURES, F.col(self.label).cast("double")
-                                                           .alias(self.label))
+        share = float(self.params.get("validation", 0.0)) if self.kind in ("gbt", "c50") else 0.0
+        kept = [FEATURES, F.col(self.label).cast("double").alias(self.label)]
+        staged = assembler(feats).transform(staged)
+        if share:      # early stopping: a fixed share of the rows, by hash
+            mark = F.pmod(F.xxhash64(F.lit(29), *[F.col(f) for f in feats if df.schema[f].dataType.typeName() != "vectorudt"]),
+                          F.lit(10_000)) < int(share * 10_000)
+            kept.append(mark.alias(VALIDATION))
+        staged = staged.select(*kept)
         staged = right_size(staged, self.rows)  # iterative trainers pass over it once per iteration
         model = Pipeline(stages=spark_estimator(self.kind, self.params, self.label, self.seed)).fit(staged)
         return FittedClassifier(meta, model=model, inner=inner)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import probit
+from ..session import active_session
 from .base import Fitted, Step, register
-from .ranks import average_ranks, bucketize
+from .ranks import DEFAULT_ROWS_PER_BUCKET, _bucket_count, average_ranks, bucketize, value_cut_points
 
 
 @register
@@ -84,6 +85,22 @@ class ZScore(Step):
         return FittedZScore({"stats": {c: (row[f"{c}__m"], row[f"{c}__s"]) for c in cols}})
 
 
+def _attach(df: DataFrame, table: DataFrame, col: str, out: str) -> DataFrame:
+    """``out`` of the table row with the same value (``v``); null for null. The
+    null rows go round the join, so they never share one join key."""
+    known = df.where(F.col(col).isNotNull()).join(table, F.col(col).cast("double") == F.col("v"), "left").drop("v")
+    nulls = df.where(F.col(col).isNull()).withColumn(out, F.lit(None).cast("double"))
+    return known.unionByName(nulls)
+
+
+def score_points(df: DataFrame, col: str) -> DataFrame:
+    """(v, z): every distinct non-null value with Φ⁻¹((average rank - 0.5) / n)."""
+    ranks = average_ranks(df.select(F.col(col).cast("double").alias("v")), "v")
+    n = df.where(F.col(col).isNotNull()).count()
+    return ranks.select("v", ((F.col("rank_avg") - 0.5) / F.lit(float(max(n, 1)))).alias("p")) \
+        .select("v", probit("p").alias("z"))
+
+
 def ordered_quantile_scores(df: DataFrame, col: str, out: str | None = None,
                             key: str | None = None) -> DataFrame:
     """N3 on training data: z = Φ⁻¹((average rank - 0.5) / n).
@@ -92,58 +109,67 @@ def ordered_quantile_scores(df: DataFrame, col: str, out: str | None = None,
     single-partition window); the distinct-value scores are joined back
     on the value (AQE splits a hot value's partition)."""
     out = out or f"{col}_orq"
-    ranks = average_ranks(df, col)
-    n = df.where(F.col(col).isNotNull()).count()
-    scores = ranks.select(F.col(col).alias("__v"),
-                          ((F.col("rank_avg") - 0.5) / F.lit(float(max(n, 1)))).alias("__p"))
-    scores = scores.withColumn(out, probit("__p")).drop("__p")
-    return df.join(scores, df[col].eqNullSafe(scores["__v"]), "left").drop("__v")
+    return _attach(df, score_points(df, col).withColumnRenamed("z", out), col, out)
+
+
+def interpolate(values: DataFrame, points: DataFrame, rows_per_bucket: int | None = None) -> DataFrame:
+    """(v, z) for distinct values ``v`` by linear interpolation between the points
+    next to them; beyond the points the end scores.
+
+    Values and points are cut into buckets of the points' value range and each
+    bucket is ordered by itself; the points next to its borders come from a
+    table with one row a bucket."""
+    n = points.count()
+    cuts = value_cut_points(points, "v", _bucket_count(n, rows_per_bucket or DEFAULT_ROWS_PER_BUCKET))
+    point = F.struct(F.col("v").alias("v"), F.col("z").alias("z"))
+    marks = bucketize(points, "v", cuts, "__b").select("__b", "v", point.alias("pt"))
+    asked = bucketize(values.select("v"), "v", cuts, "__b").select("__b", "v", F.lit(None).cast(marks.schema["pt"].dataType).alias("pt"))
+    active = active_session()
+    buckets = active.range(len(cuts) + 1).select(F.col("id").cast("int").alias("__b"))
+    ends = marks.groupBy("__b").agg(F.min_by("pt", "v").alias("lo"), F.max_by("pt", "v").alias("hi"))
+    order = Window.orderBy("__b")             # at most MAX_BUCKETS rows
+    border = buckets.join(ends, "__b", "left").select(
+        "__b", F.last("hi", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("left"),
+        F.first("lo", ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing)).alias("right"))
+    inside = Window.partitionBy("__b").orderBy("v")
+    both = marks.unionByName(asked).withColumns({
+        "a": F.last("pt", ignorenulls=True).over(inside.rangeBetween(Window.unboundedPreceding, Window.currentRow)),
+        "b": F.first("pt", ignorenulls=True).over(inside.rangeBetween(Window.currentRow, Window.unboundedFollowing))})
+    both = both.where(F.col("pt").isNull())
+    both = both.join(F.broadcast(border), "__b") if cuts else \
+        both.withColumns({"left": F.lit(None).cast(marks.schema["pt"].dataType), "right": F.lit(None).cast(marks.schema["pt"].dataType)})
+    a, b = F.coalesce("a", "left"), F.coalesce("b", "right")
+    z = (F.when(a.isNull(), b["z"]).when(b.isNull() | (a["v"] == b["v"]), a["z"])
+         .otherwise(a["z"] + (b["z"] - a["z"]) * (F.col("v") - a["v"]) / (b["v"] - a["v"])))
+    return both.select("v", z.alias("z"))
 
 
 @register
 class FittedOrderedQuantile(Fitted):
-    """Replays N3 on new data by linear interpolation between stored
-    (value, score) points; values outside the fitted range get the end scores."""
+    """Replays N3 on new data: every training value has its exact score, others
+    are interpolated between their neighbours, values outside the fitted range
+    get the end scores. The state of a column is the table of its distinct
+    values and scores."""
 
     def transform(self, df):
-        for c, pts in self.params["points"].items():
-            if c not in df.columns or not pts:
+        for c in self.params["cols"]:
+            if c not in df.columns:
                 continue
-            xs = [p[0] for p in pts]
-            zs = [p[1] for p in pts]
-            if len(xs) == 1:
-                df = df.withColumn(c, F.when(F.col(c).isNotNull(), F.lit(zs[0])))
-                continue
-            b = "__orq_b"
-            df = bucketize(df, c, xs[1:-1], b)
-            x0 = F.element_at(F.array(*[F.lit(v) for v in xs[:-1]]), F.col(b) + 1)
-            x1 = F.element_at(F.array(*[F.lit(v) for v in xs[1:]]), F.col(b) + 1)
-            z0 = F.element_at(F.array(*[F.lit(v) for v in zs[:-1]]), F.col(b) + 1)
-            z1 = F.element_at(F.array(*[F.lit(v) for v in zs[1:]]), F.col(b) + 1)
-            x = F.least(F.greatest(F.col(c), F.lit(xs[0])), F.lit(xs[-1]))
-            interp = z0 + (z1 - z0) * (x - x0) / F.when(x1 == x0, F.lit(1.0)).otherwise(x1 - x0)
-            df = df.withColumn(c, F.when(F.col(c).isNotNull(), interp)).drop(b)
+            values = df.where(F.col(c).isNotNull()).select(F.col(c).cast("double").alias("v")).distinct()
+            scores = interpolate(values, self.tables[f"points_{c}"], self.params.get("rows_per_bucket"))
+            order = df.columns
+            df = _attach(df, scores, c, "z").drop(c).withColumnRenamed("z", c).select(*order)
         return df
 
 
 class OrderedQuantile(Step):
-    """N3 as a fit/transform pair; keeps at most ``max_points`` points per column
-    (exact scores at evenly spaced ranks) for replay on new data."""
+    """N3 as a fit/transform pair."""
+
+    cut_lineage = True
 
-    def __init__(self, cols: list[str], max_points: int = 1024):
-        self.cols, self.max_points = cols, max_points
+    def __init__(self, cols: list[str], rows_per_bucket: int | None = None):
+        self.cols, self.rows_per_bucket = cols, rows_per_bucket
 
     def fit(self, df):
-        points = {}
-        for c in self.cols:
-            ranks = average_ranks(df, c)
-            n = df.where(F.col(c).isNotNull()).count()
-            scored = ranks.select(F.col(c).cast("double").alias("x"), "rank_min", "rank_max",
-                                  ((F.col("rank_avg") - 0.5) / F.lit(float(max(n, 1)))).alias("p"))
-            scored = scored.withColumn("z", probit("p"))
-            step = max(1, n // self.max_points)
-            keep = scored.where(((F.col("rank_max") - 1) % step == 0) | (F.col("rank_max") == n)
-                                | (F.col("rank_min") == 1))
-            pts = sorted((r["x"], r["z"]) for r in keep.select("x", "z").collect())
-            points[c] = pts
-        return FittedOrderedQuantile({"points": points})
+        tables = {f"points_{c}": score_points(df, c).checkpoint(eager=True) for c in self.cols}
+        return FittedOrderedQuantile({"cols": self.cols, "rows_per_bucket": self.rows_per_bucket}, tables)

@@ -65,15 +65,17 @@ def level_counts(df: DataFrame, cols: list[str]) -> DataFrame:
 def top_levels(df: DataFrame, cols: list[str], k: int = 6, other: str = "(Other)",
                missing: str = "NA") -> DataFrame:
     """A3 (categorical): the k most frequent levels per column, the rest as
-    ``(Other)``, and nulls as ``NA``. Top-k uses a per-partition group limit."""
-    counts = level_counts(df, cols)
+    ``(Other)``, and nulls as ``NA``. The levels are counted once; the top k use
+    a per-partition group limit, so no task ranks all levels of a column, and
+    the rest is the column's total without them."""
+    counts = level_counts(df, cols).checkpoint(eager=True)
     known = counts.where(F.col("level").isNotNull())
     w = Window.partitionBy("variable").orderBy(F.col("n").desc(), F.col("level").asc())
-    ranked = known.withColumn("rank", F.row_number().over(w))
-    top = ranked.where(F.col("rank") <= k)
-    rest = (ranked.where(F.col("rank") > k).groupBy("variable")
-            .agg(F.sum("n").alias("n"))
-            .select("variable", F.lit(other).alias("level"), "n",
+    top = known.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    totals = known.groupBy("variable").agg(F.sum("n").alias("total"))
+    rest = (totals.join(top.groupBy("variable").agg(F.sum("n").alias("kept")), "variable")
+            .where("total > kept")
+            .select("variable", F.lit(other).alias("level"), (F.col("total") - F.col("kept")).alias("n"),
                     F.lit(k + 1).alias("rank")))
     nulls = (counts.where(F.col("level").isNull())
              .select("variable", F.lit(missing).alias("level"), "n",

@@ -17,7 +17,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 HASH_RANGE = 2 ** 32
-DEFAULT_ROWS_PER_BUCKET = 200_000
+DEFAULT_ROWS_PER_BUCKET = 2_000
+#: Cut points are literals of the plan, so their number is bounded; buckets grow beyond it.
+MAX_BUCKETS = 4096
 BROADCAST_ROW_LIMIT = 2_000_000
 
 
@@ -30,11 +32,17 @@ def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataF
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
-def _bucket_count(n_rows: int, rows_per_bucket: int) -> int:
-    return max(1, int(math.ceil(n_rows / float(rows_per_bucket))))
+def _bucket_count(n_rows: int, rows_per_bucket: int, most: int = MAX_BUCKETS) -> int:
+    return max(1, min(most, int(math.ceil(n_rows / float(rows_per_bucket)))))
 
 
-HASH_ROWS_PER_BUCKET = 1_000_000
+def _same(left: DataFrame, right: DataFrame, cols: list[str], prefix: str):
+    """Null-safe equality of ``cols`` with their renamed copies in ``right``."""
+    return [left[c].eqNullSafe(right[f"{prefix}{c}"]) for c in cols]
+
+
+HASH_ROWS_PER_BUCKET = 2_000
+MAX_HASH_BUCKETS = 65_536
 
 
 def hash_rank(df: DataFrame, partition_cols: list[str], hash_col: str, tie_col: str,
@@ -44,13 +52,13 @@ def hash_rank(df: DataFrame, partition_cols: list[str], hash_col: str, tie_col:
 
     ``hash_col`` is uniform on [0, 2^32), so bucket bounds are arithmetic and
     every stratum is split evenly, however large it is. By default the bucket
-    count follows the largest stratum (one small count per stratum), so no
-    window partition holds more than about ``HASH_ROWS_PER_BUCKET`` rows.
+    count follows the largest stratum (one small count per stratum): windows
+    hold about ``HASH_ROWS_PER_BUCKET`` rows, or a ``MAX_HASH_BUCKETS``-th of it.
     """
     if buckets is None:
         largest = df.groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("n")) \
             .agg(F.max("n")).first()[0] or 0
-        buckets = max(1, _bucket_count(largest, HASH_ROWS_PER_BUCKET))
+        buckets = _bucket_count(largest, HASH_ROWS_PER_BUCKET, MAX_HASH_BUCKETS)
     b = F.floor(F.col(hash_col) * F.lit(buckets) / F.lit(HASH_RANGE)).cast("int")
     keyed = df.withColumn("__bucket", b)
     part = [F.col(c) for c in partition_cols]
@@ -75,10 +83,11 @@ def hash_rank(df: DataFrame, partition_cols: list[str], hash_col: str, tie_col:
 
 
 def value_cut_points(df: DataFrame, order_col: str, buckets: int,
-                     accuracy: int = 10_000) -> list[float]:
+                     accuracy: int | None = None) -> list[float]:
     """Approximate equal-count cut points of ``order_col`` (one aggregate job)."""
     if buckets <= 1:
         return []
+    accuracy = accuracy or max(10_000, 25 * buckets)
     probs = [i / buckets for i in range(1, buckets)]
     row = df.agg(F.percentile_approx(F.col(order_col).cast("double"), probs,
                                      accuracy).alias("q")).first()
@@ -114,7 +123,7 @@ def prefix_sums(table: DataFrame, partition_cols: list[str], order_col: str,
     keyed = bucketize(keyed, "__ord", cuts, "__bucket")
     part = [F.col(c) for c in partition_cols]
     if not cuts:
-        # one bucket (at most rows_per_bucket rows per partition): no offsets
+        # one bucket, at most rows_per_bucket rows in all: no offsets
         w_one = Window.partitionBy(*part).orderBy("__ord") \
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         out = keyed.withColumns({f"{c}_upto": F.sum(c).over(w_one) for c in count_cols})
@@ -125,10 +134,13 @@ def prefix_sums(table: DataFrame, partition_cols: list[str], order_col: str,
     w_before = Window.partitionBy(*part).orderBy("__bucket") \
         .rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *partition_cols, "__bucket",
+        *[F.col(c).alias(f"__k_{c}") for c in partition_cols], F.col("__bucket").alias("__k_bucket"),
         *[F.coalesce(F.sum(f"__t_{c}").over(w_before), F.lit(0)).alias(f"__o_{c}")
           for c in count_cols])
-    joined = keyed.join(sized_broadcast(offsets), partition_cols + ["__bucket"])
+    off = sized_broadcast(offsets)
+    joined = keyed.join(off, [*_same(keyed, off, partition_cols, "__k_"),
+                              keyed["__bucket"].eqNullSafe(off["__k_bucket"])]) \
+        .drop("__k_bucket", *[f"__k_{c}" for c in partition_cols])
     w_in = Window.partitionBy(*part, F.col("__bucket")).orderBy("__ord") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cols = {}
@@ -160,13 +172,12 @@ def row_numbers(df: DataFrame, order_col: str, out: str = "row_number",
     n = df.count()
     buckets = _bucket_count(n, rows_per_bucket)
     cuts = value_cut_points(df, order_col, buckets)
-    if not cuts:
-        # a single bucket holds at most rows_per_bucket rows
+    if not cuts:      # at most rows_per_bucket rows
         return df.withColumn(out, F.row_number().over(Window.orderBy(order_col)))
     keyed = bucketize(df, order_col, cuts, "__bucket")
     totals = keyed.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__n"))
     w_before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    # the totals table has one row per bucket (bounded by n / rows_per_bucket)
+    # the totals table has one row per bucket (at most MAX_BUCKETS)
     offsets = totals.select("__bucket",
                             F.coalesce(F.sum("__n").over(w_before), F.lit(0)).alias("__off"))
     joined = keyed.join(sized_broadcast(offsets), "__bucket")
@@ -175,6 +186,22 @@ def row_numbers(df: DataFrame, order_col: str, out: str = "row_number",
         .drop("__bucket", "__off")
 
 
+def string_positions(table: DataFrame, group: str, value: str, parts: int | None = None) -> DataFrame:
+    """``group, value, position``: 1-based place of each distinct value among its
+    group's, in byte order. Values are range-partitioned, numbered inside their
+    partition, and shifted by the group's rows in the partitions before."""
+    spark = table.sparkSession
+    n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keyed = (table.select(group, value).distinct().repartitionByRange(n, group, value)
+             .withColumn("__p", F.spark_partition_id())).checkpoint(eager=True)
+    totals = keyed.groupBy(group, "__p").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(group).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(group, "__p", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__o"))
+    inside = Window.partitionBy(group, "__p").orderBy(value)
+    return keyed.join(offsets, [group, "__p"]).select(
+        group, value, (F.col("__o") + F.row_number().over(inside)).alias("position"))
+
+
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> dict:
     """Exact linear-interpolation quantiles (R type 7) of numeric columns.
 

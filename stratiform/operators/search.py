@@ -5,7 +5,9 @@ submits fits; all data work runs on the cluster. Per fold the recipe is
 fitted on the training part only (no leakage) and both parts are persisted
 once for all configurations. Fits of different (configuration, fold) pairs run
 concurrently from ``parallelism`` driver threads, as ``CrossValidator`` does.
-Predictions of all fits are evaluated by one grouped aggregate.
+Each fit reduces its predictions to K x K counts and a loss sum in one
+aggregate and frees its model, so the table of results is as small for 17 400
+fits as for 17; a fit that fails is recorded and the others go on.
 """
 
 from __future__ import annotations
@@ -37,7 +39,8 @@ SPACES = {
     "tree": {"maxDepth": ("int", 2, 10), "minInstancesPerNode": ("int", 1, 20),
              "minInfoGain": ("log", 1e-6, 0.1)},
     "gbt": {"maxIter": ("int", 5, 30), "maxDepth": ("int", 2, 6), "stepSize": ("log", 0.01, 0.5),
-            "minInstancesPerNode": ("int", 1, 20), "subsamplingRate": ("float", 0.5, 1.0)},
+            "minInstancesPerNode": ("int", 1, 20), "subsamplingRate": ("float", 0.5, 1.0),
+            "minInfoGain": ("log", 1e-6, 0.1), "mtry": ("int", 1, 8)},
     "c50": {"maxIter": ("int", 5, 30), "minInstancesPerNode": ("int", 1, 20),
             "subsamplingRate": ("float", 0.5, 1.0)},
     "naive_bayes": {"var_smoothing": ("log", 1e-12, 1e-3)},
@@ -92,12 +95,44 @@ def bound_by_features(params: dict, n_features: int) -> dict:
     return out
 
 
+LONG = "model string, config int, fold int, metric string, value double, duration_s double"
+
+
+def evaluate(scored: DataFrame, label: str, n_classes: int, auc: bool = False,
+             custom: dict | None = None) -> dict:
+    """Metrics of a scored frame: the confusion metrics, ``log_loss`` where there are
+    probabilities, ``roc_auc`` (Hand and Till; further jobs) if asked for, and
+    ``custom`` ones, functions of the (label, prediction, n) rows."""
+    probs = [f"prob_{i}" for i in range(n_classes)]
+    probs = probs if all(c in scored.columns for c in probs) else []
+    truth = F.col(label).cast("int")
+    loss = F.lit(None).cast("double")
+    if probs:
+        p = F.element_at(F.array(*probs), truth + 1)
+        loss = F.sum(-F.ln(F.least(F.greatest(p, F.lit(1e-15)), F.lit(1 - 1e-15))))
+    cells = scored.where(truth.isNotNull() & F.col("prediction").isNotNull()) \
+        .groupBy(truth.alias("label"), F.col("prediction").cast("int").alias("prediction")) \
+        .agg(F.count(F.lit(1)).alias("n"), loss.alias("loss")).collect()          # at most K x K rows
+    rows = [(r["label"], r["prediction"], r["n"]) for r in cells]
+    out = M.metrics_from_confusion(rows)
+    if probs and rows:
+        out["log_loss"] = sum(r["loss"] for r in cells) / sum(r["n"] for r in cells)
+        if auc:
+            out["roc_auc"] = M.hand_till_auc(scored.select(truth.alias("label"), *probs), probs, "label")
+    for name, fn in (custom or {}).items():
+        out[name] = fn(rows)
+    return out
+
+
 def cross_validate(df: DataFrame, fold_col: str, features: list[str] | None, label: str,
                    candidates: list[tuple[str, str, dict]], recipe_factory=None,
-                   parallelism: int = 4, key: str = "row_id") -> tuple[DataFrame, list[dict]]:
+                   parallelism: int = 4, key: str = "row_id", auc: bool = False,
+                   custom: dict | None = None) -> tuple[DataFrame, list[dict]]:
     """H4/H5: evaluate (model name, model kind, params) candidates on every
-    fold. Returns the long metric table (model, config, fold, metric, value)
-    and the per-fit durations (H8)."""
+    fold. Returns the long table (model, config, fold, metric, value,
+    duration_s) and one record per fit with its duration (H8) and, for a fit
+    that failed, the error; failed fits have no metric rows. ``auc`` and
+    ``custom`` (Z4) are passed to ``evaluate``."""
     folds = sorted(r[0] for r in df.select(fold_col).distinct().collect())  # k values
     prepared, fold_features, fold_rows, fold_top = {}, {}, {}, {}
 
@@ -135,23 +170,24 @@ def cross_validate(df: DataFrame, fold_col: str, features: list[str] | None, lab
     def run(task):
         name, ci, kind, params, f = task
         train, valid = prepared[f]
-        t0 = time.time()
+        t0, record = time.time(), {"model": name, "config": ci, "fold": f, "error": None}
         feats = fold_features[f]
-        model = Classifier(kind, feats, label, bound_by_features(params, len(feats)),
-                           n_classes=n_classes, rows=fold_rows[f]).fit(train)
-        durations.append({"model": name, "config": ci, "fold": f, "duration_s": time.time() - t0})
-        pred = model.transform(valid).select(
-            F.lit(name).alias("model"), F.lit(ci).alias("config"), F.lit(f).cast("int").alias("fold"),
-            F.col(label).cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"))
-        return pred
+        try:
+            model = Classifier(kind, feats, label, bound_by_features(params, len(feats)),
+                               n_classes=n_classes, rows=fold_rows[f]).fit(train)
+            found = evaluate(model.transform(valid), label, n_classes, auc, custom)
+        except Exception as e:      # one configuration must not end a search of thousands
+            found, record["error"] = {}, f"{type(e).__name__}: {e}"[:500]
+        record["duration_s"] = time.time() - t0
+        return record, [(name, ci, int(f), m, None if v is None else float(v), record["duration_s"]) for m, v in found.items()]
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        preds = list(pool.map(run, tasks))
-    allp = preds[0]
-    for p in preds[1:]:
-        allp = allp.unionByName(p)
-    long = M.grouped_metrics(allp, ["model", "config", "fold"])
-    return long, durations
+        done = list(pool.map(run, tasks))
+    records = [r for r, _ in done]
+    if all(r["error"] for r in records):
+        raise RuntimeError(f"every fit failed, the first with {records[0]['error']}")
+    spark = df.sparkSession
+    return spark.createDataFrame([row for _, rows in done for row in rows], LONG), records
 
 
 def summarise(long: DataFrame) -> DataFrame:
@@ -174,8 +210,5 @@ def finalize(train: DataFrame, test: DataFrame, features: list[str] | None, labe
         test = fitted.transform(test)
     features = features or [c for c in train.columns if c not in (key, label)]
     model = Classifier(kind, features, label, bound_by_features(params, len(features))).fit(train)
-    scored = model.transform(test)
-    rows = [(r["label"], r["prediction"], r["n"]) for r in
-            M.confusion(scored.select(F.col(label).cast("int").alias("label"),
-                                      F.col("prediction").cast("int").alias("prediction"))).collect()]
-    return fitted, model, M.metrics_from_confusion(rows)
+    n_classes = int(model.params["n_classes"])
+    return fitted, model, evaluate(model.transform(test), label, n_classes, auc=True)

@@ -14,7 +14,6 @@ from ..session import active_session
 
 
 WIDE_STATS = 24
-_NUMERIC = ("double", "float", "int", "bigint", "smallint", "tinyint")
 
 
 def wide_stats(df: DataFrame, cols: list[str]) -> dict:
@@ -58,11 +57,8 @@ def wide_stats(df: DataFrame, cols: list[str]) -> dict:
 
 
 def constant_columns(df: DataFrame, cols: list[str]) -> list[tuple[str, bool]]:
-    """A column is constant when all its non-null values are equal (min = max)."""
-    types = dict((f.name, f.dataType.simpleString()) for f in df.schema.fields)
-    if len(cols) > WIDE_STATS and all(types.get(c) in _NUMERIC for c in cols):
-        st = wide_stats(df, cols)
-        return [(c, st[c]["min"] is None or st[c]["min"] == st[c]["max"]) for c in cols]
+    """A column is constant when all its non-null values are equal (min = max,
+    compared in the column's own type)."""
     row = df.agg(*[F.min(c).alias(f"{c}__lo") for c in cols],
                  *[F.max(c).alias(f"{c}__hi") for c in cols]).first()
     return [(c, row[f"{c}__lo"] is None or row[f"{c}__lo"] == row[f"{c}__hi"]) for c in cols]
@@ -109,27 +105,65 @@ def pair_correlation_value(row, i: int, prefix: str = ""):
     return max(-1.0, min(1.0, cv / (sa * sb)))
 
 
+def gram_sums(df: DataFrame, cols: list[str], centre: list[float]):
+    """Pairwise sums over rows where both columns are present, as p x p arrays:
+    count, sum of the first, sum of its square, and of the product.
+
+    Each task multiplies its batches with numpy and sends one row per column;
+    those are added per column in two steps, so no task and not the driver
+    gets more than p numbers a column from a bounded number of senders."""
+    import numpy as np
+    import pyarrow as pa
+
+    p, mid = len(cols), np.array(centre)
+
+    def partial(batches):
+        total = np.zeros((4, p, p))
+        for batch in batches:
+            x = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in cols], axis=1) - mid
+            here = ~np.isnan(x)
+            x, m = np.where(here, x, 0.0), here.astype(float)
+            total += np.stack([m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x])
+        yield pa.record_batch([pa.array(range(p), pa.int32()),
+                               pa.array(list(total.transpose(1, 0, 2).reshape(p, -1)), pa.list_(pa.float64()))],
+                              names=["i", "v"])
+
+    def add(table):
+        total = sum(np.asarray(v.values) for v in table["v"].combine_chunks())
+        return pa.table({"i": table["i"].slice(0, 1), "v": pa.array([total], pa.list_(pa.float64()))})
+    parts = df.select(*[F.col(c).cast("double").alias(c) for c in cols]) \
+        .mapInArrow(partial, "i int, v array<double>").withColumn("part", F.spark_partition_id() % 64)
+    some = parts.groupBy("i", "part").applyInArrow(add, "i int, v array<double>")
+    rows = some.groupBy("i").applyInArrow(add, "i int, v array<double>").collect()   # p rows
+    out = np.zeros((4, p, p))
+    for r in rows:
+        out[:, r["i"], :] = np.array(r["v"]).reshape(4, p)
+    return out
+
+
 def correlation_matrix(df: DataFrame, cols: list[str]) -> dict:
-    """Pearson correlations in one aggregate pass.
+    """Pearson correlations over the rows where both columns are present, at
+    every width; None where one of them does not vary.
 
-    Up to ``WIDE`` columns: one ``corr`` aggregate per pair, pairwise-complete
-    over nulls. Wider: the Gram matrix of the assembled vector in one tree
-    aggregate (``Correlation.corr``) over complete rows; only p x p numbers
-    reach the driver."""
+    Few columns use plain aggregates, one set a pair. Many columns use Gram
+    sums of values and presence masks around the column means (matrix products
+    in each task); only p x p numbers reach the driver either way."""
     pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
     if not pairs:
         return {}
-    if len(cols) > WIDE:
-        from pyspark.ml.feature import VectorAssembler
-        from pyspark.ml.stat import Correlation
-        vec = VectorAssembler(inputCols=cols, outputCol="__v", handleInvalid="skip") \
-            .transform(df.select(*[F.col(c).cast("double") for c in cols]))
-        m = Correlation.corr(vec, "__v", "pearson").first()[0].toArray()
-        return {(cols[i], cols[j]): (None if m[i, j] != m[i, j] else float(m[i, j]))
-                for i, j in pairs}
     named = [(cols[i], cols[j]) for i, j in pairs]
-    row = df.agg(*pair_correlation_aggs(named)).first()
-    return {named[n]: pair_correlation_value(row, n) for n in range(len(named))}
+    if len(cols) <= WIDE:
+        row = df.agg(*pair_correlation_aggs(named)).first()
+        return {named[n]: pair_correlation_value(row, n) for n in range(len(named))}
+    import numpy as np
+    means = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    n, s, q, xy = gram_sums(df, cols, [m or 0.0 for m in means])
+    with np.errstate(divide="ignore", invalid="ignore"):
+        var = q - s * s / n                       # of the row's column over the pair's rows
+        r = (xy - s * s.T / n) / np.sqrt(var * var.T)
+        flat = (var <= 1e-12 * np.maximum(q, 1e-300)) | (n < 1)
+    r[flat | flat.T] = np.nan
+    return {(cols[i], cols[j]): None if np.isnan(r[i, j]) else float(np.clip(r[i, j], -1, 1)) for i, j in pairs}
 
 
 def correlated_to_drop(cols: list[str], corr: dict, threshold: float = 0.75,

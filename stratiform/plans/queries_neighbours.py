@@ -79,7 +79,36 @@ def _nearmiss_sql():
                   "(SELECT n_min FROM mn)) UNION ALL SELECT row_id, label FROM kept", ctes)
 
 
+# two coordinates; a ninth of the rows of the larger classes has neither, another part only one
+_SPARSE = ("SELECT row_id, label, CASE WHEN label <> 1 AND (row_id % 9 = 0 OR row_id % 5 = 1) THEN NULL ELSE x0 END AS x0, "
+           "CASE WHEN label <> 1 AND row_id % 9 = 0 THEN NULL ELSE x1 END AS x1 FROM ")
+
+
+def q_nearmiss_nulls(spark, sf):
+    """Rows without a coordinate in common with any minority row come last, so that
+    every larger class still keeps as many rows as the smallest has."""
+    v = spark.sql(_SPARSE + "{vec}", vec=vec(spark, sf))
+    return nearmiss(v, ["x0", "x1"], "label", "row_id", k=3).select("row_id", "label")
+
+
+def _nearmiss_nulls_sql():
+    n = "((a.x0 IS NOT NULL AND b.x0 IS NOT NULL)::INT + (a.x1 IS NOT NULL AND b.x1 IS NOT NULL)::INT)"
+    sq = "(coalesce((a.x0 - b.x0) * (a.x0 - b.x0), 0) + coalesce((a.x1 - b.x1) * (a.x1 - b.x1), 0))"
+    ctes = ("sp AS (" + _SPARSE + "vec), cc AS (SELECT label, count(*) AS n FROM sp GROUP BY label), "
+            "mn AS (SELECT min(n) AS n_min FROM cc), minc AS (SELECT min(label) AS c FROM cc WHERE n = (SELECT n_min FROM mn)), "
+            "big AS (SELECT * FROM sp WHERE label IN (SELECT label FROM cc WHERE n > (SELECT n_min FROM mn))), "
+            f"pr AS (SELECT a.row_id, b.row_id AS rid, sqrt(2.0 / {n} * {sq}) AS dist FROM big a "
+            f"CROSS JOIN (SELECT * FROM sp WHERE label = (SELECT c FROM minc)) b WHERE {n} > 0), "
+            "k3 AS (SELECT row_id, round(avg(dist), 9) AS m FROM (SELECT *, row_number() OVER "
+            "(PARTITION BY row_id ORDER BY round(dist, 9), rid) AS rn FROM pr) WHERE rn <= 3 GROUP BY row_id), "
+            "kept AS (SELECT row_id, label FROM (SELECT big.row_id, big.label, row_number() OVER (PARTITION BY big.label "
+            "ORDER BY k3.m NULLS LAST, big.row_id) AS r FROM big LEFT JOIN k3 ON big.row_id = k3.row_id) WHERE r <= (SELECT n_min FROM mn))")
+    return oracle("SELECT row_id, label FROM sp WHERE label IN (SELECT label FROM cc WHERE n = "
+                  "(SELECT n_min FROM mn)) UNION ALL SELECT row_id, label FROM kept", ctes)
+
+
 QUERIES = {
+    "nearmiss_nulls": (q_nearmiss_nulls, _nearmiss_nulls_sql()),
     "impute_knn": (q_impute_knn, _knn_sql()),
     "impute_knn_sparse_rows": (q_impute_knn_sparse_rows, _knn_sql(0.3)),
     "nearmiss": (q_nearmiss, _nearmiss_sql()),

@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 
 from ..functions import vocab
 from ..operators import recode as R
-from ..operators.encode import Dummy, OneHot
+from ..operators.encode import Dummy, Factor, OneHot, SparseOneHot
 from ..operators.impute import MeanImputer, MedianImputer, ModeImputer
-from ..operators.normalize import Log1p, LogShift, ZScore, ordered_quantile_scores
+from ..operators.normalize import Log1p, LogShift, OrderedQuantile, ZScore, ordered_quantile_scores
 from ..operators.profile import (correlation_long, histogram, level_counts, numeric_summary,
                                  top_levels)
 from ..operators.select import constant_columns, correlation_decisions
-from ..sources.tables import obs
+from ..sources.tables import obs, vec
 from .common import HARMONISED_OBS, oracle, rounded
 
 NUM4 = ["pulse", "rectal_temp", "respiratory_rate", "total_protein"]
@@ -311,7 +311,92 @@ def _orq_sql():
                   "LEFT JOIN z_rectal_temp ON obs.row_id = z_rectal_temp.row_id", ", ".join(ctes))
 
 
+# ---- X2 beyond the plain-aggregate width, with nulls: pairwise-complete like every width
+WIDE_COLS = [f"w{i}" for i in range(32)]
+
+
+def _wide_select(get_null) -> str:
+    cols = [f"CASE WHEN row_id * {i + 3} % {7 + i % 5} = 0 THEN NULL ELSE "
+            + (f"x0 * 0.9e0 + x{i} * 0.1e0" if i in (9, 20, 31) else f"x{i}") + f" END AS w{i}" for i in range(32)]
+    return "SELECT row_id, " + ", ".join(cols) + " FROM " + get_null
+
+
+def q_drop_correlated_wide(spark, sf):
+    wide = spark.sql(_wide_select("{vec}"), vec=vec(spark, sf))
+    return correlation_decisions(wide, WIDE_COLS, threshold=0.75)
+
+
+def _drop_wide_sql():
+    parts = [f"SELECT '{WIDE_COLS[0]}' AS \"column\", CAST(NULL AS DOUBLE) AS max_abs_r_earlier, true AS keep"]
+    for j in range(1, 32):
+        m = "greatest(" + ", ".join(f"abs(corr(w{i}, w{j}))" for i in range(j)) + ")"
+        parts.append(f"SELECT 'w{j}', round({m}, 6), NOT coalesce({m} > 0.75, false) FROM wide")
+    return oracle(" UNION ALL ".join(parts), "wide AS (" + _wide_select("vec") + ")")
+
+
+# ---- P9, E1 with very many levels: none is cut off
+_MANY = "SELECT row_id, CASE WHEN row_id % 11 = 0 THEN NULL ELSE concat('L', CAST(row_id * 7919 % 3001 AS STRING)) END AS level FROM "
+
+
+def q_factor_many_levels(spark, sf):
+    df = spark.sql(_MANY + "{obs}", obs=obs(spark, sf))
+    return Factor(["level"]).fit(df).transform(df).select("row_id", "level", "level_index")
+
+
+SQL_FACTOR_MANY = oracle(
+    "SELECT many.row_id, many.level, CAST(c.code AS INTEGER) AS level_index FROM many LEFT JOIN "
+    "(SELECT level, row_number() OVER (ORDER BY level) - 1 AS code FROM (SELECT DISTINCT level FROM many WHERE level IS NOT NULL)) c "
+    "ON many.level = c.level", "many AS (" + _MANY + "obs)")
+
+
+def q_one_hot_many_levels(spark, sf):
+    """E1 as a sparse vector, fitted on three rows of four: slot of each row's level, -1 for none."""
+    from pyspark.ml.functions import vector_to_array
+    df = spark.sql(_MANY + "{obs}", obs=obs(spark, sf))
+    fitted = SparseOneHot(["level"], drop_input=False).fit(df.where("row_id % 4 <> 0"))
+    slots = vector_to_array("level_vec")
+    return fitted.transform(df).select("row_id", (F.array_position(slots, F.lit(1.0)) - 1).cast("int").alias("slot"),
+                                       F.size(slots).alias("width"))
+
+
+SQL_ONE_HOT_MANY = oracle(
+    "SELECT many.row_id, CAST(coalesce(c.code, -1) AS INTEGER) AS slot, CAST((SELECT count(*) FROM codes_) AS INTEGER) AS width "
+    "FROM many LEFT JOIN codes_ c ON many.level = c.level",
+    "many AS (" + _MANY + "obs), codes_ AS (SELECT level, row_number() OVER (ORDER BY level) - 1 AS code FROM "
+    "(SELECT DISTINCT level FROM many WHERE level IS NOT NULL AND row_id % 4 <> 0))")
+
+
+# ---- N3 fitted on one part and replayed on all rows
+ORQ = ["pulse", "rectal_temp"]
+
+
+def q_ordered_quantile_replay(spark, sf):
+    o = obs(spark, sf).select("row_id", *ORQ)
+    fitted = OrderedQuantile(ORQ).fit(o.where("row_id % 3 <> 0"))
+    return fitted.transform(o).select("row_id", *rounded(*ORQ))
+
+
+def _orq_replay_sql():
+    from ..functions.columns import probit_sql
+    ctes, sel, joins = [], [], ""
+    for c in ORQ:
+        ctes.append(f"t_{c} AS (SELECT {c} AS x, count(*) AS k FROM obs WHERE {c} IS NOT NULL AND row_id % 3 <> 0 GROUP BY {c}), "
+                    f"u_{c} AS (SELECT x, (2 * sum(k) OVER (ORDER BY x) - k + 1) / 2.0 AS rk, sum(k) OVER () AS n FROM t_{c}), "
+                    f"p_{c} AS (SELECT x, {probit_sql('((rk - 0.5) / n)')} AS z FROM u_{c}), "
+                    f"v_{c} AS (SELECT v, (SELECT max(x) FROM p_{c} WHERE x <= v) AS lo, (SELECT min(x) FROM p_{c} WHERE x >= v) AS hi "
+                    f"FROM (SELECT DISTINCT {c} AS v FROM obs WHERE {c} IS NOT NULL)), "
+                    f"s_{c} AS (SELECT v, CASE WHEN lo IS NULL THEN b.z WHEN hi IS NULL OR lo = hi THEN a.z "
+                    f"ELSE a.z + (b.z - a.z) * (v - lo) / (hi - lo) END AS z FROM v_{c} LEFT JOIN p_{c} a ON a.x = lo LEFT JOIN p_{c} b ON b.x = hi)")
+        sel.append(f"round(s_{c}.z, 6) AS {c}")
+        joins += f" LEFT JOIN s_{c} ON obs.{c} = s_{c}.v"
+    return oracle("SELECT obs.row_id, " + ", ".join(sel) + " FROM obs" + joins, ", ".join(ctes))
+
+
 QUERIES = {
+    "drop_correlated_wide": (q_drop_correlated_wide, _drop_wide_sql()),
+    "factor_many_levels": (q_factor_many_levels, SQL_FACTOR_MANY),
+    "one_hot_many_levels": (q_one_hot_many_levels, SQL_ONE_HOT_MANY),
+    "ordered_quantile_replay": (q_ordered_quantile_replay, _orq_replay_sql()),
     "level_frequency": (q_level_frequency, SQL_LEVEL_FREQ),
     "profile_numeric": (q_profile_numeric, SQL_PROFILE_NUM),
     "profile_levels": (q_profile_levels, SQL_PROFILE_LEVELS),

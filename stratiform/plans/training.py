@@ -6,10 +6,10 @@ imputation of categorical columns -> distinct rows (train only) -> one-hot ->
 drop constant -> drop correlated -> log1p on skewed columns -> z-score ->
 outcome codes last. Every step is fitted on the training rows only.
 
-Scale choice (design D6): one-hot keeps the ``max_levels`` most frequent
-levels per column (default 64); rarer levels encode as all zeros. An
-identifier-like column such as ``hospital_number`` would otherwise add one
-column per distinct value, and every later statistic grows with p^2.
+No level is cut off: columns named in ``identifiers`` (by default the hospital
+number, whose levels grow with the data) become one sparse vector with a slot
+for every training level, the others one column per level. The imputers and the
+skew transform are options, as the studied variants differ in them.
 """
 
 from __future__ import annotations
@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame
 
 from ..functions import vocab
 from ..operators.base import Recipe
-from ..operators.encode import OneHot
-from ..operators.impute import KNNImputer, ModeImputer
-from ..operators.normalize import Log1p, ZScore
+from ..operators.encode import OneHot, SparseOneHot
+from ..operators.impute import KNNImputer, MeanImputer, MedianImputer, ModeImputer
+from ..operators.normalize import Log1p, LogShift, OrderedQuantile, ZScore
 from ..operators.recode import (DropDuplicates, Harmonise, LesionFeatures, OutcomeCodes,
                                 UnseenFallback)
 from ..operators.select import DropConstant, DropCorrelated
@@ -44,8 +44,8 @@ def roles(df: DataFrame, label: str = "outcome", key: str = "row_id",
 class _Indicators(OneHot):
     """One-hot over the categorical columns known at fit time."""
 
-    def __init__(self, cats_fn, max_levels):
-        super().__init__([], max_levels=max_levels)
+    def __init__(self, cats_fn):
+        super().__init__([])
         self.cats_fn = cats_fn
 
     def fit(self, df):
@@ -64,9 +64,18 @@ class _Later:
         return self.make(df).fit(df)
 
 
+#: Numeric imputers: exact neighbours, medians or means of numbers and category codes.
+IMPUTERS = ("knn", "median", "mean")
+#: Skew transforms: ln(1 + x), ln(x + C), ordered quantiles, or none.
+SKEW = ("log1p", "log_shift", "ordered_quantile", "none")
+
+
 def clinical_recipe(num_cols: list[str], cat_cols: list[str], label: str = "outcome",
                     key: str = "row_id", k: int = 10, corr_threshold: float = 0.75,
-                    max_levels: int = 64) -> Recipe:
+                    impute: str = "knn", skew: str = "log1p",
+                    identifiers: tuple = ("hospital_number",)) -> Recipe:
+    if impute not in IMPUTERS or skew not in SKEW:
+        raise ValueError(f"impute must be one of {IMPUTERS}, skew one of {SKEW}")
     lesion_cols = [c for c in ("lesion_1", "lesion_2", "lesion_3") if c in num_cols + cat_cols]
     num = [c for c in num_cols if c not in lesion_cols] + (["num_lesions"] if lesion_cols else [])
     cats = [c for c in cat_cols if c not in lesion_cols] + \
@@ -76,15 +85,23 @@ def clinical_recipe(num_cols: list[str], cat_cols: list[str], label: str = "outc
         steps.append(LesionFeatures(lesion_cols))
     if "hospital_number" in cats:
         steps.append(UnseenFallback("hospital_number"))
-    steps += [KNNImputer(num, k=k, key=key), DropDuplicates(key), ModeImputer(cats),
-              DropDuplicates(key), _Indicators(lambda df: cats, max_levels)]
+    imputer = KNNImputer(num, k=k, key=key) if impute == "knn" else \
+        MedianImputer(num) if impute == "median" else MeanImputer(num)
+    ids = [c for c in cats if c in identifiers]
+    steps += [imputer, DropDuplicates(key), ModeImputer(cats), DropDuplicates(key),
+              _Indicators(lambda df: [c for c in cats if c not in ids])]
+    if ids:
+        steps.append(SparseOneHot(ids))
 
     def features_now(df):
-        return [c for c in df.columns if c not in (key, label)]
+        return [c for c in df.columns if c not in (key, label) and c not in [f"{i}_vec" for i in ids]]
 
     steps.append(_Later(lambda df: DropConstant(features_now(df))))
     steps.append(_Later(lambda df: DropCorrelated(features_now(df), corr_threshold, "upper")))
-    steps.append(Log1p([c for c in vocab.SKEWED_COLUMNS if c in num]))
+    skewed = [c for c in vocab.SKEWED_COLUMNS if c in num]
+    if skew != "none":
+        steps.append(_Later(lambda df: {"log1p": Log1p, "log_shift": LogShift, "ordered_quantile": OrderedQuantile}[skew](
+            [c for c in skewed if c in df.columns])))
     steps.append(_Later(lambda df: ZScore(features_now(df))))
     steps.append(OutcomeCodes(label))
     return Recipe(steps)

@@ -50,23 +50,18 @@ SELECT p_partkey AS row_id,
 FROM {part}
 """
 
-# --- F3: eight features, three classes (list access differs by engine)
-_VEC_SQL = """
-SELECT vec_id AS row_id,
-  CAST({get}(embedding, 1) AS DOUBLE) + CASE WHEN label IN (5, 6) THEN 0.2e0 ELSE 0.0e0 END AS x0,
-  CAST({get}(embedding, 2) AS DOUBLE) + CASE WHEN label > 6 THEN 0.2e0 ELSE 0.0e0 END AS x1,
-  CAST({get}(embedding, 3) AS DOUBLE) AS x2,
-  CAST({get}(embedding, 4) AS DOUBLE) AS x3,
-  CAST({get}(embedding, 5) AS DOUBLE) AS x4,
-  CAST({get}(embedding, 6) AS DOUBLE) AS x5,
-  CAST({get}(embedding, 7) AS DOUBLE) AS x6,
-  CAST({get}(embedding, 8) AS DOUBLE) AS x7,
-  CASE WHEN label < 5 THEN 0 WHEN label < 7 THEN 1 ELSE 2 END AS label
+# --- F3: all 64 coordinates of the embedding, three classes (list access differs by engine);
+# classes 1 and 2 are shifted by 0.2 on x0 and x1
+VEC_WIDTH = 64
+_SHIFT = {0: " + CASE WHEN label IN (5, 6) THEN 0.2e0 ELSE 0.0e0 END", 1: " + CASE WHEN label > 6 THEN 0.2e0 ELSE 0.0e0 END"}
+_VEC_SQL = "SELECT vec_id AS row_id,\n" + "".join(
+    f"  CAST({{get}}(embedding, {i + 1}) AS DOUBLE){_SHIFT.get(i, '')} AS x{i},\n" for i in range(VEC_WIDTH)
+) + """  CASE WHEN label < 5 THEN 0 WHEN label < 7 THEN 1 ELSE 2 END AS label
 FROM {{embeddings}}
 """
 VEC_SQL_SPARK = _VEC_SQL.format(get="element_at")
 VEC_SQL_DUCKDB = _VEC_SQL.format(get="list_extract")
-VEC_FEATURES = [f"x{i}" for i in range(8)]
+VEC_FEATURES = [f"x{i}" for i in range(VEC_WIDTH)]
 
 # --- F4: labels, predictions and class probabilities
 PRED_SQL = """
