@@ -5,10 +5,11 @@ both rows, d = sqrt(p / |C| * sum_{j in C} (x_j - y_j)^2); rows with no common
 coordinate are not neighbours. Because p / |C| >= 1, d >= |x_a - y_a| for every
 common coordinate a, which gives an exact band filter:
 
-* a *band* is one or two coordinates (axes). The first band pairs the most
-  present coordinate with the one of largest spread left after removing its
-  correlation with the first; then every coordinate follows as a one-axis
-  band. A pair of rows belongs to the first band whose axes both rows have,
+* a *band* is one or two coordinates (axes). Coordinates are ordered by how
+  many cells they can make (distinct values, up to the square root of the
+  rows), then by presence and spread. The first band pairs the first with the
+  one of largest spread left after removing their correlation; then every
+  coordinate follows as a one-axis band. A pair of rows belongs to the first band whose axes both rows have,
   so every pair with a defined distance belongs to exactly one band;
 * reference rows are cut into equal-count cells on the band's axes;
 * pass 1 joins every query to the few cells around its own value that hold
@@ -103,12 +104,16 @@ def _choose_bands(r: DataFrame, features: list[str], two_axes: bool):
     from .select import pair_correlation_aggs, pair_correlation_value
     stats = r.agg(*[F.count(f"r_{f}").alias(f"n_{f}") for f in features],
                   *[F.stddev_pop(f"r_{f}").alias(f"s_{f}") for f in features],
+                  *[F.approx_count_distinct(f"r_{f}").alias(f"d_{f}") for f in features],
                   *pair_correlation_aggs([(f"r_{a}", f"r_{b}") for a, b in pairs], "pc_")).first()
     pair_index = {pair: n for n, pair in enumerate(pairs)}
     present = {f: stats[f"n_{f}"] for f in features}
     spread = {f: stats[f"s_{f}"] or 0.0 for f in features}
+    # A column with few values makes few, large cells, however often it is present:
+    # the most selective columns own the pairs, up to the point where cells are small anyway.
+    fine = math.sqrt(max(present.values(), default=0) or 1)
     order = sorted([f for f in features if present[f] > 0],
-                   key=lambda f: (-present[f], -spread[f]))
+                   key=lambda f: (-min(stats[f"d_{f}"], fine), -present[f], -spread[f]))
     bands = [(g,) for g in order]
     if two_axes and len(order) > 1 and spread[order[0]] > 0:
         g = order[0]

@@ -25,14 +25,31 @@ def q_impute_knn_sparse_rows(spark, sf):
     return out.select("row_id", *rounded(*IMPUTED))
 
 
-def _knn_sql(max_missing=None):
-    p = len(KNN_COLS)
-    present = [f"(q.{c} IS NOT NULL AND d.{c} IS NOT NULL)" for c in KNN_COLS]
+# the only column without nulls has four values, as in the studied schema
+LOW_CARD = ["pulse", "rectal_temp", "respiratory_rate", "n_sites"]
+_LOW_CARD = "SELECT row_id, pulse, rectal_temp, respiratory_rate, CAST(row_id * 31 % 4 AS DOUBLE) AS n_sites FROM "
+
+
+def q_impute_knn_low_card(spark, sf):
+    o = spark.sql(_LOW_CARD + "{obs}", obs=obs(spark, sf))
+    out = KNNImputer(LOW_CARD, k=10, key="row_id").fit(o).transform(o)
+    return out.select("row_id", *rounded(*IMPUTED))
+
+
+def _knn_sql(max_missing=None, cols=KNN_COLS, source=None):
+    sql = _knn_obs_sql(max_missing, cols)
+    return sql if source is None else sql.replace("FROM obs", "FROM src").replace("JOIN obs d", "JOIN src d") \
+        .replace("obs.", "src.").replace(", q AS (", f", src AS ({source} obs), q AS (", 1)
+
+
+def _knn_obs_sql(max_missing, cols):
+    p = len(cols)
+    present = [f"(q.{c} IS NOT NULL AND d.{c} IS NOT NULL)" for c in cols]
     cnt = " + ".join(f"{x}::INT" for x in present)
     sq = " + ".join(f"CASE WHEN {x} THEN (q.{c} - d.{c}) * (q.{c} - d.{c}) ELSE 0 END"
-                    for x, c in zip(present, KNN_COLS))
+                    for x, c in zip(present, cols))
     any_null = " OR ".join(f"{c} IS NULL" for c in IMPUTED)
-    share = "(" + " + ".join(f"({c} IS NULL)::INT" for c in KNN_COLS) + f") / {float(p)}"
+    share = "(" + " + ".join(f"({c} IS NULL)::INT" for c in cols) + f") / {float(p)}"
     if max_missing is not None:
         any_null = f"({any_null}) AND {share} <= {max_missing}"
     targets = " UNION ALL ".join(
@@ -110,6 +127,7 @@ def _nearmiss_nulls_sql():
 QUERIES = {
     "nearmiss_nulls": (q_nearmiss_nulls, _nearmiss_nulls_sql()),
     "impute_knn": (q_impute_knn, _knn_sql()),
+    "impute_knn_low_card_axis": (q_impute_knn_low_card, _knn_sql(None, LOW_CARD, _LOW_CARD)),
     "impute_knn_sparse_rows": (q_impute_knn_sparse_rows, _knn_sql(0.3)),
     "nearmiss": (q_nearmiss, _nearmiss_sql()),
 }

@@ -7,7 +7,7 @@ import __spark_entry__ as E
 
 from conftest import SMALL
 
-FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"]
+FORBIDDEN = ["FlatMapGroupsInPandas", "CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"]
 QUERIES = ["class_balance_flagship", "distinct_rows", "unseen_level_fallback", "stratified_folds",
            "hand_till_auc", "ordered_quantile", "profile_numeric", "impute_knn", "nearmiss",
            "partitioned_rows", "lesion_max_site", "one_hot"]
