@@ -13,6 +13,7 @@ from ..session import scratch_path
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the input folder, read by Spark (any file system it knows)."""
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -22,6 +23,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage, survives lost executors and makes row ids made by
     ``monotonically_increasing_id`` stable."""
     spark = df.sparkSession
+    bound_batches(spark)
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -36,9 +38,23 @@ def drop_stored(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+#: Largest batch that goes to a Python worker. Rows are whole texts, so rows alone bound nothing.
+BATCH_BYTES = 6 << 20
+_BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Hold the session's Arrow batches to ``BATCH_BYTES``; a smaller setting stays."""
+    held = spark.conf.get(_BATCH_KEY, None)
+    if held is None or not held.isdigit() or int(held) > BATCH_BYTES or int(held) <= 0:
+        spark.conf.set(_BATCH_KEY, str(BATCH_BYTES))
+
+
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None],
               schema: str) -> DataFrame:
     """``mapInArrow`` with a function of one batch; empty results are skipped."""
+    bound_batches(df.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:

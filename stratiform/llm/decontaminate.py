@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, stored, utf8_bytes
+from .common import arrow_map, bound_batches, stored, utf8_bytes
 from .textkit import LOWER, Chunk, Words, chunks, lookup, window_hashes
 
 WINDOW = 13
@@ -104,6 +104,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_ke
     """``docs`` with a struct column ``into``: ``n_words``, ``spans`` (byte
     ranges [from, to) of hit word runs in the text's UTF-8, merged) with the
     words each holds, and ``items``. A column of that name is replaced."""
+    bound_batches(docs.sparkSession)
     docs = docs.drop(into)
     spark, kind = docs.sparkSession, "n_words:bigint,spans:array<struct<a:int,b:int,first:int,words:int>>,items:array<string>"
     out, first = docs.withColumn(into, F.lit(None).cast(f"struct<{kind}>")), True

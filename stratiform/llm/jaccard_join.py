@@ -47,7 +47,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import BATCH_BYTES, bound_batches, stored
 from .components import components
 from .textkit import LOWER, NON_SPACE, Words, chunks, window_hashes
 
@@ -61,7 +61,7 @@ HOT_TIMES, HOT = 8, 1 << 20
 #: Entries of short lists a task merges, and pairs it holds before it counts them.
 POSTINGS, PAIRS = 1_500_000, 2_000_000
 #: Text whose shingles a worker holds at a time.
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = BATCH_BYTES
 STARS = 4
 
 
@@ -354,6 +354,7 @@ def _hot_candidates(rich: DataFrame, linked: DataFrame) -> DataFrame:
 
 def link_components(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
+    bound_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     scanned = scan_classes(docs)
     hot = hot_shingles(scanned)

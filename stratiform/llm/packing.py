@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import bound_batches, stored
 from .tokens import VOCABULARY, encoder, ragged, tokenizer_path
 
 WINDOW = 1024
@@ -184,6 +184,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str |
     ``targets`` maps sources to shares of each window (sum at most 1); the
     others divide what is left. Without it every source gets its own share of
     all ids, and all queues end together."""
+    bound_batches(docs.sparkSession)
     ids = tokenized(docs, key, text, source, vocabulary_path or tokenizer_path(VOCABULARY))
     spark = docs.sparkSession
     schedule, offsets = schedule_of(ids, targets, window, packet)
