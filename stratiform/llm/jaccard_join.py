@@ -262,6 +262,12 @@ def _bitmap(cids: DataFrame) -> np.ndarray:
     return np.packbits(out.reshape(-1))
 
 
+def _in_bitmap(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Whether the bit of each int64 key is set."""
+    at = np.mod(key, 1024) * 65536 + np.mod(key >> 10, 65536)
+    return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+
+
 def _sets_of(docs: DataFrame, cids: DataFrame) -> DataFrame:
     """``cid, shingles`` (packed sorted hashes) of the wanted classes."""
     wanted = docs.sparkSession.sparkContext.broadcast(_bitmap(cids))
@@ -269,8 +275,7 @@ def _sets_of(docs: DataFrame, cids: DataFrame) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = Sets(batch.column("text"))
         key = sets.key
-        at = np.mod(key, 1024) * 65536 + np.mod(key >> 10, 65536)
-        hit = np.flatnonzero(sets.first & (wanted.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool))
+        hit = np.flatnonzero(sets.first & _in_bitmap(wanted.value, key))
         return pa.record_batch([pa.array(key[hit]), pa.array([sets.flat[sets.begin[i]:sets.end[i]].tobytes() for i in hit], pa.binary())],
                                names=["cid", "shingles"])
     sets = _by_slice(docs.select("text"), run, "cid bigint, shingles binary")
@@ -385,8 +390,22 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each component (its smallest doc_id), same columns.
     Rows with a null doc_id cannot be named and stay."""
     found = stored(link_components(docs), "join-kept")
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    gone = stored(found.where("doc_id <> component_id").select("doc_id").distinct(), "join-gone")
+    # Only rows that a fixed bitmap of the ids to drop may mean are shuffled for the exact
+    # join, and most of those go; the texts that stay are read and passed on.
+    key = F.xxhash64("doc_id")
+    bits = docs.sparkSession.sparkContext.broadcast(_bitmap(gone.select(key.alias("cid"))))
+
+    @F.arrow_udf("boolean")
+    def perhaps(column: pa.Array) -> pa.Array:
+        return pa.array(_in_bitmap(bits.value, column.to_numpy(zero_copy_only=False)))
+    mark = "_perhaps"
+    while mark in docs.columns:
+        mark += "_"
+    marked = docs.withColumn(mark, perhaps(key))
+    columns = [f"`{c}`" for c in docs.columns]
+    kept = marked.where(~F.col(mark)).select(*columns).unionByName(
+        marked.where(F.col(mark)).join(gone, "doc_id", "left_anti").select(*columns))
     twice = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
     if twice.isEmpty():
         return kept
