@@ -3,22 +3,21 @@
 1. A page's markup is cut into blocks, menus and all; its words are one token
    stream, blocks in page order.
 2. The streams of a host are concatenated and their suffixes sorted to a depth
-   of ``RUN`` tokens by prefix doubling. Neighbours in that order that share
-   ``RUN`` tokens and stand on distinct pages (pages with one and the same
-   stream count once) mark a long repeated substring; its tokens are covered.
-3. Covered tokens are boilerplate and unique runs are kept, except where the
-   page's markup proves otherwise: text in menus, headers, footers, asides,
-   forms, adverts, notices, comments, scripts and so on goes even if it is
-   unique; text in an ``article`` (or, without one, ``main``) stays even if
+   of ``RUN`` tokens by prefix doubling; suffixes that share ``RUN`` tokens are
+   neighbours, and the distinct streams among them are counted (pages with one
+   and the same stream count once). A run on at least ``SHARE`` of the host's
+   streams, and on ``PAGES`` of them, is boilerplate.
+3. A block all of whose words lie in such runs is boilerplate and goes; a block
+   is never cut. The page's markup overrules: text in menus, headers, footers,
+   asides, forms, adverts, notices, comments, scripts and so on goes even if it
+   is unique; text in an ``article`` (or, without one, ``main``) stays even if
    other pages carry the same passage, and then nothing outside it does.
 
-A host is worked in shards of about ``SHARD_BYTES`` of html, dealt by page, so
-neither a large host nor a large group of copies meets in one task. What one
-shard cannot see, a run that stands once in each of several shards, only
-matters for pages without such a container; for those in hosts of several
-shards, windows of ``RUN`` tokens are counted over all streams of the host by a
-join on their hashes, which covers exactly what one array of the whole host
-would, so the result does not depend on the shards.
+Every host takes the same path. Its distinct streams are dealt to shards of
+about ``SHARD_BYTES`` of html, so neither a large host nor a large group of
+copies meets in one task. A run on a share of the host is on that share of some
+shard, so the shards' suffix arrays name all candidates; a second pass counts
+those over the whole host. The result does not depend on the shards.
 
 Defined results: null or empty html gives an empty text; a null URL is a host
 of its own; unclosed and truncated markup is read to its end; repeated rows are
@@ -28,6 +27,7 @@ pages with one stream; empty tables stay empty; other columns are ignored.
 from __future__ import annotations
 
 import html as entities
+import math
 import re
 
 import numpy as np
@@ -41,6 +41,9 @@ from .url_filter import url_parts
 
 RUN = 8
 SHARD_BYTES = 8 << 20
+#: Boilerplate stands on at least this share of a host's distinct streams, and on so many of them.
+SHARE = 0.5
+PAGES = 4
 
 JUNK, LOOSE, MAIN, ARTICLE = 0, 1, 2, 3
 
@@ -154,16 +157,14 @@ def proof(blocks: list[tuple[int, str]]) -> int | None:
     return next((k for k in (ARTICLE, MAIN) if k in kinds), None)
 
 
-def main_text(blocks: list[tuple[int, str]], covered: np.ndarray) -> str:
-    """Unique runs of a page, put right by its markup."""
+def main_text(blocks: list[tuple[int, str]], covered: np.ndarray | None) -> str:
+    """A page's blocks but those wholly covered by the host's boilerplate, put right by its markup."""
     sure, out, at = proof(blocks), [], 0
     for kind, block in blocks:
-        words = block.split(" ")
-        if kind == (sure or LOOSE):
-            unique = words if sure else [w for w, c in zip(words, covered[at:at + len(words)]) if not c]
-            if unique:
-                out.append(" ".join(unique))
-        at += len(words)
+        n = block.count(" ") + 1
+        if kind == (sure or LOOSE) and (sure or covered is None or not covered[at:at + n].all()):
+            out.append(block)
+        at += n
     return "\n".join(out)
 
 
@@ -183,17 +184,17 @@ def stream_key(tokens: np.ndarray) -> int:
     return int(span_hashes(tokens, np.array([0]), np.array([len(tokens)]))[0].view(np.int64))
 
 
-def repeated(tokens: np.ndarray, page: np.ndarray, run: int = RUN) -> np.ndarray:
-    """Tokens covered by a substring of ``run`` tokens that stands on distinct pages.
+def run_pages(tokens: np.ndarray, page: np.ndarray, run: int = RUN) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Substrings of ``run`` tokens: their places in suffix order, the first of each
+    substring in that order, and the number of distinct pages it stands on.
 
     ``page`` numbers the page of each token, ascending. Suffixes get ranks by
     their first 1, 2, 4, ... tokens until the depth is reached; equal ranks then
     share ``run`` tokens. Suffixes that meet the end of their page before that
     are set apart."""
     n = len(tokens)
-    covered = np.zeros(n, dtype=bool)
     if n < run:
-        return covered
+        return (np.zeros(0, np.int64),) * 3
     rank = np.unique(tokens, return_inverse=True)[1].astype(np.int64) + 1
     depth = 1
     while depth < run:
@@ -203,112 +204,147 @@ def repeated(tokens: np.ndarray, page: np.ndarray, run: int = RUN) -> np.ndarray
         rank = np.unique(rank * (n + 2) + after, return_inverse=True)[1].astype(np.int64) + 1
         depth += step
     last = np.minimum(np.arange(n) + run - 1, n - 1)
-    whole = (page[last] == page) & (np.arange(n) + run <= n)
-    at = np.flatnonzero(whole)
+    at = np.flatnonzero((page[last] == page) & (np.arange(n) + run <= n))
     order = at[np.lexsort((page[at], rank[at]))]              # the suffix array, to this depth
     if not len(order):
-        return covered
-    new = np.flatnonzero(np.concatenate(([True], rank[order][1:] != rank[order][:-1])))
-    end = np.append(new[1:], len(order)) - 1
-    several = page[order[new]] != page[order[end]]
-    mark = np.repeat(several, end - new + 1)
+        return (np.zeros(0, np.int64),) * 3
+    other = np.concatenate(([True], rank[order][1:] != rank[order][:-1]))
+    new = np.flatnonzero(other)
+    return order, new, np.add.reduceat((other | np.concatenate(([True], page[order][1:] != page[order][:-1]))).astype(np.int64), new)
+
+
+def covering(n: int, starts: np.ndarray, run: int) -> np.ndarray:
+    """Which of ``n`` tokens lie in a substring of ``run`` tokens that begins at one of ``starts``."""
     edge = np.zeros(n + 1, dtype=np.int64)
-    edge[order[mark]] += 1
-    np.add.at(edge, order[mark] + run, -1)
+    edge[starts] += 1
+    np.add.at(edge, starts + run, -1)
     return np.cumsum(edge[:-1]) > 0
 
 
+def repeated(tokens: np.ndarray, page: np.ndarray, run: int = RUN) -> np.ndarray:
+    """Tokens covered by a substring of ``run`` tokens that stands on distinct pages."""
+    order, new, pages = run_pages(tokens, page, run)
+    return covering(len(tokens), order[np.repeat(pages > 1, np.diff(np.append(new, len(order))))], run)
+
+
 def _windows(tokens: np.ndarray, run: int) -> np.ndarray:
     n = len(tokens) - run + 1
-    return span_hashes(tokens, np.arange(n), np.arange(n) + run) if n > 0 else np.zeros(0, np.uint64)
+    return span_hashes(tokens, np.arange(n), np.arange(n) + run).view(np.int64) if n > 0 else np.zeros(0, np.int64)
+
+
+def _among(windows: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which windows are in an ascending array."""
+    if not len(known):
+        return np.zeros(len(windows), dtype=bool)
+    return known[np.minimum(np.searchsorted(known, windows), len(known) - 1)] == windows
+
 
+def _known(column: pa.Array):
+    """The int64 array of each row of a list column, empty for null."""
+    flat, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+    return [flat[a:b] for a, b in zip(ends, ends[1:])]
 
-def _shard_texts(run: int):
-    """Texts of one shard's pages by its suffix array."""
+
+def _streams(batches):
+    """Every stream of a host once a task, dealt by the stream itself."""
+    seen = set()
+    for batch in batches:
+        out = []
+        for host, shards, page in zip(*(batch.column(c).to_pylist() for c in ("host", "shards", "html"))):
+            blocks = page_blocks(page)
+            stream = stream_key(page_tokens(blocks))
+            if blocks and (host, stream) not in seen:
+                seen.add((host, stream))
+                out.append({"host": host, "shard": stream % shards, "stream": stream, "text": " ".join(t for _, t in blocks)})
+        yield pa.RecordBatch.from_pylist(out, pa.schema([("host", pa.string()), ("shard", pa.int32()), ("stream", pa.int64()),
+                                                         ("text", pa.string())]))
+
+
+def _shard_runs(run: int, share: float):
+    """Number of distinct streams of one shard, its runs on ``share`` of them by its suffix array with
+    their streams, and the most streams that any other run of the shard can be on."""
     def work(table):
-        blocks = [page_blocks(p) for p in table["html"].to_pylist()]
-        tokens = [page_tokens(b) for b in blocks]
-        streams = [stream_key(t) for t in tokens]
-        first = {}
-        for i, key in enumerate(streams):
-            first.setdefault(key, i)
-        use = sorted(first.values())
-        size = np.array([len(tokens[i]) for i in use], dtype=np.int64)
-        flat = np.concatenate([tokens[i] for i in use]) if use else np.zeros(0, np.uint64)
-        covered = dict(zip(use, np.split(repeated(flat, np.repeat(np.arange(len(use)), size), run), np.cumsum(size)[:-1])))
-        several = table["shards"][0].as_py() > 1
-        rows = [i for i, b in enumerate(blocks) if not (several and undecided(b))]
-        texts = [main_text(blocks[i], covered[first[streams[i]]]) for i in rows]
-        part = table.select(["key", "url"]).take(pa.array(rows, pa.int64()))
-        return pa.table({"key": part["key"], "url": part["url"], "text": pa.array(texts, pa.string())})
+        streams = table["stream"].to_numpy()
+        use = np.unique(streams, return_index=True)[1]
+        tokens = [page_tokens([(LOOSE, table["text"][int(i)].as_py())]) for i in use]
+        flat = np.concatenate(tokens)
+        order, new, pages = run_pages(flat, np.repeat(np.arange(len(use)), [len(t) for t in tokens]), run)
+        many = pages >= share * len(use)
+        start = order[new[many]]
+        return pa.table({"host": table["host"].slice(0, 1), "n": pa.array([len(use)], pa.int64()),
+                         "unseen": pa.array([max(0, math.ceil(share * len(use)) - 1)], pa.int64()),
+                         "w": pa.array([span_hashes(flat, start, start + run).view(np.int64)], pa.list_(pa.int64())),
+                         "pages": pa.array([pages[many]], pa.list_(pa.int64()))})
+    return work
+
+
+def _found(run: int):
+    """Per stream, once a task, which of its host's candidate runs it holds."""
+    def work(batches):
+        seen = set()
+        for batch in batches:
+            out = []
+            for host, page, known in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), _known(batch.column("w"))):
+                tokens = page_tokens(page_blocks(page))
+                stream = stream_key(tokens)
+                if len(tokens) and (host, stream) not in seen:
+                    seen.add((host, stream))
+                    windows = np.unique(_windows(tokens, run))
+                    out.append({"host": host, "stream": stream, "w": windows[_among(windows, known)]})
+            yield pa.RecordBatch.from_pylist(out, pa.schema([("host", pa.string()), ("stream", pa.int64()), ("w", pa.list_(pa.int64()))]))
     return work
 
 
-def undecided(blocks: list[tuple[int, str]]) -> bool:
-    """Whether repetition decides about any of a page's text."""
-    return proof(blocks) is None and any(kind == LOOSE for kind, _ in blocks)
-
-
-def _across_shards(pages: DataFrame, run: int, schema: str) -> DataFrame | None:
-    """Texts of the undecided pages of hosts with several shards; None without any."""
-    def parse(batch: pa.RecordBatch) -> pa.RecordBatch:
-        blocks = [page_blocks(p) for p in batch.column("html").to_pylist()]
-        rows = [i for i, b in enumerate(blocks) if undecided(b)]
-        tokens = [page_tokens(blocks[i]) for i in rows]
-        part = batch.select(["key", "url", "host"]).take(pa.array(rows, pa.int64()))
-        kept = pa.array([[{"kind": k, "text": t} for k, t in blocks[i]] for i in rows],
-                        pa.list_(pa.struct([("kind", pa.int32()), ("text", pa.string())])))
-        windows = pa.array([_windows(t, run).view(np.int64) for t in tokens], pa.list_(pa.int64()))
-        return pa.record_batch([*part.columns, kept, windows, pa.array([len(t) for t in tokens], pa.int64())],
-                               names=["key", "url", "host", "blocks", "windows", "n"])
-    kind = pages.schema["key"].dataType.simpleString()
-    loose = stored(arrow_map(pages, parse, f"key {kind}, url string, host string, "
-                             "blocks array<struct<kind:int,text:string>>, windows array<bigint>, n bigint")
-                   .withColumn("rid", F.monotonically_increasing_id()), "html-loose")
-    if loose.isEmpty():
+def host_runs(pages: DataFrame, run: int, share: float, least: int) -> DataFrame | None:
+    """``host, w``: hashes of the runs that stand on at least ``least`` and ``share``
+    of the host's distinct streams; None without any.
+
+    A run on that share of the host is on that share of some shard, since every
+    stream has one shard. So the suffix arrays of the shards name all candidates;
+    those that the shards which don't name them cannot lift to the share are out,
+    and one more pass counts the rest over the whole host."""
+    def sets(runs: DataFrame, name: str) -> DataFrame:
+        return stored(runs.groupBy("host").agg(F.sort_array(F.collect_list("w")).alias("w")), name)
+    found = stored(pages.select("host", "shards", "html").mapInArrow(_streams, "host string, shard int, stream bigint, text string")
+                   .groupBy("host", "shard").applyInArrow(_shard_runs(run, share), "host string, n bigint, unseen bigint, "
+                                                          "w array<bigint>, pages array<bigint>"), "html-runs")
+    sizes = found.groupBy("host").agg(F.sum("n").alias("n"), F.sum("unseen").alias("all_unseen")).where(F.col("n") >= least)
+    most = F.col("pages") + F.col("all_unseen") - F.col("unseen")
+    named = (found.select("host", "unseen", F.explode(F.arrays_zip("w", "pages")).alias("r"))
+             .groupBy("host", F.col("r.w").alias("w")).agg(F.sum("r.pages").alias("pages"), F.sum("unseen").alias("unseen"))
+             .join(sizes, "host"))
+    some = sets(named.where((most >= least) & (most >= share * F.col("n"))).select("host", "w"), "html-candidates")
+    if some.isEmpty():
         return None
+    held = pages.select("host", "html").join(some, "host").mapInArrow(_found(run), "host string, stream bigint, w array<bigint>")
+    counts = (held.groupBy("host", "stream").agg(F.first("w").alias("w")).select("host", F.explode("w").alias("w"))
+              .groupBy("host", "w").agg(F.count("*").alias("pages")))
+    return sets(counts.join(sizes, "host").where((F.col("pages") >= least) & (F.col("pages") >= share * F.col("n")))
+                .select("host", "w"), "html-boilerplate")
 
-    def windows(batch: pa.RecordBatch) -> pa.RecordBatch:
-        host, stream, w = [], [], []
-        for h, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-            tokens = page_tokens(page_blocks(page))
-            w.append(np.unique(_windows(tokens, run)).view(np.int64))
-            host += [h] * len(w[-1])
-            stream += [stream_key(tokens)] * len(w[-1])
-        return pa.record_batch([pa.array(host, pa.string()), pa.array(stream, pa.int64()), pa.array(np.concatenate(w))],
-                               names=["host", "stream", "w"])
-    hosts = loose.select("host").distinct()
-    found = (arrow_map(pages.join(hosts, "host", "left_semi").select("host", "html"), windows, "host string, stream bigint, w bigint")
-             .groupBy("host", "w").agg(F.min("stream").alias("a"), F.max("stream").alias("b")).where("a <> b"))
-    at = (loose.select("rid", "host", F.posexplode("windows").alias("at", "w")).join(found, ["host", "w"], "left_semi")
-          .groupBy("rid").agg(F.collect_list("at").alias("at")))
-
-    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+
+def _texts(run: int):
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = []
-        for blocks, n, starts in zip(*(batch.column(c).to_pylist() for c in ("blocks", "n", "at"))):
-            covered = np.zeros(n, dtype=bool)
-            for a in starts or ():
-                covered[a:a + run] = True
-            texts.append(main_text([(b["kind"], b["text"]) for b in blocks], covered))
+        for page, known in zip(batch.column("html").to_pylist(), _known(batch.column("w"))):
+            blocks = page_blocks(page)
+            tokens = page_tokens(blocks)
+            texts.append(main_text(blocks, covering(len(tokens), np.flatnonzero(_among(_windows(tokens, run), known)), run)))
         return pa.record_batch([batch.column("key"), batch.column("url"), pa.array(texts, pa.string())], names=["key", "url", "text"])
-    return arrow_map(loose.drop("windows").join(at, "rid", "left"), cut, schema)
+    return work
 
 
-def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html",
-            run: int = RUN, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", run: int = RUN,
+            shard_bytes: int = SHARD_BYTES, share: float = SHARE, least: int = PAGES) -> DataFrame:
     """``key, url, text`` of every page."""
     slim = pages.select(F.col(f"`{key}`").alias("key"), F.col(f"`{url}`").alias("url"), F.col(f"`{html}`").alias("html"),
                         url_parts(F.col(f"`{url}`"))[0].alias("host"))
     hosts = stored(slim.groupBy("host").agg(F.sum(utf8_bytes(F.col("html"))).alias("b"))
                    .select("host", F.greatest(F.lit(1), F.ceil(F.col("b") / shard_bytes)).cast("int").alias("shards")), "html-hosts")
-    schema = f"key {slim.schema['key'].dataType.simpleString()}, url string, text string"
-    # The pages of a host are dealt by page: copies spread over its shards.
-    dealt = slim.join(hosts, "host").withColumn("shard", F.pmod(F.xxhash64("key", "url"), "shards"))
-    out = dealt.groupBy("host", "shard").applyInArrow(_shard_texts(run), schema)
-    large = hosts.where("shards > 1").select("host")
-    if not large.isEmpty():
-        rest = _across_shards(slim.join(large, "host", "left_semi"), run, schema)
-        out = out if rest is None else out.unionByName(rest)
+    runs = host_runs(slim.join(hosts, "host"), run, share, least)
+    ready = slim.withColumn("w", F.lit(None).cast("array<bigint>")) if runs is None else slim.join(runs, "host", "left")
+    out = arrow_map(ready.select("key", "url", "html", "w"), _texts(run),
+                    f"key {slim.schema['key'].dataType.simpleString()}, url string, text string")
     return out.select(F.col("key").alias(key), F.col("url").alias(url), "text")
 
 

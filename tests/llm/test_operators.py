@@ -498,3 +498,24 @@ def test_registered_extraction(spark):
         article = re.search(r"<article>(.*?)</article>", rows[x.page_id].html, re.S)[1]
         blocks = [" ".join(html.unescape(re.sub(r"</?b>", "", b.replace("<br>", " "))).split()) for b in re.split(r"</?(?:p|h1)>", article)]
         assert x.text == "\n".join(b for b in blocks if b) and x.n_chars == len(x.text) and x.url == rows[x.page_id].url
+
+
+@pytest.mark.parametrize("shard_bytes", [html_text.SHARD_BYTES, 3000])
+def test_html_keeps_passages_that_few_pages_share(spark, shard_bytes):
+    r = random.Random(31)
+
+    def words(n):
+        return " ".join("w%d" % r.randint(0, 10 ** 6) for _ in range(n))
+    menu, quote, near = words(12), words(15), [words(30) for _ in range(3)]
+    body = {i: [words(20), f"{words(5)} {quote} {words(5)}" if i < 8 else words(25), words(9)] for i in range(30)}
+    body |= {100 + i: [*near, words(2)] for i in range(2)}
+    rows = [(i, "http://one.com/%d" % i, f"<div>{menu}</div>" + "".join(f"<p>{b}</p>" for b in bs)) for i, bs in body.items()]
+    rows += [(1000 + k, "http://one.com/c%d" % k, rows[29][2]) for k in range(40)]          # copies: one stream
+    rows += [(2000 + i, "http://two.com/%d" % i, f"<p>{near[0]}</p><p>{i}</p>") for i in range(2)]
+    got = {x.page_id: x.text for x in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string"),
+                                                        shard_bytes=shard_bytes).collect()}
+    assert len(got) == len(rows)
+    for i, bs in body.items():
+        assert got[i] == "\n".join(bs)
+    assert {got[1000 + k] for k in range(40)} == {"\n".join(body[29])}
+    assert [got[2000 + i] for i in range(2)] == [f"{near[0]}\n{i}" for i in range(2)]
