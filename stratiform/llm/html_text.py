@@ -7,11 +7,13 @@
    neighbours, and the distinct streams among them are counted (pages with one
    and the same stream count once). A run on at least ``SHARE`` of the host's
    streams, and on ``PAGES`` of them, is boilerplate.
-3. A block all of whose words lie in such runs is boilerplate and goes; a block
-   is never cut. The page's markup overrules: text in menus, headers, footers,
-   asides, forms, adverts, notices, comments, scripts and so on goes even if it
-   is unique; text in an ``article`` (or, without one, ``main``) stays even if
-   other pages carry the same passage, and then nothing outside it does.
+3. A block all of whose words lie in such runs is boilerplate; a block is never
+   cut. On every page the words of the other blocks, the unique ones, decide
+   whether an ``article``, ``main`` or all of the page is its content.
+4. Markup checks that: text in menus, headers, footers, asides, forms, adverts,
+   notices, comments, scripts and so on goes even if it is unique; text in an
+   ``article`` or ``main`` stays even if other pages carry the same passage; of
+   the rest boilerplate goes, and all of it does where a container is the content.
 
 Every host takes the same path. Its distinct streams are dealt to shards of
 about ``SHARD_BYTES`` of html, so neither a large host nor a large group of
@@ -151,21 +153,34 @@ def page_blocks(page: str | None) -> list[tuple[int, str]]:
     return out
 
 
-def proof(blocks: list[tuple[int, str]]) -> int | None:
-    """Kind of container that proves a page's content, or None."""
-    kinds = {kind for kind, _ in blocks}
-    return next((k for k in (ARTICLE, MAIN) if k in kinds), None)
-
-
 def main_text(blocks: list[tuple[int, str]], covered: np.ndarray | None) -> str:
-    """A page's blocks but those wholly covered by the host's boilerplate, put right by its markup."""
-    sure, out, at = proof(blocks), [], 0
+    """A page's main text: runs and markup weigh its blocks, ``content`` picks the kinds, and
+    loose blocks that are boilerplate go."""
+    at, seen = 0, []
     for kind, block in blocks:
         n = block.count(" ") + 1
-        if kind == (sure or LOOSE) and (sure or covered is None or not covered[at:at + n].all()):
-            out.append(block)
+        seen.append((kind, n, covered is not None and bool(covered[at:at + n].all()), block))
         at += n
-    return "\n".join(out)
+    kinds = content(seen)
+    return "\n".join(block for kind, _, common, block in seen if kind in kinds and not (common and kind == LOOSE))
+
+
+def content(seen: list[tuple[int, int, bool, str]]) -> tuple[int, ...]:
+    """Kinds of block that make up a page's content.
+
+    Articles do if they hold at least half of the page's unique words and more than half of
+    those in articles and main together; these two do if they hold half of the page's; else
+    the markup proves nothing and all that is not junk counts."""
+    words = [0] * (ARTICLE + 1)
+    for kind, n, common, _ in seen:
+        words[kind] += 0 if common else n
+    if not any(words[LOOSE:]):            # nothing unique: all words weigh
+        for kind, n, _, _ in seen:
+            words[kind] += n
+    inner, whole = words[ARTICLE] + words[MAIN], sum(words[LOOSE:])
+    if 2 * words[ARTICLE] > inner and 2 * words[ARTICLE] >= whole:
+        return (ARTICLE,)
+    return (ARTICLE, MAIN) if inner and 2 * inner >= whole else (ARTICLE, MAIN, LOOSE)
 
 
 def page_tokens(blocks: list[tuple[int, str]]) -> np.ndarray:

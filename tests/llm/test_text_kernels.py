@@ -98,3 +98,12 @@ def test_blocks_of_broken_markup():
     assert page_blocks(None) == page_blocks("") == []
     assert main_text(page_blocks("<p>a < b<p>c<"), np.zeros(9, bool)) == "a < b\nc<"
     assert main_text(page_blocks("<main><p>a</p></main><p>out</p>"), None) == "a"
+
+
+def test_unique_words_pick_the_container():
+    def covered(*some):
+        return np.array([c == "x" for c in "".join(some)])
+    page = page_blocks("<div>m e n u</div><p>the story is here</p><article>read more</article>")
+    assert main_text(page, covered("xxxx", "....", "..")) == "the story is here\nread more"
+    assert main_text(page, covered("xxxx", "xxxx", "..")) == "read more"
+    assert main_text(page, covered("xxxx", "xx..", "xx")) == "the story is here\nread more"
