@@ -54,13 +54,18 @@ _RAW = set("script style title textarea iframe noscript noembed noframes xmp tem
 _INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small "
               "span strike strong sub sup time tt u var img wbr br ruby rt rp input button select option object audio "
               "video canvas picture source".split()) | _RAW - {"title"}
-_JUNK_TAGS = set("nav footer aside form menu dialog head button select option datalist object audio video canvas".split())
+_HARD_TAGS = set("head button select option datalist object audio video canvas".split())
+_JUNK_TAGS = set("nav footer aside form menu dialog".split())
+_HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 _JUNK_ROLES = set("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 _JUNK_WORDS = set("ad ads advert adverts advertisement advertising adsense adslot sponsor sponsored promo promotion promoted "
                   "banner menu nav navbar navigation breadcrumb breadcrumbs sidebar aside footer cookie cookies consent gdpr "
                   "notice notices alert popup modal overlay newsletter subscribe subscription signup login share sharing "
                   "social related recommended recommendations disqus reply replies respond pagination pager widget "
-                  "toolbar skip copyright".split())
+                  "toolbar skip copyright comment comments commentlist".split())
+#: Parts that may stand beside a junk word in a compound like ``site-footer``.
+_PLACE_WORDS = set("site page main top bottom left right side primary secondary global list item items box bar wrap wrapper "
+                   "container block section area form thread slot unit links icons buttons".split())
 _HEAD_WORDS = set("header masthead topbar".split())
 _MAIN_WORDS = set("article content main post story entry".split())
 
@@ -75,46 +80,54 @@ def _attributes(raw: str) -> dict[str, str]:
     return {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(raw)} if raw.strip(" /\n\t") else {}
 
 
-def _label(tag: str, attrs: dict[str, str], above: int) -> int:
-    """Label of an element's text, given its parent's."""
-    if above == JUNK or tag in _JUNK_TAGS or "hidden" in attrs or "display:none" in attrs.get("style", "").replace(" ", ""):
-        return JUNK
+def _junk_token(token: str) -> bool:
+    """Whether a whole class or id token names junk: a junk word, or a compound of one with places."""
+    parts = _WORD.findall(token)
+    return any(p in _JUNK_WORDS for p in parts) and all(p in _JUNK_WORDS or p in _PLACE_WORDS or p.isdigit() for p in parts)
+
+
+def _label(tag: str, attrs: dict[str, str], above: int) -> tuple[int, int]:
+    """Kind of an element's text, given its parent's, and how it is junk: no (0), unless the
+    page's content lies in it (1), or in any case (2)."""
+    if tag in _HARD_TAGS or "hidden" in attrs or "display:none" in attrs.get("style", "").replace(" ", ""):
+        return above, 2
     role = attrs.get("role", "").lower()
-    words = set(_WORD.findall(f"{attrs.get('class', '')} {attrs.get('id', '')}".lower())) if attrs else set()
-    if role in _JUNK_ROLES or tag not in ("html", "body") and (
-            words & _JUNK_WORDS or any(w.startswith("comment") for w in words)):
-        return JUNK
-    if above == LOOSE and (tag == "header" or words & _HEAD_WORDS):
-        return JUNK
+    tokens = f"{attrs.get('class', '')} {attrs.get('id', '')}".lower().split() if attrs else []
+    junk = tag in _JUNK_TAGS or role in _JUNK_ROLES or tag not in ("html", "body") and tag not in _HEADINGS and any(map(_junk_token, tokens))
     if tag == "article" or attrs.get("itemprop", "").lower() == "articlebody":
-        return ARTICLE
-    if above == LOOSE and (tag == "main" or role == "main" or tag in ("div", "section") and words & _MAIN_WORDS):
-        return MAIN
-    return above
+        return ARTICLE, int(junk)
+    if above == LOOSE:
+        if tag == "main" or role == "main":
+            return MAIN, int(junk)
+        if not junk and (tag == "header" or any(t in _HEAD_WORDS for t in tokens)):
+            return LOOSE, 1
+        if not junk and tag in ("div", "section") and any(_MAIN_WORDS.intersection(_WORD.findall(t)) for t in tokens):
+            return MAIN, 0
+    return above, int(junk)
 
 
 def page_blocks(page: str | None) -> list[tuple[int, str]]:
     """(label, text) of a page's blocks in order; empty blocks are left out."""
-    out: list[tuple[int, str]] = []
+    out: list[tuple[int, tuple[int, ...], str]] = []
     if not page:
-        return out
-    stack = [("", LOOSE)]
-    kept: list[str] = []
-    junk: list[str] = []
+        return []
+    # Element, kind of its text, and the junk elements it lies in (0: junk in any case).
+    stack: list[tuple[str, int, tuple[int, ...]]] = [("", LOOSE, ())]
+    inside: list[bool] = [False]          # of each junk element: whether an article holds it
+    parts: dict[tuple[int, ...], list[str]] = {}
     label, at, n = LOOSE, 0, len(page)
 
     def text(a: int, b: int):
         if b > a:
             part = page[a:b]
-            (junk if stack[-1][1] == JUNK else kept).append(entities.unescape(part) if "&" in part else part)
+            parts.setdefault(stack[-1][2], []).append(entities.unescape(part) if "&" in part else part)
 
     def flush():
-        for parts, kind in ((kept, label), (junk, JUNK)):
-            if parts:
-                block = " ".join("".join(parts).split())
-                if block:
-                    out.append((kind, block))
-                parts.clear()
+        for chain, some in parts.items():
+            block = " ".join("".join(some).split())
+            if block:
+                out.append((label, chain, block))
+        parts.clear()
 
     while at < n:
         m = _TAG.search(page, at)
@@ -128,8 +141,7 @@ def page_blocks(page: str | None) -> list[tuple[int, str]]:
             continue
         tag = tag.lower()
         if tag == "br":
-            text_to = junk if stack[-1][1] == JUNK else kept
-            text_to.append(" ")
+            parts.setdefault(stack[-1][2], []).append(" ")
             continue
         if tag not in _INLINE:
             flush()
@@ -141,16 +153,48 @@ def page_blocks(page: str | None) -> list[tuple[int, str]]:
         elif tag in _RAW:
             end = re.compile(f"</{tag}(?=[\\s/>]|\\Z)", re.I).search(page, at)
             at = n if end is None else end.start()
-            stack.append((tag, JUNK))
+            stack.append((tag, stack[-1][1], (0,)))
         elif tag not in _VOID:
             if tag not in _INLINE and stack[-1][0] == "p":
                 stack.pop()
             if not raw.endswith("/") or tag in _INLINE:
-                stack.append((tag, _label(tag, _attributes(raw), stack[-1][1])))
-        if tag not in _INLINE and stack[-1][1] != JUNK:
+                _, above, chain = stack[-1]
+                kind, junk = _label(tag, _attributes(raw), above)
+                if chain != (0,) and junk:
+                    if junk == 1:
+                        inside.append(above == ARTICLE)
+                    chain = (0,) if junk == 2 else (*chain, len(inside) - 1)
+                stack.append((tag, kind, chain))
+        if tag not in _INLINE:
             label = stack[-1][1]
     flush()
-    return out
+    return _settle(out, inside)
+
+
+def _settle(blocks: list[tuple[int, tuple[int, ...], str]], inside: list[bool]) -> list[tuple[int, str]]:
+    """Blocks with their labels: junk, unless the elements that say so hold the page's content.
+
+    The content is the text in articles if that is most of the text in articles and main, or
+    the text in both, or without any all of it. An element that holds more than half of its
+    words is no junk; one inside an article only if else nothing of the content would stay."""
+    if any(chain and chain != (0,) for _, chain, _ in blocks):
+        words = [0] * (ARTICLE + 1)
+        for kind, chain, block in blocks:
+            words[kind] += block.count(" ") + 1 if chain != (0,) else 0
+        core = (ARTICLE,) if words[ARTICLE] > words[MAIN] else (ARTICLE, MAIN) if words[MAIN] else (LOOSE,)
+        whole = free = 0
+        held: dict[int, int] = {}
+        for kind, chain, block in blocks:
+            if kind in core and chain != (0,):
+                n = block.count(" ") + 1
+                whole += n
+                free += 0 if any(inside[e] for e in chain) else n
+                for e in chain:
+                    held[e] = held.get(e, 0) + n
+        good = {e for e, n in held.items() if 2 * n > whole and not (inside[e] and free)}
+    else:
+        good = set()
+    return [(JUNK if any(e not in good for e in chain) else kind, block) for kind, chain, block in blocks]
 
 
 def main_text(blocks: list[tuple[int, str]], covered: np.ndarray | None) -> str:

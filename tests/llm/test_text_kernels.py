@@ -107,3 +107,18 @@ def test_unique_words_pick_the_container():
     assert main_text(page, covered("xxxx", "....", "..")) == "the story is here\nread more"
     assert main_text(page, covered("xxxx", "xxxx", "..")) == "read more"
     assert main_text(page, covered("xxxx", "xx..", "xx")) == "the story is here\nread more"
+
+
+def test_markup_keeps_the_text_that_a_wrapper_holds():
+    story = "a long story of more words than the rest"
+    for page in ("<div class='layout has-sidebar'><article>{}</article></div>", "<article class='post comments-open'><p>{}</p></article>",
+                 "<body><form><nav>m</nav><article>{}</article></form>", "<nav><a>home</a><article><p>{}</article>", "<article><form>{}</form></article>",
+                 "<div class=sidebar><div class=widget><article>{}</article></div></div><div class='site-footer'>f</div>",
+                 "<form><p>{}</p></form>", "<article><p class=commentary>{}</article>", "<article><h2 id=related>{}</h2></article>",
+                 "<article><p>{}<section id=comments><article class=comment>" + "c " * 40 + "</article></section></article>"):
+        assert main_text(page_blocks(page.format(story)), None) in (story, "home\n" + story), page
+    assert main_text(page_blocks("<main><p>story</p><article>teaser</article></main>"), None) == "story\nteaser"
+    assert main_text(page_blocks("<main><p>a longer story</p><aside><article>teaser</article></aside></main>"), None) == "a longer story"
+    for name in ("ad", "comments", "site-footer", "cookie-notice box", "comment-list"):
+        assert main_text(page_blocks(f"<p>a b c d</p><div class='{name}'>e f</div>"), None) == "a b c d", name
+    assert main_text(page_blocks("<article>a</article><footer>b c d e f</footer><nav>g h i</nav>"), None) == "a"
