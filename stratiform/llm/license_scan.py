@@ -2,8 +2,8 @@
 
 A text and a license template are compared as word sequences. Words that occur
 once in both are anchors; the longest increasing subsequence of their places
-is kept, equal neighbours are taken along, and the gaps between kept anchors
-are aligned in the same way. Where no word is unique in the text's range (a
+is kept, equal neighbours of a kept anchor are taken along, and the gaps are
+aligned in the same way. Where no word is unique in the text's range (a
 notice given twice, say), the range is divided at the rarest template word's
 occurrences and the best part counts. The aligned words are split where the
 text skips more than ``MAX_GAP`` words; the piece with most words gives the
@@ -62,13 +62,14 @@ TEMPLATES = (
 def align(text: list[int], template: list[int]) -> list[tuple[int, int]]:
     """Aligned (text, template) places, ascending in both."""
     out: list[tuple[int, int]] = []
-    todo = [(0, len(text), 0, len(template))]
+    # Ranges, and whether a pair that is kept stands right before and right after them.
+    todo = [(0, len(text), 0, len(template), False, False)]
     while todo:
-        a, b, c, d = todo.pop()
-        while a < b and c < d and text[a] == template[c]:
+        a, b, c, d, left, right = todo.pop()
+        while left and a < b and c < d and text[a] == template[c]:
             out.append((a, c))
             a, c = a + 1, c + 1
-        while a < b and c < d and text[b - 1] == template[d - 1]:
+        while right and a < b and c < d and text[b - 1] == template[d - 1]:
             b, d = b - 1, d - 1
             out.append((b, d))
         if a >= b or c >= d:
@@ -80,8 +81,8 @@ def align(text: list[int], template: list[int]) -> list[tuple[int, int]]:
         chain = increasing(anchors)
         if chain:
             out += chain
-            edges = [(a - 1, c - 1), *chain, (b, d)]
-            todo += [(i + 1, k, j + 1, m) for (i, j), (k, m) in zip(edges, edges[1:])]
+            edges = [(a - 1, c - 1, left), *((i, j, True) for i, j in chain), (b, d, right)]
+            todo += [(i + 1, k, j + 1, m, p, q) for (i, j, p), (k, m, q) in zip(edges, edges[1:])]
             continue
         # No anchor: divide the text at the occurrences of its rarest template word.
         count = Counter(w for w in text[a:b] if w in where)
@@ -95,7 +96,7 @@ def align(text: list[int], template: list[int]) -> list[tuple[int, int]]:
             else:       # once in the text but several times in the template: pair it with its first place
                 i, j = text.index(rarest, a, b), template.index(rarest, c, d)
                 out.append((i, j))
-                todo += [(a, i, c, j), (i + 1, b, j + 1, d)]
+                todo += [(a, i, c, j, left, True), (i + 1, b, j + 1, d, True, right)]
     return sorted(out)
 
 

@@ -519,3 +519,14 @@ def test_html_keeps_passages_that_few_pages_share(spark, shard_bytes):
         assert got[i] == "\n".join(bs)
     assert {got[1000 + k] for k in range(40)} == {"\n".join(body[29])}
     assert [got[2000 + i] for i in range(2)] == [f"{near[0]}\n{i}" for i in range(2)]
+
+
+def test_licenses_after_a_template_word_at_the_text_ends(spark):
+    lead, tail = "All dogs bark at " + "some cats and birds " * 8, " the seats by the door were " + "kept for guests " * 8 + "reserved"
+    gpl = license_scan.TEMPLATES[1][1]
+    rows = [(1, lead + "All rights reserved."), (2, "All rights reserved." + tail), (3, lead + "All rights reserved." + tail),
+            (4, "This " + "text of words " * 8 + gpl)]
+    out = {x.doc_id: x for x in license_scan.license_digest(_docs(spark, [(a, t, None) for a, t in rows])).collect()}
+    n = len(lead.split())
+    assert [(out[i].license, out[i].coverage, out[i].first_word) for i in range(1, 5)] == [
+        ("proprietary", 1, n), ("proprietary", 1, 0), ("proprietary", 1, n), ("GPL-3.0", 1, 25)]
