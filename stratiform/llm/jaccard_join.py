@@ -44,7 +44,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import BATCH_BYTES, bound_batches, stored
@@ -387,14 +387,22 @@ def link_components(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each component (its smallest doc_id), same columns.
-    Rows with a null doc_id cannot be named and stay."""
-    found = stored(link_components(docs), "join-kept")
-    gone = stored(found.where("doc_id <> component_id").select("doc_id").distinct(), "join-gone")
-    # Only rows that a fixed bitmap of the ids to drop may mean are shuffled for the exact
-    # join, and most of those go; the texts that stay are read and passed on.
-    key = F.xxhash64("doc_id")
-    bits = docs.sparkSession.sparkContext.broadcast(_bitmap(gone.select(key.alias("cid"))))
+    """``docs`` with one row of each component, same columns: the one with the smallest
+    (doc_id, hash of the text). Of its rows with a null doc_id one stays as well, since no
+    doc_id stands for it. Rows are told apart by doc_id and text, so of two unlike texts with one
+    doc_id only that goes which is a copy. Rows with neither doc_id nor words all stay."""
+    key = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"),
+                   F.xxhash64(F.lit(1), "text").alias("g"))
+    found = stored(link_components(docs.select(key.alias("doc_id"), "text")), "join-kept")
+    words = found.where("n_shingles > 0")
+    spare = (words.where("doc_id.unnamed and not component_id.unnamed").groupBy("component_id")
+             .agg(F.min("doc_id").alias("spare")))
+    gone = stored(words.where("doc_id <> component_id").select("doc_id", "component_id").distinct()
+                  .join(spare, "component_id", "left").where("spare is null or doc_id <> spare").select("doc_id"), "join-gone")
+    twice = found.where("n_shingles > 0 or not doc_id.unnamed").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    # Only rows that a fixed bitmap of the keys to drop or repeated may mean are shuffled: repeats are
+    # combined before that, and most of the others go; the texts that stay are read and passed on.
+    bits = docs.sparkSession.sparkContext.broadcast(_bitmap(gone.unionByName(twice).select(F.xxhash64("doc_id").alias("cid"))))
 
     @F.arrow_udf("boolean")
     def perhaps(column: pa.Array) -> pa.Array:
@@ -402,16 +410,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     mark = "_perhaps"
     while mark in docs.columns:
         mark += "_"
-    marked = docs.withColumn(mark, perhaps(key))
+    own = F.col("doc_id").isNull() & ~F.coalesce(F.col("text").rlike(r"[^ \t\n\x0B\f\r]"), F.lit(False))
+    marked = docs.withColumn(mark, perhaps(F.xxhash64(key)) & ~own)
     columns = [f"`{c}`" for c in docs.columns]
-    kept = marked.where(~F.col(mark)).select(*columns).unionByName(
-        marked.where(F.col(mark)).join(gone, "doc_id", "left_anti").select(*columns))
-    twice = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
-    if twice.isEmpty():
-        return kept
-    # The same id again: one row of it.
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    name = "_row"
-    while name in docs.columns:
-        name += "_"
-    return kept.withColumn(name, F.row_number().over(first)).where((F.col(name) == 1) | F.col("doc_id").isNull()).drop(name)
+    one = marked.where(F.col(mark)).groupBy(key.alias("doc_id")).agg(F.first(F.struct(*columns)).alias("row"))
+    return marked.where(~F.col(mark)).select(*columns).unionByName(one.join(gone, "doc_id", "left_anti").select("row.*"))

@@ -530,3 +530,13 @@ def test_licenses_after_a_template_word_at_the_text_ends(spark):
     n = len(lead.split())
     assert [(out[i].license, out[i].coverage, out[i].first_word) for i in range(1, 5)] == [
         ("proprietary", 1, n), ("proprietary", 1, 0), ("proprietary", 1, n), ("GPL-3.0", 1, 25)]
+
+
+def test_keep_one_tells_rows_apart(spark):
+    a, b, c = "a b c d e f g h", "q r s t u v w x", "k l m n o p i j"
+    rows = [(1, a), (5, a), (5, b), (7, c), (7, b + " y"), (7, b + " y z"), (9, "z"), (9, "zz"), (9, "z")]
+    rows += [(None, "n1 n2 n3 n4 n5 n6 n7")] * 3 + [(None, "n1 n2 n3 n4 n5 n6 n7"), (None, ""), (None, ""), (None, None)]
+    df = _docs(spark, [(i, t, None) for i, t in rows])
+    got = sorted((str(x.doc_id), x.text) for x in jaccard_join.keep_one(df).collect() if x.text)
+    assert got == sorted([("1", a), ("5", b), ("7", c), ("9", "z"), ("9", "zz"), ("None", "n1 n2 n3 n4 n5 n6 n7")])
+    assert jaccard_join.keep_one(df).count() == len(got) + 3
