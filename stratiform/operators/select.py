@@ -6,6 +6,8 @@ p(p-1)/2 correlations); only the p x p decision is made on the driver.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -100,7 +102,7 @@ def pair_correlation_aggs(pairs, prefix: str = "") -> list:
 
 def pair_correlation_value(row, i: int, prefix: str = ""):
     cv, sa, sb = row[f"{prefix}cv{i}"], row[f"{prefix}sa{i}"], row[f"{prefix}sb{i}"]
-    if cv is None or not sa or not sb:
+    if cv is None or not sa or not sb or math.isnan(cv / (sa * sb)):
         return None
     return max(-1.0, min(1.0, cv / (sa * sb)))
 
@@ -143,7 +145,7 @@ def gram_sums(df: DataFrame, cols: list[str], centre: list[float]):
 
 def correlation_matrix(df: DataFrame, cols: list[str]) -> dict:
     """Pearson correlations over the rows where both columns are present, at
-    every width; None where one of them does not vary.
+    every width; None where one of them does not vary. A NaN counts as absent.
 
     Few columns use plain aggregates, one set a pair. Many columns use Gram
     sums of values and presence masks around the column means (matrix products
@@ -152,6 +154,7 @@ def correlation_matrix(df: DataFrame, cols: list[str]) -> dict:
     if not pairs:
         return {}
     named = [(cols[i], cols[j]) for i, j in pairs]
+    df = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols])
     if len(cols) <= WIDE:
         row = df.agg(*pair_correlation_aggs(named)).first()
         return {named[n]: pair_correlation_value(row, n) for n in range(len(named))}
