@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
+    centroids,
     chat_repair,
+    conversation_trie,
     decontaminate,
     html_text,
     jaccard_join,
@@ -15,6 +17,7 @@ from . import (
     quality_trees,
     sharding,
     url_filter,
+    warc,
 )
 from .common import table
 
@@ -70,6 +73,21 @@ def op10_host_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.page_digest(table(spark, sf_dir, "pages"))
 
 
+def op11_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back."""
+    return warc.archive_digest(table(spark, sf_dir, "pages"))
+
+
+def op12_centroid_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every embedding."""
+    return centroids.centroid_digest(table(spark, sf_dir, "embeddings"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    return conversation_trie.node_digest(table(spark, sf_dir, "conversations"))
+
+
 CATALOG = {
     "op1_mixture_packing": (op1_mixture_packing, None),
     "op2_ngram_rules": (op2_ngram_rules, None),
@@ -81,4 +99,7 @@ CATALOG = {
     "op8_quality_trees": (op8_quality_trees, None),
     "op9_sampled_shards": (op9_sampled_shards, None),
     "op10_host_suffixes": (op10_host_suffixes, None),
+    "op11_warc_salvage": (op11_warc_salvage, warc.ORACLE),
+    "op12_centroid_bounds": (op12_centroid_bounds, centroids.ORACLE),
+    "op13_conversation_trie": (op13_conversation_trie, conversation_trie.ORACLE),
 }
