@@ -120,7 +120,6 @@ class Damaged(Exception):
 
 
 _VERSION = re.compile(rb"WARC/\d+\.\d+\r?\n")
-_NEXT_VERSION = re.compile(rb"(?:\A|(?<=\n))WARC/\d+\.\d+\r?\n")
 _HEAD_END = re.compile(rb"\r?\n\r?\n")
 _BLANK = re.compile(rb"[\r\n\x00]*")
 _MAGIC = b"\x1f\x8b\x08"
@@ -201,10 +200,22 @@ def read_member(data: bytes, at: int, step: int = 1 << 16) -> tuple[bytes, int,
             pos += len(part)
             out.append(work.decompress(part))
     except zlib.error as fault:
-        return b"".join(out), pos, f"member: {str(fault).rpartition(': ')[2]}"
+        return _before_fault(data[at:pos]), pos, f"member: {str(fault).rpartition(': ')[2]}"
     return b"".join(out), pos - len(work.unused_data), None
 
 
+def _before_fault(raw: bytes, step: int = 256) -> bytes:
+    """What a broken member inflates to before its fault, to within ``step`` bytes."""
+    work, out = zlib.decompressobj(31), []
+    try:
+        while raw:
+            out.append(work.decompress(raw, step))
+            raw = work.unconsumed_tail
+    except zlib.error:
+        pass
+    return b"".join(out)
+
+
 def _plain(data: bytes, at: int = 0, stop_at_member: bool = False) -> Iterator[Found]:
     """Records and gaps of uncompressed bytes, in order. With ``stop_at_member`` the
     walk ends before a place where a gzip member begins."""
@@ -223,8 +234,9 @@ def _plain(data: bytes, at: int = 0, stop_at_member: bool = False) -> Iterator[F
 
 
 def _next(data: bytes, at: int, members: bool) -> int:
-    """The first place after ``at`` where a valid record or member begins, or the end."""
-    line = _NEXT_VERSION.search(data, at + 1)
+    """The first place after ``at`` where a valid record or member begins, or the end. A version
+    line need not stand at the start of a line: what was before it may be cut off."""
+    line = _VERSION.search(data, at + 1)
     magic = data.find(_MAGIC, at + 1) if members else -1
     while line is not None or magic >= 0:
         if line is not None and (magic < 0 or line.start() < magic):
@@ -232,7 +244,7 @@ def _next(data: bytes, at: int, members: bool) -> int:
                 read_record(data, line.start())
                 return line.start()
             except Damaged:
-                line = _NEXT_VERSION.search(data, line.start() + 1)
+                line = _VERSION.search(data, line.start() + 1)
         else:
             inside, _, fault = read_member(data, magic)
             if fault is None or any(f.reason is None for f in _plain(inside)):
