@@ -12,7 +12,7 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from ..session import active_session
+from ..session import active_session, cached, caches_released
 
 _REGISTRY: dict[str, type] = {}
 
@@ -117,7 +117,7 @@ class FittedRecipe(Fitted):
 class Recipe(Step):
     """Ordered steps, each fitted on the output of the previous ones.
 
-    ``persist_input`` caches the training input once so that each step's
+    ``persist_input`` caches the training input while fitting, so that each step's
     fitting job re-reads the cache instead of the source.
     """
 
@@ -126,8 +126,13 @@ class Recipe(Step):
         self.persist_input = persist_input
 
     def fit(self, df):
+        # Frames that a step's fit caches are of no use after it.
+        with caches_released():
+            return self._fit(df)
+
+    def _fit(self, df):
         fitted, flags = [], []
-        cur = df.persist() if self.persist_input else df
+        cur = cached(df) if self.persist_input else df
         for step in self.steps:
             f = step.fit(cur)
             out_df = getattr(f, "training_output", None)

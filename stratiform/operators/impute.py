@@ -71,16 +71,16 @@ def column_modes(df: DataFrame, cols: list[str]) -> dict:
 
 @register
 class FittedKNNImputer(Fitted):
-    """Replays KNN imputation with the stored donor table (design D1).
+    """Replays KNN imputation with the stored blocks of the donors.
 
     Complete rows pass through untouched; only incomplete rows are searched,
-    and the results are unioned back (no join of the full table)."""
+    and the results are unioned back (no join of the full table). The neighbours
+    are stored, so that the plan of the result is a scan and one join."""
 
     def transform(self, df):
         from .knn import exact_knn
         cols, key, k = self.params["cols"], self.params["key"], self.params["k"]
         means = self.params["means"]
-        donors = self.tables["donors"]
         any_null = None
         for c in cols:
             cond = F.col(c).isNull()
@@ -93,15 +93,8 @@ class FittedKNNImputer(Fitted):
             too_sparse = incomplete.where(share > limit)
             incomplete = incomplete.where(share <= limit)
             complete = complete.unionByName(FittedFill({"fills": means}).transform(too_sparse))
-        index = None
-        if self.params.get("index") is not None:
-            windows = {int(n.split("_")[1]): t for n, t in self.tables.items()
-                       if n.startswith("window_")}
-            index = (self.params["index"], windows)
-        near = exact_knn(incomplete, donors, cols, k, key, key, targets=cols,
-                         rows_per_bucket=self.params.get("rows_per_bucket", 256), index=index)
-        if index is not None:  # bands built on first use stay in the fitted state
-            self.tables.update({f"window_{i}": t for i, t in index[1].items()})
+        near = exact_knn(incomplete, None, cols, k, key, key, targets=cols,
+                         index=(self.params["index"], self.tables.get("blocks")))
         filled = near.groupBy("qid", "target").agg(F.avg("value").alias("v"))
         wide = filled.groupBy("qid").agg(*[
             F.max(F.when(F.col("target") == c, F.col("v"))).alias(f"__imp_{c}") for c in cols])
@@ -127,15 +120,12 @@ class KNNImputer(Step):
 
     def fit(self, df):
         from .knn import knn_index
-        donors = df.select(self.key, *self.cols)
         row = df.agg(*[F.avg(c).alias(c) for c in self.cols]).first()
-        # the donor-side search index is part of the fitted state: built once,
-        # reused by every transform (and every micro-batch of a stream)
-        meta, windows = knn_index(donors, self.cols, self.k, self.key, targets=self.cols,
-                                  rows_per_bucket=self.rows_per_bucket)
-        tables = {"donors": donors, **{f"window_{i}": w for i, w in windows.items()}}
+        # the donors' cells and blocks are the fitted state: built once, reused by
+        # every transform (and every micro-batch of a stream)
+        meta, blocks = knn_index(df, self.cols, self.k, self.key, targets=self.cols,
+                                 rows_per_bucket=self.rows_per_bucket)
         return FittedKNNImputer({"cols": self.cols, "key": self.key, "k": self.k,
                                  "means": {c: row[c] for c in self.cols},
-                                 "row_max_missing": self.row_max_missing,
-                                 "rows_per_bucket": self.rows_per_bucket, "index": meta},
-                                tables)
+                                 "row_max_missing": self.row_max_missing, "index": meta},
+                                {} if blocks is None else {"blocks": blocks})

@@ -1,423 +1,473 @@
-"""Exact k-nearest neighbours without a cross join (designs D1 and D3).
+"""Exact k-nearest neighbours over pivot cells.
 
 Distance is the nan-Euclidean distance: over the coordinates C present in
 both rows, d = sqrt(p / |C| * sum_{j in C} (x_j - y_j)^2); rows with no common
-coordinate are not neighbours. Because p / |C| >= 1, d >= |x_a - y_a| for every
-common coordinate a, which gives an exact band filter:
-
-* a *band* is one or two coordinates (axes). Coordinates are ordered by how
-  many cells they can make (distinct values, up to the square root of the
-  rows), then by presence and spread. The first band pairs the first with the
-  one of largest spread left after removing their correlation; then every
-  coordinate follows as a one-axis band. A pair of rows belongs to the first band whose axes both rows have,
-  so every pair with a defined distance belongs to exactly one band;
-* reference rows are cut into equal-count cells on the band's axes;
-* pass 1 joins every query to the few cells around its own value that hold
-  at least k eligible references and takes the k-th smallest distance as a
-  radius r (an upper bound of the true k-th distance);
-* pass 2 joins every query to the cells covering x +- r on every axis of
-  each band and keeps the k nearest by (distance, reference id).
-
-All joins are equi-joins on cell numbers; a query only meets the references
-inside its radius box. A query with fewer than k eligible references anywhere
-falls back to all of them (the only exact answer).
+coordinate are not neighbours. A NaN counts as absent.
+
+* References are grouped by presence pattern (the frequent ones; all others
+  share a group) and inside a group put into the cell of the nearest pivot, a
+  sampled row: a Voronoi partition. A cell knows its centre, its radius, its
+  bounding box, which coordinates all and which some of its rows have, and how
+  many rows have each target. Its rows are packed into blocks of about
+  ``BLOCK_BYTES``, in the order of their distance to the pivot.
+* Of references equal in every coordinate only the k smallest ids can be
+  neighbours, so a value held by a third of the rows is k rows.
+* The distance to any row of a cell is bounded from below by the triangle
+  inequality over the coordinates A that the query and all rows of the cell have,
+  sqrt(p / |U|) * (|x - centre|_A - radius), and by the box over A, where U are
+  the coordinates that the query and some row have. Both hold for every pattern.
+* Pass 1 sends each query to its nearest cell with k eligible rows a target and
+  takes the k-th distance as radius. Pass 2 sends it to the other cells whose
+  bound does not exceed that radius. Queries travel packed, one row a cell
+  and batch, and meet a cell's blocks in an equi-join; a block pair is one matrix
+  product, and only what it leaves near enough is computed exactly.
+
+Nothing but the cells, of a bounded size, reaches the driver and is broadcast:
+their number follows the references up to ``CELL_BYTES`` and cells grow beyond.
 """
 
 from __future__ import annotations
 
-import itertools
-import math
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranks import bucketize
-from ..session import active_session
+from ..session import active_session, bound_arrow, discard, materialise
 
 ANY_TARGET = "*"
-MAX_PATTERNS = 4096
-MASK_BITS = 62
-
-
-def _distance(features: list[str]):
-    """nan-Euclidean distance, over arrays so that the expression does not grow
-    with the number of features."""
-    p = float(len(features))
-    q, r = (F.array(*[F.col(f"{side}_{f}") for f in features]) for side in "qr")
-    both = F.filter(F.zip_with(q, r, lambda a, b: (a - b) * (a - b)), lambda x: x.isNotNull())
-    total = F.aggregate(both, F.struct(F.lit(0.0).alias("s"), F.lit(0).alias("n")),
-                        lambda acc, x: F.struct((acc["s"] + x).alias("s"), (acc["n"] + 1).alias("n")),
-                        lambda acc: F.when(acc["n"] > 0, F.sqrt(F.lit(p) / acc["n"] * acc["s"])))
-    return total
-
-
-def _all_present(prefix: str, axes) -> F.Column:
-    cond = None
-    for a in axes:
-        c = F.col(f"{prefix}_{a}").isNotNull()
-        cond = c if cond is None else cond & c
-    return cond
-
-
-def _both_have(axes) -> F.Column:
-    return _all_present("q", axes) & _all_present("r", axes)
-
-
-def _cut_points(df: DataFrame, axes, per_axis: int) -> dict:
-    if per_axis <= 1:
-        return {a: [] for a in axes}
-    probs = [i / per_axis for i in range(1, per_axis)]
-    row = df.agg(*[F.percentile_approx(F.col(f"r_{a}"), probs, 10_000).alias(a)
-                   for a in axes]).first()
-    return {a: sorted(set(v for v in (row[a] or []) if v is not None)) for a in axes}
-
-
-ALL_PAIRS_CORR = 12
-
-
-def _band_cut_points(r: DataFrame, bands, sizes) -> list[dict]:
-    """Equal-count cut points of every band axis, over the references that
-    have all of the band's axes, in one aggregate job."""
-    aggs = []
-    for bi, (band, per_axis) in enumerate(zip(bands, sizes)):
-        if per_axis <= 1:
-            continue
-        probs = [i / per_axis for i in range(1, per_axis)]
-        have = _all_present("r", band)
-        # enough sketch resolution for distinct cuts (cells only affect speed)
-        accuracy = int(min(1_000_000, max(10_000, 10 * per_axis)))
-        for a in band:
-            aggs.append(F.percentile_approx(F.when(have, F.col(f"r_{a}")), probs, accuracy)
-                        .alias(f"b{bi}_{a}"))
-    row = r.agg(*aggs).first().asDict() if aggs else {}
+#: Presence patterns with cells of their own.
+MAX_PATTERNS = 256
+BLOCK_BYTES = 1 << 20
+#: Bytes of all cells together, a bound on what is broadcast.
+CELL_BYTES = 48 << 20
+MAX_CELLS = 65_536
+#: Entries of the (query, cell) matrix a task holds at a time.
+BOUND_CELLS = 4_000_000
+
+
+def _present(df: DataFrame, features: list[str], key: str) -> DataFrame:
+    """``id, x``: the key and all coordinates, null where absent."""
+    x = [F.nanvl(F.col(f).cast("double"), F.lit(None).cast("double")) for f in features]
+    return df.select(F.col(key).alias("id"), F.array(*x).alias("x"))
+
+
+def _matrix(column: pa.Array, p: int) -> np.ndarray:
+    """Rows of a list column as a matrix, NaN where absent."""
+    flat = column.flatten()
+    return flat.to_numpy(zero_copy_only=False).astype(float).reshape(-1, p)
+
+
+def _unpack(raw: bytes, p: int) -> np.ndarray:
+    return np.frombuffer(raw, dtype="<f8").reshape(-1, p)
+
+
+def _pack(x: np.ndarray) -> bytes:
+    return np.ascontiguousarray(x, dtype="<f8").tobytes()
+
+
+def _mask_text() -> F.Column:
+    return F.array_join(F.transform("x", lambda v: F.when(v.isNull(), F.lit("0")).otherwise(F.lit("1"))), "")
+
+
+@dataclass
+class Cells:
+    """What the driver and every task know of the cells; rows are cells."""
+    center: np.ndarray
+    radius: np.ndarray
+    lo: np.ndarray
+    hi: np.ndarray
+    every: np.ndarray       # coordinates all rows have
+    some: np.ndarray        # coordinates some row has
+    count: np.ndarray       # rows that have each target, up to k
+    number: np.ndarray
+
+    def bounds(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Lower bound of the distance to any row, and the distance to the centre, of each
+        (query, cell); infinite where no coordinate can be common."""
+        p = x.shape[1]
+        have = ~np.isnan(x)
+        tri = np.zeros((len(x), len(self.radius)))
+        box = np.zeros_like(tri)
+        for j in range(p):
+            both = have[:, j, None] & self.every[None, :, j]
+            xj = np.where(have[:, j], x[:, j], 0.0)[:, None]
+            tri += np.where(both, (xj - self.center[None, :, j]) ** 2, 0.0)
+            box += np.where(both, np.maximum(np.maximum(self.lo[None, :, j] - xj, xj - self.hi[None, :, j]), 0.0) ** 2, 0.0)
+        shared = have.astype(float) @ self.some.T.astype(float)
+        scale = np.sqrt(p / np.maximum(shared, 1.0))
+        near = scale * np.sqrt(tri)
+        least = scale * np.maximum(np.maximum(np.sqrt(tri) - self.radius, 0.0), np.sqrt(box))
+        return np.where(shared > 0, least, np.inf), np.where(shared > 0, near, np.inf)
+
+    def first(self, near: np.ndarray, need: np.ndarray, k: int) -> np.ndarray:
+        """Cells of pass 1: for each needed target the nearest with k rows that have it, or
+        all that have it where no cell has so many."""
+        out = np.zeros(near.shape, dtype=bool)
+        for t in range(need.shape[1]):
+            rows = np.flatnonzero(need[:, t])
+            if not len(rows):
+                continue
+            full = np.where(self.count[None, :, t] >= k, near[rows], np.inf)
+            best = full.argmin(axis=1)
+            found = np.isfinite(full[np.arange(len(rows)), best])
+            out[rows[found], best[found]] = True
+            out[rows[~found]] |= (self.count[None, :, t] > 0) & np.isfinite(near[rows[~found]])
+        return out
+
+    def second(self, least: np.ndarray, visited: np.ndarray, reach: np.ndarray, need: np.ndarray) -> np.ndarray:
+        """Cells of pass 2: not visited, and near enough for a needed target that some row has."""
+        out = np.zeros(least.shape, dtype=bool)
+        for t in range(need.shape[1]):
+            limit = np.where(need[:, t], reach[:, t] * (1 + 1e-9) + 1e-6, -1.0)
+            out |= (least <= limit[:, None]) & (self.count[None, :, t] > 0)
+        return out & ~visited & np.isfinite(least)
+
+
+def _best(rows: np.ndarray, ids: np.ndarray, dist: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k first of each row by (rounded distance, id)."""
+    order = np.lexsort((ids, np.round(dist, 9), rows))
+    rank = np.arange(len(order)) - np.searchsorted(rows[order], rows[order], side="left")
+    return order[rank < k]
+
+
+def near_pairs(q: np.ndarray, need: np.ndarray, reach: np.ndarray, r: np.ndarray, rank: np.ndarray,
+               targets: list[int], k: int) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each target (query rows, reference rows, distances) of the k nearest in a pair of
+    blocks, none farther than ``reach``. ``rank`` orders the references by id; a target of
+    -1 stands for any reference."""
+    p = q.shape[1]
+    mid = np.nan_to_num(r).mean(axis=0)
+    a, b = np.nan_to_num(q - mid), np.nan_to_num(r - mid)
+    ma, mb = (~np.isnan(q)).astype(float), (~np.isnan(r)).astype(float)
+    if ma.all() and mb.all():
+        sq = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * (a @ b.T)
+        common = np.float64(p)
+    else:
+        sq = (a * a) @ mb.T + ma @ (b * b).T - 2 * (a @ b.T)
+        common = ma @ mb.T
+    with np.errstate(divide="ignore", invalid="ignore"):
+        rough = np.where(common > 0, p / common * np.maximum(sq, 0.0), np.inf)
+    # What cancellation may have taken from a squared distance.
+    slack = 1e-11 * p * ((a * a).sum(1)[:, None].max() + (b * b).sum(1).max()) + 1e-12
     out = []
-    for bi, band in enumerate(bands):
-        out.append({a: sorted(set(v for v in (row.get(f"b{bi}_{a}") or []) if v is not None))
-                    for a in band})
+    for t, column in enumerate(targets):
+        rows = np.flatnonzero(need[:, t])
+        cols = np.arange(len(r)) if column < 0 else np.flatnonzero(mb[:, column] > 0)
+        if not len(rows) or not len(cols):
+            continue
+        part = rough[np.ix_(rows, cols)]
+        limit = (reach[rows, t] * (1 + 1e-9) + 1e-6) ** 2
+        if len(cols) > k:
+            kth = np.sqrt(np.partition(part, k - 1, axis=1)[:, k - 1] + slack) + 1e-8        # ties after rounding stay
+            limit = np.minimum(limit, kth ** 2)
+        i, j = np.nonzero((part <= limit[:, None] + slack) & np.isfinite(part))
+        if not len(i):
+            continue
+        i, j = rows[i], cols[j]
+        exact = []
+        for lo in range(0, len(i), 1 << 16):
+            d = q[i[lo:lo + (1 << 16)]] - r[j[lo:lo + (1 << 16)]]
+            n = (~np.isnan(d)).sum(axis=1)
+            exact.append(np.sqrt(p / n * np.nansum(d * d, axis=1)))
+        dist = np.concatenate(exact)
+        at = _best(i, rank[j], dist, k)
+        out.append((t, i[at], j[at], dist[at]))
     return out
 
 
-def _choose_bands(r: DataFrame, features: list[str], two_axes: bool):
-    # presence, spread and (for a few columns) all correlations in one pass
-    pairs = [(a, b) for i, a in enumerate(features) for b in features[i + 1:]] \
-        if two_axes and len(features) <= ALL_PAIRS_CORR else []
-    from .select import pair_correlation_aggs, pair_correlation_value
-    stats = r.agg(*[F.count(f"r_{f}").alias(f"n_{f}") for f in features],
-                  *[F.stddev_pop(f"r_{f}").alias(f"s_{f}") for f in features],
-                  *[F.approx_count_distinct(f"r_{f}").alias(f"d_{f}") for f in features],
-                  *pair_correlation_aggs([(f"r_{a}", f"r_{b}") for a, b in pairs], "pc_")).first()
-    pair_index = {pair: n for n, pair in enumerate(pairs)}
-    present = {f: stats[f"n_{f}"] for f in features}
-    spread = {f: stats[f"s_{f}"] or 0.0 for f in features}
-    # A column with few values makes few, large cells, however often it is present:
-    # the most selective columns own the pairs, up to the point where cells are small anyway.
-    fine = math.sqrt(max(present.values(), default=0) or 1)
-    order = sorted([f for f in features if present[f] > 0],
-                   key=lambda f: (-min(stats[f"d_{f}"], fine), -present[f], -spread[f]))
-    bands = [(g,) for g in order]
-    if two_axes and len(order) > 1 and spread[order[0]] > 0:
-        g = order[0]
-        others = [h for h in order[1:] if spread[h] > 0 and present[h] >= 0.5 * present[g]]
-        if others:
-            if pairs:
-                corr = {h: pair_correlation_value(
-                    stats, pair_index[(g, h)] if (g, h) in pair_index else pair_index[(h, g)], "pc_")
-                    for h in others}
+# ---------------------------------------------------------------- references
+
+def _patterns(r: DataFrame, p: int, rows_per_cell: int) -> tuple[dict[str, int], dict[int, int], int]:
+    """Group of each frequent pattern, rows of each group (0: all other patterns) and of all."""
+    counts = r.groupBy(_mask_text().alias("mask")).agg(F.count(F.lit(1)).alias("n"))
+    top = counts.orderBy(F.col("n").desc(), "mask").limit(MAX_PATTERNS).collect()
+    total = r.count() if len(top) == MAX_PATTERNS else sum(x["n"] for x in top)
+    own = [x for x in top if "1" in x["mask"] and (x["n"] * 4 >= rows_per_cell or len(top) < 32)]
+    groups = {x["mask"]: i + 1 for i, x in enumerate(own)}
+    sizes = {i + 1: x["n"] for i, x in enumerate(own)}
+    sizes[0] = total - sum(sizes.values())
+    return groups, sizes, total
+
+
+def _pivots(r: DataFrame, groups: dict[str, int], sizes: dict[int, int], p: int, rows_per_cell: int,
+            fill: np.ndarray) -> dict[int, np.ndarray]:
+    """Sampled rows of each group, absent coordinates filled."""
+    most = max(len(sizes), min(MAX_CELLS, CELL_BYTES // (26 * p + 64)))
+    want = {g: max(1, -(-n // rows_per_cell)) for g, n in sizes.items() if n}
+    over = max(1.0, sum(want.values()) / most)
+    want = {g: max(1, int(w / over)) for g, w in want.items()}
+    total, drawn = sum(sizes.values()), sum(want.values())
+    draw = F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1 << 30))
+    rate = min(1.0, 2.0 * drawn / max(1, total) + 64.0 / max(1, total))
+    got = r.where(draw < int(rate * (1 << 30))).withColumn("h", draw).limit(4 * most + 1024).toArrow()
+    out: dict[int, list[np.ndarray]] = {g: [] for g in want}
+    if got.num_rows:
+        x = _matrix(got["x"].combine_chunks(), p)
+        text = ["".join("0" if n else "1" for n in row) for row in np.isnan(x)]
+        for i in np.argsort(got["h"].to_numpy(), kind="stable"):
+            g = groups.get(text[i], 0)
+            if g in out and len(out[g]) < want[g]:
+                out[g].append(np.where(np.isnan(x[i]), fill, x[i]))
+    return {g: np.array(v or [fill]) for g, v in out.items()}
+
+
+_CELL = "cell int, d double, id {id}, x array<double>"
+_BLOCK = ("cell int, ids array<{id}>, x binary, center binary, radius double, lo binary, hi binary, every binary, some binary, "
+          "counts binary")
+
+
+def _to_cells(groups, pivots, fill, p):
+    start, first = {}, 0
+    for g in sorted(pivots):
+        start[g], first = first, first + len(pivots[g])
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = _matrix(batch.column("x"), p)
+            full = np.where(np.isnan(x), fill, x)
+            absent = np.isnan(x)
+            group = np.zeros(len(x), dtype=np.int64)
+            kinds, which = np.unique(absent, axis=0, return_inverse=True)
+            for i, kind in enumerate(kinds):
+                g = groups.get("".join("0" if a else "1" for a in kind), 0)
+                group[which.ravel() == i] = g if g in pivots else 0
+            cell, dist = np.zeros(len(x), np.int32), np.zeros(len(x))
+            for g in np.unique(group):
+                c = pivots[g] if g in pivots else pivots[min(pivots)]
+                rows = np.flatnonzero(group == g)
+                step = max(1, BOUND_CELLS // len(c))
+                for lo in range(0, len(rows), step):
+                    at = rows[lo:lo + step]
+                    d = (full[at] ** 2).sum(1)[:, None] + (c ** 2).sum(1)[None, :] - 2 * full[at] @ c.T
+                    best = d.argmin(axis=1)
+                    cell[at] = start[g if g in start else min(start)] + best
+                    dist[at] = np.sqrt(((full[at] - c[best]) ** 2).sum(1))
+            yield pa.record_batch([pa.array(cell), pa.array(dist), batch.column("id"), batch.column("x")],
+                                  names=["cell", "d", "id", "x"])
+    return run, np.concatenate([pivots[g] for g in sorted(pivots)])
+
+
+def _pack_cells(centers, columns, k, p, id_type):
+    """Rows sorted by cell -> its blocks, and after them a row without ids that describes the cell."""
+    rows_a_block = max(64, BLOCK_BYTES // (8 * p))
+
+    def run(batches):
+        schema = None
+        cell, held_id, held_x, n, stats = None, [], [], 0, None
+
+        def block():
+            nonlocal held_id, held_x, n
+            ids, x = pa.concat_arrays(held_id), np.concatenate(held_x)
+            held_id, held_x, n = [], [], 0
+            return ids, x
+
+        def learn(x):
+            nonlocal stats
+            have, c = ~np.isnan(x), centers[cell]
+            every, some = have.all(axis=0), have.any(axis=0)
+            radius = float(np.sqrt(((np.where(every, x, 0.0) - np.where(every, c, 0.0)) ** 2).sum(axis=1)).max())
+            lo = np.where(have, x, np.inf).min(axis=0)
+            hi = np.where(have, x, -np.inf).max(axis=0)
+            count = np.array([len(x) if t < 0 else int(have[:, t].sum()) for t in columns])
+            if stats is None:
+                stats = [radius, lo, hi, every, some, count]
             else:
-                row = r.agg(*pair_correlation_aggs([(f"r_{g}", f"r_{h}") for h in others])).first()
-                corr = {h: pair_correlation_value(row, n) for n, h in enumerate(others)}
-            resid = {h: spread[h] * math.sqrt(max(0.0, 1.0 - (corr[h] or 0.0) ** 2))
-                     for h in others}
-            h = max(others, key=lambda x: resid[x])
-            if resid[h] > 0:
-                bands = [(g, h)] + bands
-    return order, present, bands
-
-
-def _patterns(df: DataFrame, prefix: str, order: list[str]):
-    """Counts of presence bitmasks over the prune coordinates, the first
-    ``MASK_BITS`` of them (one small aggregate); None when there are too many
-    distinct patterns."""
-    m = sum(F.when(F.col(f"{prefix}_{a}").isNotNull(), F.lit(1 << i)).otherwise(F.lit(0))
-            for i, a in enumerate(order[:MASK_BITS]))
-    rows = df.groupBy(m.cast("long").alias("m")).agg(F.count(F.lit(1)).alias("n")) \
-        .limit(MAX_PATTERNS + 1).collect()
-    if len(rows) > MAX_PATTERNS:
-        return None
-    return {row["m"]: row["n"] for row in rows}
-
-
-def _owned(bands, order, pq, pr) -> list[int]:
-    """Indices of bands that own at least one (query pattern, reference
-    pattern) pair: the first band whose axes both rows have owns the pair."""
-    if pq is None or pr is None:
-        return list(range(len(bands)))
-    bit = {a: 1 << i for i, a in enumerate(order[:MASK_BITS])}
-    # A band on a coordinate beyond the mask is kept for every pair that no earlier band owns.
-    masks = [sum(bit[a] for a in band) if all(a in bit for a in band) else 0 for band in bands]
-    owns = [False] * len(bands)
-    for a, b in itertools.product(pq, pr):
-        common = a & b
-        for i, m in enumerate(masks):
-            if common & m == m:
-                owns[i] = True
-                if m:
-                    break
-    return [i for i, o in enumerate(owns) if o]
-
-
-def _expansions(per: dict, shape: tuple, k: int, nt: int) -> list[tuple]:
-    """For every cell the smallest symmetric window of cells (same width on
-    every axis) holding at least k eligible references for every target; the
-    whole grid when no window does. Vectorised over all cells with a
-    summed-area table; window widths 0, 1, 2, 3, 4, 8, 16, ..."""
-    import numpy as np
-    dims = len(shape)
-    grid = np.zeros(shape + (nt,), dtype=np.int64)
-    for cell, v in per.items():
-        grid[cell] = v
-    sat = grid
-    for d in range(dims):
-        sat = np.cumsum(sat, axis=d)
-    sat = np.pad(sat, [(1, 0)] * dims + [(0, 0)])
-    idx = np.indices(shape).reshape(dims, -1)          # every cell, one column each
-    ncell = idx.shape[1]
-    width = np.full(ncell, -1, dtype=np.int64)
-    widths, w = [], 0
-    while True:
-        widths.append(w)
-        if all(w >= s_ for s_ in shape):
-            break
-        w = w + 1 if w < 4 else w * 2
-    for w in widths:
-        lo = [np.maximum(idx[d] - w, 0) for d in range(dims)]
-        hi = [np.minimum(idx[d] + w, shape[d] - 1) for d in range(dims)]
-        if dims == 1:
-            tot = sat[hi[0] + 1] - sat[lo[0]]
-        else:
-            tot = (sat[hi[0] + 1, hi[1] + 1] - sat[lo[0], hi[1] + 1]
-                   - sat[hi[0] + 1, lo[1]] + sat[lo[0], lo[1]])
-        full = np.ones(ncell, dtype=bool)
-        for d in range(dims):
-            full &= (lo[d] == 0) & (hi[d] == shape[d] - 1)
-        ok = (tot >= k).all(axis=1) | full
-        width = np.where((width < 0) & ok, w, width)
-        if (width >= 0).all():
-            break
-    out = []
-    for c in range(ncell):
-        w = int(width[c])
-        cell = [int(idx[d, c]) for d in range(dims)]
-        lo = [max(0, cell[d] - w) for d in range(dims)]
-        hi = [min(shape[d] - 1, cell[d] + w) for d in range(dims)]
-        out.append((*cell, *lo, *hi))
-    return out
-
-
-def _refs(refs: DataFrame, features: list[str], rid: str) -> DataFrame:
-    return refs.select(F.col(rid).alias("__rid"),
-                       *[F.col(f).cast("double").alias(f"r_{f}") for f in features])
-
-
-def _has_target(t):
-    return F.lit(True) if t == ANY_TARGET else F.col(f"r_{t}").isNotNull()
-
-
-def _banded_refs(r: DataFrame, band, cuts) -> DataFrame:
-    rb = r.where(_all_present("r", band))
-    for d, a in enumerate(band):
-        rb = bucketize(rb, f"r_{a}", cuts[a], f"__c{d}")
-    return rb
-
-
-def knn_index(refs: DataFrame, features: list[str], k: int, rid: str,
-              targets: list[str] | None = None, rows_per_bucket: int = 256,
-              max_cells: int = 1_000_000, two_axes: bool = True) -> tuple[dict, dict]:
-    """The reference side of ``exact_knn``: bands, presence patterns and cell
-    counts per band. Per-band cell bounds and pass-1 window tables are built
-    on first use by ``_ensure_bands`` (only for bands some query needs) and
-    kept in the index. Returns (JSON-able metadata, {band index: window table})."""
-    r = _refs(refs, features, rid).persist()
-    tlist = targets or [ANY_TARGET]
-    order, present, bands = _choose_bands(r, features, two_axes)
-    meta = {"features": features, "k": k, "targets": tlist, "order": order,
-            "bands": [list(b) for b in bands], "ref_patterns": None, "sizes": [],
-            "cuts": [None] * len(bands), "rid": rid}
-    if not order:
-        return meta, {}
-    pr = _patterns(r, "r", order)
-    bit = {a: 1 << i for i, a in enumerate(order[:MASK_BITS])}
-    for band in bands:
-        if pr is not None and all(a in bit for a in band):
-            mask = sum(bit[a] for a in band)
-            n_b = sum(n for m, n in pr.items() if m & mask == mask)
-        else:
-            n_b = r.where(_all_present("r", band)).count()
-        if len(band) == 1:
-            per_axis = min(max_cells, max(1, int(math.ceil(n_b / float(rows_per_bucket)))))
-        else:
-            per_axis = min(int(math.sqrt(max_cells)),
-                           max(1, int(math.ceil(math.sqrt(n_b / float(rows_per_bucket))))))
-        meta["sizes"].append(per_axis)
-    meta["ref_patterns"] = None if pr is None else [[m, n] for m, n in pr.items()]
-    return meta, {}
-
-
-def _ensure_bands(meta: dict, windows: dict, r: DataFrame, wanted: list[int]) -> None:
-    """Build cell bounds and pass-1 windows for the wanted bands that do not
-    have them yet: one cut-point aggregate and one cell-count aggregate."""
-    spark = active_session()
-    missing = [i for i in wanted if meta["cuts"][i] is None or i not in windows]
-    if not missing:
-        return
-    bands = [tuple(meta["bands"][i]) for i in missing]
-    tlist, k = meta["targets"], meta["k"]
-    cuts = _band_cut_points(r, bands, [meta["sizes"][i] for i in missing])
-    tagged = None
-    for j, band in enumerate(bands):
-        rb = _banded_refs(r, band, cuts[j])
-        part = rb.select(F.lit(j).alias("__band"), F.col("__c0"),
-                         (F.col("__c1") if len(band) > 1 else F.lit(0)).alias("__c1"),
-                         *[_has_target(t).cast("long").alias(f"t{i}") for i, t in enumerate(tlist)])
-        tagged = part if tagged is None else tagged.unionByName(part)
-    counts = tagged.groupBy("__band", "__c0", "__c1").agg(
-        *[F.sum(f"t{i}").alias(f"t{i}") for i in range(len(tlist))]).collect()  # <= cells
-    for j, (i, band) in enumerate(zip(missing, bands)):
-        shape = tuple(len(cuts[j][a]) + 1 for a in band)
-        per = {(row["__c0"], row["__c1"])[:len(band)]: [row[f"t{t}"] or 0 for t in range(len(tlist))]
-               for row in counts if row["__band"] == j}
-        nd = len(band)
-        schema = ", ".join([f"__q{d} int" for d in range(nd)] + [f"__lo{d} int" for d in range(nd)]
-                           + [f"__hi{d} int" for d in range(nd)])
-        windows[i] = spark.createDataFrame(_expansions(per, shape, k, len(tlist)), schema)
-        meta["cuts"][i] = {a: c for a, c in cuts[j].items()}
-
-
-def exact_knn(queries: DataFrame, refs: DataFrame, features: list[str], k: int,
+                stats = [max(stats[0], radius), np.minimum(stats[1], lo), np.maximum(stats[2], hi), stats[3] & every,
+                         stats[4] | some, stats[5] + count]
+
+        def out(rows):
+            cols = list(zip(*rows))
+            arrays = [pa.array(cols[0], pa.int32()), _lists(cols[1], id_type), pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.binary()),
+                      pa.array(cols[4], pa.float64()), *[pa.array(c, pa.binary()) for c in cols[5:]]]
+            return pa.record_batch(arrays, names=names)
+        names = [c.split()[0] for c in _BLOCK.split(", ")]
+
+        def flush():
+            ids, x = block()
+            learn(x)
+            return (cell, ids, _pack(x), None, None, None, None, None, None, None)
+
+        def close():
+            radius, lo, hi, every, some, count = stats
+            return (cell, None, None, _pack(centers[cell]), radius * (1 + 1e-9) + 1e-12, _pack(lo), _pack(hi), every.tobytes(),
+                    some.tobytes(), np.minimum(count, k).astype("<i8").tobytes())
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cells, x = batch.column("cell").to_numpy(), _matrix(batch.column("x"), p)
+            edge = np.flatnonzero(np.diff(cells)) + 1
+            for lo, hi in zip([0, *edge], [*edge, len(cells)]):
+                if cells[lo] != cell:
+                    if cell is not None:
+                        rows = ([flush()] if n else []) + [close()]
+                        yield out(rows)
+                    cell, stats = int(cells[lo]), None
+                while lo < hi:
+                    take = min(hi - lo, rows_a_block - n)
+                    held_id.append(batch.column("id").slice(lo, take))
+                    held_x.append(x[lo:lo + take])
+                    n, lo = n + take, lo + take
+                    if n == rows_a_block:
+                        yield out([flush()])
+        if cell is not None:
+            yield out(([flush()] if n else []) + [close()])
+    return run
+
+
+def _lists(parts, kind: pa.DataType) -> pa.Array:
+    """A list array of arrays, null for None."""
+    sizes = [0 if a is None else len(a) for a in parts]
+    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    values = [a.cast(kind) for a in parts if a is not None and len(a)]
+    flat = pa.concat_arrays(values) if values else pa.array([], kind)
+    return pa.ListArray.from_arrays(pa.array(offsets), flat, mask=pa.array([a is None for a in parts]))
+
+
+def knn_index(refs: DataFrame, features: list[str], k: int, rid: str, targets: list[str] | None = None,
+              rows_per_bucket: int = 256) -> tuple[dict, DataFrame | None]:
+    """The reference side of ``exact_knn``: JSON-able facts and the stored table of blocks
+    and cells; no table without references. ``rows_per_bucket`` is the rows a cell aims at."""
+    from pyspark.sql.pandas.types import to_arrow_type
+    bound_arrow(refs.sparkSession)
+    p, tlist = len(features), targets or [ANY_TARGET]
+    columns = [-1 if t == ANY_TARGET else features.index(t) for t in tlist]
+    r = _present(refs, features, rid)
+    id_type = r.schema["id"].dataType
+    meta = {"features": features, "k": k, "targets": tlist, "id": id_type.simpleString()}
+    # Equal rows: only the k smallest ids can be neighbours.
+    first = Window.partitionBy("x").orderBy("id")
+    r = materialise(r.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= k).drop("_n"), "knn-rows")
+    means = r.agg(*[F.avg(F.col("x")[j]).alias(f"m{j}") for j in range(p)]).first()
+    fill = np.array([0.0 if means[j] is None else means[j] for j in range(p)])
+    groups, sizes, total = _patterns(r, p, rows_per_bucket)
+    if not total or not any(m is not None for m in means):
+        discard(r)
+        return meta, None
+    assign, centers = _to_cells(groups, _pivots(r, groups, sizes, p, rows_per_bucket, fill), fill, p)
+    named = r.mapInArrow(assign, _CELL.format(id=meta["id"]))
+    packed = named.repartition("cell").sortWithinPartitions("cell", "d").mapInArrow(
+        _pack_cells(centers, columns, k, p, to_arrow_type(id_type)), _BLOCK.format(id=meta["id"]))
+    blocks = materialise(packed, "knn-blocks")
+    discard(r)
+    return meta, blocks
+
+
+def _cells(blocks: DataFrame, p: int, n_targets: int) -> Cells:
+    """The cells of a table of blocks, at most ``CELL_BYTES`` of them."""
+    t = blocks.where(F.col("ids").isNull()).drop("ids", "x").toArrow()
+    wide = lambda c, kind, w: np.frombuffer(b"".join(t[c].to_pylist()), dtype=kind).reshape(-1, w)
+    return Cells(wide("center", "<f8", p), t["radius"].to_numpy(), wide("lo", "<f8", p), wide("hi", "<f8", p), wide("every", bool, p),
+                 wide("some", bool, p), wide("counts", "<i8", n_targets), t["cell"].to_numpy())
+
+
+# ---------------------------------------------------------------- queries
+
+_SENT = "cell int, qids array<{id}>, q binary, need binary, reach binary"
+
+
+def _send(told, columns, k, p, second):
+    """Queries -> for every cell a query must visit, the queries of a batch packed."""
+    def run(batches):
+        cells = told.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = _matrix(batch.column("x"), p)
+            need = np.stack([np.ones(len(x), bool) if t < 0 else np.isnan(x[:, t]) for t in columns], axis=1)
+            reach = _matrix(batch.column("reach"), len(columns)) if second else np.full(need.shape, np.inf)
+            reach = np.where(np.isnan(reach), np.inf, reach)
+            step = max(1, BOUND_CELLS // max(1, len(cells.number)))
+            for lo in range(0, len(x), step):
+                some = slice(lo, lo + step)
+                least, near = cells.bounds(x[some])
+                goes = cells.first(near, need[some], k)
+                if second:
+                    goes = cells.second(least, goes, reach[some], need[some])
+                ids = batch.column("id").slice(lo, step)
+                rows = [(int(cells.number[c]), np.flatnonzero(goes[:, c])) for c in np.flatnonzero(goes.any(axis=0))]
+                for at in range(0, len(rows), 64):
+                    now = rows[at:at + 64]
+                    yield pa.record_batch(
+                        [pa.array([c for c, _ in now], pa.int32()), _lists([ids.take(pa.array(i)) for _, i in now], ids.type),
+                         pa.array([_pack(x[some][i]) for _, i in now], pa.binary()),
+                         pa.array([need[some][i].tobytes() for _, i in now], pa.binary()),
+                         pa.array([_pack(reach[some][i]) for _, i in now], pa.binary())],
+                        names=["cell", "qids", "q", "need", "reach"])
+    return run
+
+
+def _search(columns, names, k, p):
+    """Joined packs and blocks -> the k nearest of each (query, target) in the pair."""
+    def run(batches):
+        for batch in batches:
+            qids, rids = batch.column("qids"), batch.column("ids")
+            qx, rx, needs, reaches = (batch.column(c).to_pylist() for c in ("q", "x", "need", "reach"))
+            for n in range(batch.num_rows):
+                q, r = _unpack(qx[n], p), _unpack(rx[n], p)
+                need = np.frombuffer(needs[n], bool).reshape(len(q), -1)
+                ids = rids[n].values
+                rank = np.argsort(np.argsort(ids.to_numpy(zero_copy_only=False), kind="stable"), kind="stable")
+                for t, i, j, dist in near_pairs(q, need, _unpack(reaches[n], len(columns)), r, rank, columns, k):
+                    value = np.full(len(j), np.nan) if columns[t] < 0 else r[j, columns[t]]
+                    yield pa.record_batch(
+                        [qids[n].values.take(pa.array(i)), pa.array([names[t]] * len(i), pa.string()), ids.take(pa.array(j)),
+                         pa.array(dist), pa.array(value, pa.float64(), mask=np.isnan(value))],
+                        names=["qid", "target", "rid", "dist", "value"])
+    return run
+
+
+def _k_best(pairs: DataFrame, k: int) -> DataFrame:
+    w = Window.partitionBy("qid", "target").orderBy(F.round("dist", 9), "rid")
+    return pairs.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= k).drop("_n")
+
+
+def exact_knn(queries: DataFrame, refs: DataFrame | None, features: list[str], k: int,
               qid: str, rid: str, targets: list[str] | None = None,
-              rows_per_bucket: int = 256, max_cells: int = 1_000_000,
-              two_axes: bool = True, index: tuple | None = None) -> DataFrame:
+              rows_per_bucket: int = 256, index: tuple | None = None) -> DataFrame:
     """k nearest references per query (per (query, target) when ``targets``
     is given: only queries missing the target and references having it).
 
     ``index`` is a prebuilt ``knn_index`` of the same references (fitted
     state); without it the index is built here.
 
-    Returns (qid, target, rid, dist, value) where ``value`` is the reference's
+    Returns stored (qid, target, rid, dist, value) where ``value`` is the reference's
     target value (null for the any-target case), at most k rows per
     (qid, target), ordered by (round(dist, 9), rid).
     """
     spark = active_session()
-    if index is None:
-        index = knn_index(refs, features, k, rid, targets, rows_per_bucket, max_cells, two_axes)
-    meta, windows = index
-    empty = "qid long, target string, rid long, dist double, value double"
-    order, tlist = meta["order"], meta["targets"]
-    if not order:
-        return spark.createDataFrame([], empty)
-    q = queries.select(F.col(qid).alias("__qid"),
-                       *[F.col(f).cast("double").alias(f"q_{f}") for f in features])
-    if targets:
-        q = q.withColumn("__targets", F.filter(F.array(*[
-            F.when(F.col(f"q_{t}").isNull(), F.lit(t)) for t in targets]), lambda x: x.isNotNull()))
-    else:
-        q = q.withColumn("__targets", F.array(F.lit(ANY_TARGET)))
-    q = q.where(F.size("__targets") > 0).persist()
-    r = _refs(refs, features, rid).persist()
-    all_bands = [tuple(b) for b in meta["bands"]]
-    pr = None if meta["ref_patterns"] is None else {m: n for m, n in meta["ref_patterns"]}
-    active = _owned(all_bands, order, _patterns(q, "q", order), pr)
-    if not active:
-        return spark.createDataFrame([], empty)
-    bands = [all_bands[i] for i in active]
-    _ensure_bands(meta, windows, r, active)
-    meta_rows = []
-    for i in active:
-        band = all_bands[i]
-        cuts = meta["cuts"][i]
-        cells = [f"__c{d}" for d in range(len(band))]
-        meta_rows.append((band, cuts, cells, _banded_refs(r, band, cuts).persist(), windows[i]))
-    meta = meta_rows
-
-    def join_cells(qsub, band_meta, band_filter=None):
-        band, cuts, cells, rb, _ = band_meta
-        qq = qsub
-        for d in range(len(band)):
-            qq = qq.withColumn(cells[d], F.explode(F.sequence(F.col(f"__lo{d}"), F.col(f"__hi{d}"))))
-        joined = qq.join(rb, cells).drop(*cells)
-        if band_filter is not None:
-            joined = joined.where(band_filter)
-        return joined.withColumn("dist", _distance(features)).where(F.col("dist").isNotNull())
-
-    lohi = [f"__lo{d}" for d in range(2)] + [f"__hi{d}" for d in range(2)]
-
-    # ---- pass 1: a radius from the cells around each query, using the first
-    # band whose axes the query has
-    first = None
-    for bi in reversed(range(len(bands))):
-        cond = _all_present("q", bands[bi])
-        first = F.when(cond, F.lit(bi)) if first is None else F.when(cond, F.lit(bi)).otherwise(first)
-    qf = q.withColumn("__band", first)
-    parts = []
-    for bi, bm in enumerate(meta):
-        band, cuts, cells, rb, exp_df = bm   # exp_df: one row per cell (<= max_cells)
-        nd = len(band)
-        qb = qf.where(F.col("__band") == bi)
-        for d, a in enumerate(band):
-            qb = bucketize(qb, f"q_{a}", cuts[a], f"__q{d}")
-        qb = qb.join(F.broadcast(exp_df), [f"__q{d}" for d in range(nd)]) \
-            .drop(*[f"__q{d}" for d in range(nd)])
-        parts.append(join_cells(qb, bm).drop(*[c for c in lohi if c in qb.columns]))
-    p1 = _per_target(_union(parts), tlist)
-    w = Window.partitionBy("__qid", "target").orderBy(F.round("dist", 9), "__rid")
-    kth = (p1.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= k)
-           .groupBy("__qid", "target").agg(F.count(F.lit(1)).alias("__c"), F.max("dist").alias("__d")))
-    radius = (kth.groupBy("__qid").agg(
-        F.max(F.when(F.col("__c") >= k, F.col("__d")).otherwise(F.lit(float("inf")))).alias("__r"),
-        F.count(F.lit(1)).alias("__nt")))
-    q2 = q.join(radius, "__qid", "left")
-    # a target without any pass-1 candidate needs the full search
-    q2 = q2.withColumn("__r", F.when(F.col("__nt") == F.size("__targets"), F.col("__r"))
-                       .otherwise(F.lit(float("inf")))).drop("__nt")
-    q2 = q2.withColumn("__r", F.col("__r") + F.lit(1e-6)).persist()
-
-    # ---- pass 2: every pair inside the radius box, each pair in one band
-    parts = []
-    for bi, bm in enumerate(meta):
-        band, cuts, cells, rb, _ = bm
-        qb = q2.where(_all_present("q", band))
-        for d, a in enumerate(band):
-            qb = qb.withColumn("__v", F.col(f"q_{a}") - F.col("__r"))
-            qb = bucketize(qb, "__v", cuts[a], f"__lo{d}")
-            qb = qb.withColumn("__v", F.col(f"q_{a}") + F.col("__r"))
-            qb = bucketize(qb, "__v", cuts[a], f"__hi{d}").drop("__v")
-        cond = None
-        for a in band:
-            c = F.abs(F.col(f"q_{a}") - F.col(f"r_{a}")) <= F.col("__r")
-            cond = c if cond is None else cond & c
-        for earlier in bands[:bi]:  # an earlier band both rows have owns the pair
-            cond = cond & ~_both_have(earlier)
-        parts.append(join_cells(qb, bm, cond).drop(*[c for c in lohi if c in qb.columns]))
-    p2 = _per_target(_union(parts), tlist)
-    top = p2.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= k)
-    return top.select(F.col("__qid").alias("qid"), "target", F.col("__rid").alias("rid"),
-                      "dist", "value")
-
-
-def _union(parts):
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def _per_target(pairs: DataFrame, tlist: list[str]) -> DataFrame:
-    """One row per (pair, target the query needs and the reference has)."""
-    t = pairs.withColumn("target", F.explode("__targets"))
-    if tlist == [ANY_TARGET]:
-        return t.withColumn("value", F.lit(None).cast("double"))
-    value = None
-    for c in tlist:
-        value = F.when(F.col("target") == c, F.col(f"r_{c}")) if value is None else \
-            value.when(F.col("target") == c, F.col(f"r_{c}"))
-    return t.withColumn("value", value).where(F.col("value").isNotNull())
+    bound_arrow(spark)
+    meta, blocks = index or knn_index(refs, features, k, rid, targets, rows_per_bucket)
+    features, k, names, p = meta["features"], meta["k"], meta["targets"], len(meta["features"])
+    columns = [-1 if t == ANY_TARGET else features.index(t) for t in names]
+    q = _present(queries, features, qid)
+    id_type = q.schema["id"].dataType.simpleString()
+    found = f"qid {id_type}, target string, rid {meta['id']}, dist double, value double"
+    if blocks is None:
+        return spark.createDataFrame([], found)
+    if columns != [-1]:
+        missing = None
+        for c in columns:
+            missing = F.col("x")[c].isNull() if missing is None else missing | F.col("x")[c].isNull()
+        q = q.where(missing)
+    q = materialise(q, "knn-queries")
+    told = spark.sparkContext.broadcast(_cells(blocks, p, len(columns)))
+    rows = blocks.where(F.col("ids").isNotNull()).select("cell", "ids", "x")
+
+    def visit(asked: DataFrame, second: bool) -> DataFrame:
+        sent = asked.mapInArrow(_send(told, columns, k, p, second), _SENT.format(id=id_type))
+        return _k_best(sent.join(rows, "cell").drop("cell").mapInArrow(_search(columns, names, k, p), found), k)
+    near = materialise(visit(q, False), "knn-near")
+    kth = near.groupBy("qid", "target").agg(F.count(F.lit(1)).alias("n"), F.max("dist").alias("d"))
+    reach = kth.where(F.col("n") >= k).groupBy(F.col("qid").alias("id")).agg(F.array(*[
+        F.max(F.when(F.col("target") == t, F.col("d"))) for t in names]).alias("reach"))
+    asked = q.join(reach, "id", "left").select("id", "x", F.coalesce(
+        "reach", F.array(*[F.lit(None).cast("double")] * len(names))).alias("reach"))
+    best = materialise(_k_best(near.unionByName(visit(asked, True)), k), "knn-best")
+    discard(near)
+    discard(q)
+    return best

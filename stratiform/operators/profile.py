@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import bucket_equal_width
 from .ranks import exact_quantiles
-from ..session import active_session
+from ..session import active_session, cached
 
 
 def class_balance(df: DataFrame, col: str = "outcome", extra_keys: list[str] | None = None,
@@ -23,7 +23,8 @@ def class_balance(df: DataFrame, col: str = "outcome", extra_keys: list[str] | N
     no cross join and no global window."""
     keys = [col] + list(extra_keys or [])
     per_class = (df.where(F.col(col).isNotNull()).groupBy(*keys)
-                 .agg(F.count(F.lit(1)).alias("n"), *(extra_aggs or [])).persist())
+                 .agg(F.count(F.lit(1)).alias("n"), *(extra_aggs or [])))
+    per_class = cached(per_class)
     total = per_class.agg(F.sum("n")).first()[0] or 0
     out = per_class.withColumn("share", F.round(F.col("n") / F.lit(float(max(total, 1))), 6))
     return out.select(*keys, "n", "share", *[c for c in per_class.columns if c not in keys + ["n"]])

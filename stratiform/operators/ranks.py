@@ -16,6 +16,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cached
+
 HASH_RANGE = 2 ** 32
 DEFAULT_ROWS_PER_BUCKET = 2_000
 #: Cut points are literals of the plan, so their number is bounded; buckets grow beyond it.
@@ -28,7 +30,7 @@ def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataF
 
     The table is persisted first, so the count and the join read it once.
     """
-    df = df.persist()
+    df = cached(df)
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
@@ -114,7 +116,7 @@ def prefix_sums(table: DataFrame, partition_cols: list[str], order_col: str,
 
     ``order_col`` must be unique within a partition (aggregate first).
     """
-    table = table.persist()
+    table = cached(table)
     n = table.count()
     buckets = _bucket_count(n, rows_per_bucket)
     sign = -1.0 if descending else 1.0
@@ -168,7 +170,7 @@ def average_ranks(df: DataFrame, value_col: str, partition_cols: list[str] | Non
 def row_numbers(df: DataFrame, order_col: str, out: str = "row_number",
                 rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
     """Dense 1-based numbering of rows by a unique numeric ``order_col``."""
-    df = df.persist()
+    df = cached(df)
     n = df.count()
     buckets = _bucket_count(n, rows_per_bucket)
     cuts = value_cut_points(df, order_col, buckets)
@@ -213,7 +215,7 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> di
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
         for c in columns])).alias("kv")).select("kv.*").where(F.col("value").isNotNull())
     vc = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    ps = prefix_sums(vc, ["column"], "value", ["n"]).persist()
+    ps = cached(prefix_sums(vc, ["column"], "value", ["n"]))
     totals = {r["column"]: r["t"] for r in
               ps.groupBy("column").agg(F.max("n_upto").alias("t")).collect()}
     targets = {}

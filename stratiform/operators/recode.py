@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import vocab
 from ..functions.columns import map_lookup
+from ..session import materialise
 from .base import Fitted, Step, register
 
 
@@ -92,7 +93,7 @@ class UnseenFallback(Step):
     def fit(self, df):
         freq = (df.where(F.col(self.col).isNotNull())
                 .groupBy(self.col).agg(F.count(F.lit(1)).alias("freq")))
-        freq = freq.persist()
+        freq = materialise(freq, "levels")      # read by every later transform
         top = freq.orderBy(F.col("freq").desc(), F.col(self.col).asc()).limit(1).first()
         return FittedUnseenFallback(
             {"col": self.col, "most_frequent": None if top is None else top[self.col]},

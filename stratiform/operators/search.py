@@ -127,12 +127,13 @@ def evaluate(scored: DataFrame, label: str, n_classes: int, auc: bool = False,
 def cross_validate(df: DataFrame, fold_col: str, features: list[str] | None, label: str,
                    candidates: list[tuple[str, str, dict]], recipe_factory=None,
                    parallelism: int = 4, key: str = "row_id", auc: bool = False,
-                   custom: dict | None = None) -> tuple[DataFrame, list[dict]]:
+                   custom: dict | None = None, strict: bool = False) -> tuple[DataFrame, list[dict]]:
     """H4/H5: evaluate (model name, model kind, params) candidates on every
     fold. Returns the long table (model, config, fold, metric, value,
     duration_s) and one record per fit with its duration (H8) and, for a fit
-    that failed, the error; failed fits have no metric rows. ``auc`` and
-    ``custom`` (Z4) are passed to ``evaluate``."""
+    that failed, the error; failed fits have no metric rows, and with ``strict``
+    a failed fit raises at the end. ``auc`` and ``custom`` (Z4) are passed to
+    ``evaluate``."""
     folds = sorted(r[0] for r in df.select(fold_col).distinct().collect())  # k values
     prepared, fold_features, fold_rows, fold_top = {}, {}, {}, {}
 
@@ -186,14 +187,22 @@ def cross_validate(df: DataFrame, fold_col: str, features: list[str] | None, lab
     records = [r for r, _ in done]
     if all(r["error"] for r in records):
         raise RuntimeError(f"every fit failed, the first with {records[0]['error']}")
+    lost = [r for r in records if r["error"]]
+    if strict and lost:
+        raise RuntimeError(f"{len(lost)} of {len(records)} fits failed, the first, {lost[0]['model']} {lost[0]['config']} "
+                           f"on fold {lost[0]['fold']}, with {lost[0]['error']}")
     spark = df.sparkSession
     return spark.createDataFrame([row for _, rows in done for row in rows], LONG), records
 
 
-def summarise(long: DataFrame) -> DataFrame:
+def summarise(long: DataFrame, folds: int | None = None) -> DataFrame:
     """A12 over the long metric table: mean, n and standard error per
-    (model, config, metric)."""
-    return long.groupBy("model", "config", "metric").agg(
+    (model, config, metric). With ``folds`` only configurations that every fold
+    has judged, as a ranking needs."""
+    whole = long if folds is None else long.join(
+        long.select("model", "config", "fold").distinct().groupBy("model", "config").count().where(F.col("count") == folds)
+        .drop("count"), ["model", "config"])
+    return whole.groupBy("model", "config", "metric").agg(
         F.avg("value").alias("mean"), F.count(F.lit(1)).alias("n"),
         (F.stddev_samp("value") / F.sqrt(F.count(F.lit(1)))).alias("std_err"))
 

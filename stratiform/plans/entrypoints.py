@@ -24,6 +24,7 @@ from ..operators.profile import (correlation_long, histogram, level_counts, nume
 from ..operators.recode import decode_outcome, distinct_rows, encode_outcome
 from ..operators.resample import stratified_folds, stratified_split
 from ..operators.score import load_trained, save_trained, score
+from ..session import caches_released, materialise
 from ..sources.files import append_with_new_keys, read_csv, write_csv
 from .training import clinical_recipe, roles
 
@@ -43,10 +44,17 @@ def train_and_save(train_df: DataFrame, model_dir: str, key: str = "id",
                    folds: int = 4, train_fraction: float = 0.8, seed: int = 9208,
                    metric: str = "f1", parallelism: int = 4, drop: tuple = ("cp_data",)) -> dict:
     """Entry point A. Returns the search summary, the chosen configuration
-    and the held-out metrics; the fitted recipe and model are saved."""
+    and the held-out metrics; the fitted recipe and model are saved. Only
+    configurations fitted on every fold are ranked; ``durations`` has the
+    errors of the others. Nothing stays cached."""
+    with caches_released():
+        return _train_and_save(train_df, model_dir, key, label, candidates, folds, train_fraction, seed, metric, parallelism, drop)
+
+
+def _train_and_save(train_df, model_dir, key, label, candidates, folds, train_fraction, seed, metric, parallelism, drop):
     df = train_df.drop(*[c for c in drop if c in train_df.columns])
     df = distinct_rows(df.where(F.col(label).isNotNull()), key)
-    split = stratified_split(df, key, label, train_fraction, seed=seed).persist()
+    split = materialise(stratified_split(df, key, label, train_fraction, seed=seed), "split")
     train = split.where("is_train").drop("is_train")
     test = split.where("NOT is_train").drop("is_train")
     num, cat = roles(train, label=label, key=key)
@@ -61,9 +69,12 @@ def train_and_save(train_df: DataFrame, model_dir: str, key: str = "id",
     # each fold fits its own recipe; features are what that recipe produced
     long, durations = S.cross_validate(folded, "fold", None, label, candidates, recipe,
                                        parallelism=parallelism, key=key)
-    summary = S.summarise(long).persist()
-    best = summary.where(F.col("metric") == metric) \
+    summary = S.summarise(long)
+    best = S.summarise(long, folds).where(F.col("metric") == metric) \
         .orderBy(F.col("mean").desc(), F.col("model"), F.col("config")).first()
+    if best is None:
+        raise RuntimeError("no configuration was fitted on every fold: "
+                           + "; ".join(sorted({r["error"] for r in durations if r["error"]}))[:2000])
     configs = {}
     for name, kind, params in candidates:
         configs.setdefault(name, []).append((kind, params))

@@ -78,21 +78,21 @@ def _summary(long):
 def q_search_random(spark, sf):
     points = S.random_search(S.SPACES["forest"], n=3, seed=1)
     long, _ = S.cross_validate(_folded(spark, sf), "fold", VEC_FEATURES, "label",
-                               [("forest", "forest", p) for p in points], _recipe)
+                               [("forest", "forest", p) for p in points], _recipe, strict=True)
     return _summary(long)
 
 
 def q_search_lhs(spark, sf):
     points = S.latin_hypercube(S.SPACES["logistic"], n=4, seed=2)
     long, _ = S.cross_validate(_folded(spark, sf), "fold", VEC_FEATURES, "label",
-                               [("logistic", "logistic", p) for p in points], _recipe)
+                               [("logistic", "logistic", p) for p in points], _recipe, strict=True)
     return _summary(long)
 
 
 def q_search_grid(spark, sf):
     cands = [("naive_bayes", "naive_bayes", p) for p in S.grid({"var_smoothing": [1e-9, 1e-5]})]
     cands += [("rda", "rda", p) for p in S.grid({"reg": [0.0, 0.5], "gamma": [0.0, 0.2]})]
-    long, _ = S.cross_validate(_folded(spark, sf), "fold", VEC_FEATURES, "label", cands, _recipe)
+    long, _ = S.cross_validate(_folded(spark, sf), "fold", VEC_FEATURES, "label", cands, _recipe, strict=True)
     return _summary(long)
 
 
@@ -107,7 +107,7 @@ def q_workflow_set(spark, sf):
     out = None
     for rname, factory in recipes.items():
         cands = [(f"{rname}:{m}", m, p) for m, plist in models.items() for p in plist]
-        long, _ = S.cross_validate(folded, "fold", VEC_FEATURES, "label", cands, factory)
+        long, _ = S.cross_validate(folded, "fold", VEC_FEATURES, "label", cands, factory, strict=True)
         out = long if out is None else out.unionByName(long)
     return _summary(out)
 
@@ -118,7 +118,7 @@ def q_finalize(spark, sf):
     points = S.grid({"regParam": [0.001, 0.1]})
     folded = _folded(spark, sf)
     long, _ = S.cross_validate(folded, "fold", VEC_FEATURES, "label",
-                               [("logistic", "logistic", p) for p in points], _recipe)
+                               [("logistic", "logistic", p) for p in points], _recipe, strict=True)
     summ = S.summarise(long).where("metric = 'f1'").orderBy(F.col("mean").desc(), "config").first()
     best = points[summ["config"]]
     s = _split(spark, sf)
