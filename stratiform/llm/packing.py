@@ -23,15 +23,16 @@ out their packets at the same time:
    the pieces. Ids are not shuffled unless the small table of sums is too
    large for Spark's own broadcast limit.
 
-The ``OWN_QUEUES`` largest sources have queues of their own; the documents of
-all others share ``POOLED_QUEUES`` queues by hash, so the schedule that every
+Sources with a target and the ``OWN_QUEUES`` largest have queues of their own; the
+documents of all others share ``POOLED_QUEUES`` queues by hash, so the schedule that every
 task holds has a fixed bound and still no document is left out.
 
 The ids after the last full window go to windows of falling powers of two, so
 no window is padded.
 
-Defined results: a null or empty text is the closing id alone; a null source
-is a source of its own; repeated rows and ids are packed each on its own; an
+Defined results: a null or empty text is the closing id alone; a very long text
+is tokenized whole by one task and cut freely; a null source is a source of its
+own, apart from an empty name; repeated rows and ids are packed each on its own; an
 empty table gives no pieces; other columns are ignored.
 """
 
@@ -114,7 +115,7 @@ class Schedule:
                 np.where(in_full, position % self.window, position - self.tail[which]))
 
 
-def quanta(totals: list[int], names: list[str | None], targets: dict | None, window: int) -> list[int]:
+def quanta(totals: list[int], names: list, targets: dict | None, window: int) -> list[int]:
     """Quantum of each queue: its target share, or its share of what the targets
     leave over in proportion to its ids (all of it without targets)."""
     targets = targets or {}
@@ -155,14 +156,17 @@ def schedule_of(ids: DataFrame, targets: dict | None, window: int, packet: int)
     """The schedule, and the queue and place in it of each (task, src)."""
     spark = ids.sparkSession
     sums = stored(ids.groupBy("src", "task").agg(F.sum("n").alias("n")), "packing-sums")
+    wanted = ["" if t is None else f"={t}" for t in targets or {}]
+    named = F.col("src").isin(wanted) if wanted else F.lit(False)
     largest = [r["src"] for r in sums.groupBy("src").agg(F.sum("n").alias("n"))
-               .orderBy(F.desc("n"), "src").limit(OWN_QUEUES).collect()]
+               .orderBy(named.desc(), F.desc("n"), "src").limit(max(OWN_QUEUES, len(wanted))).collect()]
     own = F.broadcast(spark.createDataFrame(list(enumerate(largest)), "own int, src string"))
     pooled = F.lit(len(largest)) + F.pmod(F.xxhash64("src"), F.lit(POOLED_QUEUES)).cast("int")
     placed = sums.join(own, "src", "left").withColumn("queue", F.coalesce("own", pooled)).drop("own")
     totals = {r["queue"]: r["n"] for r in placed.groupBy("queue").agg(F.sum("n").alias("n")).collect()}
     queues = sorted(totals)
-    names = [largest[q][1:] or None if q < len(largest) else f"pooled {q - len(largest)}" for q in queues]
+    # A pool is named by a pair, which no source can be.
+    names = [(largest[q][1:] if largest[q] else None) if q < len(largest) else ("pooled", q - len(largest)) for q in queues]
     sizes = [totals[q] for q in queues]
     schedule = Schedule(sizes, quanta(sizes, names, targets, window), window, packet)
     dense = F.broadcast(spark.createDataFrame(list(zip(queues, range(len(queues)))), "queue int, q int"))

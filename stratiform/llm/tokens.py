@@ -7,12 +7,15 @@ the pieces in a row. Within a few megabytes most pieces repeat. Pieces are
 found and matched with numpy (by hash, then compared byte for byte); only the
 distinct ones are encoded, side by side in one call, and told apart by the
 known byte lengths of the ids. A worker keeps a bounded store of pieces between
-chunks. Special tokens' strings are ordinary text.
+chunks. A text that holds a special token's string, or a piece of more than
+``LONG_PIECE`` bytes (a run of blanks, a text without spaces), is encoded as a
+whole by the tokenizer of the vocabulary's JSON file.
 """
 
 from __future__ import annotations
 
 import base64
+import json
 from array import array
 from collections.abc import Iterator
 
@@ -24,6 +27,8 @@ from .textkit import Chunk, byte_hashes, chunks, lookup
 
 VOCABULARY = "byte_bpe_50k"
 CHUNK_BYTES = 4 << 20
+#: Longer pieces would exhaust the fast encoder's pattern matcher.
+LONG_PIECE = 20_000
 #: Ids in a worker's store of pieces; it starts anew when it is full.
 STORE_IDS = 3_000_000
 
@@ -35,7 +40,7 @@ _PLAIN_END = ~_ASCII_SPACE & (np.arange(256) < 0x80)
 
 
 def tokenizer_path(name: str = VOCABULARY) -> str:
-    """Place of the vocabulary: the same ids as ``<name>.json``, stored as ranks."""
+    """Place of the vocabulary: the same ids as ``<name>.json`` beside it, stored as ranks."""
     import public_tokenizers
     return public_tokenizers.path(f"{name}.tiktoken")
 
@@ -83,6 +88,9 @@ class Encoder:
         self._bytes = np.zeros(max(ranks.values()) + 1, dtype=np.int64)      # of each id
         for token, i in ranks.items():
             self._bytes[i] = len(token)
+        self._json, self._whole = path.removesuffix(".tiktoken") + ".json", None
+        with open(self._json, encoding="utf-8") as given:
+            self._special = [t["content"].encode() for t in json.load(given)["added_tokens"]]
         self._clear()
 
     def _clear(self):
@@ -96,6 +104,26 @@ class Encoder:
     def ids(self, raw: bytes) -> np.ndarray:
         return self._tokenizer.encode_to_numpy(raw.decode(), disallowed_special=())
 
+    def whole(self, raw: bytes) -> np.ndarray:
+        """Ids of any text, by the tokenizer object itself."""
+        if self._whole is None:
+            from tokenizers import Tokenizer
+            self._whole = Tokenizer.from_file(self._json)
+        return np.array(self._whole.encode(raw.decode(), add_special_tokens=False).ids, dtype=np.uint32)
+
+    def _odd(self, chunk: Chunk, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """Texts that only the tokenizer object can encode."""
+        odd = np.zeros(len(chunk), dtype=bool)
+        odd[np.searchsorted(chunk.end, start[stop - start > LONG_PIECE], side="right")] = True
+        data = chunk.data.tobytes()
+        for token in self._special:
+            at = data.find(token)
+            while at >= 0:
+                i = int(np.searchsorted(chunk.end, at, side="right"))
+                odd[i] |= at + len(token) <= chunk.end[i]
+                at = data.find(token, at + 1)
+        return odd
+
     def _keep(self, raw: np.ndarray, size: np.ndarray, ids: np.ndarray, n_ids: np.ndarray):
         for name, base, n in (("raw", len(self._raw), size), ("ids", len(self._ids), n_ids)):
             self._at[name].frombytes((np.cumsum(n) - n + base).astype(np.int64).tobytes())
@@ -131,6 +159,16 @@ class Encoder:
 
     def encode_chunk(self, chunk: Chunk) -> list[np.ndarray]:
         """uint32 ids of each text of a chunk."""
+        start, _ = piece_starts(chunk)
+        odd = self._odd(chunk, start, np.append(start[1:], len(chunk.data)))
+        if not odd.any():
+            return self._encode(chunk)
+        size = np.where(odd, 0, chunk.end - chunk.begin)
+        end = np.cumsum(size)
+        rest = self._encode(Chunk(chunk.data[ragged(chunk.begin, size)], end - size, end, chunk.lo))
+        return [self.whole(chunk.raw(i)) if o else rest[i] for i, o in enumerate(odd)]
+
+    def _encode(self, chunk: Chunk) -> list[np.ndarray]:
         if len(self._ids) > STORE_IDS:
             self._clear()
         data = chunk.data

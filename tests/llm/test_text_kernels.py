@@ -46,8 +46,7 @@ def test_piece_encoder_equals_the_tokenizer():
     import public_tokenizers
     from tokenizers import Tokenizer
     plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    plain.encode_special_tokens = True
-    texts = _texts(2, 800) + ["The same words, the same pieces. " * 300]
+    texts = _texts(2, 800) + ["see <|endoftext|> here", "<|endoftext|>", "a<|endoftext", "|>b", "The same words, the same pieces. " * 300]
     want = [x.ids for x in plain.encode_batch([t or "" for t in texts], add_special_tokens=False)]
     encode = tokens.Encoder(tokens.tokenizer_path())
     for _ in range(2):          # with an empty and a filled store
@@ -122,3 +121,16 @@ def test_markup_keeps_the_text_that_a_wrapper_holds():
     for name in ("ad", "comments", "site-footer", "cookie-notice box", "comment-list"):
         assert main_text(page_blocks(f"<p>a b c d</p><div class='{name}'>e f</div>"), None) == "a b c d", name
     assert main_text(page_blocks("<article>a</article><footer>b c d e f</footer><nav>g h i</nav>"), None) == "a"
+
+
+def test_encoder_on_long_runs_and_special_strings():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    n = 1_000_000
+    texts = [" " * n, "\n" * n, "a plain text", "\t \n" * 50_000 + "end <|endoftext|>", "<|endoftext|>" * 3 + " x", None, "x" * 30_000 + " y",
+             "日本" * 9_000, "cut <|endof", "text|> there", "word" * (n // 4)]
+    want = [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    encode = tokens.Encoder(tokens.tokenizer_path())
+    assert [x.tolist() for x in encode.encode_column(pa.array(texts))] == want
+    assert encode.ids(b"see <|endoftext|> here").tolist() != encode.whole(b"see <|endoftext|> here").tolist() == [3826, 220, 50256, 994]
