@@ -150,7 +150,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     """The calibrated model from labelled rows."""
     spark = docs.sparkSession
     rows = labelled_sample(docs, labels, max_rows)
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(PARTS * 5)).cast("int"))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("doc_id", "h"), F.lit(PARTS * 5)).cast("int"))
     # Only the sample's texts are stored and dealt out; n-grams are made where they are used.
     data = stored(rows, "quality-rules")
     # One part in five calibrates, the others train.

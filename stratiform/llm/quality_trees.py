@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map
+from .common import arrow_map, stored
 from .docstats import FEATURES, Stats
 from .textkit import chunks
 
@@ -125,13 +125,18 @@ def remainder(key="doc_id"):
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int, keep=None) -> DataFrame:
-    """``text, label`` of at most ``max_rows`` labelled documents, the same whatever
-    the partitions are; ``keep`` filters the label rows."""
+    """Stored ``doc_id, text, label`` of at most ``max_rows`` labelled documents, the same
+    whatever the partitions are; ``keep`` filters the label rows. Documents that share
+    an id are told apart by their text; repeated rows count once."""
     rows = labels.select("doc_id", F.col("quality").cast("int").alias("label")).dropna()
     if keep is not None:
         rows = rows.where(keep)
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(max_rows)
-    return docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id")
+    order = [F.xxhash64("doc_id"), "doc_id", "label"]
+    rows = rows.distinct().orderBy(*order).limit(max_rows)
+    hit = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).join(F.broadcast(rows), "doc_id")
+    hit = stored(hit.groupBy("doc_id", "label", "h").agg(F.first("text").alias("text")), "labelled")
+    chosen = hit.select("doc_id", "label", "h").orderBy(*order, "h").limit(max_rows)
+    return hit.join(F.broadcast(chosen), ["doc_id", "label", "h"]).select("doc_id", "text", "label", "h")
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Forest:
@@ -140,11 +145,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Forest:
 
     def measure(batch: pa.RecordBatch) -> pa.RecordBatch:
         x = statistics(batch.column("text"))
-        return pa.record_batch([batch.column("doc_id"), batch.column("label"), pa.array(list(x), pa.list_(pa.float64()))],
-                               names=["doc_id", "label", "x"])
+        return pa.record_batch([batch.column("doc_id"), batch.column("label"), batch.column("h"), pa.array(list(x), pa.list_(pa.float64()))],
+                               names=["doc_id", "label", "h", "x"])
     kind = rows.schema["doc_id"].dataType.simpleString()
-    got = arrow_map(rows, measure, f"doc_id {kind}, label int, x array<double>").toArrow()
-    got = got.sort_by([("doc_id", "ascending"), ("label", "ascending")])
+    got = arrow_map(rows, measure, f"doc_id {kind}, label int, h bigint, x array<double>").toArrow()
+    got = got.sort_by([("doc_id", "ascending"), ("label", "ascending"), ("h", "ascending")])
     x = np.array(got["x"].to_pylist(), dtype=np.float64).reshape(-1, len(FEATURES))
     return train(x, got["label"].to_numpy().astype(np.float64)) if len(x) else train(x, np.zeros(0))
 
