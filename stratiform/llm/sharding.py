@@ -34,6 +34,8 @@ SHARDS = 40
 RANGES_PER_SHARD = 8
 SAMPLES_PER_RANGE = 32
 ROW_BYTES = 16
+#: More ranges are taken where a range would hold more rows.
+ROWS_PER_RANGE = 1_000_000
 
 
 def sample_splitters(rows: DataFrame, ranges: int, per_range: int) -> np.ndarray:
@@ -73,8 +75,10 @@ def shard_rows(rows: DataFrame, shards: int = SHARDS, ranges_per_shard: int = RA
     """``rows`` needs ``size`` (long), ``k`` (long key) and ``tie`` (long hash that
     tells rows of one key apart); adds ``shard`` and ``slot``."""
     spark = rows.sparkSession
-    ranges = shards * ranges_per_shard
-    rows = stored(in_ranges(rows, sample_splitters(rows, ranges, SAMPLES_PER_RANGE)), "shard-ranges")
+    ranges = max(shards * ranges_per_shard, -(-rows.count() // ROWS_PER_RANGE))
+    # A stored row number tells even wholly repeated rows apart.
+    rows = in_ranges(rows, sample_splitters(rows, ranges, SAMPLES_PER_RANGE))
+    rows = stored(rows.withColumn("tie", F.xxhash64("tie", F.monotonically_increasing_id())), "shard-ranges")
     totals = rows.groupBy("r").agg(F.sum("size").alias("b")).collect()      # at most 2 * ranges rows
     share = max(1, sum(t["b"] for t in totals) // ranges)
     parts = {t["r"]: max(1, -(-t["b"] // share)) for t in totals if t["b"] > 2 * share}
