@@ -10,7 +10,7 @@ the order the choices are listed. No turn is dropped.
 
 Turns are sorted over the cluster by range of (conversation, turn), so a
 conversation may lie in several partitions. Sorted rows are worked in chunks of
-``CHUNK`` rows. A chunk's effect on the automaton is a 4 x 4 matrix of costs, and
+``CHUNK`` rows or ``CHUNK_BYTES`` of text. A chunk's effect on the automaton is a 4 x 4 matrix of costs, and
 such matrices are combined by the (min, +) product: the first and last
 conversation of each chunk send their matrices, one small pass finds the states
 at the chunks' borders, and a second pass over the chunks chooses and renders.
@@ -22,8 +22,8 @@ strings, in order of ``out_turn, piece``, concatenate to the whole conversation.
 Defined results: a null text is empty; a null or unknown role is no legal role
 and must be relabelled; turns with equal numbers, null ones first, follow each
 other by role and text hash; repeated rows are turns of their own; a null
-conversation id is one conversation; an empty table stays empty; other columns
-are ignored.
+conversation id is one conversation; a very long text is a chunk of its own; an
+empty table stays empty; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,6 +33,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,7 +44,7 @@ ALIASES = {"human": "user", "prompter": "user", "bot": "assistant", "gpt": "assi
 START, SYSTEM, USER, ASSISTANT = range(4)
 #: Roles that may follow each state.
 LEGAL = {START: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT: (USER,)}
-CHUNK = 4096
+CHUNK, CHUNK_BYTES = 4096, 4 << 20
 OPEN, CLOSE = "<|im_start|>{role}\n", "<|im_end|>\n"
 
 
@@ -143,18 +144,24 @@ def _sorted_rows(turns: DataFrame) -> DataFrame:
         role = F.when(role == other, name).otherwise(role)
     code = F.coalesce(*[F.when(role == name, F.lit(i + 1)) for i, name in enumerate(ROLES)], F.lit(0))
     rows = turns.select("conv_id", "turn", F.col("role").cast("string").alias("role"), F.coalesce("text", F.lit("")).alias("text"), code.alias("code"))
-    rows = rows.withColumn("tie", F.xxhash64("code", "text"))
-    order = ["conv_id", "turn", "code", "tie"]
+    # The row number keeps repeated rows from falling into one range.
+    rows = rows.withColumns({"tie": F.xxhash64("code", "text"), "row": F.monotonically_increasing_id()})
+    order = ["conv_id", "turn", "code", "tie", "row"]
     n = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("seg", F.spark_partition_id())
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = 0
+        at = chunk = held = used = 0
         for batch in batches:
-            yield batch.append_column("pos", pa.array(np.arange(at, at + batch.num_rows)))
+            place = np.zeros(batch.num_rows, dtype=np.int64)
+            for i, n in enumerate(pc.binary_length(batch.column("text")).to_pylist()):
+                if held == CHUNK or held and used + n > CHUNK_BYTES:
+                    chunk, held, used = chunk + 1, 0, 0
+                place[i], held, used = chunk, held + 1, used + n
+            yield batch.append_column("pos", pa.array(np.arange(at, at + batch.num_rows))).append_column("chunk", pa.array(place))
             at += batch.num_rows
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
-    return stored(rows.mapInArrow(number, f"{kinds}, pos bigint").withColumn("chunk", F.floor(F.col("pos") / CHUNK)), "chat-sorted")
+    return stored(rows.mapInArrow(number, f"{kinds}, pos bigint, chunk bigint"), "chat-sorted")
 
 
 def _segments(conv: list) -> list[tuple[int, int]]:

@@ -162,7 +162,6 @@ def _ids():
     import public_tokenizers
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return lambda texts: [np.array([*x.ids, 0], dtype="<u4") for x in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
@@ -540,3 +539,48 @@ def test_keep_one_tells_rows_apart(spark):
     got = sorted((str(x.doc_id), x.text) for x in jaccard_join.keep_one(df).collect() if x.text)
     assert got == sorted([("1", a), ("5", b), ("7", c), ("9", "z"), ("9", "zz"), ("None", "n1 n2 n3 n4 n5 n6 n7")])
     assert jaccard_join.keep_one(df).count() == len(got) + 3
+
+
+def test_packing_of_long_runs_and_named_targets(spark, monkeypatch):
+    rows = [(1, " " * 1_000_000, "a"), (2, "see <|endoftext|> here", ""), (3, "\n" * 300_000 + "x", None)]
+    out = packing.piece_digest(_docs(spark, rows)).collect()
+    _check_pieces(out, [(a, t) for a, t, _ in rows])
+    # Small sources with a target have queues of their own, whatever their names are.
+    monkeypatch.setattr(packing, "OWN_QUEUES", 2)
+    texts = [(i, f"w{i} " * 400, s) for i, s in enumerate(["big"] * 40 + ["large"] * 40 + ["pooled 0"] * 12 + [""] * 12 + [None] * 12)]
+    got = packing.pack(_docs(spark, texts), targets={"pooled 0": 0.3, "": 0.2, None: 0.1}).collect()
+    source = {i: s for i, _, s in texts}
+    first = [x for x in got if x.sequence_id < 8]
+    share = {s: sum(x.length for x in first if source[x.doc_id] == s) / 8192 for s in ("pooled 0", "", None)}
+    assert abs(share["pooled 0"] - 0.3) < 0.05 and abs(share[""] - 0.2) < 0.05 and abs(share[None] - 0.1) < 0.05
+
+
+def test_labelled_sample_is_bounded(spark):
+    docs = _docs(spark, [(1, f"text {i % 700}", "a") for i in range(3000)] + [(i, "plain words", "b") for i in range(2, 60)])
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)] * 2 + [(None, 1, 0)], "doc_id long, quality int, toxic int")
+    rows = quality_trees.labelled_sample(docs, labels, 20).collect()
+    assert len(rows) == 20
+    assert sorted(rows) == sorted(quality_trees.labelled_sample(docs.repartition(7), labels.repartition(3), 20).collect())
+    every = quality_trees.labelled_sample(docs, labels, 10_000).collect()
+    assert len(every) == 700 + 58
+
+
+def test_repeated_rows_are_spread_over_shards(spark):
+    docs = _docs(spark, [(1, "same text", "a")] * 3000 + [(i, f"text {i}", "a") for i in range(2, 6000)])
+    out = sharding.shard_documents(docs, 8).collect()
+    sizes = [sum(x.size for x in out if x.shard == s) for s in range(8)]
+    assert max(sizes) - min(sizes) < 200 and len({x.shard for x in out if x.doc_id == 1}) > 1
+    stored_ranges = sharding.in_ranges(docs.select(F.xxhash64("text").alias("k")), np.zeros(0, np.int64))
+    assert stored_ranges.count() == 8998
+
+
+def test_chat_chunks_are_cut_by_bytes(spark, monkeypatch):
+    turns = [(1, i, "user" if i % 2 == 0 else "assistant", f"{i} " + "long " * 200) for i in range(60)] + [(1, 60, "user", "same")] * 40
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    want = "".join(x.rendered for x in sorted(chat_repair.repair(df).collect(), key=lambda x: (x.out_turn, x.piece)))
+    monkeypatch.setattr(chat_repair, "CHUNK_BYTES", 3000)
+    rows = chat_repair._sorted_rows(df)
+    per = rows.groupBy("seg", "chunk").agg(F.sum(F.octet_length("text")).alias("b"), F.count("*").alias("n")).collect()
+    assert all(x.b <= 3000 or x.n == 1 for x in per) and rows.count() == 100
+    got = "".join(x.rendered for x in sorted(chat_repair.repair(df).collect(), key=lambda x: (x.out_turn, x.piece)))
+    assert got == want
