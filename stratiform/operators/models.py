@@ -14,7 +14,7 @@ import math
 import numpy as np
 import pyarrow as pa
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
+from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC,
                                        LogisticRegression, OneVsRest, RandomForestClassifier)
 from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
 from pyspark.sql import DataFrame
@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from .base import Fitted, Step, register, right_size
 
 FEATURES = "features"
-VALIDATION = "is_validation"
 
 
 def assembler(cols: list[str], out: str = FEATURES) -> VectorAssembler:
@@ -255,24 +254,11 @@ def spark_estimator(kind: str, params: dict, label: str = "label", seed: int = 1
         return [DecisionTreeClassifier(labelCol=label, maxDepth=int(params.get("maxDepth", 5)),
                                        minInstancesPerNode=int(params.get("minInstancesPerNode", 1)),
                                        minInfoGain=params.get("minInfoGain", 0.0), seed=seed)]
-    if kind in ("gbt", "c50"):                              # M8, M9
-        gbt = GBTClassifier(maxIter=int(params.get("maxIter", 20)), maxDepth=int(params.get("maxDepth", 3)),
-                            stepSize=params.get("stepSize", 0.1),
-                            minInstancesPerNode=int(params.get("minInstancesPerNode", 1)),
-                            minInfoGain=params.get("minInfoGain", 0.0),
-                            subsamplingRate=params.get("subsamplingRate", 1.0),
-                            featureSubsetStrategy=str(params.get("featureSubsetStrategy", "all")),
-                            seed=seed)
-        if params.get("validation"):                        # rounds end when the marked rows gain less
-            gbt = gbt.setValidationIndicatorCol(VALIDATION)
-            gbt = gbt._set(validationTol=params.get("validationTol", 0.01))
-        return [OneVsRest(classifier=gbt, labelCol=label,
-                          parallelism=int(params.get("parallelism", 4)))]
     raise ValueError(f"unknown model kind {kind}")
 
 
-CUSTOM_KINDS = {"naive_bayes", "lda", "qda", "rda"}
-SPARK_KINDS = {"logistic", "svm", "svm_poly", "svm_rff", "forest", "bagged", "tree", "gbt", "c50"}
+CUSTOM_KINDS = {"naive_bayes", "lda", "qda", "rda", "gbt"}
+SPARK_KINDS = {"logistic", "svm", "svm_poly", "svm_rff", "forest", "bagged", "tree"}
 
 
 @register
@@ -294,6 +280,8 @@ class FittedClassifier(Fitted):
             staged = self.inner.transform(staged)
             feats = [c for c in staged.columns if c.startswith("rff_")]
         staged = assembler(feats).transform(staged)
+        if self.model is None:                              # votes or pruned trees
+            return self.inner.transform(staged).drop(FEATURES)
         out = self.model.transform(staged)
         k = p["n_classes"]
         from pyspark.ml.functions import vector_to_array
@@ -319,9 +307,9 @@ class FittedClassifier(Fitted):
     def _after_load(self, spark, path):
         from pyspark.ml import PipelineModel
         self.model, self.inner = None, None
-        if self.params["kind"] in SPARK_KINDS:
+        if self.params["kind"] in SPARK_KINDS and not self.params.get("pruned"):
             self.model = PipelineModel.load(f"{path}/model")
-        if self.params["kind"] in CUSTOM_KINDS or self.params["kind"] == "svm_rff":
+        if self.params["kind"] in CUSTOM_KINDS | {"svm_rff", "c50"} or self.params.get("pruned"):
             self.inner = Fitted.load(spark, f"{path}/inner")
 
 
@@ -346,6 +334,9 @@ class Classifier(Step):
             inner = GaussianNB(self.features, self.label,
                                self.params.get("var_smoothing", 1e-9)).fit(df)
             return FittedClassifier(meta, inner=inner)
+        if self.kind == "gbt":                                  # M8
+            from .boosting import SoftmaxBoosting
+            return FittedClassifier(meta, inner=SoftmaxBoosting(self.features, self.label, self.params, int(n_classes), self.seed).fit(df))
         if self.kind in ("lda", "qda", "rda"):
             inner = Discriminant(self.features, self.label, self.kind,
                                  self.params.get("reg", 0.0), self.params.get("gamma", 0.0)).fit(df)
@@ -357,14 +348,16 @@ class Classifier(Step):
             inner = rff.fit(df)
             staged = inner.transform(df)
             feats = rff.columns()
-        share = float(self.params.get("validation", 0.0)) if self.kind in ("gbt", "c50") else 0.0
-        kept = [FEATURES, F.col(self.label).cast("double").alias(self.label)]
         staged = assembler(feats).transform(staged)
-        if share:      # early stopping: a fixed share of the rows, by hash
-            mark = F.pmod(F.xxhash64(F.lit(29), *[F.col(f) for f in feats if df.schema[f].dataType.typeName() != "vectorudt"]),
-                          F.lit(10_000)) < int(share * 10_000)
-            kept.append(mark.alias(VALIDATION))
-        staged = staged.select(*kept)
+        staged = staged.select(FEATURES, F.col(self.label).cast("double").alias(self.label))
         staged = right_size(staged, self.rows)  # iterative trainers pass over it once per iteration
+        if self.kind == "c50":                                  # M9
+            from .reweighting import ReweightedTrees
+            return FittedClassifier(meta, inner=ReweightedTrees(self.label, int(n_classes), self.params, FEATURES, self.seed).fit(staged))
         model = Pipeline(stages=spark_estimator(self.kind, self.params, self.label, self.seed)).fit(staged)
+        if self.kind in ("tree", "bagged") and self.params.get("cost_complexity"):
+            from .pruning import FittedPrunedTrees, flat, prune, read_trees
+            trees = read_trees(model.stages[-1], self.kind == "bagged")
+            pruned = [flat(prune(t, float(self.params["cost_complexity"]))) for t in trees]
+            return FittedClassifier({**meta, "pruned": True}, inner=FittedPrunedTrees({"trees": pruned, "n_classes": int(n_classes)}))
         return FittedClassifier(meta, model=model, inner=inner)

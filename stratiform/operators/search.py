@@ -35,13 +35,13 @@ SPACES = {
     "forest": {"numTrees": ("int", 10, 60), "maxDepth": ("int", 2, 8),
                "minInstancesPerNode": ("int", 1, 20), "mtry": ("int", 1, 8)},
     "bagged": {"maxDepth": ("int", 2, 8), "minInstancesPerNode": ("int", 1, 20),
-               "minInfoGain": ("log", 1e-6, 0.1)},
+               "minInfoGain": ("log", 1e-6, 0.1), "cost_complexity": ("log", 1e-5, 0.1)},
     "tree": {"maxDepth": ("int", 2, 10), "minInstancesPerNode": ("int", 1, 20),
-             "minInfoGain": ("log", 1e-6, 0.1)},
+             "minInfoGain": ("log", 1e-6, 0.1), "cost_complexity": ("log", 1e-5, 0.1)},
     "gbt": {"maxIter": ("int", 5, 30), "maxDepth": ("int", 2, 6), "stepSize": ("log", 0.01, 0.5),
             "minInstancesPerNode": ("int", 1, 20), "subsamplingRate": ("float", 0.5, 1.0),
             "minInfoGain": ("log", 1e-6, 0.1), "mtry": ("int", 1, 8)},
-    "c50": {"maxIter": ("int", 5, 30), "minInstancesPerNode": ("int", 1, 20),
+    "c50": {"maxIter": ("int", 5, 30), "minInstancesPerNode": ("int", 1, 20), "maxDepth": ("int", 2, 8),
             "subsamplingRate": ("float", 0.5, 1.0)},
     "naive_bayes": {"var_smoothing": ("log", 1e-12, 1e-3)},
     "lda": {},
