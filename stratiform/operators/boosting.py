@@ -5,19 +5,19 @@ p_k (1 - p_k) of one shared log loss, so the class probabilities are those of on
 model and sum to 1. A level of all the round's trees is one Spark aggregate:
 
 * each task walks its rows down the trees so far and adds up (class, node,
-  feature, bin) histograms; Spark sums them, and a window over the bins of a
-  feature turns them into gains. Only the best split of each node reaches the driver;
+  feature, bin) histograms, which Spark sums. The numeric ones, of a size that the
+  rows do not change, are fetched and give the best split of each node;
 * numeric features are cut into at most ``maxBins`` bins by sampled quantiles; a null
   (or NaN) has a bin of its own, and each split learns the side that nulls take;
 * a vector feature (the levels of an identifier) is read through its non-zero
-  slots only; its splits ask whether a slot is set;
+  slots only; its splits ask whether a slot is set, and Spark ranks them;
 * the margins of finished trees are written with the binned rows every
   ``STORE_ROUNDS`` rounds, so a round walks only the trees since then;
 * with ``validation`` a fixed share of the rows, by hash, teaches nothing; growth
   ends when their log loss has not improved for ``patience`` rounds, and the
   model keeps the rounds up to the best one.
 
-The driver holds bin edges, trees and one row a node.
+The driver holds bin edges, trees and the numeric histograms of one level.
 """
 
 from __future__ import annotations
@@ -234,37 +234,69 @@ def _batch(total: dict, names: list[str]) -> pa.RecordBatch:
 _SUMS = "k int, node int, feature int, bin int, g double, h double, n double"
 
 
-def best_splits(sums: DataFrame, p: int, penalty: float, least_rows: float, least_gain: float) -> tuple[dict, dict, tuple]:
-    """From summed histograms the best split and the totals of every (class, node), and the
-    validation loss as (sum, rows). ``bin`` 0 holds absent values, 1 .. the numbered bins; a slot
-    feature has one bin, its set rows."""
-    whole = sums.where(F.col("feature") < 0).collect()                    # a row a node
-    totals = {(r["k"], r["node"]): (r["g"], r["h"], r["n"]) for r in whole if r["feature"] == TOTAL}
-    loss = next(((r["g"], r["n"]) for r in whole if r["feature"] == LOSS), (0.0, 0.0))
-    if not totals:
-        return {}, {}, loss
-    node = sums.sparkSession.createDataFrame([(k, n, *t) for (k, n), t in totals.items()], "k int, node int, tg double, th double, tn double")
-    w = Window.partitionBy("k", "node", "feature").orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole_feature = Window.partitionBy("k", "node", "feature")
-    slot = F.col("feature") >= p
-    absent = lambda c: F.sum(F.when((F.col("bin") == 0) & ~slot, F.col(c)).otherwise(0.0)).over(whole_feature)
-    rows = sums.where(F.col("feature") >= 0).join(F.broadcast(node), ["k", "node"])
-    rows = rows.withColumns({f"n{c}": absent(c) for c in "ghn"} | {f"c{c}": F.sum(c).over(w) for c in "ghn"})
-    # Left of a cut: the bins up to this one, without the absent rows. Left of a slot: the rows without it.
-    left = {c: F.when(slot, F.col(f"t{c}") - F.col(c)).otherwise(F.col(f"c{c}") - F.col(f"n{c}")) for c in "ghn"}
-    rows = rows.where(slot | (F.col("bin") > 0)).withColumns({f"l{c}": x for c, x in left.items()})
-    sides = F.when(slot, F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))
-    rows = rows.withColumn("null_left", F.explode(sides))
-    rows = rows.withColumns({f"l{c}": F.col(f"l{c}") + F.when(F.col("null_left"), F.col(f"n{c}")).otherwise(0.0) for c in "ghn"})
-    score = lambda g, h: g * g / (h + F.lit(penalty))
-    rg, rh, rn = (F.col(f"t{c}") - F.col(f"l{c}") for c in "ghn")
-    gain = (score(F.col("lg"), F.col("lh")) + score(rg, rh) - score(F.col("tg"), F.col("th"))) / 2
-    rows = rows.where((F.col("ln") >= least_rows) & (rn >= least_rows)).withColumn("gain", F.round(gain, 9)) \
-        .where(F.col("gain") > F.lit(float(max(least_gain, 1e-9))))
-    first = Window.partitionBy("k", "node").orderBy(F.col("gain").desc(), "feature", "bin", "null_left")
-    top = rows.withColumn("r", F.row_number().over(first)).where("r = 1") \
-        .select("k", "node", "feature", "bin", "null_left", "gain").collect()
-    return {(r["k"], r["node"]): (r["feature"], r["bin"], r["null_left"], r["gain"]) for r in top}, totals, loss
+def _dense(found: pa.Table, p: int) -> tuple[list[tuple[int, int]], np.ndarray, np.ndarray, tuple]:
+    """Nodes, their totals and numeric histograms (node, feature, bin, sum), and the validation loss."""
+    k, node, feature, at = (found[c].to_numpy() for c in ("k", "node", "feature", "bin"))
+    sums = np.stack([found[c].to_numpy() for c in "ghn"], axis=1)
+    hit = np.flatnonzero(feature == LOSS)
+    loss = (float(sums[hit[0], 0]), float(sums[hit[0], 2])) if len(hit) else (0.0, 0.0)
+    of = {(int(a), int(b)): i for i, (a, b) in enumerate(sorted({*zip(k[feature == TOTAL].tolist(), node[feature == TOTAL].tolist())}))}
+    place = np.array([of.get((int(a), int(b)), -1) for a, b in zip(k, node)], dtype=np.int64)
+    totals = np.zeros((len(of), 3))
+    whole = feature == TOTAL
+    totals[place[whole]] = sums[whole]
+    number = feature >= 0
+    cells = np.zeros((len(of), p, int(at[number].max(initial=0)) + 1, 3))
+    cells[place[number], feature[number], at[number]] = sums[number]
+    return list(of), totals, cells, loss
+
+
+def _gain(left: np.ndarray, total: np.ndarray, penalty: float, least_rows: float) -> np.ndarray:
+    """Gain of splits by the sums of their left sides, below any where a side has too few rows."""
+    right = total - left
+    score = lambda x: x[..., 0] ** 2 / (x[..., 1] + penalty)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = np.round((score(left) + score(right) - score(total)) / 2, 9)
+    return np.where((left[..., 2] >= least_rows) & (right[..., 2] >= least_rows), gain, -np.inf)
+
+
+def best_splits(sums: DataFrame, p: int, penalty: float, least_rows: float, least_gain: float, slots: bool) -> tuple[dict, dict, tuple]:
+    """From summed histograms the best split (feature, cut, side of absent values, gain) and the
+    totals of every (class, node), and the validation loss as (sum, rows). Bin 0 holds absent
+    values, 1 .. the numbered bins; a slot feature has one bin, its set rows.
+
+    The numeric histograms have (classes x nodes x features x bins) cells, whatever the
+    rows, and are fetched; the slots', as many as there are levels, are ranked by Spark."""
+    least_rows, least_gain = max(least_rows, 1.0), max(least_gain, 1e-9)
+    if slots:
+        sums = materialise(sums, "boosting-sums")
+    nodes, totals, cells, loss = _dense(sums.where(F.col("feature") < p).toArrow(), p)
+    best: dict = {}
+    if nodes and p:
+        upto = np.cumsum(cells[:, :, 1:], axis=2)
+        sides = np.stack([upto, upto + cells[:, :, :1]], axis=3)              # absent values right, left
+        gain = _gain(sides, totals[:, None, None, None, :], penalty, least_rows)
+        gain = gain.reshape(len(nodes), -1)
+        if gain.shape[1]:
+            top = gain.argmax(axis=1)                                         # first of equals: feature, cut, right
+            for i, at in enumerate(top):
+                if gain[i, at] > least_gain:
+                    j, b, side = np.unravel_index(at, sides.shape[1:4])
+                    best[nodes[i]] = (int(j), int(b) + 1, bool(side), float(gain[i, at]))
+    if slots and nodes:
+        known = sums.sparkSession.createDataFrame([(*n, *t) for n, t in zip(nodes, totals.tolist())],
+                                                  "k int, node int, tg double, th double, tn double")
+        rows = sums.where(F.col("feature") >= p).join(F.broadcast(known), ["k", "node"])
+        score = lambda g, h: g * g / (h + F.lit(penalty))
+        lg, lh, ln = (F.col(f"t{c}") - F.col(c) for c in "ghn")
+        gain = F.round((score(lg, lh) + score(F.col("g"), F.col("h")) - score(F.col("tg"), F.col("th"))) / 2, 9)
+        rows = rows.where((ln >= least_rows) & (F.col("n") >= least_rows)).withColumn("gain", gain).where(F.col("gain") > least_gain)
+        first = Window.partitionBy("k", "node").orderBy(F.col("gain").desc(), "feature")
+        for r in rows.withColumn("r", F.row_number().over(first)).where("r = 1").collect():       # a row a node
+            if r["gain"] > best.get((r["k"], r["node"]), (0, 0, 0, -np.inf))[3]:
+                best[r["k"], r["node"]] = (r["feature"], 0, False, r["gain"])
+        discard(sums)
+    return best, {n: tuple(t) for n, t in zip(nodes, totals.tolist())}, loss
 
 
 @register
@@ -336,8 +368,8 @@ class SoftmaxBoosting(Step):
                     pending, [g.rows() for g in grown] if level else None, nodes, k, p, depth, [[]] * k if last else wanted,
                     rate, seed + t, level == 0), _SUMS).groupBy("k", "node", "feature", "bin") \
                     .agg(*[F.sum(c).alias(c) for c in "ghn"])
-                best, totals, loss = best_splits(materialise(sums, "boosting-sums"), p, penalty,
-                                                 float(q.get("minInstancesPerNode", 1)), float(q.get("minInfoGain", 0.0)))
+                best, totals, loss = best_splits(sums, p, penalty, float(q.get("minInstancesPerNode", 1)),
+                                                 float(q.get("minInfoGain", 0.0)), bool(sum(sizes)))
                 if level == 0 and loss[1]:
                     losses.append(loss[0] / loss[1])
                 if last:
