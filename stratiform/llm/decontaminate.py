@@ -2,21 +2,27 @@
 
 Benchmark texts are normalised (A-Z lowered, words of letters, digits and
 non-ASCII characters) and cut into windows of 13 words; an item with fewer
-words is one window. Documents are scanned in Arrow batches: every run of the
-same number of words is hashed, looked up in the windows' hashes, and each
-find is verified word for word before its words count as hit. Then spans or
-whole documents can be removed.
+words is one window. Spark cuts and hashes the windows and stores them.
 
-Only benchmark data is broadcast. Its bytes are measured first; beyond
-``block_bytes`` the items are dealt into blocks that are scanned one after
-another, the finds of earlier blocks travelling with the rows, so any
-benchmark size gives the same result.
+1. A Bloom filter of all windows' hashes, at most 128 MB, is broadcast. Documents
+   are scanned in Arrow batches: every run of the same number of words is hashed
+   and looked up, and a join of the hashes found with the stored windows leaves
+   the matched windows.
+2. The matched windows are broadcast as a hash set and the documents scanned again;
+   each find is verified word for word before its words count as hit. Then spans or
+   whole documents can be removed. Beyond ``block_bytes`` the matched windows are
+   dealt into blocks that are scanned one after another, the finds of earlier blocks
+   travelling with the rows.
+
+So the driver holds neither benchmark texts nor windows that no document has, and
+any benchmark size gives the same result.
 
 Defined results: a null or empty text has no words, no hits, and the digest of
 an empty list; an item without words (or null) has no windows; repeated items
 and documents are treated each on its own; a null item id is left out of the
 listed ids but its words are hit; empty tables give an empty result or no
-hits; other columns, whatever their names, pass through unread.
+hits; a very long text is scanned whole by one task; other columns, whatever their
+names, pass through unread.
 """
 
 from __future__ import annotations
@@ -32,8 +38,11 @@ from .common import arrow_map, bound_batches, stored, utf8_bytes
 from .textkit import LOWER, Chunk, Words, chunks, lookup, window_hashes
 
 WINDOW = 13
-#: Benchmark text per broadcast block.
-BLOCK_BYTES = 64 << 20
+#: Matched windows and their items per broadcast block.
+BLOCK_BYTES = 8 << 20
+#: The filter of all windows has at most 2^30 bits, 128 MB; its probes are slices of the hash.
+MOST_LOG_BITS = 30
+_SHIFTS = (0, 11, 23, 34)
 #: Bytes of words ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` after lowering.
 WORD_BYTES = lookup(bytes([*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]))
 
@@ -43,25 +52,14 @@ def _words(chunk: Chunk) -> Words:
 
 
 class WindowSet:
-    """Windows of the benchmark by width: sorted hashes, a bit filter, and for
-    each hash the windows (as joined words) with the items that hold them."""
+    """Windows by width: sorted hashes, a bit filter, and for each hash the windows (as
+    joined words) with the items that hold them. ``rows`` are (hash, width, words, items)."""
 
-    def __init__(self, items: list[tuple[str | None, str | None]], window: int):
+    def __init__(self, rows: list[tuple[int, int, bytes, list]]):
         self.widths: dict[int, tuple] = {}
-        found: dict[int, dict[int, dict[bytes, set]]] = {}
-        texts = pa.array([t for _, t in items], pa.string())
-        for chunk in chunks(texts):
-            words = _words(chunk)
-            hashed = words.hashes()
-            spans = {}
-            for i in np.flatnonzero(words.count):
-                width = min(window, int(words.count[i]))
-                if width not in spans:
-                    spans[width] = window_hashes(hashed, width)
-                for k in range(words.begin[i], words.end[i] - width + 1):
-                    key = self.joined(words, k, width)
-                    (found.setdefault(width, {}).setdefault(int(spans[width][k]), {})
-                     .setdefault(key, set()).add(items[chunk.lo + i][0]))
+        found: dict[int, dict[int, dict[bytes, list]]] = {}
+        for h, width, words, items in rows:
+            found.setdefault(width, {}).setdefault(h & (1 << 64) - 1, {})[bytes(words)] = items
         for width, windows in found.items():
             keys = np.array(sorted(windows), dtype=np.uint64)
             bits = np.zeros(1 << 20, dtype=bool)
@@ -89,13 +87,87 @@ class WindowSet:
                     yield int(words.doc[k]), int(k), width, items
 
 
-def _blocks(benchmark: DataFrame, key: str, text: str, block_bytes: int):
+def windows_of(benchmark: DataFrame, key: str, text: str, window: int) -> DataFrame:
+    """Stored ``h, width, words, item``: every window of every item, cut where the items are."""
+    def cut(batches):
+        for batch in batches:
+            names = batch.column("k").to_pylist()
+            for chunk in chunks(batch.column("t")):
+                words = _words(chunk)
+                hashed, spans = words.hashes(), {}
+                out = [], [], [], []
+                for i in np.flatnonzero(words.count):
+                    width = min(window, int(words.count[i]))
+                    if width not in spans:
+                        spans[width] = window_hashes(hashed, width).view(np.int64)
+                    for k in range(words.begin[i], words.end[i] - width + 1):
+                        for column, x in zip(out, (int(spans[width][k]), width, WindowSet.joined(words, k, width), names[chunk.lo + i])):
+                            column.append(x)
+                        if len(out[0]) == 20_000:
+                            yield pa.record_batch([pa.array(c, t) for c, t in zip(out, _WINDOW_TYPES)], names=_WINDOW_NAMES)
+                            out = [], [], [], []
+                if out[0]:
+                    yield pa.record_batch([pa.array(c, t) for c, t in zip(out, _WINDOW_TYPES)], names=_WINDOW_NAMES)
     slim = benchmark.select(F.col(f"`{key}`").cast("string").alias("k"), F.col(f"`{text}`").alias("t"))
-    size = slim.agg(F.sum(utf8_bytes(F.col("t")))).first()[0] or 0
-    n = max(1, -(-size // block_bytes))
-    part = F.pmod(F.xxhash64("k", "t"), F.lit(n))
+    return stored(slim.mapInArrow(cut, "h bigint, width int, words binary, item string").distinct(), "decontaminate-windows")
+
+
+_WINDOW_NAMES = ["h", "width", "words", "item"]
+_WINDOW_TYPES = [pa.int64(), pa.int32(), pa.binary(), pa.string()]
+
+
+def _probes(h: np.ndarray, log_bits: int):
+    mask = np.uint64((1 << log_bits) - 1)
+    return [(h >> np.uint64(s)) & mask for s in _SHIFTS]
+
+
+def window_filter(windows: DataFrame) -> tuple[int, np.ndarray]:
+    """A Bloom filter of the windows' hashes, about 16 bits each but never more than
+    2^``MOST_LOG_BITS``: what is sent to the tasks has a bound that no benchmark exceeds."""
+    n = windows.select("h").distinct().count()
+    log_bits = min(MOST_LOG_BITS, max(10, int(n * 16).bit_length()))
+    at = F.explode(F.array(*[F.shiftrightunsigned("h", s).bitwiseAND(F.lit((1 << log_bits) - 1)) for s in _SHIFTS]))
+    bits = (windows.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("word"))
+            .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits"))).toArrow()
+    out = np.zeros(1 << (log_bits - 6), dtype=np.uint64)
+    out[bits["word"].to_numpy()] = bits["bits"].to_numpy().view(np.uint64)
+    return log_bits, out
+
+
+def matched_windows(docs: DataFrame, windows: DataFrame, text: str) -> DataFrame:
+    """Stored ``h, width, words, items`` of the windows whose hash occurs in some document."""
+    spark = docs.sparkSession
+    widths = sorted(r[0] for r in windows.select("width").distinct().collect())      # at most the window's length
+    told = spark.sparkContext.broadcast((widths, *window_filter(windows)))
+
+    def seen(batches):
+        widths, log_bits, bits = told.value
+        for batch in batches:
+            for chunk in chunks(batch.column("t")):
+                words = _words(chunk)
+                if not len(words):
+                    continue
+                hashed = words.hashes()
+                for width in widths:
+                    got = window_hashes(hashed, width)
+                    at = np.flatnonzero(words.doc[:len(got)] == words.doc[width - 1:width - 1 + len(got)])
+                    for probe in range(len(_SHIFTS)):
+                        where = _probes(got[at], log_bits)[probe]
+                        at = at[(bits[where >> np.uint64(6)] >> (where & np.uint64(63))) & np.uint64(1) == 1]
+                    if len(at):
+                        yield pa.record_batch([pa.array(np.unique(got[at]).view(np.int64))], names=["h"])
+    found = docs.select(F.col(f"`{text}`").alias("t")).mapInArrow(seen, "h bigint").distinct()
+    return stored(windows.join(found, "h", "left_semi").groupBy("h", "width", "words")
+                  .agg(F.collect_set("item").alias("items")), "decontaminate-matched")
+
+
+def _blocks(matched: DataFrame, block_bytes: int):
+    """Matched windows in blocks of about ``block_bytes``."""
+    size = F.octet_length("words") + F.aggregate("items", F.lit(0), lambda n, x: n + F.octet_length(x) + 8) + 64
+    total = matched.agg(F.sum(size)).first()[0] or 0
+    n = max(1, -(-total // block_bytes))
     for b in range(n):
-        yield [tuple(r) for r in slim.where(part == b).distinct().collect()]
+        yield [tuple(r) for r in matched.where(F.pmod(F.xxhash64("h"), F.lit(n)) == b).collect()]
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_key: str = "item_id",
@@ -108,10 +180,12 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_ke
     docs = docs.drop(into)
     spark, kind = docs.sparkSession, "n_words:bigint,spans:array<struct<a:int,b:int,first:int,words:int>>,items:array<string>"
     out, first = docs.withColumn(into, F.lit(None).cast(f"struct<{kind}>")), True
-    for items in _blocks(benchmark, item_key, item_text, block_bytes):
+    matched = matched_windows(docs, windows_of(benchmark, item_key, item_text, window), text)
+    for rows in _blocks(matched, block_bytes):
         if not first:
             out = stored(out, "decontaminate")
-        found = spark.sparkContext.broadcast(WindowSet(items, window))
+            found.unpersist()
+        found = spark.sparkContext.broadcast(WindowSet(rows))
 
         @F.arrow_udf(f"struct<{kind}>")
         def scan(column: pa.Array, before: pa.Array) -> pa.Array:

@@ -584,3 +584,15 @@ def test_chat_chunks_are_cut_by_bytes(spark, monkeypatch):
     assert all(x.b <= 3000 or x.n == 1 for x in per) and rows.count() == 100
     got = "".join(x.rendered for x in sorted(chat_repair.repair(df).collect(), key=lambda x: (x.out_turn, x.piece)))
     assert got == want
+
+
+def test_decontamination_with_a_full_filter(spark, monkeypatch):
+    docs = [(x.doc_id, x.text) for x in table(spark, SMALL, "documents").select("doc_id", "text").collect()]
+    items = [(str(x.item_id), x.text) for x in table(spark, SMALL, "benchmark").collect()]
+    df, bench = table(spark, SMALL, "documents"), table(spark, SMALL, "benchmark")
+    want = sorted(map(tuple, decontaminate.contamination_digest(df, bench).collect()))
+    matched = decontaminate.matched_windows(df, decontaminate.windows_of(bench, "item_id", "text", 13), "text").count()
+    monkeypatch.setattr(decontaminate, "MOST_LOG_BITS", 10)        # nearly every window passes it
+    assert sorted(map(tuple, decontaminate.contamination_digest(df, bench).collect())) == want
+    assert decontaminate.matched_windows(df, decontaminate.windows_of(bench, "item_id", "text", 13), "text").count() == matched
+    assert 0 < matched < len(items) * 200 and len(docs) == len(want)
