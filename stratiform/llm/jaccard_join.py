@@ -12,12 +12,13 @@ overlap.
 On a cluster:
 
 1. Texts with one shingle set are one class (64-bit key of the set); all
-   later steps work on classes. Shingles that repeat inside a slice of a batch
-   are summed over all slices; the ``HOT`` most frequent come last in the order
-   and have no merged lists (their number bounds what is broadcast).
+   later steps work on classes. The shingles of one class in ``SAMPLE``, chosen by
+   its key, are counted, whatever the layout of the rows is; the ``HOT`` most frequent
+   come last in the order and have no merged lists (their number bounds what is
+   broadcast).
 2. Short lists are dealt by shingle over enough tasks that one holds
-   ``POSTINGS`` entries on average, merged there, and the tasks' counts of a
-   pair are summed by Spark.
+   ``POSTINGS`` entries on average and merged there; the pairs leave a task in
+   counted batches of about ``PAIRS``, and Spark sums the counts of a pair.
 3. Pairs that share none but hot shingles overlap in no more than the smaller
    number of hot shingles, so classes with fewer than T of them are out. The
    others first try the class of their hot lists with the largest hot share (a
@@ -54,11 +55,10 @@ from .textkit import LOWER, NON_SPACE, Words, chunks, window_hashes
 WIDTH = 5
 #: Similarity as a fraction: 100 * overlap >= 75 * union.
 NUM, DEN = 75, 100
-#: Hot shingles: counted in slices where they repeat, HOT_TIMES times in all, at most the HOT most
-#: frequent. One that d classes in b slices share repeats in some d * d / 2 b of them, so lists that
-#: are not hot have pairs in proportion to the slices.
-HOT_TIMES, HOT = 8, 1 << 20
-#: Entries of short lists a task merges, and pairs it holds before it counts them.
+#: Hot shingles: in at least HOT_TIMES of the sampled classes, one in SAMPLE, and at most the HOT most
+#: frequent. Lists of fifty classes are found all but surely; shorter ones have few pairs.
+SAMPLE, HOT_TIMES, HOT = 8, 2, 1 << 20
+#: Entries of short lists a task merges, and pairs it holds before it sends them on.
 POSTINGS, PAIRS = 1_500_000, 2_000_000
 #: Text whose shingles a worker holds at a time.
 SLICE_BYTES = BATCH_BYTES
@@ -123,27 +123,24 @@ def _by_slice(docs: DataFrame, fn, schema: str) -> DataFrame:
 
 
 def scan_classes(docs: DataFrame) -> DataFrame:
-    """Stored ``doc_id, cid, n`` of every row, and the shingles that repeat in each batch."""
+    """Stored ``doc_id, cid, n`` of every row, and the shingles of sampled classes."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def scan(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = Sets(batch.column("text"))
-        token, count = np.unique(sets.flat[sets.first[sets.doc]], return_counts=True)
-        often = count > 1
-        rows = batch.num_rows
-        lists = [[token[often].view(np.int64)] + [None] * (rows - 1), [count[often]] + [None] * (rows - 1)]
+        taken = sets.first & (sets.key % SAMPLE == 0)
+        lists = [sets.flat[a:b].view(np.int64) if t else None for a, b, t in zip(sets.begin, sets.end, taken)]
         return pa.record_batch(
-            [batch.column("doc_id"), pa.array(sets.key, mask=sets.size == 0), pa.array(sets.size),
-             pa.array(lists[0], pa.list_(pa.int64())), pa.array(lists[1], pa.list_(pa.int64()))],
-            names=["doc_id", "cid", "n", "token", "times"])
+            [batch.column("doc_id"), pa.array(sets.key, mask=sets.size == 0), pa.array(sets.size), pa.array(lists, pa.list_(pa.int64()))],
+            names=["doc_id", "cid", "n", "token"])
     return stored(_by_slice(docs.select("doc_id", "text"), scan,
-                            f"doc_id {kind}, cid bigint, n bigint, token array<bigint>, times array<bigint>"), "join-classes")
+                            f"doc_id {kind}, cid bigint, n bigint, token array<bigint>"), "join-classes")
 
 
 def hot_shingles(scanned: DataFrame) -> np.ndarray:
     """Sorted hashes of the most frequent shingles, at most ``HOT``."""
-    got = (scanned.where("size(token) > 0").select(F.explode(F.arrays_zip("token", "times")).alias("x"))
-           .groupBy("x.token").agg(F.sum("x.times").alias("times"))
+    got = (scanned.where("token is not null").select("cid", "token").dropDuplicates(["cid"])
+           .select(F.explode("token").alias("token")).groupBy("token").agg(F.count("*").alias("times"))
            .where(F.col("times") >= HOT_TIMES).orderBy(F.desc("times"), "token").limit(HOT).select("token").toArrow())
     return np.sort(got["token"].to_numpy().view(np.uint64))
 
@@ -203,12 +200,27 @@ def _counted(r: list, s: list, c: list):
     return r[new], s[new], np.add.reduceat(c, new) if len(new) else c[:0]
 
 
-def merge_lists(rows: pa.Table) -> pa.Table:
+def merge_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by part -> counted pairs of each part's merged lists."""
+    part, held = None, ([], [], [])
+    for batch in batches:
+        for p, *packed in zip(*(batch.column(c).to_pylist() for c in ("p", "tokens", "cids", "sizes"))):
+            if p != part and part is not None:
+                yield from merge_lists(*held)
+                held = [], [], []
+            part = p
+            for column, raw in zip(held, packed):
+                column.append(raw)
+    if part is not None:
+        yield from merge_lists(*held)
+
+
+def merge_lists(tokens: list[bytes], cids: list[bytes], sizes: list[bytes]) -> Iterator[pa.RecordBatch]:
     """Merge one part's inverted lists: how often each pair of classes meets whose
-    sizes allow the similarity."""
-    token = np.concatenate([np.frombuffer(x, np.uint64) for x in rows["tokens"].to_pylist()])
-    cid = np.concatenate([np.frombuffer(x, np.int64) for x in rows["cids"].to_pylist()])
-    size = np.concatenate([np.frombuffer(x, np.uint32) for x in rows["sizes"].to_pylist()]).astype(np.int64)
+    sizes allow the similarity. Pairs leave as soon as ``PAIRS`` are held."""
+    token = np.concatenate([np.frombuffer(x, np.uint64) for x in tokens])
+    cid = np.concatenate([np.frombuffer(x, np.int64) for x in cids])
+    size = np.concatenate([np.frombuffer(x, np.uint32) for x in sizes]).astype(np.int64)
     order = np.lexsort((cid, token))
     token, cid, size = token[order], cid[order], size[order]
     if len(token):
@@ -233,13 +245,16 @@ def merge_lists(rows: pa.Table) -> pa.Table:
         c.append(np.ones(len(near), np.int64))
         held, step = held + len(near), step + 1
         if held > PAIRS:
-            counted = _counted(r, s, c)
-            r, s, c = ([x] for x in counted)
-            held = len(counted[0])
-    if not r:
-        return pa.table({"r": pa.array([], pa.int64()), "s": pa.array([], pa.int64()), "c": pa.array([], pa.int64())})
+            yield from _sent(r, s, c)
+            r, s, c, held = [], [], [], 0
+    if held:
+        yield from _sent(r, s, c)
+
+
+def _sent(r: list, s: list, c: list, rows: int = 100_000) -> Iterator[pa.RecordBatch]:
     r, s, c = _counted(r, s, c)
-    return pa.table({"r": r, "s": s, "c": c})
+    for lo in range(0, len(r), rows):
+        yield pa.record_batch([pa.array(x[lo:lo + rows]) for x in (r, s, c)], names=["r", "s", "c"])
 
 
 def _bitmap(cids: DataFrame) -> np.ndarray:
@@ -311,8 +326,8 @@ def probe(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def _short_candidates(lists: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs whose merged short lists meet often enough."""
-    counts = (lists.where("p is not null").select("p", "tokens", "cids", "sizes").groupBy("p")
-              .applyInArrow(merge_lists, "r bigint, s bigint, c bigint")
+    counts = (lists.where("p is not null").select("p", "tokens", "cids", "sizes").repartition("p").sortWithinPartitions("p")
+              .mapInArrow(merge_parts, "r bigint, s bigint, c bigint")
               .groupBy("r", "s").agg(F.sum("c").alias("c")))
     side = lambda x: classes.select(F.col("cid").alias(x), F.col("n").alias(f"n_{x}"), F.col("hp").alias(f"hp_{x}"))
     pairs = counts.join(side("r"), "r").join(side("s"), "s")

@@ -596,3 +596,31 @@ def test_decontamination_with_a_full_filter(spark, monkeypatch):
     assert sorted(map(tuple, decontaminate.contamination_digest(df, bench).collect())) == want
     assert decontaminate.matched_windows(df, decontaminate.windows_of(bench, "item_id", "text", 13), "text").count() == matched
     assert 0 < matched < len(items) * 200 and len(docs) == len(want)
+
+
+def test_long_lists_leave_in_counted_batches(monkeypatch):
+    monkeypatch.setattr(jaccard_join, "PAIRS", 500)
+    r = np.random.default_rng(3)
+    token = r.integers(0, 4, 400).astype(np.uint64)
+    cid = r.integers(0, 150, 400).astype(np.int64)
+    size = (40 + cid % 30).astype(np.uint32)
+    halves = [[x[:200].tobytes(), x[200:].tobytes()] for x in (token, cid, size)]
+    got = {}
+    for batch in jaccard_join.merge_lists(*halves):
+        for a, b, n in zip(*(c.to_pylist() for c in batch.columns)):
+            got[a, b] = got.get((a, b), 0) + n
+    want = {}
+    for t in range(4):
+        on = sorted(set(cid[token == t].tolist()))
+        for i, a in enumerate(on):
+            for b in on[i + 1:]:
+                if 100 * min(40 + a % 30, 40 + b % 30) >= 75 * max(40 + a % 30, 40 + b % 30):
+                    want[a, b] = want.get((a, b), 0) + 1
+    assert got == want
+
+
+def test_hot_shingles_do_not_depend_on_layout(spark):
+    shared = "one two three four five six"
+    df = _docs(spark, [(i, f"{shared} " + " ".join(f"u{i}x{j}" for j in range(12)), None) for i in range(300)])
+    hot = [jaccard_join.hot_shingles(jaccard_join.scan_classes(d)).tolist() for d in (df.repartition(1), df.repartition(40))]
+    assert hot[0] == hot[1] and len(hot[0]) >= 2
