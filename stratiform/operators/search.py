@@ -2,8 +2,9 @@
 
 The driver only generates parameter points (a few hundred at most) and
 submits fits; all data work runs on the cluster. Per fold the recipe is
-fitted on the training part only (no leakage) and both parts are persisted
-once for all configurations. Fits of different (configuration, fold) pairs run
+fitted on the training part only (no leakage) and both parts are stored
+once for all configurations; a recipe that only scales is fitted for all folds
+from one pass over one stored copy. Fits of different (configuration, fold) pairs run
 concurrently from ``parallelism`` driver threads, as ``CrossValidator`` does.
 Each fit reduces its predictions to K x K counts and a loss sum in one
 aggregate and frees its model, so the table of results is as small for 17 400
@@ -22,8 +23,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import metrics as M
+from ..session import materialise
 from .base import right_size
+from .folds import fold_sums
 from .models import Classifier
+from .normalize import ZScore
 
 # Parameter ranges per model kind (ours; bounded so every point is valid).
 # kinds: log (log-uniform float), float, int, choice
@@ -95,6 +99,14 @@ def bound_by_features(params: dict, n_features: int) -> dict:
     return out
 
 
+def _only_scales(recipe_factory, df: DataFrame) -> list[str] | None:
+    """The columns of a recipe that is one z-score step and nothing else."""
+    steps = getattr(recipe_factory(), "steps", []) if recipe_factory is not None else []
+    if len(steps) == 1 and type(steps[0]) is ZScore and steps[0].ddof == 0:
+        return [c for c in steps[0].cols if c in df.columns] or None
+    return None
+
+
 LONG = "model string, config int, fold int, metric string, value double, duration_s double"
 
 
@@ -134,8 +146,22 @@ def cross_validate(df: DataFrame, fold_col: str, features: list[str] | None, lab
     that failed, the error; failed fits have no metric rows, and with ``strict``
     a failed fit raises at the end. ``auc`` and ``custom`` (Z4) are passed to
     ``evaluate``."""
-    folds = sorted(r[0] for r in df.select(fold_col).distinct().collect())  # k values
     prepared, fold_features, fold_rows, fold_top = {}, {}, {}, {}
+    scaled = _only_scales(recipe_factory, df)
+    if scaled:      # one stored copy and one pass; a training fold is all sums less the fold's
+        df = materialise(df, "folds")
+        sums = fold_sums(df, fold_col, label, scaled)
+        folds = sums.folds
+    else:
+        sums, folds = None, sorted(r[0] for r in df.select(fold_col).distinct().collect())  # k values
+
+    def share(f):
+        """A fold that needs nothing but scaling."""
+        step, n = sums.zscore(f), sums.train(f)[0]
+        parts = [step.transform(df.where(w).drop(fold_col)) for w in (F.col(fold_col) != f, F.col(fold_col) == f)]
+        prepared[f] = (right_size(parts[0], n), right_size(parts[1], n))
+        fold_rows[f], fold_top[f] = n, max((c for c in sums.classes if sums.train(f, c)[0]), default=None)
+        fold_features[f] = features or [c for c in parts[0].columns if c not in (key, label)]
 
     def prepare(f):
         train = df.where(F.col(fold_col) != f).drop(fold_col)
@@ -156,7 +182,7 @@ def cross_validate(df: DataFrame, fold_col: str, features: list[str] | None, lab
         fold_features[f] = features or [c for c in train.columns if c not in (key, label)]
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(folds)))) as pool:
-        list(pool.map(prepare, folds))  # folds are prepared concurrently
+        list(pool.map(share if sums else prepare, folds))  # folds are prepared concurrently
     n_classes = int(max(v for v in fold_top.values() if v is not None)) + 1
 
     configs = {}
@@ -174,8 +200,11 @@ def cross_validate(df: DataFrame, fold_col: str, features: list[str] | None, lab
         t0, record = time.time(), {"model": name, "config": ci, "fold": f, "error": None}
         feats = fold_features[f]
         try:
-            model = Classifier(kind, feats, label, bound_by_features(params, len(feats)),
-                               n_classes=n_classes, rows=fold_rows[f]).fit(train)
+            if sums and kind == "naive_bayes" and set(feats) <= set(sums.cols):      # no pass at all
+                model = sums.naive_bayes(f, feats, params.get("var_smoothing", 1e-9), scaled=True)
+            else:
+                model = Classifier(kind, feats, label, bound_by_features(params, len(feats)),
+                                   n_classes=n_classes, rows=fold_rows[f]).fit(train)
             found = evaluate(model.transform(valid), label, n_classes, auc, custom)
         except Exception as e:      # one configuration must not end a search of thousands
             found, record["error"] = {}, f"{type(e).__name__}: {e}"[:500]

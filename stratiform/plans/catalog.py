@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from . import (queries_eval, queries_models, queries_neighbours, queries_prep, queries_stats,
+from . import (queries_eval, queries_folds, queries_models, queries_neighbours, queries_prep, queries_stats,
                queries_training)
 
 MODULES = [queries_prep, queries_stats, queries_eval, queries_neighbours, queries_models,
-           queries_training]
+           queries_training, queries_folds]
 
 
 def catalog() -> dict:
