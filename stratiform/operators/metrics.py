@@ -219,3 +219,39 @@ class MacroF1Evaluator(Evaluator):
 
     def isLargerBetter(self):
         return True
+
+
+def smooth_density(df: DataFrame, scores: list[str], label: str = "label", points: int = 101) -> DataFrame:
+    """A14, smooth: kernel density of each class probability by true class on a fixed
+    grid over [0, 1] (``score, label, x, n, density``).
+
+    One aggregate bins all columns and classes linearly, each score between its two
+    grid points, and keeps the sums that give the rule-of-thumb bandwidth, sample
+    deviation * n^(-1/5); (columns x classes x points) cells are then convolved with the
+    normal kernel. Scores outside [0, 1] count at its ends; null and NaN scores and null labels
+    are left out; a group without spread has its mass at its grid points and no density."""
+    import numpy as np
+    step = points - 1
+    long = df.where(F.col(label).isNotNull()).select(F.col(label).alias("label"), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("score"), F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias("v"))
+        for c in scores])).alias("s")).where(F.col("s.v").isNotNull()) \
+        .select("label", "s.score", F.least(F.greatest("s.v", F.lit(0.0)), F.lit(1.0)).alias("v"))
+    cell = F.least(F.floor(F.col("v") * step), F.lit(step - 1)).cast("int")
+    cells = long.withColumn("cell", cell).groupBy("score", "label", "cell").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("v") * step - F.col("cell")).alias("above"), F.sum("v").alias("s"),
+        F.sum(F.col("v") * F.col("v")).alias("q")).collect()
+    groups: dict = {}
+    for r in cells:
+        weight, sums = groups.setdefault((r["score"], r["label"]), (np.zeros(points), np.zeros(3)))
+        weight[r["cell"]] += r["n"] - r["above"]
+        weight[r["cell"] + 1] += r["above"]
+        sums += [r["n"], r["s"], r["q"]]
+    grid, rows = np.arange(points) / step, []
+    for (name, cls), (weight, (n, s, q)) in sorted(groups.items()):
+        var = (q - s * s / n) / (n - 1) if n > 1 else 0.0
+        h = np.sqrt(var) * n ** -0.2 if var > 1e-15 else 0.0
+        density = [None] * points if h == 0.0 else \
+            (np.exp(-0.5 * ((grid[:, None] - grid[None, :]) / h) ** 2) @ weight / (n * h * np.sqrt(2 * np.pi))).tolist()
+        rows += [(name, cls, float(x), int(n), None if d is None else round(float(d), 6)) for x, d in zip(grid, density)]
+    kind = df.schema[label].dataType.simpleString()
+    return df.sparkSession.createDataFrame(rows, f"score string, label {kind}, x double, n long, density double")

@@ -186,6 +186,20 @@ def q_score_density(spark, sf):
     return out
 
 
+def q_smooth_density(spark, sf):
+    return M.smooth_density(pred(spark, sf), PROBS)
+
+
+SQL_SMOOTH = oracle(
+    "SELECT w.score, w.label, w.g / 100.0 AS x, m.n, round(sum(b.w * exp(-0.5 * ((w.g - b.g) / 100.0 / m.h) * ((w.g - b.g) / 100.0 / m.h))) "
+    "/ (m.n * m.h * sqrt(2 * pi())), 6) AS density FROM bins w JOIN bins b ON b.score = w.score AND b.label = w.label "
+    "JOIN m ON m.score = w.score AND m.label = w.label GROUP BY w.score, w.label, w.g, m.n, m.h",
+    "long AS (" + " UNION ALL ".join(f"SELECT '{c}' AS score, label, {c} AS v FROM pred" for c in PROBS) + "), "
+    "m AS (SELECT score, label, count(*) AS n, stddev_samp(v) * pow(count(*), -0.2) AS h FROM long GROUP BY score, label), "
+    "bins AS (SELECT score, label, g, sum(greatest(0.0, 1.0 - abs(v * 100.0 - g))) AS w FROM long, "
+    "(SELECT unnest(range(101)) AS g) GROUP BY score, label, g)")
+
+
 SQL_DENSITY = oracle(" UNION ALL ".join(
     f"SELECT label, bin, n, round(n / (sum(n) OVER (PARTITION BY label) * (1.0 / 20)), 6) AS density, "
     f"{i} AS score_class FROM (SELECT label, CAST(least(floor({c} * 20) + 1, 20) AS INTEGER) AS bin, "
@@ -265,6 +279,7 @@ QUERIES = {
     "hand_till_auc": (q_hand_till_auc, SQL_AUC),
     "log_loss": (q_log_loss, SQL_LOG_LOSS),
     "score_density": (q_score_density, SQL_DENSITY),
+    "smooth_density": (q_smooth_density, SQL_SMOOTH),
     "cv_summary": (q_cv_summary, SQL_CV_SUMMARY),
     "best_per_model": (q_best_per_model, SQL_BEST),
 }

@@ -59,3 +59,22 @@ def test_log_loss_clips(spark):
     df = spark.createDataFrame([(0, 1.0, 0.0), (1, 1.0, 0.0)], "label int, p0 double, p1 double")
     v = M.log_loss(df, ["p0", "p1"])
     assert v == pytest.approx((0.0 - math.log(1e-15)) / 2, rel=1e-6)
+
+
+def test_smooth_density_integrates_to_one(spark):
+    import numpy as np
+    from stratiform.operators.metrics import smooth_density
+    rng = np.random.RandomState(1)
+    rows = [(float(v), float("nan") if i % 5 == 0 else 0.25, i % 2) for i, v in enumerate(rng.beta(4, 6, 4000))]
+    rows += [(None, 0.25, 1), (0.5, 0.25, None), (-3.0, 0.25, 1)]
+    df = spark.createDataFrame(rows, "p double, flat double, label int")
+    out = smooth_density(df, ["p", "flat"]).collect()
+    for cls in (0, 1):
+        d = [r.density for r in out if r.score == "p" and r.label == cls]
+        v = np.array([min(max(x, 0.0), 1.0) for x, _, c in rows if c == cls and x is not None])
+        h = v.std(ddof=1) * len(v) ** -0.2
+        at = np.arange(101) / 100
+        exact = np.exp(-0.5 * ((at[:, None] - v[None]) / h) ** 2).sum(1) / (len(v) * h * np.sqrt(2 * np.pi))
+        assert len(d) == 101 and abs(sum(d) / 100 - 1) < 0.02 and np.abs(np.array(d) - exact).max() < 0.02
+        assert {r.density for r in out if r.score == "flat" and r.label == cls} == {None}
+    assert smooth_density(df.where("false"), ["p"]).count() == 0
