@@ -257,7 +257,7 @@ def spark_estimator(kind: str, params: dict, label: str = "label", seed: int = 1
     raise ValueError(f"unknown model kind {kind}")
 
 
-CUSTOM_KINDS = {"naive_bayes", "lda", "qda", "rda", "gbt"}
+CUSTOM_KINDS = {"naive_bayes", "kernel_bayes", "lda", "qda", "rda", "gbt"}
 SPARK_KINDS = {"logistic", "svm", "svm_poly", "svm_rff", "forest", "bagged", "tree"}
 
 
@@ -276,7 +276,7 @@ class FittedClassifier(Fitted):
         if p["kind"] in CUSTOM_KINDS:
             return self.inner.transform(df)
         staged = df
-        if p["kind"] == "svm_rff":
+        if p["kind"] == "svm_rff" and self.inner is not None:
             staged = self.inner.transform(staged)
             feats = [c for c in staged.columns if c.startswith("rff_")]
         staged = assembler(feats).transform(staged)
@@ -289,14 +289,29 @@ class FittedClassifier(Fitted):
             out = out.withColumn("__p", vector_to_array("probability"))  # converted once
             out = out.withColumns({f"prob_{i}": F.col("__p")[i] for i in range(k)}).drop("__p")
         elif "rawPrediction" in out.columns:
-            # one-vs-rest scores -> softmax (a relative score, not calibrated)
             out = out.withColumn("__p", vector_to_array("rawPrediction"))
+            if p.get("sigmoids"):
+                from .calibration import probability_columns
+                out = probability_columns(out, F.col("__p"), p["sigmoids"], k).drop("__p")
+                return out.drop(*[c for c in ("features", "poly", "rawPrediction") if c in out.columns],
+                                *[c for c in out.columns if c.startswith("rff_")])
+            # one-vs-rest scores -> softmax (a relative score, not calibrated)
             probs = _softmax([F.col("__p")[i] for i in range(k)])
             out = out.withColumns({f"prob_{i}": probs[i] for i in range(k)}).drop("__p")
         drop = [c for c in ("features", "poly", "rawPrediction", "probability") if c in out.columns]
         drop += [c for c in out.columns if c.startswith("rff_")]
         return out.drop(*drop)
 
+    def raw_scores(self, df, names: list[str]):
+        """``df`` with the one-vs-rest scores of the classes."""
+        from pyspark.ml.functions import vector_to_array
+        feats, staged = self.params["features"], df
+        if self.inner is not None:
+            staged = self.inner.transform(staged)
+            feats = [c for c in staged.columns if c.startswith("rff_")]
+        out = self.model.transform(assembler(feats).transform(staged)).withColumn("__r", vector_to_array("rawPrediction"))
+        return out.withColumns({n: F.col("__r")[i] for i, n in enumerate(names)}).select(*df.columns, *names)
+
     def save(self, path):
         super().save(path)
         if self.model is not None:
@@ -323,17 +338,40 @@ class Classifier(Step):
         self.params, self.seed = dict(params or {}), seed
         self.n_classes, self.rows = n_classes, rows  # known by callers: saves two jobs per fit
 
+    def _calibrated(self, df: DataFrame, folds: int, n_classes: int):
+        """K2: the model of all rows, its probabilities from sigmoids of out-of-fold scores."""
+        from .calibration import cross_fitted, fit_sigmoids
+        names = [f"s{c}" for c in range(n_classes)]
+
+        def plain(rows):
+            return Classifier(self.kind, self.features, self.label, {**self.params, "calibrate": 0}, self.seed, n_classes).fit(rows)
+
+        def score(train, rest):
+            return plain(train).raw_scores(rest, names).select(F.col(self.label).cast("int").alias(self.label), *names)
+        model = plain(df)
+        model.params["sigmoids"] = fit_sigmoids(cross_fitted(df, self.label, folds, score), self.label, names)
+        return model
+
     def fit(self, df: DataFrame):
         if self.kind in CUSTOM_KINDS or self.kind == "svm_rff":
             # These read single columns; sparse vectors of identifier levels are for the others.
             self.features = [f for f in self.features if df.schema[f].dataType.typeName() != "vectorudt"]
-        n_classes = self.n_classes or df.agg(F.max(self.label)).first()[0] + 1
+        n_classes = int(self.n_classes or df.agg(F.max(self.label)).first()[0] + 1)
+        folds = int(self.params.get("calibrate", 0))
+        if folds > 1 and self.kind.startswith("svm"):
+            return self._calibrated(df, folds, n_classes)
         meta = {"kind": self.kind, "features": self.features, "label": self.label,
                 "n_classes": int(n_classes), "params": self.params}
         if self.kind == "naive_bayes":
             inner = GaussianNB(self.features, self.label,
                                self.params.get("var_smoothing", 1e-9)).fit(df)
             return FittedClassifier(meta, inner=inner)
+        if self.kind == "kernel_bayes":                         # M10
+            from .kernel_bayes import KernelBayes
+            numbers = [f for f in self.features if df.schema[f].dataType.typeName() != "string"]
+            inner = KernelBayes(numbers, [f for f in self.features if f not in numbers], self.label,
+                                float(self.params.get("smoothness", 1.0)), float(self.params.get("laplace", 0.0))).fit(df)
+            return FittedClassifier(meta, inner=inner)
         if self.kind == "gbt":                                  # M8
             from .boosting import SoftmaxBoosting
             return FittedClassifier(meta, inner=SoftmaxBoosting(self.features, self.label, self.params, int(n_classes), self.seed).fit(df))

@@ -48,6 +48,7 @@ SPACES = {
     "c50": {"maxIter": ("int", 5, 30), "minInstancesPerNode": ("int", 1, 20), "maxDepth": ("int", 2, 8),
             "subsamplingRate": ("float", 0.5, 1.0)},
     "naive_bayes": {"var_smoothing": ("log", 1e-12, 1e-3)},
+    "kernel_bayes": {"smoothness": ("float", 0.5, 1.5), "laplace": ("float", 0.0, 3.0)},
     "lda": {},
     "qda": {"gamma": ("float", 0.0, 0.5)},
     "rda": {"reg": ("float", 0.0, 1.0), "gamma": ("float", 0.0, 0.5)},

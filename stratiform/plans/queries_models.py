@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 
 from ..operators.balance import NearMiss
 from ..operators.base import Recipe
+from ..operators.kernel_bayes import KernelBayes
 from ..operators.models import Classifier
 from ..operators.normalize import ZScore
 from ..operators.resample import stratified_folds, stratified_split
 from ..operators.score import load_trained, save_trained, score
 from ..operators import search as S
 from ..session import scratch_path
-from ..sources.tables import VEC_FEATURES, vec
+from ..sources.tables import VEC_FEATURES, obs, vec
 from .common import oracle
 
 CLASS_NAMES = {0: "class_a", 1: "class_b", 2: "class_c"}
@@ -65,6 +66,45 @@ def _nb_sql():
                   "(PARTITION BY row_id ORDER BY score DESC, cls ASC) AS r FROM sc) WHERE r = 1", ctes)
 
 
+KERNEL_NUMBERS, KERNEL_LEVELS = ["pulse", "rectal_temp", "respiratory_rate"], ["pain", "abdomen"]
+SMOOTHNESS, LAPLACE, GRID = 0.8, 1.0, 101
+
+
+def q_kernel_bayes(spark, sf):
+    """Class scores of the kernel naive Bayes model on every row."""
+    o = obs(spark, sf).withColumn("label", F.expr("CASE outcome WHEN 'died' THEN 0 WHEN 'euthanized' THEN 1 WHEN 'lived' THEN 2 END"))
+    model = KernelBayes(KERNEL_NUMBERS, KERNEL_LEVELS, "label", SMOOTHNESS, LAPLACE, GRID).fit(o)
+    return model.scores(o).select("row_id", *[F.round(f"__k{c}", 5).alias(f"score_{c}") for c in range(3)])
+
+
+def _kernel_sql():
+    last = GRID - 1
+    ctes = ["lab AS (SELECT *, CASE outcome WHEN 'died' THEN 0 WHEN 'euthanized' THEN 1 WHEN 'lived' THEN 2 END AS label FROM obs)",
+            "known AS (SELECT * FROM lab WHERE label IS NOT NULL)", f"grid AS (SELECT unnest(range({GRID})) AS g)",
+            "prior AS (SELECT label, ln(count(*) / (SELECT count(*) FROM known)) AS s FROM known GROUP BY label)"]
+    terms = ["SELECT row_id, p.label, p.s FROM lab CROSS JOIN prior p"]
+    for c in KERNEL_NUMBERS:
+        ctes += [f"e_{c} AS (SELECT min({c}) AS lo, (max({c}) - min({c})) / {last}.0 AS st FROM known)",
+                 f"u_{c} AS (SELECT label, ({c} - lo) / st AS u FROM known, e_{c} WHERE {c} IS NOT NULL)",
+                 f"m_{c} AS (SELECT label, count(*) AS n, greatest({SMOOTHNESS} * stddev_samp(u) * pow(count(*), -0.2), 0.5) AS h FROM u_{c} GROUP BY label)",
+                 f"w_{c} AS (SELECT label, g, sum(greatest(0.0, 1.0 - abs(u - g))) AS w FROM u_{c}, grid GROUP BY label, g)",
+                 f"d_{c} AS (SELECT a.label, a.g, sum(b.w * exp(-0.5 * ((a.g - b.g) / h) * ((a.g - b.g) / h))) / (any_value(n) * any_value(h) * sqrt(2 * pi())) AS d "
+                 f"FROM w_{c} a JOIN w_{c} b ON a.label = b.label JOIN m_{c} m ON m.label = a.label GROUP BY a.label, a.g)",
+                 f"x_{c} AS (SELECT row_id, least(greatest(({c} - lo) / st, 0.0), {last}.0) AS u FROM lab, e_{c} WHERE {c} IS NOT NULL)"]
+        g = f"CAST(least(floor(x.u), {last - 1}) AS BIGINT)"
+        terms.append(f"SELECT x.row_id, a.label, ln(greatest(a.d * (1 - (x.u - {g})) + b.d * (x.u - {g}), 1e-12)) FROM x_{c} x "
+                     f"JOIN d_{c} a ON a.g = {g} JOIN d_{c} b ON b.g = {g} + 1 AND b.label = a.label")
+    for c in KERNEL_LEVELS:
+        ctes += [f"l_{c} AS (SELECT lv, label, (SELECT count(*) FROM known k WHERE k.{c} = lv AND k.label = p.label) AS n FROM "
+                 f"(SELECT DISTINCT {c} AS lv FROM known WHERE {c} IS NOT NULL), prior p)",
+                 f"s_{c} AS (SELECT lv, label, ln((n + {LAPLACE}) / (sum(n) OVER (PARTITION BY label) + {LAPLACE} * count(*) OVER (PARTITION BY label))) AS s, "
+                 f"ln({LAPLACE} / (sum(n) OVER (PARTITION BY label) + {LAPLACE} * count(*) OVER (PARTITION BY label))) AS none FROM l_{c})"]
+        terms.append(f"SELECT row_id, p.label, coalesce(s.s, (SELECT any_value(none) FROM s_{c} z WHERE z.label = p.label)) FROM lab CROSS JOIN prior p "
+                     f"LEFT JOIN s_{c} s ON s.lv = lab.{c} AND s.label = p.label WHERE lab.{c} IS NOT NULL")
+    return oracle("SELECT row_id, " + ", ".join(f"round(sum(CASE WHEN label = {k} THEN s END), 5) AS score_{k}" for k in range(3))
+                  + " FROM (" + " UNION ALL ".join(terms) + ") GROUP BY row_id", ", ".join(ctes))
+
+
 def _folded(spark, sf, k=3):
     s = _split(spark, sf).where("is_train")
     return stratified_folds(s, "row_id", "label", k=k, seed=4000).persist()
@@ -158,6 +198,8 @@ def q_stream_score(spark, sf):
 
 QUERIES = {
     "gaussian_nb": (q_gaussian_nb, _nb_sql()),
+    "kernel_bayes": (q_kernel_bayes, _kernel_sql()),
+    "model_svm_calibrated": (_model_query("svm", {"regParam": 0.01, "maxIter": 50, "calibrate": 3}), None),
     "model_logistic": (_model_query("logistic", {"regParam": 0.01}), None),
     "model_svm": (_model_query("svm", {"regParam": 0.01, "maxIter": 50}), None),
     "model_svm_poly": (_model_query("svm_poly", {"regParam": 0.01, "maxIter": 50, "degree": 2}), None),
