@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from ..session import bound_arrow, discard, materialise
 from .base import Fitted, Step, register
+from .sparse import split_features, starts, vector_sizes
 
 STORE_ROUNDS = 10
 #: Rows of a histogram that are no feature: node totals, and the loss of the validation rows.
@@ -38,20 +39,6 @@ TOTAL, LOSS = -1, -2
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def is_vector(df: DataFrame, col: str) -> bool:
-    return df.schema[col].dataType.typeName() == "vectorudt"
-
-
-def _sizes(df: DataFrame, vectors: list[str]) -> list[int]:
-    """Slots of each vector column."""
-    if not vectors:
-        return []
-    parts = [F.unwrap_udt(F.col(v)) for v in vectors]
-    row = df.agg(*[F.max(F.when(u["type"] == 0, u["size"]).otherwise(F.size(u["values"]))).alias(f"v{i}")
-                   for i, u in enumerate(parts)]).first()
-    return [row[i] or 0 for i in range(len(vectors))]
-
-
 def bin_edges(df: DataFrame, features: list[str], bins: int) -> list[list[float]]:
     """Ascending inner edges of each feature; a value's bin is the number of edges at most it."""
     if not features:
@@ -337,8 +324,7 @@ class SoftmaxBoosting(Step):
         q, seed = self.params, self.seed
         bound_arrow(df.sparkSession)
         df = df.where(F.col(self.label).isNotNull())
-        vectors = [f for f in self.features if is_vector(df, f)]
-        numbers = [f for f in self.features if f not in vectors]
+        numbers, vectors = split_features(df, self.features)
         p, rounds, depth = len(numbers), int(q.get("maxIter", 20)), int(q.get("maxDepth", 3))
         rate, eta, penalty = float(q.get("subsamplingRate", 1.0)), float(q.get("stepSize", 0.1)), float(q.get("lambda", 1.0))
         counts = {int(r[0]): r[1] for r in df.groupBy(self.label).count().collect()}       # one row a class
@@ -346,8 +332,8 @@ class SoftmaxBoosting(Step):
         n = sum(counts.values())
         base = [math.log((counts.get(c, 0) + 1.0) / (n + k)) for c in range(k)]
         edges = bin_edges(df, numbers, int(q.get("maxBins", 32)))
-        sizes = _sizes(df, vectors)
-        offsets = [p + sum(sizes[:i]) for i in range(len(sizes))]
+        sizes = vector_sizes(df, vectors)
+        offsets = starts(sizes, p)
         model = {"numbers": numbers, "vectors": vectors, "offsets": offsets, "edges": edges, "base": base, "depth": depth, "trees": []}
         if not n or p + sum(sizes) == 0:
             return FittedSoftmaxBoosting(model)

@@ -4,7 +4,9 @@ Spark ML models train distributed (tree histograms and gradient sums are
 aggregated across executors). The Gaussian naive Bayes and discriminant
 models are fitted from class sufficient statistics in one aggregate; only a
 K x p (or K x p x p) summary reaches the driver, and scoring is a column
-expression with the fitted numbers as literals.
+expression with the fitted numbers as literals. Vector columns (the levels of an
+identifier) reach every kind but ``kernel_bayes``, which takes the levels
+themselves and refuses a vector.
 """
 
 from __future__ import annotations
@@ -16,11 +18,13 @@ import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC,
                                        LogisticRegression, OneVsRest, RandomForestClassifier)
-from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .base import Fitted, Step, register, right_size
+from .sketch import WIDTH, TensorSketch
+from .sparse import class_grams, dense_features, slot_moments, slot_phases, slot_scores, slot_sums, split_features, starts, vector_sizes
 
 FEATURES = "features"
 
@@ -75,40 +79,68 @@ class FittedGaussianNB(Fitted):
                 mu = p["mean"][c][j]
                 s = s - F.lit(0.5 * math.log(2 * math.pi * var)) \
                     - (F.col(f) - F.lit(mu)) * (F.col(f) - F.lit(mu)) / F.lit(2.0 * var)
+            if p.get("vectors"):
+                s = s + F.lit(p["slot_base"][c]) + F.col("__slots")[c]
             out.append(s)
         return out
 
+    def staged(self, df):
+        """``df`` with what ``scores`` refers to."""
+        p = self.params
+        return df if not p.get("vectors") else slot_scores(
+            df, self.tables["slots"], p["slots_set"], len(p["classes"]), p["vectors"], p["offsets"], p["unset"], "__slots")
+
     def transform(self, df):
-        return _scored(df, self.scores(), self.params["classes"])
+        return _scored(self.staged(df), self.scores(), self.params["classes"]).drop("__slots")
 
 
 class GaussianNB(Step):
     """Per-class mean and population variance in one aggregate; every
-    variance is increased by var_smoothing times the largest feature variance."""
+    variance is increased by var_smoothing times the largest feature variance.
+    Every slot of a vector column is a feature of its own: sums of the slots that
+    are set are state, the others follow from the class sizes."""
 
     def __init__(self, features: list[str], label: str = "label", var_smoothing: float = 1e-9):
         self.features, self.label, self.var_smoothing = features, label, var_smoothing
 
     def fit(self, df):
+        numbers, vectors = split_features(df, self.features)
+        if vectors:
+            df = df.where(F.col(self.label).isNotNull())
         stats = df.groupBy(self.label).agg(
             F.count(F.lit(1)).alias("__n"),
-            *[F.count(f).alias(f"n_{f}") for f in self.features],
-            *[F.avg(f).alias(f"m_{f}") for f in self.features],
-            *[F.var_pop(f).alias(f"v_{f}") for f in self.features]).orderBy(self.label).collect()
+            *[F.count(f).alias(f"n_{f}") for f in numbers],
+            *[F.avg(f).alias(f"m_{f}") for f in numbers],
+            *[F.var_pop(f).alias(f"v_{f}") for f in numbers]).orderBy(self.label).collect()
 
         def overall(f):       # the variance of all rows from the classes' own
             parts = [(r[f"n_{f}"], r[f"m_{f}"], r[f"v_{f}"]) for r in stats if r[f"n_{f}"]]
             total = sum(k for k, _, _ in parts)
             mean = sum(k * m for k, m, _ in parts) / total if total else 0.0
             return sum(k * (v + (m - mean) ** 2) for k, m, v in parts) / total if total else 0.0
-        eps = self.var_smoothing * max(overall(f) for f in self.features)
+        largest = max((overall(f) for f in numbers), default=0.0)
+        eps, more, tables = self.var_smoothing * largest, {}, {}
+        if vectors:
+            eps, more, tables = self._slots(df, vectors, stats, largest)
         n = float(sum(r["__n"] for r in stats))
         return FittedGaussianNB({
-            "features": self.features,
+            "features": numbers,
             "classes": [r[self.label] for r in stats],
             "log_prior": [math.log(r["__n"] / n) for r in stats],
-            "mean": [[r[f"m_{f}"] for f in self.features] for r in stats],
-            "var": [[(r[f"v_{f}"] or 0.0) + eps for f in self.features] for r in stats]})
+            "mean": [[r[f"m_{f}"] for f in numbers] for r in stats],
+            "var": [[(r[f"v_{f}"] or 0.0) + eps for f in numbers] for r in stats], **more}, tables)
+
+    def _slots(self, df, vectors, stats, largest):
+        sizes, classes = vector_sizes(df, vectors), [r[self.label] for r in stats]
+        offsets = starts(sizes)
+        table, eps = slot_moments(slot_sums(df, self.label, vectors, offsets), classes, [r["__n"] for r in stats],
+                                  self.var_smoothing, largest)
+        row = table.agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.col("c")[i]).alias(f"c{i}") for i in range(len(classes))]).first()
+        never = sum(sizes) - row["n"]                     # slots that no row has set
+        base = [(row[f"c{i}"] or 0.0) - (never * 0.5 * math.log(2 * math.pi * eps) if never else 0.0) for i in range(len(classes))]
+        more = {"vectors": vectors, "offsets": offsets, "slots_set": row["n"], "slot_base": base,
+                "unset": -0.5 / eps if eps else 0.0}
+        return eps, more, {"slots": table}
 
 
 # ---------------------------------------------------------------- M11
@@ -126,7 +158,7 @@ class FittedDiscriminant(Fitted):
             if quad is not None:
                 s += np.stack([((values @ q) * values).sum(axis=1) for q in quad], axis=1)
             return pa.array(list(s), pa.list_(pa.float64()))
-        out = df.withColumn("__d", discriminant(F.array(*[F.col(f).cast("double") for f in p["features"]])))
+        out = df.withColumn("__d", discriminant(dense_features(p["features"], p.get("vectors", []), p.get("sizes", []))))
         return _scored(out, [F.col("__d")[i] for i in range(len(const))], p["classes"]).drop("__d")
 
 
@@ -137,7 +169,8 @@ class Discriminant(Step):
 
     Class covariances are Gram sums around the class means, so large means
     cancel nothing; the p x p algebra runs on the driver. A singular matrix is
-    inverted, and its log-determinant taken, over its non-zero eigenvalues."""
+    inverted, and its log-determinant taken, over its non-zero eigenvalues. Vectors
+    are read slot by slot, up to ``sparse.MAX_WIDTH`` features; more is an error."""
 
     def __init__(self, features: list[str], label: str = "label", kind: str = "lda",
                  reg: float = 0.0, gamma: float = 0.0):
@@ -145,7 +178,12 @@ class Discriminant(Step):
 
     def fit(self, df):
         from .select import gram_sums
-        fs = self.features
+        fs, vectors = split_features(df, self.features)
+        if vectors:
+            sizes = vector_sizes(df, vectors)
+            found = class_grams(df, self.label, fs, vectors, sizes)
+            return self._solve(fs, [c for c, *_ in found], [n for _, n, _, _ in found], [m for _, _, m, _ in found],
+                               [xx / max(n - 1.0, 1.0) for _, n, _, xx in found], {"vectors": vectors, "sizes": sizes})
         p = len(fs)
         rows = df.groupBy(self.label).agg(F.count(F.lit(1)).alias("__n"), *[F.avg(f).alias(f"m{i}") for i, f in enumerate(fs)]) \
             .orderBy(self.label).collect()
@@ -157,7 +195,10 @@ class Discriminant(Step):
             ns.append(n)
             means.append(mu)
             covs.append(xx / max(n - 1.0, 1.0))
-        total = sum(ns)
+        return self._solve(fs, classes, ns, means, covs, {})
+
+    def _solve(self, fs, classes, ns, means, covs, more):
+        total, p = sum(ns), len(means[0])
         pooled = sum((n - 1.0) * c for n, c in zip(ns, covs)) / max(total - len(ns), 1.0)
         const, linear, quad = [], [], []
         for n, mu, cov in zip(ns, means, covs):
@@ -176,7 +217,7 @@ class Discriminant(Step):
             linear.append((inv @ mu).tolist())
             const.append(float(-0.5 * mu @ inv @ mu - 0.5 * logdet + prior))
         return FittedDiscriminant({"features": fs, "classes": classes, "const": const,
-                                   "linear": linear, "quad": quad})
+                                   "linear": linear, "quad": quad, **more})
 
 
 def _inverse(m: np.ndarray) -> tuple[np.ndarray, float]:
@@ -192,27 +233,34 @@ class FittedFourier(Fitted):
     def transform(self, df):
         p = self.params
         cols = {}
+        if p.get("vectors"):
+            df = df.withColumn("__phases", slot_phases(p["vectors"], p["offsets"], len(p["b"]), p["seed"], p["sd"]))
         scale = math.sqrt(2.0 / len(p["b"]))
         for m, (w, b) in enumerate(zip(p["w"], p["b"])):
             s = F.lit(b)
             for j, f in enumerate(p["features"]):
                 s = s + F.lit(w[j]) * F.col(f)
+            if p.get("vectors"):
+                s = s + F.col("__phases")[m]
             cols[f"rff_{m}"] = F.lit(scale) * F.cos(s)
-        return df.withColumns(cols)
+        return df.withColumns(cols).drop("__phases")
 
 
 class RandomFourier(Step):
     """Random Fourier features for the radial kernel exp(-sigma ||x - y||^2)
-    (Rahimi and Recht): w ~ N(0, 2 sigma I), b ~ U(0, 2 pi)."""
+    (Rahimi and Recht): w ~ N(0, 2 sigma I), b ~ U(0, 2 pi). The directions of a
+    vector's slots come from (seed, slot), so that none are stored."""
 
     def __init__(self, features: list[str], n_features: int = 64, sigma: float = 0.5, seed: int = 7):
         self.features, self.n, self.sigma, self.seed = features, n_features, sigma, seed
 
     def fit(self, df):
-        rng = np.random.RandomState(self.seed)
-        w = rng.normal(0.0, math.sqrt(2.0 * self.sigma), size=(self.n, len(self.features)))
+        numbers, vectors = split_features(df, self.features)
+        rng, sd = np.random.RandomState(self.seed), math.sqrt(2.0 * self.sigma)
+        w = rng.normal(0.0, sd, size=(self.n, len(numbers)))
         b = rng.uniform(0.0, 2 * math.pi, size=self.n)
-        return FittedFourier({"features": self.features, "w": w.tolist(), "b": b.tolist()})
+        more = {"vectors": vectors, "offsets": starts(vector_sizes(df, vectors)), "seed": self.seed, "sd": sd} if vectors else {}
+        return FittedFourier({"features": numbers, "w": w.tolist(), "b": b.tolist(), **more})
 
     def columns(self):
         return [f"rff_{m}" for m in range(self.n)]
@@ -230,13 +278,10 @@ def spark_estimator(kind: str, params: dict, label: str = "label", seed: int = 1
     if kind in ("svm", "svm_poly", "svm_rff"):              # M2, M3, M4
         svc = LinearSVC(regParam=params.get("regParam", 0.01), maxIter=int(params.get("maxIter", 100)),
                         tol=params.get("tol", 1e-4))
-        stages = []
         feats = FEATURES
         if kind == "svm_poly":
-            stages.append(PolynomialExpansion(degree=int(params.get("degree", 2)),
-                                              inputCol=FEATURES, outputCol="poly"))
-            feats = "poly"
-        return stages + [OneVsRest(classifier=svc, labelCol=label, featuresCol=feats,
+            feats = "poly"                                  # the tensor sketch, made before
+        return [OneVsRest(classifier=svc, labelCol=label, featuresCol=feats,
                                    parallelism=int(params.get("parallelism", 4)))]
     if kind == "forest":                                    # M5
         return [RandomForestClassifier(labelCol=label, numTrees=int(params.get("numTrees", 50)),
@@ -258,6 +303,8 @@ def spark_estimator(kind: str, params: dict, label: str = "label", seed: int = 1
 
 
 CUSTOM_KINDS = {"naive_bayes", "kernel_bayes", "lda", "qda", "rda", "gbt"}
+#: Kinds whose estimator reads features made by an inner step.
+MAPPED_KINDS = {"svm_poly", "svm_rff"}
 SPARK_KINDS = {"logistic", "svm", "svm_poly", "svm_rff", "forest", "bagged", "tree"}
 
 
@@ -276,10 +323,10 @@ class FittedClassifier(Fitted):
         if p["kind"] in CUSTOM_KINDS:
             return self.inner.transform(df)
         staged = df
-        if p["kind"] == "svm_rff" and self.inner is not None:
-            staged = self.inner.transform(staged)
-            feats = [c for c in staged.columns if c.startswith("rff_")]
-        staged = assembler(feats).transform(staged)
+        if p["kind"] in MAPPED_KINDS:
+            staged = self._mapped(staged)
+        else:
+            staged = assembler(feats).transform(staged)
         if self.model is None:                              # votes or pruned trees
             return self.inner.transform(staged).drop(FEATURES)
         out = self.model.transform(staged)
@@ -302,14 +349,18 @@ class FittedClassifier(Fitted):
         drop += [c for c in out.columns if c.startswith("rff_")]
         return out.drop(*drop)
 
+    def _mapped(self, df):
+        """The random Fourier features or the tensor sketch of the features."""
+        if self.params["kind"] == "svm_poly":
+            return self.inner.transform(assembler(self.params["features"]).transform(df))
+        staged = self.inner.transform(df)
+        return assembler([c for c in staged.columns if c.startswith("rff_")]).transform(staged)
+
     def raw_scores(self, df, names: list[str]):
         """``df`` with the one-vs-rest scores of the classes."""
         from pyspark.ml.functions import vector_to_array
-        feats, staged = self.params["features"], df
-        if self.inner is not None:
-            staged = self.inner.transform(staged)
-            feats = [c for c in staged.columns if c.startswith("rff_")]
-        out = self.model.transform(assembler(feats).transform(staged)).withColumn("__r", vector_to_array("rawPrediction"))
+        staged = self._mapped(df) if self.inner is not None else assembler(self.params["features"]).transform(df)
+        out = self.model.transform(staged).withColumn("__r", vector_to_array("rawPrediction"))
         return out.withColumns({n: F.col("__r")[i] for i, n in enumerate(names)}).select(*df.columns, *names)
 
     def save(self, path):
@@ -324,7 +375,7 @@ class FittedClassifier(Fitted):
         self.model, self.inner = None, None
         if self.params["kind"] in SPARK_KINDS and not self.params.get("pruned"):
             self.model = PipelineModel.load(f"{path}/model")
-        if self.params["kind"] in CUSTOM_KINDS | {"svm_rff", "c50"} or self.params.get("pruned"):
+        if self.params["kind"] in CUSTOM_KINDS | MAPPED_KINDS | {"c50"} or self.params.get("pruned"):
             self.inner = Fitted.load(spark, f"{path}/inner")
 
 
@@ -353,9 +404,9 @@ class Classifier(Step):
         return model
 
     def fit(self, df: DataFrame):
-        if self.kind in CUSTOM_KINDS or self.kind == "svm_rff":
-            # These read single columns; sparse vectors of identifier levels are for the others.
-            self.features = [f for f in self.features if df.schema[f].dataType.typeName() != "vectorudt"]
+        vectors = split_features(df, self.features)[1]
+        if self.kind == "kernel_bayes" and vectors:
+            raise ValueError(f"kernel_bayes cannot read the vectors {vectors}: give it the columns of the levels")
         n_classes = int(self.n_classes or df.agg(F.max(self.label)).first()[0] + 1)
         folds = int(self.params.get("calibrate", 0))
         if folds > 1 and self.kind.startswith("svm"):
@@ -387,7 +438,12 @@ class Classifier(Step):
             staged = inner.transform(df)
             feats = rff.columns()
         staged = assembler(feats).transform(staged)
-        staged = staged.select(FEATURES, F.col(self.label).cast("double").alias(self.label))
+        made = FEATURES
+        if self.kind == "svm_poly":
+            inner = TensorSketch(FEATURES, int(self.params.get("degree", 2)), float(self.params.get("scale", 1.0)),
+                                 int(self.params.get("n_features", WIDTH)), self.seed).fit(staged)
+            staged, made = inner.transform(staged), "poly"
+        staged = staged.select(made, F.col(self.label).cast("double").alias(self.label))
         staged = right_size(staged, self.rows)  # iterative trainers pass over it once per iteration
         if self.kind == "c50":                                  # M9
             from .reweighting import ReweightedTrees

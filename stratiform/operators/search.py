@@ -34,7 +34,7 @@ from .normalize import ZScore
 SPACES = {
     "logistic": {"regParam": ("log", 1e-4, 1.0), "elasticNetParam": ("float", 0.0, 1.0)},
     "svm": {"regParam": ("log", 1e-4, 1.0)},
-    "svm_poly": {"regParam": ("log", 1e-4, 1.0), "degree": ("int", 2, 3)},
+    "svm_poly": {"regParam": ("log", 1e-4, 1.0), "degree": ("int", 1, 3), "scale": ("log", 1e-3, 1.0)},
     "svm_rff": {"regParam": ("log", 1e-4, 1.0), "sigma": ("log", 0.05, 2.0)},
     "forest": {"numTrees": ("int", 10, 60), "maxDepth": ("int", 2, 8),
                "minInstancesPerNode": ("int", 1, 20), "mtry": ("int", 1, 8)},

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from ..operators.balance import NearMiss
 from ..operators.base import Recipe
+from ..operators.encode import SparseOneHot
 from ..operators.kernel_bayes import KernelBayes
-from ..operators.models import Classifier
+from ..operators.models import Classifier, GaussianNB
 from ..operators.normalize import ZScore
 from ..operators.resample import stratified_folds, stratified_split
 from ..operators.score import load_trained, save_trained, score
@@ -105,6 +106,37 @@ def _kernel_sql():
                   + " FROM (" + " UNION ALL ".join(terms) + ") GROUP BY row_id", ", ".join(ctes))
 
 
+LEVEL_NUMBERS, SMOOTHING = ["total_protein", "resp"], 1e-3
+
+
+def q_bayes_identifier_levels(spark, sf):
+    """M10 on identifier levels: log scores of the normal naive Bayes model over two
+    numbers and every level of the hospital number, read from a sparse vector."""
+    o = obs(spark, sf).selectExpr("row_id", "hospital_number", "total_protein", "coalesce(respiratory_rate, 0e0) AS resp",
+                                  "CASE outcome WHEN 'died' THEN 0 WHEN 'euthanized' THEN 1 WHEN 'lived' THEN 2 END AS label")
+    known = o.where("label IS NOT NULL")
+    encoder = SparseOneHot(["hospital_number"]).fit(known)
+    model = GaussianNB([*LEVEL_NUMBERS, "hospital_number_vec"], "label", SMOOTHING).fit(encoder.transform(known))
+    return model.staged(encoder.transform(o)).select("row_id", *[F.round(s, 5).alias(f"score_{c}") for c, s in enumerate(model.scores())])
+
+
+def _bayes_levels_sql():
+    var = ", ".join(f"var_pop({c})" for c in LEVEL_NUMBERS)
+    numbers = " + ".join(f"(-0.5 * ln(2 * pi() * (s.v_{c} + e)) - (x.{c} - s.m_{c}) * (x.{c} - s.m_{c}) / (2 * (s.v_{c} + e)))" for c in LEVEL_NUMBERS)
+    ctes = ("lab AS (SELECT row_id, hospital_number AS lv, total_protein, coalesce(respiratory_rate, 0) AS resp, CASE outcome WHEN 'died' THEN 0 "
+            "WHEN 'euthanized' THEN 1 WHEN 'lived' THEN 2 END AS label FROM obs), known AS (SELECT * FROM lab WHERE label IS NOT NULL), "
+            "st AS (SELECT label, count(*) AS n, " + ", ".join(f"avg({c}) AS m_{c}, var_pop({c}) AS v_{c}" for c in LEVEL_NUMBERS) + " FROM known GROUP BY label), "
+            "share AS (SELECT lv, count(*) / (SELECT count(*) FROM known) AS p FROM known WHERE lv IS NOT NULL GROUP BY lv), "
+            f"eps AS (SELECT {SMOOTHING} * greatest({var}, (SELECT max(p * (1 - p)) FROM share)) AS e FROM known), "
+            "cell AS (SELECT s.lv, t.label, (SELECT count(*) FROM known k WHERE k.lv = s.lv AND k.label = t.label) / t.n AS mu FROM share s CROSS JOIN st t), "
+            "mom AS (SELECT lv, label, mu, mu * (1 - mu) + e AS v FROM cell CROSS JOIN eps), "
+            "base AS (SELECT label, sum(-0.5 * ln(2 * pi() * v) - mu * mu / (2 * v)) AS b FROM mom GROUP BY label), "
+            f"sc AS (SELECT x.row_id, s.label, ln(s.n / (SELECT count(*) FROM known)) + {numbers} + b.b + coalesce((2 * m.mu - 1) / (2 * m.v), 0) AS score "
+            "FROM lab x CROSS JOIN st s CROSS JOIN eps JOIN base b ON b.label = s.label LEFT JOIN mom m ON m.lv = x.lv AND m.label = s.label)")
+    return oracle("SELECT row_id, " + ", ".join(f"round(max(CASE WHEN label = {k} THEN score END), 5) AS score_{k}" for k in range(3))
+                  + " FROM sc GROUP BY row_id", ctes)
+
+
 def _folded(spark, sf, k=3):
     s = _split(spark, sf).where("is_train")
     return stratified_folds(s, "row_id", "label", k=k, seed=4000).persist()
@@ -199,6 +231,7 @@ def q_stream_score(spark, sf):
 QUERIES = {
     "gaussian_nb": (q_gaussian_nb, _nb_sql()),
     "kernel_bayes": (q_kernel_bayes, _kernel_sql()),
+    "bayes_identifier_levels": (q_bayes_identifier_levels, _bayes_levels_sql()),
     "model_svm_calibrated": (_model_query("svm", {"regParam": 0.01, "maxIter": 50, "calibrate": 3}), None),
     "model_logistic": (_model_query("logistic", {"regParam": 0.01}), None),
     "model_svm": (_model_query("svm", {"regParam": 0.01, "maxIter": 50}), None),
