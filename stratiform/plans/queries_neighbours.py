@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ..operators.balance import nearmiss
+from ..operators.clusters import ClusterKNNImputer
 from ..operators.impute import KNNImputer
 from ..sources.tables import VEC_FEATURES, obs, vec
 from .common import oracle, rounded
@@ -25,6 +26,14 @@ def q_impute_knn_sparse_rows(spark, sf):
     return out.select("row_id", *rounded(*IMPUTED))
 
 
+def q_impute_knn_clusters(spark, sf):
+    """The table is its own donor, split by two-means into clusters of at most
+    1500 rows; rows with more than half of the columns missing take the means."""
+    o = obs(spark, sf).select("row_id", *KNN_COLS)
+    out = ClusterKNNImputer(KNN_COLS, k=10, key="row_id").fit(o).transform(o)
+    return out.select("row_id", *rounded(*IMPUTED))
+
+
 # the only column without nulls has four values, as in the studied schema
 LOW_CARD = ["pulse", "rectal_temp", "respiratory_rate", "n_sites"]
 _LOW_CARD = "SELECT row_id, pulse, rectal_temp, respiratory_rate, CAST(row_id * 31 % 4 AS DOUBLE) AS n_sites FROM "
@@ -129,5 +138,6 @@ QUERIES = {
     "impute_knn": (q_impute_knn, _knn_sql()),
     "impute_knn_low_card_axis": (q_impute_knn_low_card, _knn_sql(None, LOW_CARD, _LOW_CARD)),
     "impute_knn_sparse_rows": (q_impute_knn_sparse_rows, _knn_sql(0.3)),
+    "impute_knn_clusters": (q_impute_knn_clusters, None),
     "nearmiss": (q_nearmiss, _nearmiss_sql()),
 }
