@@ -16,11 +16,16 @@ coordinate are not neighbours. A NaN counts as absent.
   inequality over the coordinates A that the query and all rows of the cell have,
   sqrt(p / |U|) * (|x - centre|_A - radius), and by the box over A, where U are
   the coordinates that the query and some row have. Both hold for every pattern.
-* Pass 1 sends each query to its nearest cell with k eligible rows a target and
-  takes the k-th distance as radius. Pass 2 sends it to the other cells whose
-  bound does not exceed that radius. Queries travel packed, one row a cell
-  and batch, and meet a cell's blocks in an equi-join; a block pair is one matrix
-  product, and only what it leaves near enough is computed exactly.
+* Queries are dealt by presence pattern and by place along a space-filling curve and cut
+  into packs of neighbours. Pass 1 sends the blocks of a pack's nearest cells with k eligible
+  rows a target to the pack and takes the k-th distances as radii. Pass 2 sends it all
+  cells whose bound does not exceed the radius of some query. Blocks come nearest first
+  and a pack keeps the k nearest so far, so that its radii shrink on the way; a pair of
+  a block and those queries of the pack that it can serve is one matrix product in bounded
+  chunks, and only what it leaves near enough is computed exactly.
+* A pack looks at the cells in runs of ``RUN`` queries: a box around a run rules most out
+  before any bound of a single query is taken. Rows find their pivot over some of the
+  pivots first, since any cell is right for a row.
 
 Nothing but the cells, of a bounded size, reaches the driver and is broadcast:
 their number follows the references up to ``CELL_BYTES`` and cells grow beyond.
@@ -28,10 +33,14 @@ their number follows the references up to ``CELL_BYTES`` and cells grow beyond.
 
 from __future__ import annotations
 
+import math
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,8 +53,14 @@ BLOCK_BYTES = 1 << 20
 #: Bytes of all cells together, a bound on what is broadcast.
 CELL_BYTES = 48 << 20
 MAX_CELLS = 65_536
-#: Entries of the (query, cell) matrix a task holds at a time.
-BOUND_CELLS = 4_000_000
+#: Entries of a (query, cell) or (query, reference) matrix a task holds at a time.
+BOUND_CELLS = 1_000_000
+#: Queries of a pack, at most and by their bytes, and of a run that looks at the cells together.
+PACK_ROWS, PACK_BYTES, RUN = 4096, 4 << 20, 256
+#: Nearest cells with enough rows among which a run's first cells are chosen, a target.
+LIKELY = 256
+#: Patterns of a run that get boxes of their own.
+KINDS = 16
 
 
 def _present(df: DataFrame, features: list[str], key: str) -> DataFrame:
@@ -84,46 +99,101 @@ class Cells:
     count: np.ndarray       # rows that have each target, up to k
     number: np.ndarray
 
-    def bounds(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Lower bound of the distance to any row, and the distance to the centre, of each
-        (query, cell); infinite where no coordinate can be common."""
+    def bounds(self, x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each (query, cell of ``at``) a lower bound of the distance to any row, the distance to
+        the centre, and an upper bound of the distance to every row; infinite where no coordinate
+        can be common, the upper bound also where the cell's rows have different ones."""
         p = x.shape[1]
-        have = ~np.isnan(x)
-        tri = np.zeros((len(x), len(self.radius)))
+        have, every, some = ~np.isnan(x), self.every[at], self.some[at]
+        center, lo, hi = self.center[at], self.lo[at], self.hi[at]
+        tri = np.zeros((len(x), len(at)))
         box = np.zeros_like(tri)
         for j in range(p):
-            both = have[:, j, None] & self.every[None, :, j]
+            if not every[:, j].any():
+                continue
+            both = have[:, j, None] & every[None, :, j]
             xj = np.where(have[:, j], x[:, j], 0.0)[:, None]
-            tri += np.where(both, (xj - self.center[None, :, j]) ** 2, 0.0)
-            box += np.where(both, np.maximum(np.maximum(self.lo[None, :, j] - xj, xj - self.hi[None, :, j]), 0.0) ** 2, 0.0)
-        shared = have.astype(float) @ self.some.T.astype(float)
+            tri += np.where(both, (xj - center[None, :, j]) ** 2, 0.0)
+            box += np.where(both, np.maximum(np.maximum(lo[None, :, j] - xj, xj - hi[None, :, j]), 0.0) ** 2, 0.0)
+        shared = have.astype(float) @ some.T.astype(float)
         scale = np.sqrt(p / np.maximum(shared, 1.0))
-        near = scale * np.sqrt(tri)
-        least = scale * np.maximum(np.maximum(np.sqrt(tri) - self.radius, 0.0), np.sqrt(box))
-        return np.where(shared > 0, least, np.inf), np.where(shared > 0, near, np.inf)
-
-    def first(self, near: np.ndarray, need: np.ndarray, k: int) -> np.ndarray:
-        """Cells of pass 1: for each needed target the nearest with k rows that have it, or
-        all that have it where no cell has so many."""
-        out = np.zeros(near.shape, dtype=bool)
-        for t in range(need.shape[1]):
-            rows = np.flatnonzero(need[:, t])
-            if not len(rows):
-                continue
-            full = np.where(self.count[None, :, t] >= k, near[rows], np.inf)
-            best = full.argmin(axis=1)
-            found = np.isfinite(full[np.arange(len(rows)), best])
-            out[rows[found], best[found]] = True
-            out[rows[~found]] |= (self.count[None, :, t] > 0) & np.isfinite(near[rows[~found]])
+        tri = np.sqrt(tri)
+        least = scale * np.maximum(np.maximum(tri - self.radius[at], 0.0), np.sqrt(box))
+        most = np.where((every == some).all(axis=1), scale * (tri + self.radius[at]), np.inf)
+        return tuple(np.where(shared > 0, v, np.inf) for v in (least, scale * tri, most))
+
+    def runs(self, x: np.ndarray):
+        """(rows, coordinates that all of them have) of one pattern, or of all if there are many."""
+        have = ~np.isnan(x)
+        kinds, which = np.unique(have, axis=0, return_inverse=True)
+        if len(kinds) > KINDS:
+            return [(np.arange(len(x)), np.flatnonzero(have.all(axis=0)))]
+        return [(np.flatnonzero(which.ravel() == i), np.flatnonzero(kind)) for i, kind in enumerate(kinds)]
+
+    def likely(self, x: np.ndarray, k: int) -> np.ndarray:
+        """Cells near a run of queries, for each target ``LIKELY`` with k rows that have it."""
+        if len(self.radius) <= LIKELY:
+            return np.arange(len(self.radius))
+        out = np.zeros(len(self.radius), dtype=bool)
+        for rows, has in self.runs(x):
+            far = np.zeros(len(self.radius))
+            for j in has:
+                far += np.where(self.every[:, j], (self.center[:, j] - x[rows, j].mean()) ** 2, 0.0)
+            far /= np.maximum(self.some[:, has].sum(axis=1), 0.5)
+            for t in range(self.count.shape[1]):
+                full = np.flatnonzero(self.count[:, t] >= k)
+                out[full if len(full) <= LIKELY else full[np.argpartition(far[full], LIKELY)[:LIKELY]]] = True
+        return np.flatnonzero(out)
+
+    def within(self, x: np.ndarray, limit: np.ndarray) -> np.ndarray:
+        """Cells that a box around the queries of a run does not rule out."""
+        out = np.zeros(len(self.radius), dtype=bool)
+        for rows, has in self.runs(x):
+            gap = np.zeros(len(self.radius))
+            for j in has:
+                apart = np.maximum(np.maximum(self.lo[:, j] - x[rows, j].max(), x[rows, j].min() - self.hi[:, j]), 0.0)
+                gap += np.where(self.every[:, j], apart ** 2, 0.0)
+            out |= np.sqrt(gap) <= limit[rows].max()
+        return np.flatnonzero(out)
+
+    def first(self, x: np.ndarray, need: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Least bound of each cell that pass 1 gives a run (infinite: not visited), for each needed
+        target of a query the nearest with k rows that have it; and the radii known before."""
+        out, reach, at = np.full(len(self.radius), np.inf), np.full(need.shape, np.inf), self.likely(x, k)
+        if not len(at):
+            return out, reach
+        step = max(1, BOUND_CELLS // len(at))
+        for lo in range(0, len(x), step):
+            least, near, most = self.bounds(x[lo:lo + step], at)
+            for t in range(need.shape[1]):
+                rows = np.flatnonzero(need[lo:lo + step, t])
+                if not len(rows):
+                    continue
+                full = self.count[at, t] >= k
+                reach[lo + rows, t] = np.where(full, most[rows], np.inf).min(axis=1)
+                goes = np.where(full, near[rows], np.inf)
+                best = goes.argmin(axis=1)
+                found = np.isfinite(goes[np.arange(len(rows)), best])
+                np.minimum.at(out, at[best[found]], least[rows[found], best[found]])
+        return out, reach
+
+    def second(self, x: np.ndarray, need: np.ndarray, reach: np.ndarray) -> np.ndarray:
+        """Least bound of each cell that may hold a neighbour of a run's queries, infinite for the others."""
+        out, limit = np.full(len(self.radius), np.inf), _limits(need, reach)
+        at = self.within(x, limit.max(axis=1))
+        step = max(1, BOUND_CELLS // max(1, len(at)))
+        for lo in range(0, len(x) if len(at) else 0, step):
+            least = self.bounds(x[lo:lo + step], at)[0]
+            goes = np.zeros(least.shape, dtype=bool)
+            for t in range(need.shape[1]):
+                goes |= (least <= limit[lo:lo + step, t, None]) & (self.count[None, at, t] > 0)
+            out[at] = np.minimum(out[at], np.where(goes, least, np.inf).min(axis=0))
         return out
 
-    def second(self, least: np.ndarray, visited: np.ndarray, reach: np.ndarray, need: np.ndarray) -> np.ndarray:
-        """Cells of pass 2: not visited, and near enough for a needed target that some row has."""
-        out = np.zeros(least.shape, dtype=bool)
-        for t in range(need.shape[1]):
-            limit = np.where(need[:, t], reach[:, t] * (1 + 1e-9) + 1e-6, -1.0)
-            out |= (least <= limit[:, None]) & (self.count[None, :, t] > 0)
-        return out & ~visited & np.isfinite(least)
+
+def _limits(need: np.ndarray, reach: np.ndarray) -> np.ndarray:
+    """The farthest that a row can be of use to a query's target; negative where it asks for none."""
+    return np.where(need, reach * (1 + 1e-9) + 1e-6, -1.0)
 
 
 def _best(rows: np.ndarray, ids: np.ndarray, dist: np.ndarray, k: int) -> np.ndarray:
@@ -137,19 +207,29 @@ def near_pairs(q: np.ndarray, need: np.ndarray, reach: np.ndarray, r: np.ndarray
                targets: list[int], k: int) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """For each target (query rows, reference rows, distances) of the k nearest in a pair of
     blocks, none farther than ``reach``. ``rank`` orders the references by id; a target of
-    -1 stands for any reference."""
+    -1 stands for any reference. A chunk of queries at a time meets the references."""
+    step = max(1, BOUND_CELLS // max(1, len(r)))
+    out = []
+    for lo in range(0, len(q), step):
+        some = slice(lo, lo + step)
+        out += [(t, i + lo, j, d) for t, i, j, d in _near_pairs(q[some], need[some], reach[some], r, rank, targets, k)]
+    return out
+
+
+def _near_pairs(q, need, reach, r, rank, targets, k):
     p = q.shape[1]
     mid = np.nan_to_num(r).mean(axis=0)
     a, b = np.nan_to_num(q - mid), np.nan_to_num(r - mid)
     ma, mb = (~np.isnan(q)).astype(float), (~np.isnan(r)).astype(float)
     if ma.all() and mb.all():
-        sq = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * (a @ b.T)
-        common = np.float64(p)
+        rough = a @ (-2 * b.T)
+        rough += (a * a).sum(1)[:, None]
+        rough += (b * b).sum(1)[None, :]
     else:
         sq = (a * a) @ mb.T + ma @ (b * b).T - 2 * (a @ b.T)
         common = ma @ mb.T
-    with np.errstate(divide="ignore", invalid="ignore"):
-        rough = np.where(common > 0, p / common * np.maximum(sq, 0.0), np.inf)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            rough = np.where(common > 0, p / common * np.maximum(sq, 0.0), np.inf)
     # What cancellation may have taken from a squared distance.
     slack = 1e-11 * p * ((a * a).sum(1)[:, None].max() + (b * b).sum(1).max()) + 1e-12
     out = []
@@ -158,12 +238,14 @@ def near_pairs(q: np.ndarray, need: np.ndarray, reach: np.ndarray, r: np.ndarray
         cols = np.arange(len(r)) if column < 0 else np.flatnonzero(mb[:, column] > 0)
         if not len(rows) or not len(cols):
             continue
-        part = rough[np.ix_(rows, cols)]
+        part = rough if len(rows) == len(q) and len(cols) == len(r) else rough[np.ix_(rows, cols)]
         limit = (reach[rows, t] * (1 + 1e-9) + 1e-6) ** 2
-        if len(cols) > k:
-            kth = np.sqrt(np.partition(part, k - 1, axis=1)[:, k - 1] + slack) + 1e-8        # ties after rounding stay
-            limit = np.minimum(limit, kth ** 2)
-        i, j = np.nonzero((part <= limit[:, None] + slack) & np.isfinite(part))
+        fits = (part <= limit[:, None] + slack) & np.isfinite(part)
+        many = np.flatnonzero(np.count_nonzero(fits, axis=1) > 2 * k) if len(cols) > k else ()
+        if len(many):
+            kth = np.sqrt(np.maximum(np.partition(part[many], k - 1, axis=1)[:, k - 1], 0.0) + slack) + 1e-8
+            fits[many] &= part[many] <= kth[:, None] ** 2 + slack                      # ties after rounding stay
+        i, j = np.nonzero(fits)
         if not len(i):
             continue
         i, j = rows[i], cols[j]
@@ -219,7 +301,24 @@ _BLOCK = ("cell int, ids array<{id}>, x binary, center binary, radius double, lo
           "counts binary")
 
 
+def _nearest(x: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """The row of ``c`` nearest to each row of ``x``."""
+    out, step = np.zeros(len(x), np.int64), max(1, BOUND_CELLS // len(c))
+    for lo in range(0, len(x), step):
+        out[lo:lo + step] = ((c ** 2).sum(1)[None, :] - 2 * x[lo:lo + step] @ c.T).argmin(axis=1)
+    return out
+
+
+def _by_heads(c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pivots sorted by the nearest of some of them, these heads, and where each head's begin."""
+    heads = c[:max(1, math.isqrt(len(c)))]
+    head = _nearest(c, heads)
+    order = np.argsort(head, kind="stable")
+    return c[order], heads, np.searchsorted(head[order], np.arange(len(heads) + 1))
+
+
 def _to_cells(groups, pivots, fill, p):
+    sorted_by = {g: _by_heads(c) for g, c in pivots.items()}
     start, first = {}, 0
     for g in sorted(pivots):
         start[g], first = first, first + len(pivots[g])
@@ -238,18 +337,19 @@ def _to_cells(groups, pivots, fill, p):
                 group[which.ravel() == i] = g if g in pivots else 0
             cell, dist = np.zeros(len(x), np.int32), np.zeros(len(x))
             for g in np.unique(group):
-                c = pivots[g] if g in pivots else pivots[min(pivots)]
-                rows = np.flatnonzero(group == g)
-                step = max(1, BOUND_CELLS // len(c))
-                for lo in range(0, len(rows), step):
-                    at = rows[lo:lo + step]
-                    d = (full[at] ** 2).sum(1)[:, None] + (c ** 2).sum(1)[None, :] - 2 * full[at] @ c.T
-                    best = d.argmin(axis=1)
-                    cell[at] = start[g if g in start else min(start)] + best
-                    dist[at] = np.sqrt(((full[at] - c[best]) ** 2).sum(1))
+                g = g if g in pivots else min(pivots)
+                c, heads, begin = sorted_by[g]
+                rows = np.flatnonzero(group == g) if g in group else np.arange(len(x))
+                head = _nearest(full[rows], heads)
+                for h in np.unique(head):
+                    at, own = rows[head == h], c[begin[h]:begin[h + 1]]
+                    own, shift = (own, begin[h]) if len(own) else (c, 0)       # heads that are equal share the first's
+                    best = _nearest(full[at], own)
+                    cell[at] = start[g] + shift + best
+                    dist[at] = np.sqrt(((full[at] - own[best]) ** 2).sum(1))
             yield pa.record_batch([pa.array(cell), pa.array(dist), batch.column("id"), batch.column("x")],
                                   names=["cell", "d", "id", "x"])
-    return run, np.concatenate([pivots[g] for g in sorted(pivots)])
+    return run, np.concatenate([sorted_by[g][0] for g in sorted(pivots)])
 
 
 def _pack_cells(centers, columns, k, p, id_type):
@@ -359,7 +459,7 @@ def knn_index(refs: DataFrame, features: list[str], k: int, rid: str, targets: l
 
 def _cells(blocks: DataFrame, p: int, n_targets: int) -> Cells:
     """The cells of a table of blocks, at most ``CELL_BYTES`` of them."""
-    t = blocks.where(F.col("ids").isNull()).drop("ids", "x").toArrow()
+    t = blocks.where(F.col("ids").isNull()).drop("ids", "x").toArrow().sort_by("cell")
     wide = lambda c, kind, w: np.frombuffer(b"".join(t[c].to_pylist()), dtype=kind).reshape(-1, w)
     return Cells(wide("center", "<f8", p), t["radius"].to_numpy(), wide("lo", "<f8", p), wide("hi", "<f8", p), wide("every", bool, p),
                  wide("some", bool, p), wide("counts", "<i8", n_targets), t["cell"].to_numpy())
@@ -367,57 +467,163 @@ def _cells(blocks: DataFrame, p: int, n_targets: int) -> Cells:
 
 # ---------------------------------------------------------------- queries
 
-_SENT = "cell int, qids array<{id}>, q binary, need binary, reach binary"
+_SENT = "pack long, cell int, least double, qids array<{id}>, q binary, need binary, reach binary"
+_FOUND = "qid {id}, target string, rid {rid}, dist double, value double"
 
 
-def _send(told, columns, k, p, second):
-    """Queries -> for every cell a query must visit, the queries of a batch packed."""
+def _placed(told, p):
+    """Queries with their pattern and their place on a curve through the space of the cells."""
     def run(batches):
-        cells = told.value
+        c = told.value.center
+        low, high = np.quantile(c, 0.01, axis=0), np.quantile(c, 0.99, axis=0)
+        axes = [j for j in np.argsort(low - high, kind="stable")[:6] if high[j] > low[j]]
+        width = max((high[j] - low[j] for j in axes), default=1.0) / 1023
         for batch in batches:
-            if not batch.num_rows:
-                continue
             x = _matrix(batch.column("x"), p)
+            kinds, which = np.unique(np.isnan(x), axis=0, return_inverse=True)
+            kind = np.array([zlib.crc32(k.tobytes()) for k in kinds], dtype=np.int64)[which.ravel()]
+            steps = [np.clip(np.nan_to_num((x[:, j] - low[j]) / width), 0, 1023).astype(np.int64) for j in axes]
+            place = np.zeros(len(x), dtype=np.int64)
+            for bit in range(9, -1, -1):
+                for s in steps:
+                    place = place << 1 | (s >> bit) & 1
+            yield pa.record_batch([batch.column("id"), batch.column("x"), pa.array(kind), pa.array(place)],
+                                  names=["id", "x", "kind", "place"])
+    return run
+
+
+def _pack_row(pack, cells, least, kind, queries=None):
+    """A pack's queries as one row, or one row for each cell it visits."""
+    n = len(cells) if queries is None else 1
+    ids, *raw = (None, None, None, None) if queries is None else queries
+    return pa.record_batch(
+        [pa.array([pack] * n, pa.int64()), pa.array(cells, pa.int32()), pa.array(least, pa.float64()), _lists([ids] * n, kind),
+         *[pa.array([v] * n, pa.binary()) for v in raw]], names=["pack", "cell", "least", "qids", "q", "need", "reach"])
+
+
+def _sent(cells: Cells, k, pack, ids, x, need, reach):
+    """A pack and the cells it must visit: those of pass 1 when no ``reach`` is given."""
+    least, known = np.full(len(cells.radius), np.inf), []
+    for lo in range(0, len(x), RUN):
+        run = slice(lo, lo + RUN)
+        if reach is None:
+            now, far = cells.first(x[run], need[run], k)
+            known.append(far)
+        else:
+            now = cells.second(x[run], need[run], reach[run])
+        least = np.minimum(least, now)
+    reach = np.concatenate(known) if reach is None else reach
+    yield _pack_row(pack, [None], [None], ids.type, (ids, _pack(x), need.tobytes(), _pack(reach)))
+    at = np.flatnonzero(np.isfinite(least))
+    if len(at):
+        yield _pack_row(pack, cells.number[at], least[at], ids.type)
+
+
+def _send(told, columns, k, p):
+    """Queries in order -> packs and the cells that pass 1 gives them."""
+    most = max(RUN, min(PACK_ROWS, PACK_BYTES // (8 * p)))
+
+    def run(batches):
+        cells, part = told.value, TaskContext.get().partitionId()
+        held, n, packs = [], 0, 0
+
+        def pack():
+            x = np.concatenate([h[1] for h in held])
             need = np.stack([np.ones(len(x), bool) if t < 0 else np.isnan(x[:, t]) for t in columns], axis=1)
-            reach = _matrix(batch.column("reach"), len(columns)) if second else np.full(need.shape, np.inf)
-            reach = np.where(np.isnan(reach), np.inf, reach)
-            step = max(1, BOUND_CELLS // max(1, len(cells.number)))
-            for lo in range(0, len(x), step):
-                some = slice(lo, lo + step)
-                least, near = cells.bounds(x[some])
-                goes = cells.first(near, need[some], k)
-                if second:
-                    goes = cells.second(least, goes, reach[some], need[some])
-                ids = batch.column("id").slice(lo, step)
-                rows = [(int(cells.number[c]), np.flatnonzero(goes[:, c])) for c in np.flatnonzero(goes.any(axis=0))]
-                for at in range(0, len(rows), 64):
-                    now = rows[at:at + 64]
-                    yield pa.record_batch(
-                        [pa.array([c for c, _ in now], pa.int32()), _lists([ids.take(pa.array(i)) for _, i in now], ids.type),
-                         pa.array([_pack(x[some][i]) for _, i in now], pa.binary()),
-                         pa.array([need[some][i].tobytes() for _, i in now], pa.binary()),
-                         pa.array([_pack(reach[some][i]) for _, i in now], pa.binary())],
-                        names=["cell", "qids", "q", "need", "reach"])
+            return _sent(cells, k, (part << 32) + packs, pa.concat_arrays([h[0] for h in held]), x, need, None)
+        for batch in batches:
+            x, lo = _matrix(batch.column("x"), p), 0
+            while lo < len(x):
+                take = min(len(x) - lo, most - n)
+                held.append((batch.column("id").slice(lo, take), x[lo:lo + take]))
+                n, lo = n + take, lo + take
+                if n == most:
+                    yield from pack()
+                    held, n, packs = [], 0, packs + 1
+        if n:
+            yield from pack()
     return run
 
 
-def _search(columns, names, k, p):
-    """Joined packs and blocks -> the k nearest of each (query, target) in the pair."""
+def _ranks(ids: pa.Array) -> np.ndarray:
+    """Places of ids in their order, nulls first, equal ones alike."""
+    return pc.rank(ids, sort_keys="ascending", null_placement="at_start", tiebreaker="dense").to_numpy().astype(np.int64)
+
+
+class _Nearest:
+    """The k nearest so far of each (query, target) of a pack."""
+
+    def __init__(self, ids, x, need, reach, columns, k):
+        self.ids, self.x, self.need, self.reach, self.columns, self.k = ids, x, need, reach.copy(), columns, k
+        self.held = [[] for _ in columns]
+        self.n, self.most = 0, 4 * k * len(x)
+
+    def visit(self, cells: Cells, cell: int, ids: pa.Array, r: np.ndarray):
+        at = np.searchsorted(cells.number, [cell])
+        limit = np.where(cells.count[at[0]] > 0, _limits(self.need, self.reach), -1.0).max(axis=1)
+        least = cells.bounds(self.x, at)[0][:, 0]
+        rows = np.flatnonzero((least <= limit) & np.isfinite(least))
+        if not len(rows):
+            return
+        for t, i, j, dist in near_pairs(self.x[rows], self.need[rows], self.reach[rows], r, _ranks(ids), self.columns, self.k):
+            value = np.full(len(j), np.nan) if self.columns[t] < 0 else r[j, self.columns[t]]
+            self.held[t].append((rows[i], dist, value, ids.take(pa.array(j))))
+            self.n += len(j)
+        if self.n > self.most:
+            self.settle()
+
+    def settle(self):
+        """Keep the k nearest only; their last is the new radius."""
+        self.n = 0
+        for t, parts in enumerate(self.held):
+            if not parts:
+                continue
+            rows, dist, value = (np.concatenate([p[c] for p in parts]) for c in range(3))
+            ids = pa.concat_arrays([p[3] for p in parts])
+            at = _best(rows, _ranks(ids), dist, self.k)
+            rows, dist = rows[at], dist[at]
+            self.held[t] = [(rows, dist, value[at], ids.take(pa.array(at)))]
+            self.n += len(at)
+            last = np.flatnonzero(np.append(np.diff(rows) != 0, True))
+            full = last[np.diff(np.append(-1, last)) == self.k]
+            np.minimum.at(self.reach[:, t], rows[full], np.round(dist[full], 9) + 1e-9)
+        self.most = max(self.most, 2 * self.n)
+
+    def found(self, names):
+        self.settle()
+        for t, parts in enumerate(self.held):
+            for rows, dist, value, ids in parts:
+                yield pa.record_batch([self.ids.take(pa.array(rows)), pa.array([names[t]] * len(rows), pa.string()), ids, pa.array(dist),
+                                       pa.array(value, pa.float64(), mask=np.isnan(value))],
+                                      names=["qid", "target", "rid", "dist", "value"])
+
+
+def _search(told, columns, names, k, p, last):
+    """Packs, each followed by the blocks it visits, nearest first -> the k nearest of each (query,
+    target), or after pass 1 the packs again with their radii and the cells of pass 2."""
     def run(batches):
+        cells, pack, near = told.value, None, None
+
+        def done():
+            if last:
+                yield from near.found(names)
+            else:
+                near.settle()
+                yield from _sent(cells, k, pack, near.ids, near.x, near.need, near.reach)
         for batch in batches:
-            qids, rids = batch.column("qids"), batch.column("ids")
-            qx, rx, needs, reaches = (batch.column(c).to_pylist() for c in ("q", "x", "need", "reach"))
+            packs, at = batch.column("pack").to_pylist(), batch.column("cell").to_pylist()
             for n in range(batch.num_rows):
-                q, r = _unpack(qx[n], p), _unpack(rx[n], p)
-                need = np.frombuffer(needs[n], bool).reshape(len(q), -1)
-                ids = rids[n].values
-                rank = np.argsort(np.argsort(ids.to_numpy(zero_copy_only=False), kind="stable"), kind="stable")
-                for t, i, j, dist in near_pairs(q, need, _unpack(reaches[n], len(columns)), r, rank, columns, k):
-                    value = np.full(len(j), np.nan) if columns[t] < 0 else r[j, columns[t]]
-                    yield pa.record_batch(
-                        [qids[n].values.take(pa.array(i)), pa.array([names[t]] * len(i), pa.string()), ids.take(pa.array(j)),
-                         pa.array(dist), pa.array(value, pa.float64(), mask=np.isnan(value))],
-                        names=["qid", "target", "rid", "dist", "value"])
+                if at[n] is None:
+                    if near is not None:
+                        yield from done()
+                    x, need, reach = (batch.column(c)[n].as_buffer() for c in ("q", "need", "reach"))
+                    x = _unpack(x, p)
+                    pack, near = packs[n], _Nearest(batch.column("qids")[n].values, x, np.frombuffer(need, bool).reshape(len(x), -1),
+                                                    _unpack(reach, len(columns)), columns, k)
+                else:
+                    near.visit(cells, at[n], batch.column("ids")[n].values, _unpack(batch.column("x")[n].as_buffer(), p))
+        if near is not None:
+            yield from done()
     return run
 
 
@@ -446,7 +652,7 @@ def exact_knn(queries: DataFrame, refs: DataFrame | None, features: list[str], k
     columns = [-1 if t == ANY_TARGET else features.index(t) for t in names]
     q = _present(queries, features, qid)
     id_type = q.schema["id"].dataType.simpleString()
-    found = f"qid {id_type}, target string, rid {meta['id']}, dist double, value double"
+    found = _FOUND.format(id=id_type, rid=meta["id"])
     if blocks is None:
         return spark.createDataFrame([], found)
     if columns != [-1]:
@@ -457,17 +663,18 @@ def exact_knn(queries: DataFrame, refs: DataFrame | None, features: list[str], k
     q = materialise(q, "knn-queries")
     told = spark.sparkContext.broadcast(_cells(blocks, p, len(columns)))
     rows = blocks.where(F.col("ids").isNotNull()).select("cell", "ids", "x")
-
-    def visit(asked: DataFrame, second: bool) -> DataFrame:
-        sent = asked.mapInArrow(_send(told, columns, k, p, second), _SENT.format(id=id_type))
-        return _k_best(sent.join(rows, "cell").drop("cell").mapInArrow(_search(columns, names, k, p), found), k)
-    near = materialise(visit(q, False), "knn-near")
-    kth = near.groupBy("qid", "target").agg(F.count(F.lit(1)).alias("n"), F.max("dist").alias("d"))
-    reach = kth.where(F.col("n") >= k).groupBy(F.col("qid").alias("id")).agg(F.array(*[
-        F.max(F.when(F.col("target") == t, F.col("d"))) for t in names]).alias("reach"))
-    asked = q.join(reach, "id", "left").select("id", "x", F.coalesce(
-        "reach", F.array(*[F.lit(None).cast("double")] * len(names))).alias("reach"))
-    best = materialise(_k_best(near.unionByName(visit(asked, True)), k), "knn-best")
-    discard(near)
-    discard(q)
+    sent = _SENT.format(id=id_type)
+    ordered = q.mapInArrow(_placed(told, p), f"id {id_type}, x array<double>, kind long, place long") \
+        .repartitionByRange("kind", "place", "id").sortWithinPartitions("kind", "place", "id")
+    first = materialise(ordered.select("id", "x").mapInArrow(_send(told, columns, k, p), sent), "knn-first")
+
+    def visit(packs: DataFrame, last: bool) -> DataFrame:
+        visits = packs.where(F.col("cell").isNotNull()).select("pack", "cell", "least").join(rows, "cell")
+        met = packs.where(F.col("cell").isNull()).unionByName(visits, allowMissingColumns=True).repartition("pack") \
+            .sortWithinPartitions("pack", F.col("cell").isNotNull(), "least", "cell")
+        return met.mapInArrow(_search(told, columns, names, k, p, last), found if last else sent)
+    second = materialise(visit(first, False), "knn-second")
+    best = materialise(_k_best(visit(second, True), k), "knn-best")
+    for used in (first, second, q):
+        discard(used)
     return best

@@ -69,3 +69,51 @@ def test_exact_knn_complete_data_small_buckets(spark):
         d = np.sqrt(((r[["a", "b", "c"]].to_numpy() - q.loc[i, ["a", "b", "c"]].to_numpy().astype(float)) ** 2).sum(1))
         want = sorted(np.argsort(d, kind="stable")[:3].tolist())
         assert sorted(got[got.qid == i].rid.tolist()) == want
+
+
+def test_few_blocks_travel_to_packs_of_near_queries(spark, monkeypatch):
+    """A pack of neighbouring queries meets the cells around it, not a cell a query."""
+    from stratiform.operators import knn
+    rng, stored = np.random.RandomState(5), {}
+    x = pd.DataFrame(rng.uniform(0, 100, size=(6000, 3)), columns=["a", "b", "c"])
+    x.insert(0, "id", np.arange(6000))
+    q = x.copy()
+    q.loc[q.id % 5 == 0, "a"] = np.nan
+    keep = knn.materialise
+
+    def note(df, name):
+        out = keep(df, name)
+        if name == "knn-second":
+            stored[name] = out.where("cell IS NOT NULL").count()
+        return out
+    monkeypatch.setattr(knn, "materialise", note)
+    q = q.astype(object).where(q.notna(), None)
+    frame = spark.createDataFrame(q, "id long, a double, b double, c double")
+    got = exact_knn(frame, frame, ["a", "b", "c"], 5, "id", "id", ["a"], rows_per_bucket=16).toPandas()
+    assert len(got) == 1200 * 5
+    assert stored["knn-second"] < 2 * 1200            # cells sent, though every query needs several
+
+
+def test_block_pairs_are_compared_in_bounded_chunks():
+    import tracemalloc
+
+    from stratiform.operators.knn import near_pairs
+    rng = np.random.RandomState(2)
+    q, r = rng.normal(size=(8192, 64)), rng.normal(size=(2048, 64))
+    tracemalloc.start()
+    (t, i, j, d), *more = near_pairs(q, np.ones((8192, 1), bool), np.full((8192, 1), np.inf), r, np.arange(2048), [-1], 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert t == 0 and peak < 200 << 20                # one matrix of all pairs has 128 MB
+    want = np.sort(np.sqrt(((q[7] - r) ** 2).sum(axis=1)))[:3]
+    every = [(i, d)] + [(a, b) for _, a, _, b in more]
+    assert np.concatenate([b[a == 7] for a, b in every]) == pytest.approx(want)
+
+
+def test_rows_find_pivots_over_heads():
+    """Every pivot stays in the list of exactly one head, equal pivots included."""
+    from stratiform.operators.knn import _by_heads
+    c = np.concatenate([np.zeros((30, 2)), np.random.RandomState(1).normal(size=(70, 2))])
+    pivots, heads, begin = _by_heads(c)
+    assert len(heads) == 10 and begin[0] == 0 and begin[-1] == 100
+    assert sorted(map(tuple, pivots)) == sorted(map(tuple, c))
