@@ -69,3 +69,16 @@ def test_imputation_equals_sql_given_the_split(spark):
     step.save(path)
     again = Fitted.load(spark, path).transform(o).orderBy("row_id").toPandas()
     assert again.equals(got)
+
+
+def test_splits_in_one_task_are_those_of_the_table(spark):
+    """Small clusters are split further without another pass over the table, by the same rules."""
+    rng = np.random.RandomState(8)
+    x = np.round(rng.exponential(5.0, size=(900, 2)), 1)
+    rows = [(i, None if i % 11 == 0 else float(a), float("nan") if i % 17 == 0 else float(b), 1.0) for i, (a, b) in enumerate(x)]
+    rows += [(900 + i, 7.0, 7.0, 1.0) for i in range(200)] + [(1100, 1e6, 3.0, 1.0)]
+    df = spark.createDataFrame(rows, "row_id long, a double, b double, c double")
+    passes = {r["row_id"]: r["cluster"] for r in two_means(df, ["a", "b", "c"], "row_id", 60, group_rows=60).collect()}
+    one = {r["row_id"]: r["cluster"] for r in two_means(df, ["a", "b", "c"], "row_id", 60).collect()}
+    some = {r["row_id"]: r["cluster"] for r in two_means(df, ["a", "b", "c"], "row_id", 60, group_rows=300).collect()}
+    assert len(one) == 1101 and one == passes == some
