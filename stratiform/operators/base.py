@@ -153,15 +153,23 @@ def fit_transform(step: Step, df: DataFrame) -> DataFrame:
 
 
 ROWS_PER_PARTITION = 500_000
+#: Of a partition that an iterative trainer holds and reads once a pass.
+PARTITION_BYTES = 64 << 20
+
+
+def partitions_for(rows: int, width: int, rows_per_partition: int = ROWS_PER_PARTITION) -> int:
+    """Partitions for ``rows`` of ``width`` numbers: bounded by rows and by bytes."""
+    return max(1, -(-rows // max(1, min(rows_per_partition, PARTITION_BYTES // (8 * max(1, width))))))
 
 
 def right_size(df: DataFrame, rows: int | None = None,
-               rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
+               rows_per_partition: int = ROWS_PER_PARTITION, width: int | None = None) -> DataFrame:
     """Narrow ``coalesce`` to about one partition per ``rows_per_partition``
-    rows, never more partitions than now. Iterative trainers run one job per
+    rows or ``PARTITION_BYTES``, never more partitions than now; ``width`` is
+    the numbers a row, by default its columns. Iterative trainers run one job per
     iteration, so tiny partitions cost scheduling time on every pass; at
     large sizes this leaves the partitioning unchanged."""
     n = df.count() if rows is None else rows
-    want = max(1, -(-n // rows_per_partition))
+    want = partitions_for(n, width or len(df.columns), rows_per_partition)
     have = df.rdd.getNumPartitions()
     return df.coalesce(want) if want < have else df

@@ -22,7 +22,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import Fitted, Step, register, right_size
+from .base import Fitted, Step, partitions_for, register, right_size
 from .sketch import WIDTH, TensorSketch
 from .sparse import class_grams, dense_features, slot_moments, slot_phases, slot_scores, slot_sums, split_features, starts, vector_sizes
 
@@ -430,13 +430,20 @@ class Classifier(Step):
             inner = Discriminant(self.features, self.label, self.kind,
                                  self.params.get("reg", 0.0), self.params.get("gamma", 0.0)).fit(df)
             return FittedClassifier(meta, inner=inner)
-        staged, feats, inner = df, self.features, None
+        staged, feats, inner, rows = df, self.features, None, self.rows
+        width = len(self.features) + 1
+        if self.kind == "svm_poly":     # rows widen to the sketch: dealt out before, while they are narrow
+            width, rows = int(self.params.get("n_features", WIDTH)) + 1, df.count() if rows is None else rows
+            want = partitions_for(rows, width)
+            if want > df.rdd.getNumPartitions():
+                staged = df = df.repartition(want)
         if self.kind == "svm_rff":
             rff = RandomFourier(self.features, int(self.params.get("n_features", 64)),
                                 self.params.get("sigma", 0.5), self.seed)
             inner = rff.fit(df)
             staged = inner.transform(df)
             feats = rff.columns()
+            width = len(feats) + 1
         staged = assembler(feats).transform(staged)
         made = FEATURES
         if self.kind == "svm_poly":
@@ -444,7 +451,7 @@ class Classifier(Step):
                                  int(self.params.get("n_features", WIDTH)), self.seed).fit(staged)
             staged, made = inner.transform(staged), "poly"
         staged = staged.select(made, F.col(self.label).cast("double").alias(self.label))
-        staged = right_size(staged, self.rows)  # iterative trainers pass over it once per iteration
+        staged = right_size(staged, rows, width=width)  # iterative trainers pass over it once per iteration
         if self.kind == "c50":                                  # M9
             from .reweighting import ReweightedTrees
             return FittedClassifier(meta, inner=ReweightedTrees(self.label, int(n_classes), self.params, FEATURES, self.seed).fit(staged))

@@ -53,3 +53,25 @@ def test_save_load_round_trip(spark, split, kind):
     rec2, model2 = load_trained(spark, path)
     after = score(test, rec2, model2).orderBy("row_id").collect()
     assert [tuple(r) for r in before] == [tuple(r) for r in after]
+
+
+def test_partitions_are_bounded_by_bytes(spark):
+    from stratiform.operators.base import PARTITION_BYTES, partitions_for, right_size
+    assert partitions_for(1000, 65) == 1 and partitions_for(500_001, 2) == 2
+    assert partitions_for(576_000, 1025) >= 576_000 * 8 * 1025 / PARTITION_BYTES      # rows of a tensor sketch
+    df = spark.range(0, 40_000, 1, 16)
+    assert right_size(df, 40_000).rdd.getNumPartitions() == 1
+    assert right_size(df, 40_000, width=1025).rdd.getNumPartitions() == 5
+
+
+def test_wide_sketches_are_trained_on_bounded_partitions(spark, monkeypatch):
+    from stratiform.operators import base, models
+    seen = []
+    monkeypatch.setattr(base, "PARTITION_BYTES", 64 * 8 * 1025)
+    keep = models.right_size
+    monkeypatch.setattr(models, "right_size", lambda *a, **k: seen.append(keep(*a, **k)) or seen[-1])
+    df = spark.createDataFrame([(i, i % 2, float(i % 2), float(i % 7)) for i in range(400)],
+                               "row_id long, label int, a double, b double").coalesce(1)
+    model = models.Classifier("svm_poly", ["a", "b"], "label", {"regParam": 0.01, "maxIter": 5, "degree": 2}).fit(df)
+    assert seen[0].rdd.getNumPartitions() == 7
+    assert model.transform(df).where("prediction = label").count() == 400
