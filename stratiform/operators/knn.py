@@ -512,9 +512,11 @@ def _sent(cells: Cells, k, pack, ids, x, need, reach):
         else:
             now = cells.second(x[run], need[run], reach[run])
         least = np.minimum(least, now)
+    at = np.flatnonzero(np.isfinite(least))
+    if reach is None and 2 * len(at) > len(least):       # pass 2 will hardly visit more: it does the work alone
+        at = at[:0]
     reach = np.concatenate(known) if reach is None else reach
     yield _pack_row(pack, [None], [None], ids.type, (ids, _pack(x), need.tobytes(), _pack(reach)))
-    at = np.flatnonzero(np.isfinite(least))
     if len(at):
         yield _pack_row(pack, cells.number[at], least[at], ids.type)
 
