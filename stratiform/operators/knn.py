@@ -17,8 +17,9 @@ coordinate are not neighbours. A NaN counts as absent.
   sqrt(p / |U|) * (|x - centre|_A - radius), and by the box over A, where U are
   the coordinates that the query and some row have. Both hold for every pattern.
 * Queries are dealt by presence pattern and by place along a space-filling curve and cut
-  into packs of neighbours. Pass 1 sends the blocks of a pack's nearest cells with k eligible
-  rows a target to the pack and takes the k-th distances as radii. Pass 2 sends it all
+  into packs of neighbours. Pass 1 sends a pack the blocks of the ``NEAR`` cells with k eligible
+  rows a target that are nearest to each query, compares each query with its own cells only and
+  takes the k-th distances as radii. Pass 2 sends the pack all
   cells whose bound does not exceed the radius of some query. Blocks come nearest first
   and a pack keeps the k nearest so far, so that its radii shrink on the way; a pair of
   a block and those queries of the pack that it can serve is one matrix product in bounded
@@ -56,7 +57,9 @@ MAX_CELLS = 65_536
 #: Entries of a (query, cell) or (query, reference) matrix a task holds at a time.
 BOUND_CELLS = 1_000_000
 #: Queries of a pack, at most and by their bytes, and of a run that looks at the cells together.
-PACK_ROWS, PACK_BYTES, RUN = 4096, 4 << 20, 256
+PACK_ROWS, PACK_BYTES, RUN = 2048, 4 << 20, 256
+#: Cells of pass 1 of each (query, target).
+NEAR = 3
 #: Nearest cells with enough rows among which a run's first cells are chosen, a target.
 LIKELY = 256
 #: Patterns of a run that get boxes of their own.
@@ -109,7 +112,14 @@ class Cells:
         tri = np.zeros((len(x), len(at)))
         box = np.zeros_like(tri)
         for j in range(p):
-            if not every[:, j].any():
+            if not every[:, j].any() or not have[:, j].any():
+                continue
+            if every[:, j].all() and have[:, j].all():
+                away = x[:, j, None] - center[None, :, j]
+                tri += away * away
+                away = np.maximum(lo[None, :, j] - x[:, j, None], x[:, j, None] - hi[None, :, j])
+                np.maximum(away, 0.0, out=away)
+                box += away * away
                 continue
             both = have[:, j, None] & every[None, :, j]
             xj = np.where(have[:, j], x[:, j], 0.0)[:, None]
@@ -156,12 +166,14 @@ class Cells:
             out |= np.sqrt(gap) <= limit[rows].max()
         return np.flatnonzero(out)
 
-    def first(self, x: np.ndarray, need: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def first(self, x: np.ndarray, need: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Least bound of each cell that pass 1 gives a run (infinite: not visited), for each needed
-        target of a query the nearest with k rows that have it; and the radii known before."""
+        target of a query the ``NEAR`` nearest with k rows that have it; the radii known before; and
+        the numbers of these cells for each (query, target), -1 for none."""
         out, reach, at = np.full(len(self.radius), np.inf), np.full(need.shape, np.inf), self.likely(x, k)
+        goes_to = np.full((*need.shape, NEAR), -1, dtype="<i4")
         if not len(at):
-            return out, reach
+            return out, reach, goes_to
         step = max(1, BOUND_CELLS // len(at))
         for lo in range(0, len(x), step):
             least, near, most = self.bounds(x[lo:lo + step], at)
@@ -172,10 +184,12 @@ class Cells:
                 full = self.count[at, t] >= k
                 reach[lo + rows, t] = np.where(full, most[rows], np.inf).min(axis=1)
                 goes = np.where(full, near[rows], np.inf)
-                best = goes.argmin(axis=1)
-                found = np.isfinite(goes[np.arange(len(rows)), best])
-                np.minimum.at(out, at[best[found]], least[rows[found], best[found]])
-        return out, reach
+                best = np.argpartition(goes, NEAR - 1, axis=1)[:, :NEAR] if len(at) > NEAR else np.tile(np.arange(len(at)), (len(rows), 1))
+                i, j = np.nonzero(np.isfinite(np.take_along_axis(goes, best, axis=1)))
+                best = best[i, j]
+                np.minimum.at(out, at[best], least[rows[i], best])
+                goes_to[lo + rows[i], t, j] = self.number[at[best]]
+        return out, reach, goes_to
 
     def second(self, x: np.ndarray, need: np.ndarray, reach: np.ndarray) -> np.ndarray:
         """Least bound of each cell that may hold a neighbour of a run's queries, infinite for the others."""
@@ -208,7 +222,7 @@ def near_pairs(q: np.ndarray, need: np.ndarray, reach: np.ndarray, r: np.ndarray
     """For each target (query rows, reference rows, distances) of the k nearest in a pair of
     blocks, none farther than ``reach``. ``rank`` orders the references by id; a target of
     -1 stands for any reference. A chunk of queries at a time meets the references."""
-    step = max(1, BOUND_CELLS // max(1, len(r)))
+    step = max(1, min(BOUND_CELLS, max(8, q.shape[1]) << 14) // max(1, len(r)))
     out = []
     for lo in range(0, len(q), step):
         some = slice(lo, lo + step)
@@ -218,45 +232,62 @@ def near_pairs(q: np.ndarray, need: np.ndarray, reach: np.ndarray, r: np.ndarray
 
 def _near_pairs(q, need, reach, r, rank, targets, k):
     p = q.shape[1]
-    mid = np.nan_to_num(r).mean(axis=0)
-    a, b = np.nan_to_num(q - mid), np.nan_to_num(r - mid)
-    ma, mb = (~np.isnan(q)).astype(float), (~np.isnan(r)).astype(float)
-    if ma.all() and mb.all():
+    mq, mr = ~np.isnan(q), ~np.isnan(r)
+    alike = (mq == mq[0]).all() and (mr == mr[0]).all()        # one pattern a side: no masks
+    if alike:
+        on = mq[0] & mr[0]
+        common = np.count_nonzero(on)
+        if not common:
+            return []
+        q, r = (q, r) if common == p else (np.where(on, q, 0.0), np.where(on, r, 0.0))
+        mid = r.mean(axis=0)
+        a, b = (q - mid) * math.sqrt(p / common), (r - mid) * math.sqrt(p / common)
         rough = a @ (-2 * b.T)
         rough += (a * a).sum(1)[:, None]
         rough += (b * b).sum(1)[None, :]
     else:
+        mid = np.nan_to_num(r).mean(axis=0)
+        a, b = np.nan_to_num(q - mid), np.nan_to_num(r - mid)
+        ma, mb = mq.astype(float), mr.astype(float)
         sq = (a * a) @ mb.T + ma @ (b * b).T - 2 * (a @ b.T)
         common = ma @ mb.T
         with np.errstate(divide="ignore", invalid="ignore"):
             rough = np.where(common > 0, p / common * np.maximum(sq, 0.0), np.inf)
     # What cancellation may have taken from a squared distance.
-    slack = 1e-11 * p * ((a * a).sum(1)[:, None].max() + (b * b).sum(1).max()) + 1e-12
+    slack = 1e-11 * p * ((a * a).sum(1).max() + (b * b).sum(1).max()) + 1e-12
     out = []
-    for t, column in enumerate(targets):
+    for t in np.flatnonzero(need.any(axis=0)):
+        column = targets[t]
         rows = np.flatnonzero(need[:, t])
-        cols = np.arange(len(r)) if column < 0 else np.flatnonzero(mb[:, column] > 0)
-        if not len(rows) or not len(cols):
+        cols = np.arange(len(r)) if column < 0 else np.flatnonzero(mr[:, column])
+        if not len(cols):
             continue
         part = rough if len(rows) == len(q) and len(cols) == len(r) else rough[np.ix_(rows, cols)]
-        limit = (reach[rows, t] * (1 + 1e-9) + 1e-6) ** 2
-        fits = (part <= limit[:, None] + slack) & np.isfinite(part)
-        many = np.flatnonzero(np.count_nonzero(fits, axis=1) > 2 * k) if len(cols) > k else ()
+        fits = part <= ((reach[rows, t] * (1 + 1e-9) + 1e-6) ** 2 + slack)[:, None]
+        at = np.flatnonzero(fits if alike else fits & np.isfinite(part))
+        i, j = np.divmod(at, len(cols))
+        counts = np.bincount(i, minlength=len(rows))
+        many = np.flatnonzero(counts > 2 * k) if len(cols) > k else ()
         if len(many):
             kth = np.sqrt(np.maximum(np.partition(part[many], k - 1, axis=1)[:, k - 1], 0.0) + slack) + 1e-8
-            fits[many] &= part[many] <= kth[:, None] ** 2 + slack                      # ties after rounding stay
-        i, j = np.nonzero(fits)
+            most = np.full(len(rows), np.inf)
+            most[many] = kth ** 2 + slack                                              # ties after rounding stay
+            fit = part.ravel()[at] <= most[i]
+            i, j = i[fit], j[fit]
+            counts = np.bincount(i, minlength=len(rows))
         if not len(i):
             continue
         i, j = rows[i], cols[j]
         exact = []
         for lo in range(0, len(i), 1 << 16):
             d = q[i[lo:lo + (1 << 16)]] - r[j[lo:lo + (1 << 16)]]
-            n = (~np.isnan(d)).sum(axis=1)
-            exact.append(np.sqrt(p / n * np.nansum(d * d, axis=1)))
+            n = common if alike else (~np.isnan(d)).sum(axis=1)
+            exact.append(np.sqrt(p / n * (np.sum if alike else np.nansum)(d * d, axis=1)))
         dist = np.concatenate(exact)
-        at = _best(i, rank[j], dist, k)
-        out.append((t, i[at], j[at], dist[at]))
+        if counts.max() > k:
+            best = _best(i, rank[j], dist, k)
+            i, j, dist = i[best], j[best], dist[best]
+        out.append((int(t), i, j, dist))
     return out
 
 
@@ -467,7 +498,7 @@ def _cells(blocks: DataFrame, p: int, n_targets: int) -> Cells:
 
 # ---------------------------------------------------------------- queries
 
-_SENT = "pack long, cell int, least double, qids array<{id}>, q binary, need binary, reach binary"
+_SENT = "pack long, cell int, least double, qids array<{id}>, q binary, need binary, reach binary, goes binary"
 _FOUND = "qid {id}, target string, rid {rid}, dist double, value double"
 
 
@@ -495,20 +526,21 @@ def _placed(told, p):
 def _pack_row(pack, cells, least, kind, queries=None):
     """A pack's queries as one row, or one row for each cell it visits."""
     n = len(cells) if queries is None else 1
-    ids, *raw = (None, None, None, None) if queries is None else queries
+    ids, *raw = (None, None, None, None, None) if queries is None else queries
     return pa.record_batch(
         [pa.array([pack] * n, pa.int64()), pa.array(cells, pa.int32()), pa.array(least, pa.float64()), _lists([ids] * n, kind),
-         *[pa.array([v] * n, pa.binary()) for v in raw]], names=["pack", "cell", "least", "qids", "q", "need", "reach"])
+         *[pa.array([v] * n, pa.binary()) for v in raw]], names=["pack", "cell", "least", "qids", "q", "need", "reach", "goes"])
 
 
 def _sent(cells: Cells, k, pack, ids, x, need, reach):
     """A pack and the cells it must visit: those of pass 1 when no ``reach`` is given."""
-    least, known = np.full(len(cells.radius), np.inf), []
+    least, known, goes = np.full(len(cells.radius), np.inf), [], []
     for lo in range(0, len(x), RUN):
         run = slice(lo, lo + RUN)
         if reach is None:
-            now, far = cells.first(x[run], need[run], k)
+            now, far, to = cells.first(x[run], need[run], k)
             known.append(far)
+            goes.append(to)
         else:
             now = cells.second(x[run], need[run], reach[run])
         least = np.minimum(least, now)
@@ -516,7 +548,7 @@ def _sent(cells: Cells, k, pack, ids, x, need, reach):
     if reach is None and 2 * len(at) > len(least):       # pass 2 will hardly visit more: it does the work alone
         at = at[:0]
     reach = np.concatenate(known) if reach is None else reach
-    yield _pack_row(pack, [None], [None], ids.type, (ids, _pack(x), need.tobytes(), _pack(reach)))
+    yield _pack_row(pack, [None], [None], ids.type, (ids, _pack(x), need.tobytes(), _pack(reach), np.concatenate(goes).tobytes() if goes else None))
     if len(at):
         yield _pack_row(pack, cells.number[at], least[at], ids.type)
 
@@ -555,16 +587,51 @@ def _ranks(ids: pa.Array) -> np.ndarray:
 class _Nearest:
     """The k nearest so far of each (query, target) of a pack."""
 
-    def __init__(self, ids, x, need, reach, columns, k):
-        self.ids, self.x, self.need, self.reach, self.columns, self.k = ids, x, need, reach.copy(), columns, k
+    def __init__(self, cells: Cells, ids, x, need, reach, goes, columns, k):
+        self.cells, self.ids, self.x, self.need, self.reach, self.columns, self.k = cells, ids, x, need, reach.copy(), columns, k
         self.held = [[] for _ in columns]
         self.n, self.most = 0, 4 * k * len(x)
-
-    def visit(self, cells: Cells, cell: int, ids: pa.Array, r: np.ndarray):
-        at = np.searchsorted(cells.number, [cell])
-        limit = np.where(cells.count[at[0]] > 0, _limits(self.need, self.reach), -1.0).max(axis=1)
-        least = cells.bounds(self.x, at)[0][:, 0]
-        rows = np.flatnonzero((least <= limit) & np.isfinite(least))
+        self.kinds = [(rows, has, np.ascontiguousarray(x[np.ix_(rows, has)].T)) for rows, has in cells.runs(x)]
+        self.mixed = len(self.kinds) == 1 and np.isnan(x).sum() != len(x) * (x.shape[1] - len(self.kinds[0][1]))
+        self.own = None
+        if goes is not None:                                # pass 1: the queries of each cell
+            order = np.argsort(goes, kind="stable")
+            self.own = goes[order], order // (len(goes) // len(x))
+        self.limit()
+
+    def limit(self):
+        self.limits = _limits(self.need, self.reach)
+        self.widest = self.limits.max(axis=1)
+        self.lost = np.flatnonzero(np.isinf(self.widest))
+
+    def near(self, at: int) -> np.ndarray:
+        """Queries to which a cell may be of use."""
+        cells, has = self.cells, self.cells.count[at] > 0
+        limit = self.widest if has.all() else np.where(has, self.limits, -1.0).max(axis=1)
+        if self.mixed:
+            least = cells.bounds(self.x, np.array([at]))[0][:, 0]
+            return np.flatnonzero((least <= limit) & np.isfinite(least))
+        out = []
+        for rows, on, x in self.kinds:
+            shared = np.count_nonzero(cells.some[at, on])
+            if not shared:
+                continue
+            every = cells.every[at, on]
+            x, on = (x, on) if every.all() else (x[every], on[every])
+            gap = np.maximum(np.maximum(cells.lo[at, on, None] - x, x - cells.hi[at, on, None]), 0.0)
+            scale = self.x.shape[1] / shared
+            some = np.flatnonzero(scale * (gap * gap).sum(axis=0) <= np.where(limit[rows] < 0, -1.0, limit[rows] ** 2))
+            apart = x[:, some] - cells.center[at, on, None]
+            some = some[np.sqrt(scale) * (np.sqrt((apart * apart).sum(axis=0)) - cells.radius[at]) <= limit[rows[some]]]
+            out.append(rows[some])
+        return np.sort(np.concatenate(out)) if out else np.zeros(0, np.int64)
+
+    def visit(self, cell: int, ids: pa.Array, r: np.ndarray):
+        if self.own is None:
+            rows = self.near(int(np.searchsorted(self.cells.number, cell)))
+        else:                                               # its own queries, and those without any radius
+            lo, hi = np.searchsorted(self.own[0], [cell, cell + 1])
+            rows = np.union1d(self.own[1][lo:hi], self.lost)
         if not len(rows):
             return
         for t, i, j, dist in near_pairs(self.x[rows], self.need[rows], self.reach[rows], r, _ranks(ids), self.columns, self.k):
@@ -590,6 +657,7 @@ class _Nearest:
             full = last[np.diff(np.append(-1, last)) == self.k]
             np.minimum.at(self.reach[:, t], rows[full], np.round(dist[full], 9) + 1e-9)
         self.most = max(self.most, 2 * self.n)
+        self.limit()
 
     def found(self, names):
         self.settle()
@@ -619,11 +687,11 @@ def _search(told, columns, names, k, p, last):
                     if near is not None:
                         yield from done()
                     x, need, reach = (batch.column(c)[n].as_buffer() for c in ("q", "need", "reach"))
-                    x = _unpack(x, p)
-                    pack, near = packs[n], _Nearest(batch.column("qids")[n].values, x, np.frombuffer(need, bool).reshape(len(x), -1),
-                                                    _unpack(reach, len(columns)), columns, k)
+                    x, goes = _unpack(x, p), None if last else np.frombuffer(batch.column("goes")[n].as_buffer(), "<i4")
+                    pack, near = packs[n], _Nearest(cells, batch.column("qids")[n].values, x, np.frombuffer(need, bool).reshape(len(x), -1),
+                                                    _unpack(reach, len(columns)), goes, columns, k)
                 else:
-                    near.visit(cells, at[n], batch.column("ids")[n].values, _unpack(batch.column("x")[n].as_buffer(), p))
+                    near.visit(at[n], batch.column("ids")[n].values, _unpack(batch.column("x")[n].as_buffer(), p))
         if near is not None:
             yield from done()
     return run
@@ -669,10 +737,12 @@ def exact_knn(queries: DataFrame, refs: DataFrame | None, features: list[str], k
     ordered = q.mapInArrow(_placed(told, p), f"id {id_type}, x array<double>, kind long, place long") \
         .repartitionByRange("kind", "place", "id").sortWithinPartitions("kind", "place", "id")
     first = materialise(ordered.select("id", "x").mapInArrow(_send(told, columns, k, p), sent), "knn-first")
+    # Much work in few bytes: partitions follow the packs, not their size.
+    tasks = max(1, 2 * first.where(F.col("cell").isNull()).count())
 
     def visit(packs: DataFrame, last: bool) -> DataFrame:
         visits = packs.where(F.col("cell").isNotNull()).select("pack", "cell", "least").join(rows, "cell")
-        met = packs.where(F.col("cell").isNull()).unionByName(visits, allowMissingColumns=True).repartition("pack") \
+        met = packs.where(F.col("cell").isNull()).unionByName(visits, allowMissingColumns=True).repartition(tasks, "pack") \
             .sortWithinPartitions("pack", F.col("cell").isNotNull(), "least", "cell")
         return met.mapInArrow(_search(told, columns, names, k, p, last), found if last else sent)
     second = materialise(visit(first, False), "knn-second")
