@@ -12,6 +12,10 @@ coordinate are not neighbours. A NaN counts as absent.
   ``BLOCK_BYTES``, in the order of their distance to the pivot.
 * Of references equal in every coordinate only the k smallest ids can be
   neighbours, so a value held by a third of the rows is k rows.
+* A query sees only its own coordinates, and of references that look equal to it only the k
+  smallest ids that have a target can be neighbours. Where that leaves few rows for a presence
+  pattern (the coordinate that tells the rows apart is the absent one), the pattern has a view: these
+  rows, in cells over its coordinates alone. Its queries meet the view, all others the whole.
 * The distance to any row of a cell is bounded from below by the triangle
   inequality over the coordinates A that the query and all rows of the cell have,
   sqrt(p / |U|) * (|x - centre|_A - radius), and by the box over A, where U are
@@ -50,6 +54,10 @@ from ..session import active_session, bound_arrow, discard, materialise
 ANY_TARGET = "*"
 #: Presence patterns with cells of their own.
 MAX_PATTERNS = 256
+#: Frequent patterns that may have views; a view holds at most one row in ``VIEW_SHARE``.
+MAX_VIEWS, VIEW_SHARE = 16, 8
+#: Bytes of rows that a task thins out together for the views.
+THIN_BYTES = 16 << 20
 BLOCK_BYTES = 1 << 20
 #: Bytes of all cells together, a bound on what is broadcast.
 CELL_BYTES = 48 << 20
@@ -86,8 +94,22 @@ def _pack(x: np.ndarray) -> bytes:
     return np.ascontiguousarray(x, dtype="<f8").tobytes()
 
 
-def _mask_text() -> F.Column:
-    return F.array_join(F.transform("x", lambda v: F.when(v.isNull(), F.lit("0")).otherwise(F.lit("1"))), "")
+def _mask_text(x: F.Column) -> F.Column:
+    return F.array_join(F.transform(x, lambda v: F.when(v.isNull(), F.lit("0")).otherwise(F.lit("1"))), "")
+
+
+def _bits(mask: str) -> np.ndarray:
+    return np.array([c == "1" for c in mask])
+
+
+def _has(views: np.ndarray, j: int) -> F.Column:
+    """Whether a row's view has a coordinate."""
+    return F.get(F.array(*[F.lit(bool(v[j])) for v in views]), F.col("view"))
+
+
+def _seen(views: np.ndarray) -> F.Column:
+    """The coordinates of ``x`` that a row's view has, null for the others."""
+    return F.array(*[F.when(_has(views, j), F.col("x")[j]) for j in range(views.shape[1])])
 
 
 @dataclass
@@ -205,6 +227,20 @@ class Cells:
         return out
 
 
+@dataclass
+class Views:
+    """The cells of the whole, and of each view for the queries of its pattern."""
+    have: np.ndarray
+    cells: list[Cells]
+
+    def of(self, x: np.ndarray) -> np.ndarray:
+        """The view of each query; 0, the whole, for a pattern that has none."""
+        has, out = ~np.isnan(x), np.zeros(len(x), np.int64)
+        for v in range(1, len(self.have)):
+            out[(has == self.have[v]).all(axis=1)] = v
+        return out
+
+
 def _limits(need: np.ndarray, reach: np.ndarray) -> np.ndarray:
     """The farthest that a row can be of use to a query's target; negative where it asks for none."""
     return np.where(need, reach * (1 + 1e-9) + 1e-6, -1.0)
@@ -293,21 +329,100 @@ def _near_pairs(q, need, reach, r, rank, targets, k):
 
 # ---------------------------------------------------------------- references
 
-def _patterns(r: DataFrame, p: int, rows_per_cell: int) -> tuple[dict[str, int], dict[int, int], int]:
-    """Group of each frequent pattern, rows of each group (0: all other patterns) and of all."""
-    counts = r.groupBy(_mask_text().alias("mask")).agg(F.count(F.lit(1)).alias("n"))
-    top = counts.orderBy(F.col("n").desc(), "mask").limit(MAX_PATTERNS).collect()
-    total = r.count() if len(top) == MAX_PATTERNS else sum(x["n"] for x in top)
-    own = [x for x in top if "1" in x["mask"] and (x["n"] * 4 >= rows_per_cell or len(top) < 32)]
-    groups = {x["mask"]: i + 1 for i, x in enumerate(own)}
-    sizes = {i + 1: x["n"] for i, x in enumerate(own)}
-    sizes[0] = total - sum(sizes.values())
-    return groups, sizes, total
+def _masks(rows: DataFrame, views: np.ndarray) -> tuple[list, dict[int, int]]:
+    """The most frequent (view, presence pattern) with their rows, and the rows of each view."""
+    counts = rows.groupBy("view", _mask_text(_seen(views)).alias("mask")).agg(F.count(F.lit(1)).alias("n"))
+    top = counts.orderBy(F.col("n").desc(), "view", "mask").limit(MAX_PATTERNS).collect()
+    totals = {}
+    for x in rows.groupBy("view").agg(F.count(F.lit(1)).alias("n")).collect() if len(top) == MAX_PATTERNS else top:
+        totals[x["view"]] = totals.get(x["view"], 0) + x["n"]
+    return top, totals
+
+
+def _patterns(top: list, totals: dict[int, int], rows_per_cell: int) -> tuple[dict[tuple, int], dict[int, int]]:
+    """Group of each frequent (view, pattern) and rows of each group; None stands for all other
+    patterns of a view. Groups of a view follow each other."""
+    groups, sizes = {}, {}
+    for view in sorted(totals):
+        here = [x for x in top if x["view"] == view]
+        own = [x for x in here if "1" in x["mask"] and (x["n"] * 4 >= rows_per_cell or len(here) < 32)]
+        rest = groups[view, None] = len(groups)
+        for x in own:
+            g = groups[view, x["mask"]] = len(groups)
+            sizes[g] = x["n"]
+        sizes[rest] = totals[view] - sum(x["n"] for x in own)
+    return groups, sizes
+
+
+def _worth(counts: dict[str, int], rows: int, columns: list[int], k: int) -> list[str]:
+    """Patterns with a view, by the number of different rows that each sees."""
+    return [mask for mask, n in counts.items()
+            if VIEW_SHARE * k * sum(t < 0 or mask[t] == "0" for t in columns) * n <= rows]
+
+
+def _asked(masks: list[str], columns: list[int]) -> list[str]:
+    """Patterns whose queries may have a view: they ask for something and see a part of the coordinates."""
+    return [m for m in masks if "1" in m and "0" in m and any(t < 0 or m[t] == "0" for t in columns)][:MAX_VIEWS]
+
+
+def _thin(views: np.ndarray, columns: list[int], k: int, p: int):
+    """Rows -> for each view those that are among the k smallest ids of what looks equal and has some
+    asked target, as far as the rows held together tell."""
+    most = max(1, THIN_BYTES // (8 * p))
+
+    def thinned(ids: pa.Array, x: np.ndarray):
+        rank, bits, has = _ranks(ids), x.view(np.int64), ~np.isnan(x)
+        for v in range(1, len(views)):
+            on = np.flatnonzero(views[v])
+            order = np.lexsort((rank, *(bits[:, j] for j in on)))
+            sort = bits[np.ix_(order, on)]
+            begins = np.append(True, (sort[1:] != sort[:-1]).any(axis=1))
+            keep, used = np.zeros(len(x), bool), views[v].copy()
+            for t in columns:
+                if t >= 0 and views[v, t]:
+                    continue
+                have = np.ones(len(x), bool) if t < 0 else has[order, t]
+                n = np.cumsum(have)
+                before = np.maximum.accumulate(np.where(begins, n - have, 0))
+                keep |= have & (n - before <= k)
+                if t >= 0:
+                    used[t] = True
+            rows = np.sort(order[keep])
+            if len(rows):
+                kept = np.where(used, x[rows], np.nan).ravel()
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * p), pa.array(kept, mask=np.isnan(kept)))
+                yield pa.record_batch([pa.array(np.full(len(rows), v, np.int32)), ids.take(pa.array(rows)), lists], names=["view", "id", "x"])
+
+    def run(batches):
+        held, n = [], 0
+        for batch in batches:
+            held.append((batch.column("id"), _matrix(batch.column("x"), p)))
+            n += batch.num_rows
+            if n >= most:
+                yield from thinned(pa.concat_arrays([h[0] for h in held]), np.concatenate([h[1] for h in held]))
+                held, n = [], 0
+        if n:
+            yield from thinned(pa.concat_arrays([h[0] for h in held]), np.concatenate([h[1] for h in held]))
+    return run
+
+
+def _viewed(r: DataFrame, views: np.ndarray, columns: list[int], k: int, p: int) -> DataFrame:
+    """``view, id, x``: the rows of all views but the whole; ``x`` has the view's coordinates and the targets."""
+    kind = r.schema["id"].dataType.simpleString()
+    rows = r.select("id", "x").mapInArrow(_thin(views, columns, k, p), f"view int, id {kind}, x array<double>").withColumn("_seen", _seen(views))
+    so_far = Window.partitionBy("view", "_seen").orderBy("id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    keep, counts = F.lit(False), {}
+    for t in dict.fromkeys(columns):
+        has = F.lit(True) if t < 0 else F.col("x")[t].isNotNull() & ~_has(views, t)
+        counts[f"_n{t}"] = F.count(F.when(has, F.lit(1))).over(so_far)
+        keep = keep | has & (F.col(f"`_n{t}`") <= k)
+    return rows.withColumns(counts).where(keep).select("view", "id", "x")
 
 
-def _pivots(r: DataFrame, groups: dict[str, int], sizes: dict[int, int], p: int, rows_per_cell: int,
+def _pivots(r: DataFrame, groups: dict[tuple, int], sizes: dict[int, int], views: np.ndarray, rows_per_cell: int,
             fill: np.ndarray) -> dict[int, np.ndarray]:
     """Sampled rows of each group, absent coordinates filled."""
+    p = views.shape[1]
     most = max(len(sizes), min(MAX_CELLS, CELL_BYTES // (26 * p + 64)))
     want = {g: max(1, -(-n // rows_per_cell)) for g, n in sizes.items() if n}
     over = max(1.0, sum(want.values()) / most)
@@ -318,10 +433,11 @@ def _pivots(r: DataFrame, groups: dict[str, int], sizes: dict[int, int], p: int,
     got = r.where(draw < int(rate * (1 << 30))).withColumn("h", draw).limit(4 * most + 1024).toArrow()
     out: dict[int, list[np.ndarray]] = {g: [] for g in want}
     if got.num_rows:
-        x = _matrix(got["x"].combine_chunks(), p)
+        view = got["view"].to_numpy()
+        x = np.where(views[view], _matrix(got["x"].combine_chunks(), p), np.nan)
         text = ["".join("0" if n else "1" for n in row) for row in np.isnan(x)]
         for i in np.argsort(got["h"].to_numpy(), kind="stable"):
-            g = groups.get(text[i], 0)
+            g = groups.get((view[i], text[i]), groups[view[i], None])
             if g in out and len(out[g]) < want[g]:
                 out[g].append(np.where(np.isnan(x[i]), fill, x[i]))
     return {g: np.array(v or [fill]) for g, v in out.items()}
@@ -348,29 +464,33 @@ def _by_heads(c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return c[order], heads, np.searchsorted(head[order], np.arange(len(heads) + 1))
 
 
-def _to_cells(groups, pivots, fill, p):
+def _to_cells(groups, pivots, views, fill, p):
     sorted_by = {g: _by_heads(c) for g, c in pivots.items()}
     start, first = {}, 0
     for g in sorted(pivots):
         start[g], first = first, first + len(pivots[g])
+    home = {}                                                               # a group of each view that has pivots
+    for (view, _), g in sorted(groups.items(), key=lambda x: x[1]):
+        if g in pivots:
+            home.setdefault(view, g)
 
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = _matrix(batch.column("x"), p)
-            full = np.where(np.isnan(x), fill, x)
+            view = batch.column("view").to_numpy()
+            x = np.where(views[view], _matrix(batch.column("x"), p), np.nan)
             absent = np.isnan(x)
+            full = np.where(absent, fill, x)
             group = np.zeros(len(x), dtype=np.int64)
-            kinds, which = np.unique(absent, axis=0, return_inverse=True)
-            for i, kind in enumerate(kinds):
-                g = groups.get("".join("0" if a else "1" for a in kind), 0)
-                group[which.ravel() == i] = g if g in pivots else 0
+            kinds, which = np.unique(np.column_stack((view, absent)), axis=0, return_inverse=True)
+            for i, (v, *kind) in enumerate(kinds):
+                g = groups.get((v, "".join("0" if a else "1" for a in kind)), groups[v, None])
+                group[which.ravel() == i] = g if g in pivots else home[v]
             cell, dist = np.zeros(len(x), np.int32), np.zeros(len(x))
             for g in np.unique(group):
-                g = g if g in pivots else min(pivots)
                 c, heads, begin = sorted_by[g]
-                rows = np.flatnonzero(group == g) if g in group else np.arange(len(x))
+                rows = np.flatnonzero(group == g)
                 head = _nearest(full[rows], heads)
                 for h in np.unique(head):
                     at, own = rows[head == h], c[begin[h]:begin[h + 1]]
@@ -380,10 +500,13 @@ def _to_cells(groups, pivots, fill, p):
                     dist[at] = np.sqrt(((full[at] - own[best]) ** 2).sum(1))
             yield pa.record_batch([pa.array(cell), pa.array(dist), batch.column("id"), batch.column("x")],
                                   names=["cell", "d", "id", "x"])
-    return run, np.concatenate([sorted_by[g][0] for g in sorted(pivots)])
+    counts = np.zeros(len(views), np.int64)                                 # cells of a view follow each other
+    for (view, _), g in groups.items():
+        counts[view] += len(pivots.get(g, ()))
+    return run, np.concatenate([sorted_by[g][0] for g in sorted(pivots)]), np.cumsum(counts)
 
 
-def _pack_cells(centers, columns, k, p, id_type):
+def _pack_cells(centers, views, ends, columns, k, p, id_type):
     """Rows sorted by cell -> its blocks, and after them a row without ids that describes the cell."""
     rows_a_block = max(64, BLOCK_BYTES // (8 * p))
 
@@ -399,12 +522,13 @@ def _pack_cells(centers, columns, k, p, id_type):
 
         def learn(x):
             nonlocal stats
-            have, c = ~np.isnan(x), centers[cell]
+            has, c = ~np.isnan(x), centers[cell]
+            have = has & views[np.searchsorted(ends, cell, side="right")]
             every, some = have.all(axis=0), have.any(axis=0)
             radius = float(np.sqrt(((np.where(every, x, 0.0) - np.where(every, c, 0.0)) ** 2).sum(axis=1)).max())
             lo = np.where(have, x, np.inf).min(axis=0)
             hi = np.where(have, x, -np.inf).max(axis=0)
-            count = np.array([len(x) if t < 0 else int(have[:, t].sum()) for t in columns])
+            count = np.array([len(x) if t < 0 else int(has[:, t].sum()) for t in columns])
             if stats is None:
                 stats = [radius, lo, hi, every, some, count]
             else:
@@ -473,27 +597,46 @@ def knn_index(refs: DataFrame, features: list[str], k: int, rid: str, targets: l
     # Equal rows: only the k smallest ids can be neighbours.
     first = Window.partitionBy("x").orderBy("id")
     r = materialise(r.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= k).drop("_n"), "knn-rows")
-    means = r.agg(*[F.avg(F.col("x")[j]).alias(f"m{j}") for j in range(p)]).first()
-    fill = np.array([0.0 if means[j] is None else means[j] for j in range(p)])
-    groups, sizes, total = _patterns(r, p, rows_per_bucket)
-    if not total or not any(m is not None for m in means):
+    whole = np.ones((1, p), bool)
+    r = r.select(F.lit(0).alias("view"), "id", "x")
+    top, totals = _masks(r, whole)
+    asked = _asked([x["mask"] for x in top], columns)
+    facts = r.agg(*[F.avg(F.col("x")[j]).alias(f"m{j}") for j in range(p)],
+                  *[F.approx_count_distinct(F.xxhash64(*[F.col("x")[j] for j in range(p) if m[j] == "1"])).alias(f"n{m}") for m in asked]).first()
+    means = [facts[f"m{j}"] for j in range(p)]
+    fill = np.array([0.0 if m is None else m for m in means])
+    if not totals or not any(m is not None for m in means):
         discard(r)
         return meta, None
-    assign, centers = _to_cells(groups, _pivots(r, groups, sizes, p, rows_per_bucket, fill), fill, p)
-    named = r.mapInArrow(assign, _CELL.format(id=meta["id"]))
+    meta["views"] = _worth({m: facts[f"n{m}"] for m in asked}, totals[0], columns, k)
+    views, rows, thin = np.vstack([whole, *map(_bits, meta["views"])]), r, None
+    if meta["views"]:
+        thin = materialise(_viewed(r, views, columns, k, p), "knn-views")
+        seen, more = _masks(thin, views)
+        top, totals, rows = top + seen, dict.fromkeys(range(len(views)), 0) | totals | more, r.unionByName(thin)
+    groups, sizes = _patterns(top, totals, rows_per_bucket)
+    assign, centers, ends = _to_cells(groups, _pivots(rows, groups, sizes, views, rows_per_bucket, fill), views, fill, p)
+    meta["ends"] = [int(e) for e in ends]
+    named = rows.mapInArrow(assign, _CELL.format(id=meta["id"]))
     packed = named.repartition("cell").sortWithinPartitions("cell", "d").mapInArrow(
-        _pack_cells(centers, columns, k, p, to_arrow_type(id_type)), _BLOCK.format(id=meta["id"]))
+        _pack_cells(centers, views, ends, columns, k, p, to_arrow_type(id_type)), _BLOCK.format(id=meta["id"]))
     blocks = materialise(packed, "knn-blocks")
-    discard(r)
+    for used in (r, thin):
+        if used is not None:
+            discard(used)
     return meta, blocks
 
 
-def _cells(blocks: DataFrame, p: int, n_targets: int) -> Cells:
+def _cells(blocks: DataFrame, meta: dict) -> Views:
     """The cells of a table of blocks, at most ``CELL_BYTES`` of them."""
+    p, n_targets = len(meta["features"]), len(meta["targets"])
     t = blocks.where(F.col("ids").isNull()).drop("ids", "x").toArrow().sort_by("cell")
     wide = lambda c, kind, w: np.frombuffer(b"".join(t[c].to_pylist()), dtype=kind).reshape(-1, w)
-    return Cells(wide("center", "<f8", p), t["radius"].to_numpy(), wide("lo", "<f8", p), wide("hi", "<f8", p), wide("every", bool, p),
-                 wide("some", bool, p), wide("counts", "<i8", n_targets), t["cell"].to_numpy())
+    facts = [wide("center", "<f8", p), t["radius"].to_numpy(), wide("lo", "<f8", p), wide("hi", "<f8", p), wide("every", bool, p),
+             wide("some", bool, p), wide("counts", "<i8", n_targets), t["cell"].to_numpy()]
+    cut = [0, *np.searchsorted(facts[-1], meta["ends"])]
+    return Views(np.vstack([np.ones((1, p), bool), *map(_bits, meta["views"])]),
+                 [Cells(*[f[lo:hi] for f in facts]) for lo, hi in zip(cut, cut[1:])])
 
 
 # ---------------------------------------------------------------- queries
@@ -505,7 +648,7 @@ _FOUND = "qid {id}, target string, rid {rid}, dist double, value double"
 def _placed(told, p):
     """Queries with their pattern and their place on a curve through the space of the cells."""
     def run(batches):
-        c = told.value.center
+        c = told.value.cells[0].center
         low, high = np.quantile(c, 0.01, axis=0), np.quantile(c, 0.99, axis=0)
         axes = [j for j in np.argsort(low - high, kind="stable")[:6] if high[j] > low[j]]
         width = max((high[j] - low[j] for j in axes), default=1.0) / 1023
@@ -558,22 +701,25 @@ def _send(told, columns, k, p):
     most = max(RUN, min(PACK_ROWS, PACK_BYTES // (8 * p)))
 
     def run(batches):
-        cells, part = told.value, TaskContext.get().partitionId()
-        held, n, packs = [], 0, 0
+        views, part = told.value, TaskContext.get().partitionId()
+        held, n, packs, view = [], 0, 0, 0
 
         def pack():
             x = np.concatenate([h[1] for h in held])
             need = np.stack([np.ones(len(x), bool) if t < 0 else np.isnan(x[:, t]) for t in columns], axis=1)
-            return _sent(cells, k, (part << 32) + packs, pa.concat_arrays([h[0] for h in held]), x, need, None)
+            return _sent(views.cells[view], k, (part << 32) + packs, pa.concat_arrays([h[0] for h in held]), x, need, None)
         for batch in batches:
             x, lo = _matrix(batch.column("x"), p), 0
+            of = views.of(x)
+            ends = np.append(np.flatnonzero(np.diff(of)) + 1, len(x))
             while lo < len(x):
-                take = min(len(x) - lo, most - n)
-                held.append((batch.column("id").slice(lo, take), x[lo:lo + take]))
-                n, lo = n + take, lo + take
-                if n == most:
+                if n == most or n and of[lo] != view:              # queries of a pack share a view
                     yield from pack()
                     held, n, packs = [], 0, packs + 1
+                view = of[lo]
+                take = min(ends[np.searchsorted(ends, lo, side="right")] - lo, most - n)
+                held.append((batch.column("id").slice(lo, take), x[lo:lo + take]))
+                n, lo = n + take, lo + take
         if n:
             yield from pack()
     return run
@@ -672,14 +818,14 @@ def _search(told, columns, names, k, p, last):
     """Packs, each followed by the blocks it visits, nearest first -> the k nearest of each (query,
     target), or after pass 1 the packs again with their radii and the cells of pass 2."""
     def run(batches):
-        cells, pack, near = told.value, None, None
+        views, pack, near = told.value, None, None
 
         def done():
             if last:
                 yield from near.found(names)
             else:
                 near.settle()
-                yield from _sent(cells, k, pack, near.ids, near.x, near.need, near.reach)
+                yield from _sent(near.cells, k, pack, near.ids, near.x, near.need, near.reach)
         for batch in batches:
             packs, at = batch.column("pack").to_pylist(), batch.column("cell").to_pylist()
             for n in range(batch.num_rows):
@@ -688,6 +834,7 @@ def _search(told, columns, names, k, p, last):
                         yield from done()
                     x, need, reach = (batch.column(c)[n].as_buffer() for c in ("q", "need", "reach"))
                     x, goes = _unpack(x, p), None if last else np.frombuffer(batch.column("goes")[n].as_buffer(), "<i4")
+                    cells = views.cells[views.of(x[:1])[0]]
                     pack, near = packs[n], _Nearest(cells, batch.column("qids")[n].values, x, np.frombuffer(need, bool).reshape(len(x), -1),
                                                     _unpack(reach, len(columns)), goes, columns, k)
                 else:
@@ -731,7 +878,7 @@ def exact_knn(queries: DataFrame, refs: DataFrame | None, features: list[str], k
             missing = F.col("x")[c].isNull() if missing is None else missing | F.col("x")[c].isNull()
         q = q.where(missing)
     q = materialise(q, "knn-queries")
-    told = spark.sparkContext.broadcast(_cells(blocks, p, len(columns)))
+    told = spark.sparkContext.broadcast(_cells(blocks, meta))
     rows = blocks.where(F.col("ids").isNotNull()).select("cell", "ids", "x")
     sent = _SENT.format(id=id_type)
     ordered = q.mapInArrow(_placed(told, p), f"id {id_type}, x array<double>, kind long, place long") \
