@@ -13,9 +13,9 @@ coordinate are not neighbours. A NaN counts as absent.
 * Of references equal in every coordinate only the k smallest ids can be
   neighbours, so a value held by a third of the rows is k rows.
 * A query sees only its own coordinates, and of references that look equal to it only the k
-  smallest ids that have a target can be neighbours. Where that leaves few rows for a presence
-  pattern (the coordinate that tells the rows apart is the absent one), the pattern has a view: these
-  rows, in cells over its coordinates alone. Its queries meet the view, all others the whole.
+  smallest ids that have a target can be neighbours. Where that leaves few rows of a group (the
+  coordinate that tells them apart is absent on one side), the presence pattern of the query has
+  a view: these rows, in cells over its coordinates alone, take the place of the group's cells.
 * The distance to any row of a cell is bounded from below by the triangle
   inequality over the coordinates A that the query and all rows of the cell have,
   sqrt(p / |U|) * (|x - centre|_A - radius), and by the box over A, where U are
@@ -40,7 +40,7 @@ from __future__ import annotations
 
 import math
 import zlib
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -54,8 +54,9 @@ from ..session import active_session, bound_arrow, discard, materialise
 ANY_TARGET = "*"
 #: Presence patterns with cells of their own.
 MAX_PATTERNS = 256
-#: Frequent patterns that may have views; a view holds at most one row in ``VIEW_SHARE``.
-MAX_VIEWS, VIEW_SHARE = 16, 8
+#: Frequent patterns that may have views, of as many groups; sets of coordinates looked at for it; and a
+#: view holds at most one row in ``VIEW_SHARE`` of a group.
+MAX_VIEWS, MAX_LOOKS, VIEW_SHARE = 16, 32, 8
 #: Bytes of rows that a task thins out together for the views.
 THIN_BYTES = 16 << 20
 BLOCK_BYTES = 1 << 20
@@ -66,6 +67,8 @@ MAX_CELLS = 65_536
 BOUND_CELLS = 1_000_000
 #: Queries of a pack, at most and by their bytes, and of a run that looks at the cells together.
 PACK_ROWS, PACK_BYTES, RUN = 2048, 4 << 20, 256
+#: Pairs near in one coordinate are listed where they are at most one in ``BAND`` of all.
+BAND = 8
 #: Cells of pass 1 of each (query, target).
 NEAR = 3
 #: Nearest cells with enough rows among which a run's first cells are chosen, a target.
@@ -227,19 +230,32 @@ class Cells:
         return out
 
 
-@dataclass
 class Views:
-    """The cells of the whole, and of each view for the queries of its pattern."""
-    have: np.ndarray
-    cells: list[Cells]
+    """All cells; those of the whole, and of each view for the queries of its pattern."""
+
+    def __init__(self, every: Cells, meta: dict):
+        self.every, self.meta, self.cut = every, meta, {}
+        self.have = [_bits(m) for m, _, _ in meta["views"]]
 
     def of(self, x: np.ndarray) -> np.ndarray:
         """The view of each query; 0, the whole, for a pattern that has none."""
         has, out = ~np.isnan(x), np.zeros(len(x), np.int64)
-        for v in range(1, len(self.have)):
-            out[(has == self.have[v]).all(axis=1)] = v
+        for v, have in enumerate(self.have):
+            out[(has == have).all(axis=1)] = v + 1
         return out
 
+    def cells(self, view: int) -> Cells:
+        if view not in self.cut:
+            number = self.every.number
+            keep = number >= self.meta["whole"]
+            if view:
+                _, (lo, hi), without = self.meta["views"][view - 1]
+                for a, b in without:
+                    keep &= (number < a) | (number >= b)
+                keep |= (number >= lo) & (number < hi)
+            self.cut[view] = Cells(*[getattr(self.every, f.name)[keep] for f in fields(Cells)])
+        return self.cut[view]
+
 
 def _limits(need: np.ndarray, reach: np.ndarray) -> np.ndarray:
     """The farthest that a row can be of use to a query's target; negative where it asks for none."""
@@ -253,6 +269,15 @@ def _best(rows: np.ndarray, ids: np.ndarray, dist: np.ndarray, k: int) -> np.nda
     return order[rank < k]
 
 
+def _crowded(rows: np.ndarray, ids: np.ndarray, dist: np.ndarray, k: int) -> np.ndarray:
+    """Places left when rows of more than k are cut to the k first."""
+    many = np.bincount(rows)[rows] > k
+    if not many.any():
+        return np.arange(len(rows))
+    at = np.flatnonzero(many)
+    return np.concatenate((np.flatnonzero(~many), at[_best(rows[at], ids[at], dist[at], k)]))
+
+
 def near_pairs(q: np.ndarray, need: np.ndarray, reach: np.ndarray, r: np.ndarray, rank: np.ndarray,
                targets: list[int], k: int) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """For each target (query rows, reference rows, distances) of the k nearest in a pair of
@@ -266,6 +291,35 @@ def near_pairs(q: np.ndarray, need: np.ndarray, reach: np.ndarray, r: np.ndarray
     return out
 
 
+def _in_band(q, limit, r, scale):
+    """Pairs whose widest coordinate alone does not put them farther apart than ``limit``; None if these are many."""
+    j = int(np.argmax(r.max(axis=0) - r.min(axis=0)))
+    order = np.argsort(r[:, j])
+    side, width = r[order, j], limit / scale + 4 * np.spacing(np.abs(q[:, j]) + np.abs(r[:, j]).max())
+    lo, hi = np.searchsorted(side, q[:, j] - width), np.searchsorted(side, q[:, j] + width, side="right")
+    n = np.maximum(hi - lo, 0)
+    total = int(n.sum())
+    if total * BAND > len(q) * len(r):
+        return None
+    i = np.repeat(np.arange(len(q)), n)
+    return i, order[np.arange(total) - np.repeat(np.cumsum(n) - n, n) + lo[i]]
+
+
+def _few_pairs(q, need, reach, r, rank, wanted, k, scale, i, j):
+    """``_near_pairs`` of one pattern a side, where few pairs are left."""
+    d = q[i] - r[j]
+    dist = np.sqrt(scale * np.sum(d * d, axis=1))
+    out, limits = [], _limits(need, reach)
+    for t in wanted:
+        fit = np.flatnonzero(dist <= limits[i, t])
+        if not len(fit):
+            continue
+        at, to, far = i[fit], j[fit], dist[fit]
+        best = _crowded(at, rank[to], far, k)
+        out.append((int(t), at[best], to[best], far[best]))
+    return out
+
+
 def _near_pairs(q, need, reach, r, rank, targets, k):
     p = q.shape[1]
     mq, mr = ~np.isnan(q), ~np.isnan(r)
@@ -276,6 +330,10 @@ def _near_pairs(q, need, reach, r, rank, targets, k):
         if not common:
             return []
         q, r = (q, r) if common == p else (np.where(on, q, 0.0), np.where(on, r, 0.0))
+        band = _in_band(q, _limits(need, reach).max(axis=1), r, math.sqrt(p / common)) if len(r) > 4 * k else None
+        if band is not None:
+            wanted = [t for t in np.flatnonzero(need.any(axis=0)) if targets[t] < 0 or mr[0, targets[t]]]
+            return _few_pairs(q, need, reach, r, rank, wanted, k, p / common, *band)
         mid = r.mean(axis=0)
         a, b = (q - mid) * math.sqrt(p / common), (r - mid) * math.sqrt(p / common)
         rough = a @ (-2 * b.T)
@@ -320,10 +378,8 @@ def _near_pairs(q, need, reach, r, rank, targets, k):
             n = common if alike else (~np.isnan(d)).sum(axis=1)
             exact.append(np.sqrt(p / n * (np.sum if alike else np.nansum)(d * d, axis=1)))
         dist = np.concatenate(exact)
-        if counts.max() > k:
-            best = _best(i, rank[j], dist, k)
-            i, j, dist = i[best], j[best], dist[best]
-        out.append((int(t), i, j, dist))
+        best = _crowded(i, rank[j], dist, k)
+        out.append((int(t), i[best], j[best], dist[best]))
     return out
 
 
@@ -341,9 +397,9 @@ def _masks(rows: DataFrame, views: np.ndarray) -> tuple[list, dict[int, int]]:
 
 def _patterns(top: list, totals: dict[int, int], rows_per_cell: int) -> tuple[dict[tuple, int], dict[int, int]]:
     """Group of each frequent (view, pattern) and rows of each group; None stands for all other
-    patterns of a view. Groups of a view follow each other."""
+    patterns of a view. Groups of a view follow each other, those of the whole (view 0) come last."""
     groups, sizes = {}, {}
-    for view in sorted(totals):
+    for view in sorted(totals, key=lambda v: (v == 0, v)):
         here = [x for x in top if x["view"] == view]
         own = [x for x in here if "1" in x["mask"] and (x["n"] * 4 >= rows_per_cell or len(here) < 32)]
         rest = groups[view, None] = len(groups)
@@ -354,34 +410,56 @@ def _patterns(top: list, totals: dict[int, int], rows_per_cell: int) -> tuple[di
     return groups, sizes
 
 
-def _worth(counts: dict[str, int], rows: int, columns: list[int], k: int) -> list[str]:
-    """Patterns with a view, by the number of different rows that each sees."""
-    return [mask for mask, n in counts.items()
-            if VIEW_SHARE * k * sum(t < 0 or mask[t] == "0" for t in columns) * n <= rows]
+def _common(a: str, b: str) -> str:
+    return "".join("1" if x == y == "1" else "0" for x, y in zip(a, b))
 
 
-def _asked(masks: list[str], columns: list[int]) -> list[str]:
-    """Patterns whose queries may have a view: they ask for something and see a part of the coordinates."""
-    return [m for m in masks if "1" in m and "0" in m and any(t < 0 or m[t] == "0" for t in columns)][:MAX_VIEWS]
+def _pairs(masks: list[str], columns: list[int]) -> list[tuple[str, str]]:
+    """Patterns of queries, each with those of references that it sees a part of and that have something it asks for."""
+    asking = [m for m in masks if "0" in m and "1" in m][:MAX_VIEWS]
+    return [(m, r) for m in asking for r in masks[:MAX_VIEWS] if "1" in _common(m, r) and _common(m, r) != r
+            and any(t < 0 or m[t] == "0" and r[t] == "1" for t in columns)]
 
 
-def _thin(views: np.ndarray, columns: list[int], k: int, p: int):
+def _looks(pairs: list[tuple[str, str]]) -> list[str]:
+    """Sets of coordinates whose different values are counted, the smallest of all if there are many."""
+    return sorted({_common(m, r) for m, r in pairs}, key=lambda c: (c.count("1"), c))[:MAX_LOOKS]
+
+
+def _worth(pairs: list[tuple[str, str]], rows: dict[str, int], different: dict[tuple[str, str], int], columns: list[int],
+           k: int) -> dict[str, list[str]]:
+    """Patterns with a view and the groups it stands for, those that have few different rows for it."""
+    out: dict[str, list[str]] = {}
+    for m, r in pairs:
+        n = different.get((r, _common(m, r)))
+        asks = sum(t < 0 or m[t] == "0" and r[t] == "1" for t in columns)
+        if n is not None and VIEW_SHARE * k * asks * n <= rows[r]:
+            out.setdefault(m, []).append(r)
+    return out
+
+
+def _thin(views: np.ndarray, stands: list[list[str]], columns: list[int], k: int, p: int):
     """Rows -> for each view those that are among the k smallest ids of what looks equal and has some
     asked target, as far as the rows held together tell."""
     most = max(1, THIN_BYTES // (8 * p))
 
     def thinned(ids: pa.Array, x: np.ndarray):
         rank, bits, has = _ranks(ids), x.view(np.int64), ~np.isnan(x)
+        kinds, which = np.unique(has, axis=0, return_inverse=True)
+        kinds, which = ["".join("1" if h else "0" for h in kind) for kind in kinds], which.ravel()
         for v in range(1, len(views)):
+            rows = np.flatnonzero(np.array([kind in stands[v - 1] for kind in kinds])[which])
+            if not len(rows):
+                continue
             on = np.flatnonzero(views[v])
-            order = np.lexsort((rank, *(bits[:, j] for j in on)))
+            order = rows[np.lexsort((rank[rows], *(bits[rows, j] for j in on)))]
             sort = bits[np.ix_(order, on)]
             begins = np.append(True, (sort[1:] != sort[:-1]).any(axis=1))
-            keep, used = np.zeros(len(x), bool), views[v].copy()
+            keep, used = np.zeros(len(order), bool), views[v].copy()
             for t in columns:
                 if t >= 0 and views[v, t]:
                     continue
-                have = np.ones(len(x), bool) if t < 0 else has[order, t]
+                have = np.ones(len(order), bool) if t < 0 else has[order, t]
                 n = np.cumsum(have)
                 before = np.maximum.accumulate(np.where(begins, n - have, 0))
                 keep |= have & (n - before <= k)
@@ -406,10 +484,10 @@ def _thin(views: np.ndarray, columns: list[int], k: int, p: int):
     return run
 
 
-def _viewed(r: DataFrame, views: np.ndarray, columns: list[int], k: int, p: int) -> DataFrame:
+def _viewed(r: DataFrame, views: np.ndarray, stands: list[list[str]], columns: list[int], k: int, p: int) -> DataFrame:
     """``view, id, x``: the rows of all views but the whole; ``x`` has the view's coordinates and the targets."""
     kind = r.schema["id"].dataType.simpleString()
-    rows = r.select("id", "x").mapInArrow(_thin(views, columns, k, p), f"view int, id {kind}, x array<double>").withColumn("_seen", _seen(views))
+    rows = r.select("id", "x").mapInArrow(_thin(views, stands, columns, k, p), f"view int, id {kind}, x array<double>").withColumn("_seen", _seen(views))
     so_far = Window.partitionBy("view", "_seen").orderBy("id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     keep, counts = F.lit(False), {}
     for t in dict.fromkeys(columns):
@@ -464,11 +542,17 @@ def _by_heads(c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return c[order], heads, np.searchsorted(head[order], np.arange(len(heads) + 1))
 
 
+def _spans(groups, pivots) -> dict[tuple, tuple[int, int]]:
+    """First cell of each group, and the cell after its last."""
+    out, first = {}, 0
+    for key, g in sorted(groups.items(), key=lambda x: x[1]):
+        out[key], first = (first, first + len(pivots.get(g, ()))), first + len(pivots.get(g, ()))
+    return out
+
+
 def _to_cells(groups, pivots, views, fill, p):
     sorted_by = {g: _by_heads(c) for g, c in pivots.items()}
-    start, first = {}, 0
-    for g in sorted(pivots):
-        start[g], first = first, first + len(pivots[g])
+    start = {groups[key]: lo for key, (lo, _) in _spans(groups, pivots).items()}
     home = {}                                                               # a group of each view that has pivots
     for (view, _), g in sorted(groups.items(), key=lambda x: x[1]):
         if g in pivots:
@@ -500,14 +584,12 @@ def _to_cells(groups, pivots, views, fill, p):
                     dist[at] = np.sqrt(((full[at] - own[best]) ** 2).sum(1))
             yield pa.record_batch([pa.array(cell), pa.array(dist), batch.column("id"), batch.column("x")],
                                   names=["cell", "d", "id", "x"])
-    counts = np.zeros(len(views), np.int64)                                 # cells of a view follow each other
-    for (view, _), g in groups.items():
-        counts[view] += len(pivots.get(g, ()))
-    return run, np.concatenate([sorted_by[g][0] for g in sorted(pivots)]), np.cumsum(counts)
+    return run, np.concatenate([sorted_by[g][0] for g in sorted(pivots)])
 
 
-def _pack_cells(centers, views, ends, columns, k, p, id_type):
-    """Rows sorted by cell -> its blocks, and after them a row without ids that describes the cell."""
+def _pack_cells(centers, of, columns, k, p, id_type):
+    """Rows sorted by cell -> its blocks, and after them a row without ids that describes the cell by
+    the coordinates ``of`` it."""
     rows_a_block = max(64, BLOCK_BYTES // (8 * p))
 
     def run(batches):
@@ -523,7 +605,7 @@ def _pack_cells(centers, views, ends, columns, k, p, id_type):
         def learn(x):
             nonlocal stats
             has, c = ~np.isnan(x), centers[cell]
-            have = has & views[np.searchsorted(ends, cell, side="right")]
+            have = has & of[cell]
             every, some = have.all(axis=0), have.any(axis=0)
             radius = float(np.sqrt(((np.where(every, x, 0.0) - np.where(every, c, 0.0)) ** 2).sum(axis=1)).max())
             lo = np.where(have, x, np.inf).min(axis=0)
@@ -600,26 +682,37 @@ def knn_index(refs: DataFrame, features: list[str], k: int, rid: str, targets: l
     whole = np.ones((1, p), bool)
     r = r.select(F.lit(0).alias("view"), "id", "x")
     top, totals = _masks(r, whole)
-    asked = _asked([x["mask"] for x in top], columns)
-    facts = r.agg(*[F.avg(F.col("x")[j]).alias(f"m{j}") for j in range(p)],
-                  *[F.approx_count_distinct(F.xxhash64(*[F.col("x")[j] for j in range(p) if m[j] == "1"])).alias(f"n{m}") for m in asked]).first()
-    means = [facts[f"m{j}"] for j in range(p)]
-    fill = np.array([0.0 if m is None else m for m in means])
-    if not totals or not any(m is not None for m in means):
+    own = {m for _, m in _patterns(top, totals, rows_per_bucket)[0]}
+    pairs = [(m, g) for m, g in _pairs([x["mask"] for x in top], columns) if g in own]
+    looks, seen_in = _looks(pairs), {m for pair in pairs for m in pair[1:]}
+    mask = _mask_text(F.col("x"))
+    facts = r.groupBy(F.when(mask.isin(*seen_in), mask).alias("mask") if seen_in else F.lit(None).cast("string").alias("mask")).agg(
+        *[f(F.col("x")[j]).alias(f"{n}{j}") for j in range(p) for n, f in (("s", F.sum), ("n", F.count))],
+        *[F.approx_count_distinct(F.xxhash64(*[F.col("x")[j] for j in range(p) if c[j] == "1"])).alias(f"d{c}") for c in looks]).collect()
+    counts = [sum(f[f"n{j}"] for f in facts) for j in range(p)]
+    if not totals or not any(counts):
         discard(r)
         return meta, None
-    meta["views"] = _worth({m: facts[f"n{m}"] for m in asked}, totals[0], columns, k)
-    views, rows, thin = np.vstack([whole, *map(_bits, meta["views"])]), r, None
-    if meta["views"]:
-        thin = materialise(_viewed(r, views, columns, k, p), "knn-views")
-        seen, more = _masks(thin, views)
-        top, totals, rows = top + seen, dict.fromkeys(range(len(views)), 0) | totals | more, r.unionByName(thin)
+    fill = np.array([sum(f[f"s{j}"] or 0.0 for f in facts) / n if n else 0.0 for j, n in enumerate(counts)])
+    stands = _worth(pairs, {x["mask"]: x["n"] for x in top}, {(f["mask"], c): f[f"d{c}"] for f in facts for c in looks}, columns, k)
+    views, rows, thin = np.vstack([whole, *map(_bits, stands)]), r, None
+    if stands:
+        thin = materialise(_viewed(r, views, list(stands.values()), columns, k, p), "knn-views")
+        more, sums = _masks(thin, views)
+        top, totals, rows = top + more, dict.fromkeys(range(len(views)), 0) | totals | sums, r.unionByName(thin)
     groups, sizes = _patterns(top, totals, rows_per_bucket)
-    assign, centers, ends = _to_cells(groups, _pivots(rows, groups, sizes, views, rows_per_bucket, fill), views, fill, p)
-    meta["ends"] = [int(e) for e in ends]
+    pivots = _pivots(rows, groups, sizes, views, rows_per_bucket, fill)
+    assign, centers = _to_cells(groups, pivots, views, fill, p)
+    spans, of = _spans(groups, pivots), np.ones((len(centers), p), bool)
+    for (view, _), (lo, hi) in spans.items():
+        of[lo:hi] = views[view]
+    # a view: its pattern, its cells, and the cells of the whole that it does without
+    meta["views"] = [[m, [spans[v + 1, None][0], max(hi for (view, _), (_, hi) in spans.items() if view == v + 1)],
+                      [list(spans[0, g]) for g in gone]] for v, (m, gone) in enumerate(stands.items())]
+    meta["whole"] = spans[0, None][0]
     named = rows.mapInArrow(assign, _CELL.format(id=meta["id"]))
     packed = named.repartition("cell").sortWithinPartitions("cell", "d").mapInArrow(
-        _pack_cells(centers, views, ends, columns, k, p, to_arrow_type(id_type)), _BLOCK.format(id=meta["id"]))
+        _pack_cells(centers, of, columns, k, p, to_arrow_type(id_type)), _BLOCK.format(id=meta["id"]))
     blocks = materialise(packed, "knn-blocks")
     for used in (r, thin):
         if used is not None:
@@ -632,11 +725,8 @@ def _cells(blocks: DataFrame, meta: dict) -> Views:
     p, n_targets = len(meta["features"]), len(meta["targets"])
     t = blocks.where(F.col("ids").isNull()).drop("ids", "x").toArrow().sort_by("cell")
     wide = lambda c, kind, w: np.frombuffer(b"".join(t[c].to_pylist()), dtype=kind).reshape(-1, w)
-    facts = [wide("center", "<f8", p), t["radius"].to_numpy(), wide("lo", "<f8", p), wide("hi", "<f8", p), wide("every", bool, p),
-             wide("some", bool, p), wide("counts", "<i8", n_targets), t["cell"].to_numpy()]
-    cut = [0, *np.searchsorted(facts[-1], meta["ends"])]
-    return Views(np.vstack([np.ones((1, p), bool), *map(_bits, meta["views"])]),
-                 [Cells(*[f[lo:hi] for f in facts]) for lo, hi in zip(cut, cut[1:])])
+    return Views(Cells(wide("center", "<f8", p), t["radius"].to_numpy(), wide("lo", "<f8", p), wide("hi", "<f8", p), wide("every", bool, p),
+                       wide("some", bool, p), wide("counts", "<i8", n_targets), t["cell"].to_numpy()), meta)
 
 
 # ---------------------------------------------------------------- queries
@@ -648,7 +738,7 @@ _FOUND = "qid {id}, target string, rid {rid}, dist double, value double"
 def _placed(told, p):
     """Queries with their pattern and their place on a curve through the space of the cells."""
     def run(batches):
-        c = told.value.cells[0].center
+        c = told.value.cells(0).center
         low, high = np.quantile(c, 0.01, axis=0), np.quantile(c, 0.99, axis=0)
         axes = [j for j in np.argsort(low - high, kind="stable")[:6] if high[j] > low[j]]
         width = max((high[j] - low[j] for j in axes), default=1.0) / 1023
@@ -707,7 +797,7 @@ def _send(told, columns, k, p):
         def pack():
             x = np.concatenate([h[1] for h in held])
             need = np.stack([np.ones(len(x), bool) if t < 0 else np.isnan(x[:, t]) for t in columns], axis=1)
-            return _sent(views.cells[view], k, (part << 32) + packs, pa.concat_arrays([h[0] for h in held]), x, need, None)
+            return _sent(views.cells(view), k, (part << 32) + packs, pa.concat_arrays([h[0] for h in held]), x, need, None)
         for batch in batches:
             x, lo = _matrix(batch.column("x"), p), 0
             of = views.of(x)
@@ -736,7 +826,7 @@ class _Nearest:
     def __init__(self, cells: Cells, ids, x, need, reach, goes, columns, k):
         self.cells, self.ids, self.x, self.need, self.reach, self.columns, self.k = cells, ids, x, need, reach.copy(), columns, k
         self.held = [[] for _ in columns]
-        self.n, self.most = 0, 4 * k * len(x)
+        self.n, self.most = 0, k * np.count_nonzero(need)
         self.kinds = [(rows, has, np.ascontiguousarray(x[np.ix_(rows, has)].T)) for rows, has in cells.runs(x)]
         self.mixed = len(self.kinds) == 1 and np.isnan(x).sum() != len(x) * (x.shape[1] - len(self.kinds[0][1]))
         self.own = None
@@ -834,7 +924,7 @@ def _search(told, columns, names, k, p, last):
                         yield from done()
                     x, need, reach = (batch.column(c)[n].as_buffer() for c in ("q", "need", "reach"))
                     x, goes = _unpack(x, p), None if last else np.frombuffer(batch.column("goes")[n].as_buffer(), "<i4")
-                    cells = views.cells[views.of(x[:1])[0]]
+                    cells = views.cells(views.of(x[:1])[0])
                     pack, near = packs[n], _Nearest(cells, batch.column("qids")[n].values, x, np.frombuffer(need, bool).reshape(len(x), -1),
                                                     _unpack(reach, len(columns)), goes, columns, k)
                 else:
